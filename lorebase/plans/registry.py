@@ -1,0 +1,32 @@
+"""The named queries, each next to the SQL it is checked against."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lorebase.session import prepare
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query over a data folder under `name`, with the equivalent SQL if there is one."""
+
+    def register(job: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"{name} is registered twice")
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return job(prepare(spark), folder.rstrip("/"))
+
+        QUERIES[name] = run
+        if sql is not None:
+            ORACLES[name] = sql
+        return job
+
+    return register
