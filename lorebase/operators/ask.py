@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from lorebase.functions.text import cap_rows, extract_sql, is_blank, named_tables
 from lorebase.operators.guard import Run, execute_query, guard_statements
-from lorebase.operators.retrieval import attach_documents, search_topk_text
+from lorebase.operators.retrieval import TextIndex, attach_documents, search_topk_text
 from lorebase.operators.skew import running_number
 
 DEFAULT_K = 5
@@ -35,9 +35,9 @@ def clean_questions(questions: DataFrame) -> DataFrame:
     return questions.filter(~is_blank(F.col("question")))
 
 
-def retrieve_context(questions: DataFrame, docs: DataFrame, postings: DataFrame, k: int = DEFAULT_K, threshold: float | None = None) -> DataFrame:
+def retrieve_context(questions: DataFrame, docs: DataFrame, index: TextIndex, k: int = DEFAULT_K, threshold: float | None = None) -> DataFrame:
     """The k best documents per question with their text and tags."""
-    hits = search_topk_text(questions, postings, k, threshold).checkpoint()
+    hits = search_topk_text(questions, index, k, threshold).checkpoint()
     empty = F.array().cast("array<string>")
     columns = ["doc_id", "doc_type", "title", "content", "tables", "tags"]
     found = attach_documents(hits, docs.select(*columns), max_hits=hits.count())
@@ -98,10 +98,12 @@ def answer_grounded(questions: DataFrame, retrieved: DataFrame) -> DataFrame:
     status says so. `answer_with` puts a generator in its place.
     """
     chosen = retrieved.groupBy("question_id").agg(
-        F.max_by(F.struct("doc_id", "content"), F.struct(holds_sql(F.col("content")), -F.col("rank"))).alias("best")
+        F.max_by(F.struct("doc_id", "content"), F.struct(holds_sql(F.col("content")), -F.col("rank"))).alias("best"),
+        F.array_sort(F.collect_list(F.struct("rank", "doc_id"))).alias("found"),  # k at most
     )
     return questions.join(chosen, "question_id", "left").select(
         *questions.columns,
+        F.transform("found", lambda h: h["doc_id"]).alias("context_docs"),
         F.col("best.doc_id").alias("answer_doc"),
         F.coalesce("best.content", F.lit("")).alias("answer"),
         F.when(F.col("best").isNull(), "no_context").otherwise("ok").alias("status"),
@@ -132,21 +134,13 @@ def answer_with(prompts: DataFrame, generate: Callable[[pd.Series], pd.Series])
     )
 
 
-def ask_batch(questions: DataFrame, docs: DataFrame, postings: DataFrame, k: int = DEFAULT_K) -> DataFrame:
+def ask_batch(questions: DataFrame, docs: DataFrame, index: TextIndex, k: int = DEFAULT_K) -> DataFrame:
     """Retrieve and answer for a whole table of questions in one job.
 
     (question_id, question, context_docs, answer_doc, answer, status), ready for the log.
     """
     questions = clean_questions(questions)
-    retrieved = retrieve_context(questions, docs, postings, k)
-    listed = retrieved.groupBy("question_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank", "doc_id"))), lambda h: h["doc_id"]).alias("context_docs")
-    )
-    return (
-        answer_grounded(questions, retrieved)
-        .join(listed, "question_id", "left")
-        .select("question_id", "question", "context_docs", "answer_doc", "answer", "status")
-    )
+    return answer_grounded(questions, retrieve_context(questions, docs, index, k))
 
 
 def sql_of_answers(answers: DataFrame, limit: int = 100) -> DataFrame:
@@ -165,7 +159,7 @@ def sql_grounding(answers: DataFrame) -> DataFrame:
 
 
 def ask_and_execute(
-    questions: DataFrame, docs: DataFrame, postings: DataFrame, k: int = DEFAULT_K, limit: int = 100
+    questions: DataFrame, docs: DataFrame, index: TextIndex, k: int = DEFAULT_K, limit: int = 100
 ) -> Iterator[tuple[dict, Run]]:
     """Ask, cut the SQL out of the answers and run it: (answer row, run) per question.
 
@@ -173,7 +167,7 @@ def ask_and_execute(
     its own; results stay lazy. The table of questions is what a person would ask, the
     documents and the data may be of any size.
     """
-    answers = sql_of_answers(ask_batch(questions, docs, postings, k), limit)
+    answers = sql_of_answers(ask_batch(questions, docs, index, k), limit)
     for row in answers.toLocalIterator():
         answer = row.asDict()
         if answer["sql"] == "":

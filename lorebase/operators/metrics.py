@@ -434,14 +434,13 @@ def customer_ltv(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
 def _tercile(df: DataFrame, by: str, name: str) -> DataFrame:
     """1, 2 or 3 by the rank of `by`: the split of ntile(3), without gathering all rows in one task."""
-    numbered = running_number(df, [], [by, "customer_id"], "_n")
-    total = df.agg(F.count(F.lit(1))).scalar()
-    small, longer = F.floor(total / 3), F.pmod(total, F.lit(3))
+    numbered = running_number(df, [], [by, "customer_id"], "_n", total="_total")
+    small, longer = F.floor(F.col("_total") / 3), F.pmod("_total", F.lit(3))
     in_longer = F.col("_n") <= longer * (small + 1)
     tile = F.when(in_longer, F.ceil(F.col("_n") / (small + 1))).otherwise(
         longer + F.ceil((F.col("_n") - longer * (small + 1)) / F.greatest(small, F.lit(1)))
     )
-    return numbered.withColumn(name, tile.cast("int")).drop("_n")
+    return numbered.withColumn(name, tile.cast("int")).drop("_n", "_total")
 
 
 def customer_segments(orders: DataFrame) -> DataFrame:

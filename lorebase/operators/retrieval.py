@@ -8,13 +8,15 @@ shuffle, and only the k best rows per question and partition leave it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from lorebase.functions.text import CHUNK_OVERLAP, CHUNK_SIZE, chunks, tokens
-from lorebase.operators.skew import lookup_join
+from lorebase.operators.skew import hot_keys, lookup_join
+from lorebase.session import scratch_path
 
 SCORE_DIGITS = 6
 # Most bytes of question terms that one broadcast may hold.
@@ -35,58 +37,72 @@ def chunk_documents(
 # --- TF-IDF -----------------------------------------------------------------------------
 
 
-def _weight(tf, df, n):
-    return (1 + F.log(tf.cast("double"))) * (F.log((1 + n) / (1 + df.cast("double"))) + 1)
+class TextIndex(NamedTuple):
+    """Postings with the figures all weights depend on, measured once per search."""
 
+    postings: DataFrame  # (unit, term, tf)
+    unit: list[str]  # what a text is: a document, or a chunk of one
+    terms: DataFrame  # (term, df)
+    units: int  # number of texts
+    rows: int  # number of postings
+    term_bytes: int  # size of `terms`
 
-def document_frequencies(postings: DataFrame) -> DataFrame:
-    """(term, df). Tasks count before they shuffle, so frequent terms stay cheap."""
-    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
+def open_index(postings: DataFrame, unit: list[str] | None = None) -> TextIndex:
+    """Count the document frequencies of live postings, so weights are never stale.
 
-def _unit_count(postings: DataFrame, unit: list[str]):
-    """Number of indexed units, as a scalar for use inside expressions."""
-    return postings.agg(F.count_distinct(*unit).cast("double")).scalar()
+    They are written as a table: weights of documents and of questions, and the choice of
+    join, all read them. Tasks count before they shuffle, so frequent terms stay cheap.
+    """
+    unit = unit or ["doc_id"]
+    spark = postings.sparkSession
+    path = scratch_path(spark, "terms")
+    postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.parquet(path)
+    terms = spark.read.schema("term string, df bigint").parquet(path)
+    size = terms.agg(F.sum("df").alias("rows"), F.sum(F.length("term") * 4 + 24).alias("bytes")).first()
+    units = postings.agg(F.count_distinct(*unit)).first()[0]
+    return TextIndex(postings, unit, terms, units, size["rows"] or 0, size["bytes"] or 0)
+
+
+def _weight(index: TextIndex, tf, df):
+    return (1 + F.log(tf.cast("double"))) * (F.log(F.lit(1.0 + index.units) / (1 + df.cast("double"))) + 1)
+
+
+def _raw_weights(index: TextIndex) -> DataFrame:
+    """Weights before normalisation, (unit, term, raw). A vocabulary within the bound of a
+    broadcast leaves the postings where they are; else hot terms are spread."""
+    if index.term_bytes <= BROADCAST_BYTES:
+        joined = index.postings.join(F.broadcast(index.terms), "term")
+    else:
+        hot = hot_keys(index.terms, "term", "df", index.rows)
+        joined = lookup_join(index.postings, index.terms, "term", spread_by="doc_id", hot=hot)
+    return joined.select(*index.unit, "term", _weight(index, F.col("tf"), F.col("df")).alias("raw"))
 
 
-def embed_tfidf(postings: DataFrame, unit: list[str] | None = None) -> DataFrame:
+def embed_tfidf(index: TextIndex) -> DataFrame:
     """L2-normalised TF-IDF weights (unit, term, weight); one partition holds a document whole."""
-    unit = unit or ["doc_id"]
-    frequencies = document_frequencies(postings)
-    joined = lookup_join(
-        postings,
-        frequencies,
-        key="term",
-        spread_by="doc_id",
-        key_rows=frequencies.withColumnRenamed("df", "rows"),
-    )
-    raw = joined.select(*unit, "term", _weight(F.col("tf"), F.col("df"), _unit_count(postings, unit)).alias("raw"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(*unit)))
-    return raw.repartition("doc_id").select(*unit, "term", (F.col("raw") / norm).alias("weight"))
+    raw = _raw_weights(index).repartition("doc_id")
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(*index.unit)))
+    return raw.select(*index.unit, "term", (F.col("raw") / norm).alias("weight"))
 
 
-def embed_questions(questions: DataFrame, postings: DataFrame, unit: list[str] | None = None) -> DataFrame:
-    """The questions in the vector space of the index: (question_id, term, weight)."""
-    unit = unit or ["doc_id"]
+def embed_questions(questions: DataFrame, index: TextIndex) -> DataFrame:
+    """The questions in the vector space of the index: (question_id, term, question_weight, df)."""
     counts = (
         questions.select("question_id", F.explode(tokens(F.col("question"))).alias("term"))
         .groupBy("question_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    joined = lookup_join(
-        counts,
-        counts.select("term")
-        .distinct()
-        .join(document_frequencies(postings), "term", "left")
-        .select("term", F.coalesce("df", F.lit(0)).alias("df")),
-        key="term",
-        spread_by="question_id",
-    )
-    raw = joined.select(
-        "question_id", "term", _weight(F.col("tf"), F.col("df"), _unit_count(postings, unit)).alias("raw")
-    )
+    if index.term_bytes <= BROADCAST_BYTES:
+        joined = counts.join(F.broadcast(index.terms), "term", "left")
+    else:
+        asked = counts.groupBy("term").agg(F.count(F.lit(1)).alias("rows"))
+        known = asked.select("term").join(index.terms, "term", "left")
+        joined = lookup_join(counts, known, "term", spread_by="question_id", hot=hot_keys(asked, "term", "rows"))
+    joined = joined.withColumn("df", F.coalesce("df", F.lit(0)))
+    raw = joined.select("question_id", "term", "df", _weight(index, F.col("tf"), F.col("df")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy("question_id")))
-    return raw.select("question_id", "term", (F.col("raw") / norm).alias("question_weight"))
+    return raw.select("question_id", "term", (F.col("raw") / norm).alias("question_weight"), "df")
 
 
 def question_blocks(weights: DataFrame, limit: int = BROADCAST_BYTES) -> list[tuple[DataFrame, bool]]:
@@ -133,7 +149,7 @@ def _check_k(k: int) -> None:
 
 def search_topk_text(
     questions: DataFrame,
-    postings: DataFrame,
+    index: TextIndex,
     k: int = 5,
     threshold: float | None = None,
     exclude_self: bool = False,
@@ -146,8 +162,8 @@ def search_topk_text(
     answered part by part over the same weights.
     """
     _check_k(k)
-    question_weights = embed_questions(questions, postings).checkpoint()
-    weights = embed_tfidf(postings)
+    question_weights = embed_questions(questions, index).checkpoint()
+    weights = embed_tfidf(index)
     out = None
     for part, small in question_blocks(question_weights, broadcast_bytes):
         scores = _scores(weights, part, ["doc_id"], small)
@@ -164,16 +180,15 @@ def relevance_filter(hits: DataFrame, threshold: float = 0.7) -> DataFrame:
     return hits.filter(F.col("score") >= threshold)
 
 
-def search_chunk_rollup(questions: DataFrame, chunk_postings: DataFrame, k: int = 5) -> DataFrame:
-    """Search chunks, keep the best chunk of each document, then the k best documents."""
+def search_chunk_rollup(questions: DataFrame, index: TextIndex, k: int = 5) -> DataFrame:
+    """Search an index of chunks, keep the best chunk of each document, then the k best documents."""
     _check_k(k)
-    unit = ["doc_id", "chunk_no"]
-    question_weights = embed_questions(questions, chunk_postings, unit).checkpoint()
-    weights = embed_tfidf(chunk_postings, unit)
+    question_weights = embed_questions(questions, index).checkpoint()
+    weights = embed_tfidf(index)
     out = None
     for part, small in question_blocks(question_weights):
         best = (
-            _scores(weights, part, unit, small)
+            _scores(weights, part, index.unit, small)
             .groupBy("doc_id", "question_id")
             .agg(F.max(F.struct("score", -F.col("chunk_no"))).alias("best"))
             .select("question_id", "doc_id", F.col("best.score").alias("score"), (-F.col("best.col2")).alias("chunk_no"))
@@ -412,14 +427,14 @@ def related_documents(docs: DataFrame, candidates: DataFrame, k: int = 3) -> Dat
         .groupBy("tags")
         .agg(F.sort_array(F.collect_list(F.struct("n", "related_id", "score"))).alias("best"))
     )
-    rows = tagged.groupBy("tags").agg(F.count(F.lit(1)).alias("rows"))
     key = F.to_json("tags").alias("tag_key")
+    rows = tagged.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     matched = lookup_join(
         tagged.select("doc_id", key),
         ranked.select(key, "best"),
         key="tag_key",
         spread_by="doc_id",
-        key_rows=rows.select(key, "rows"),
+        hot=hot_keys(rows, "tag_key", "rows"),
     )
     others = F.slice(F.filter("best", lambda b: b["related_id"] != F.col("doc_id")), 1, k)
     return matched.select("doc_id", F.posexplode(others).alias("at", "b")).select(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from lorebase.functions.text import normal_question, preview
-from lorebase.operators.retrieval import search_topk_text
+from lorebase.operators.retrieval import TextIndex, search_topk_text
 from lorebase.operators.skew import lookup_join, running_number
 from lorebase.sources.kb import KB_COLUMNS, content_hash, new_documents
 
@@ -144,23 +144,11 @@ def response_percentiles(history: DataFrame) -> DataFrame:
     timed = history.filter("response_time_seconds is not null").select(
         F.to_date("timestamp").alias("date"), "response_time_seconds", "id"
     )
-    numbered = running_number(timed, ["date"], ["response_time_seconds", "id"], "n")
-    sizes = timed.groupBy("date").agg(F.count(F.lit(1)).alias("rows"), F.max("response_time_seconds").alias("max_time"))
+    numbered = running_number(timed, ["date"], ["response_time_seconds", "id"], "n", total="rows")
     at = lambda p: (F.col("rows") - 1) * F.lit(p) + 1
-    wanted = sizes.select(
-        "date", "max_time", at(0.5).alias("p50_at"), at(0.95).alias("p95_at")
-    ).withColumn(
-        "n",
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    F.array(F.floor("p50_at"), F.ceil("p50_at"), F.floor("p95_at"), F.ceil("p95_at")),
-                    lambda x: x.cast("bigint"),
-                )
-            )
-        ),
-    )
-    near = wanted.join(numbered.select("date", "n", "response_time_seconds"), ["date", "n"])
+    placed = numbered.withColumn("p50_at", at(0.5)).withColumn("p95_at", at(0.95))
+    places = [f(p) for p in ("p50_at", "p95_at") for f in (F.floor, F.ceil)]
+    near = placed.filter(F.col("n").isin(*places) | (F.col("n") == F.col("rows")))
 
     def read_off(p):
         low = F.max(F.when(F.col("n") == F.floor(p), F.col("response_time_seconds")))
@@ -169,7 +157,7 @@ def response_percentiles(history: DataFrame) -> DataFrame:
         return F.round(low + (high - low) * part, 6)
 
     return near.groupBy("date").agg(
-        read_off("p50_at").alias("p50"), read_off("p95_at").alias("p95"), F.max("max_time").alias("max_time")
+        read_off("p50_at").alias("p50"), read_off("p95_at").alias("p95"), F.max("response_time_seconds").alias("max_time")
     )
 
 
@@ -238,10 +226,10 @@ def distinct_questions(history: DataFrame) -> DataFrame:
     )
 
 
-def similar_questions(questions: DataFrame, postings: DataFrame, k: int = 3) -> DataFrame:
+def similar_questions(questions: DataFrame, index: TextIndex, k: int = 3) -> DataFrame:
     """For each distinct question the k nearest other ones; repeats were merged before."""
     asked = questions.select(F.col("doc_id").alias("question_id"), F.col("content").alias("question"))
-    return search_topk_text(asked, postings, k, exclude_self=True).select(
+    return search_topk_text(asked, index, k, exclude_self=True).select(
         F.col("question_id").alias("question"), F.col("doc_id").alias("similar_question"), "score", "rank"
     )
 

@@ -8,7 +8,7 @@ from lorebase.functions import text as t
 from lorebase.operators import ask, guard
 from lorebase.operators.retrieval import search_topk_text
 from lorebase.plans.business import TOP, WITH
-from lorebase.plans.knowledge import postings_of
+from lorebase.plans.knowledge import index_of
 from lorebase.plans.registry import query
 from lorebase.plans.sql import ALL_QUESTIONS, FULL_KB, text, tfidf
 from lorebase.sources import bindings as b
@@ -37,7 +37,7 @@ def _asked(spark, folder):
     """Questions, knowledge base and what retrieval finds for them."""
     questions = ask.clean_questions(b.all_questions(spark, folder))
     docs = b.full_kb(spark, folder)
-    return questions, docs, ask.retrieve_context(questions, docs, postings_of(spark, docs))
+    return questions, docs, ask.retrieve_context(questions, docs, index_of(spark, docs))
 
 
 @query("assemble_context", f"WITH {CONTEXT} SELECT * FROM ctx")
@@ -80,7 +80,7 @@ def _(spark, folder):
 @query("answer_grounded", f"WITH {ANSWERED} SELECT * FROM answered")
 def _(spark, folder):
     questions, _, found = _asked(spark, folder)
-    return ask.answer_grounded(questions, found)
+    return ask.answer_grounded(questions, found).drop("context_docs")
 
 
 @query(
@@ -90,7 +90,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     docs = b.full_kb(spark, folder)
-    answers = ask.ask_batch(b.all_questions(spark, folder), docs, postings_of(spark, docs))
+    answers = ask.ask_batch(b.all_questions(spark, folder), docs, index_of(spark, docs))
     return answers.withColumn("context_docs", F.array_join("context_docs", ","))
 
 
@@ -107,7 +107,7 @@ def _(spark, folder):
     register_business_views(spark, folder)
     docs = b.full_kb(spark, folder)
     wanted = spark.createDataFrame([BUSINESS_QUESTIONS[1]], "question_id string, question string")
-    for _, run in ask.ask_and_execute(wanted, docs, postings_of(spark, docs)):
+    for _, run in ask.ask_and_execute(wanted, docs, index_of(spark, docs)):
         if run.result is None:
             raise RuntimeError(f"{run.status}: {run.reason}")
         return run.result
@@ -230,6 +230,6 @@ def _(spark, folder):
 )
 def _(spark, folder):
     count = lambda pattern: F.regexp_count("text", F.lit(pattern)).cast("bigint")
-    return read_table(spark, folder, "documents").select(
+    return b.documents(spark, folder).select(
         "doc_id", t.mask_pii(F.col("text")).alias("masked"), count(t.EMAIL).alias("emails"), count(t.IPV4).alias("addresses")
     )

@@ -320,7 +320,7 @@ def _(spark, folder):
     FROM documents GROUP BY 1 HAVING count(*) > 1""",
 )
 def _(spark, folder):
-    docs = read_table(spark, folder, "documents")
+    docs = b.documents(spark, folder)
     return m.duplicate_rows(docs, F.lower(F.regexp_replace("text", "[^A-Za-z0-9]+", " ")), "doc_id")
 
 

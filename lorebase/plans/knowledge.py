@@ -15,8 +15,9 @@ from lorebase.streaming.sync import run_kb_sync
 from lorebase.streaming.usage import read_stream
 
 
-def postings_of(spark, docs, unit=None):
-    return kb.write_postings(docs, scratch_path(spark, "postings"), unit)
+def index_of(spark, docs, unit=None):
+    """Index a table of texts for this run."""
+    return r.open_index(kb.write_postings(docs, scratch_path(spark, "postings"), unit), unit)
 
 
 # --- the table --------------------------------------------------------------------------
@@ -132,14 +133,14 @@ def _(spark, folder):
 
 @query("embed_tfidf", f"WITH {tfidf()} SELECT doc_id, term, round(weight, 6) AS weight FROM doc_weights")
 def _(spark, folder):
-    weights = r.embed_tfidf(postings_of(spark, b.document_kb(spark, folder)))
+    weights = r.embed_tfidf(index_of(spark, b.document_kb(spark, folder)))
     return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @query("search_topk_text", f"WITH {tfidf()} SELECT question_id, doc_id, score, rank FROM hits WHERE rank <= 5")
 def _(spark, folder):
-    postings = postings_of(spark, b.document_kb(spark, folder))
-    return r.search_topk_text(b.benchmark_questions(spark, folder), postings, 5)
+    index = index_of(spark, b.document_kb(spark, folder))
+    return r.search_topk_text(b.benchmark_questions(spark, folder), index, 5)
 
 
 @query(
@@ -147,8 +148,8 @@ def _(spark, folder):
     f"WITH {tfidf()} SELECT question_id, doc_id, score, rank FROM hits WHERE rank <= 5 AND score >= 0.3",
 )
 def _(spark, folder):
-    postings = postings_of(spark, b.document_kb(spark, folder))
-    return r.search_topk_text(b.benchmark_questions(spark, folder), postings, 5, threshold=0.3)
+    index = index_of(spark, b.document_kb(spark, folder))
+    return r.search_topk_text(b.benchmark_questions(spark, folder), index, 5, threshold=0.3)
 
 
 CHUNKS = """chunked AS (
@@ -166,8 +167,8 @@ CHUNKS = """chunked AS (
 )
 def _(spark, folder):
     chunks = r.chunk_documents(b.document_kb(spark, folder))
-    postings = postings_of(spark, chunks, ["doc_id", "chunk_no"])
-    hits = r.search_chunk_rollup(b.benchmark_questions(spark, folder), postings, 5)
+    index = index_of(spark, chunks, ["doc_id", "chunk_no"])
+    hits = r.search_chunk_rollup(b.benchmark_questions(spark, folder), index, 5)
     return hits.withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
 
 
@@ -206,8 +207,8 @@ def _(spark, folder):
       round(avg(coalesce(1.0 / first, 0)), 6) AS mrr FROM per""",
 )
 def _(spark, folder):
-    postings = postings_of(spark, b.document_kb(spark, folder))
-    hits = r.search_topk_text(b.benchmark_questions(spark, folder), postings, 5)
+    index = index_of(spark, b.document_kb(spark, folder))
+    hits = r.search_topk_text(b.benchmark_questions(spark, folder), index, 5)
     return r.retrieval_quality(hits, b.known_pairs(spark, folder), 5)
 
 
@@ -236,8 +237,8 @@ def _(spark, folder):
     SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY adjusted DESC, doc_id) AS rank FROM adjusted""",
 )
 def _(spark, folder):
-    postings = postings_of(spark, b.document_kb(spark, folder))
-    hits = r.search_topk_text(b.benchmark_questions(spark, folder), postings, 10)
+    index = index_of(spark, b.document_kb(spark, folder))
+    hits = r.search_topk_text(b.benchmark_questions(spark, folder), index, 10)
     return r.feedback_rerank(hits, r.document_prior(b.history(spark, folder)))
 
 

@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lorebase.sources.kb import KB_COLUMNS, load_documents
 from lorebase.sources.notes import BUSINESS_DOC_COLUMNS, BUSINESS_DOCS, BUSINESS_QUESTIONS
-from lorebase.sources.tables import read_table
+from lorebase.sources.tables import read_table, spread
 
 # Load times of the test data are fixed, so that results can be compared.
 STAMP = "2024-01-01 00:00:00"
 LATER_STAMP = "2024-01-02 00:00:00"
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(read_table(spark, folder, "documents"), "doc_id")
+
+
 def document_kb(spark: SparkSession, folder: str) -> DataFrame:
     """`documents` as a knowledge base."""
-    docs = read_table(spark, folder, "documents").select(
+    docs = documents(spark, folder).select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.col("lang").alias("doc_type"),
         F.substring("text", 1, 60).alias("title"),
@@ -103,18 +107,19 @@ def all_questions(spark: SparkSession, folder: str) -> DataFrame:
 def known_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """(question_id, doc_id) where a document holds a benchmark passage whole.
 
-    Passages and documents meet on the longest word of the passage; only such pairs are
-    compared as texts.
+    Passages and documents meet on the longest word inside the passage (its first and last
+    word may be cut); only documents with that word are compared as texts.
     """
     words = F.split("question", "[^A-Za-z]+")
-    longest = F.sort_array(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))), asc=False)
-    passages = benchmark_questions(spark, folder).select("question_id", "question", F.element_at(longest, 1)["w"].alias("word"))
-    docs = read_table(spark, folder, "documents").select(
-        F.col("doc_id").cast("string").alias("doc_id"),
-        "text",
-        F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("word"),
-    )
-    return passages.join(docs, "word").filter(F.contains("text", F.col("question"))).select("question_id", "doc_id")
+    inside = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
+    longest = F.sort_array(F.transform(inside, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))), asc=False)
+    passages = benchmark_questions(spark, folder).select(
+        "question_id", "question", F.element_at(longest, 1)["w"].alias("word")
+    )
+    docs = documents(spark, folder).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    words_of = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("word"))
+    maybe = words_of.join(passages, "word").select("doc_id", "question_id", "question")
+    return docs.join(maybe, "doc_id").filter(F.contains("text", F.col("question"))).select("question_id", "doc_id")
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:

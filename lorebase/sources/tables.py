@@ -12,6 +12,18 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, by: str) -> DataFrame:
+    """Give every core a share of a small input whose rows are dear to process, such as texts.
+
+    An input of many files already has more parts than there are cores and stays as it is:
+    moving large texts would cost more than it brings.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() > 2 * cores:
+        return df
+    return df.repartition(cores, by)
+
+
 def status_word(letter):
     word = F.lit(None).cast("string")
     for code, text in STATUS_WORDS.items():
