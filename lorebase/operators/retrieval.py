@@ -456,7 +456,7 @@ def document_prior(history: DataFrame) -> DataFrame:
 def feedback_rerank(hits: DataFrame, prior: DataFrame, alpha: float = 0.5) -> DataFrame:
     """Order each question's hits by score times what users thought of the document."""
     factor = 1 + F.lit(alpha) * (F.coalesce("approval", F.lit(0.5)) - 0.5)
-    adjusted = hits.join(prior, "doc_id", "left").withColumn("adjusted", F.round(F.col("score") * factor, SCORE_DIGITS))
+    adjusted = hits.join(prior, "doc_id", "left").withColumn("adjusted", F.round(F.col("score") * factor, 10))
     best = W.partitionBy("question_id").orderBy(F.desc("adjusted"), "doc_id")
     return adjusted.select(
         "question_id", "doc_id", "score", "adjusted", F.row_number().over(best).cast("int").alias("rank")

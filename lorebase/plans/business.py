@@ -116,7 +116,8 @@ def _(spark, folder):
 @query(
     "revenue_yoy_quarter",
     f"""{WITH}, {BY_QUARTER}
-    SELECT a.region, year(a.quarter_start) AS fiscal_year, quarter(a.quarter_start) AS fiscal_quarter, a.revenue,
+    SELECT a.region, CAST(year(a.quarter_start) AS INT) AS fiscal_year,
+      CAST(quarter(a.quarter_start) AS INT) AS fiscal_quarter, a.revenue,
       p.revenue AS revenue_year_before,
       round((a.revenue - p.revenue) * 100.0 / nullif(p.revenue, 0), 4) AS growth_pct
     FROM qr a LEFT JOIN qr p ON a.region = p.region AND a.quarter_start = p.quarter_start + INTERVAL 1 YEAR""",
@@ -191,7 +192,7 @@ def _(spark, folder):
 
 @query(
     "fiscal_calendar",
-    f"""WITH {ORD} SELECT year(order_date) AS fiscal_year, quarter(order_date) AS fiscal_quarter,
+    f"""WITH {ORD} SELECT CAST(year(order_date) AS INT) AS fiscal_year, CAST(quarter(order_date) AS INT) AS fiscal_quarter,
       CAST(date_trunc('quarter', order_date) AS DATE) AS first_day,
       CAST(date_trunc('quarter', order_date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS last_day,
       count(*) AS order_count,
@@ -225,7 +226,7 @@ def _(spark, folder):
 
 
 STATUS = """status AS (SELECT customer_id, customer_segment, region, last_order,
-    CAST((SELECT d FROM today) - last_order AS BIGINT) AS days_since_order,
+    CAST((SELECT d FROM today) - last_order AS INT) AS days_since_order,
     CASE WHEN last_order IS NULL OR (SELECT d FROM today) - last_order > 90 THEN 'churned'
          WHEN (SELECT d FROM today) - last_order >= 60 THEN 'at risk' ELSE 'active' END AS churn_status,
     coalesce(order_count, 0) AS order_count
@@ -293,8 +294,8 @@ def _(spark, folder):
     "customer_segments",
     f"""WITH {ORD}, habits AS (SELECT customer_id, count(*) AS order_count, round(avg(order_amount), 6) AS avg_order_value
       FROM done GROUP BY 1),
-    tiled AS (SELECT *, ntile(3) OVER (ORDER BY order_count, customer_id) AS frequency_tile,
-      ntile(3) OVER (ORDER BY avg_order_value, customer_id) AS value_tile FROM habits)
+    tiled AS (SELECT *, CAST(ntile(3) OVER (ORDER BY order_count, customer_id) AS INT) AS frequency_tile,
+      CAST(ntile(3) OVER (ORDER BY avg_order_value, customer_id) AS INT) AS value_tile FROM habits)
     SELECT *, CASE frequency_tile WHEN 1 THEN 'rare' WHEN 2 THEN 'regular' ELSE 'frequent' END || ', ' ||
       CASE value_tile WHEN 1 THEN 'low value' WHEN 2 THEN 'medium value' ELSE 'high value' END AS segment FROM tiled""",
 )

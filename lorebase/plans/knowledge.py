@@ -43,7 +43,7 @@ def _(spark, folder):
 @query(
     "kb_append",
     f"""WITH {KB}, added AS (SELECT 'page_' || page_id AS doc_id, 'page' AS doc_type, url AS title, html AS content FROM pages)
-    SELECT doc_id, doc_type, title, content, 'src' AS source, 0 AS seq FROM kb
+    SELECT doc_id, doc_type, title, content, 'src' AS source, CAST(0 AS BIGINT) AS seq FROM kb
     UNION ALL SELECT doc_id, doc_type, title, content, 'user_added', 1 FROM added""",
 )
 def _(spark, folder):
@@ -60,7 +60,7 @@ def _(spark, folder):
 @query(
     "kb_current",
     f"""WITH {KB}, versions AS (
-      SELECT doc_id, title, updated_at, 0 AS seq FROM kb
+      SELECT doc_id, title, updated_at, CAST(0 AS BIGINT) AS seq FROM kb
       UNION ALL SELECT kb.doc_id, 'again: ' || title,
         CASE quality WHEN 1 THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-01' END, 1
         FROM kb JOIN labels ON kb.doc_id = CAST(labels.doc_id AS VARCHAR))
@@ -162,7 +162,7 @@ CHUNKS = """chunked AS (
     "search_chunk_rollup",
     f"""WITH {CHUNKS}, {tfidf("chunked", unit="doc_id, chunk_no")},
     best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY question_id, doc_id ORDER BY score DESC, chunk_no) = 1)
-    SELECT question_id, doc_id, chunk_no, score, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS rank
+    SELECT question_id, doc_id, chunk_no, score, CAST(row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS INT) AS rank
     FROM best QUALIFY rank <= 5""",
 )
 def _(spark, folder):
@@ -183,7 +183,7 @@ cosines AS (SELECT CAST(question_id AS BIGINT) AS question_id, vec_id,
 
 @query(
     "search_topk_vector",
-    f"""WITH {TOPICS} SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, vec_id) AS rank
+    f"""WITH {TOPICS} SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY score DESC, vec_id) AS INT) AS rank
     FROM cosines QUALIFY rank <= 5""",
 )
 def _(spark, folder):
@@ -219,7 +219,7 @@ def _(spark, folder):
         CAST(a.lang = c.lang AS INT) + CAST(a.source = c.source AS INT) AS shared
       FROM d a JOIN (SELECT * FROM d WHERE lang = 'es') c ON a.doc_id <> c.doc_id AND (a.lang = c.lang OR a.source = c.source))
     SELECT doc_id, related_id, round(shared / (4.0 - shared), 6) AS score,
-      row_number() OVER (PARTITION BY doc_id ORDER BY round(shared / (4.0 - shared), 6) DESC, related_id) AS rank
+      CAST(row_number() OVER (PARTITION BY doc_id ORDER BY round(shared / (4.0 - shared), 6) DESC, related_id) AS INT) AS rank
     FROM pairs QUALIFY rank <= 3""",
 )
 def _(spark, folder):
@@ -232,9 +232,9 @@ def _(spark, folder):
     f"""WITH {tfidf()}, {LIVE_EVENTS},
     votes AS (SELECT unnest(context_docs) AS doc_id, CAST(thumbs_up AS INT) AS up FROM history WHERE thumbs_up IS NOT NULL),
     prior AS (SELECT doc_id, (sum(up) + 1) / (count(*) + 2) AS approval FROM votes GROUP BY 1),
-    adjusted AS (SELECT question_id, doc_id, score, round(score * (1 + 0.5 * (coalesce(approval, 0.5) - 0.5)), 6) AS adjusted
+    adjusted AS (SELECT question_id, doc_id, score, round(score * (1 + 0.5 * (coalesce(approval, 0.5) - 0.5)), 10) AS adjusted
       FROM hits LEFT JOIN prior USING (doc_id) WHERE rank <= 10)
-    SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY adjusted DESC, doc_id) AS rank FROM adjusted""",
+    SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY adjusted DESC, doc_id) AS INT) AS rank FROM adjusted""",
 )
 def _(spark, folder):
     index = index_of(spark, b.document_kb(spark, folder))

@@ -86,7 +86,7 @@ def _(spark, folder):
 
 @query(
     "usage_patterns",
-    f"{LOG} SELECT dayofweek(timestamp) + 1 AS weekday, hour(timestamp) AS hour, count(*) AS questions FROM history GROUP BY ALL",
+    f"{LOG} SELECT CAST(dayofweek(timestamp) + 1 AS INT) AS weekday, CAST(hour(timestamp) AS INT) AS hour, count(*) AS questions FROM history GROUP BY ALL",
 )
 def _(spark, folder):
     return u.usage_patterns(b.history(spark, folder))

@@ -58,7 +58,7 @@ def tfidf(corpus: str | None = None, questions: str = BENCHMARK, unit: str = "do
     q_weights AS (SELECT question_id, term, raw / norm AS qw FROM q_raw JOIN q_norm USING (question_id)),
     scores AS (SELECT question_id, {unit}, round(sum(weight * qw), 6) AS score
       FROM doc_weights JOIN q_weights USING (term) {more} GROUP BY ALL),
-    hits AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS rank FROM scores)"""
+    hits AS (SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM scores)"""
 
 
 LIVE_EVENTS = """history AS (
@@ -78,7 +78,7 @@ SCHEMA_COLUMNS = f"""{literal_docs()}, schema_docs AS (
     || '- brand (STRING): Always ' || p_brand || chr(10) FROM part),
 lines AS (SELECT regexp_extract(content, 'Table: (\\w+)', 1) AS table_name,
     unnest(regexp_extract_all(content, '- \\w+ \\(\\w+\\): [^\\n]*')) AS line,
-    unnest(range(1, 100)) AS position FROM schema_docs),
+    CAST(unnest(range(1, 100)) AS INT) AS position FROM schema_docs),
 cols AS (SELECT table_name, position, regexp_extract(line, '- (\\w+)', 1) AS column_name,
     regexp_extract(line, '\\((\\w+)\\)', 1) AS column_type, trim(regexp_extract(line, '\\): (.*)', 1)) AS description
   FROM lines WHERE line IS NOT NULL)"""

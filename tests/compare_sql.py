@@ -14,6 +14,17 @@ TABLES = (
 ).split()
 
 
+SQL_TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
 def duck(folder: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -27,7 +38,7 @@ def plain(value):
     if isinstance(value, bool):
         return value
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6)
+        return None if math.isnan(value) else value
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat()
     if isinstance(value, dt.date):
@@ -52,6 +63,10 @@ def difference(spark, folder, name, job, sql, con) -> str | None:
     want = table([d[0] for d in cur.description], cur.fetchall())
     if got[0] != want[0]:
         return f"columns {got[0]} and {want[0]}"
+    types = {r[0]: str(r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    for f in df.schema:
+        if SQL_TYPES[f.dataType.simpleString()] != types[f.name]:
+            return f"type of {f.name} {f.dataType.simpleString()} and {types[f.name]}"
     if len(got[1]) != len(want[1]):
         return f"{len(got[1])} rows and {len(want[1])} rows"
     for a, b in zip(got[1], want[1]):
