@@ -167,7 +167,7 @@ def ask_and_execute(
     its own; results stay lazy. The table of questions is what a person would ask, the
     documents and the data may be of any size.
     """
-    answers = sql_of_answers(ask_batch(questions, docs, index, k), limit)
+    answers = sql_of_answers(ask_batch(questions, docs, index, k), limit).checkpoint()
     for row in answers.toLocalIterator():
         answer = row.asDict()
         if answer["sql"] == "":

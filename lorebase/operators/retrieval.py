@@ -21,6 +21,8 @@ from lorebase.session import scratch_path
 SCORE_DIGITS = 6
 # Most bytes of question terms that one broadcast may hold.
 BROADCAST_BYTES = 64 << 20
+# From this many matches of a question term and a document on, frequent terms are set aside first.
+PRUNE_MATCHES = 100_000_000
 # Most rows of a result that may be broadcast to fetch the documents it names.
 BROADCAST_HITS = 1_000_000
 # Most question vectors that travel with a task.
@@ -154,19 +156,28 @@ def search_topk_text(
     threshold: float | None = None,
     exclude_self: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    prune_matches: int = PRUNE_MATCHES,
 ) -> DataFrame:
     """(question_id, doc_id, score, rank) for `questions` (question_id, question).
 
-    Exact: every document that shares a term is scored. `threshold` keeps scores at or
-    above it; it is off unless given. Questions beyond the size of a broadcast are
-    answered part by part over the same weights.
+    Exact. `threshold` keeps scores at or above it; it is off unless given. Questions
+    beyond the size of a broadcast are answered part by part over the same weights. When
+    the questions' terms match very often, `split_terms` keeps the most frequent of them
+    from pairing each question with nearly every document.
     """
     _check_k(k)
     question_weights = embed_questions(questions, index).checkpoint()
+    matches = question_weights.agg(F.sum("df")).first()[0] or 0
     weights = embed_tfidf(index)
+    prune = matches > prune_matches
+    if prune:
+        weights = _asked_weights(weights, question_weights, broadcast_bytes)
     out = None
     for part, small in question_blocks(question_weights, broadcast_bytes):
-        scores = _scores(weights, part, ["doc_id"], small)
+        if prune:
+            scores = _pruned_scores(weights, split_terms(weights, part, k, exclude_self, small), small)
+        else:
+            scores = _scores(weights, part, ["doc_id"], small)
         if exclude_self:
             scores = scores.filter("doc_id <> question_id")
         if threshold is not None:
@@ -176,6 +187,85 @@ def search_topk_text(
     return out.select("question_id", "doc_id", "score", "rank")
 
 
+# --- exact search without the pairs that cannot win ---------------------------------------
+
+
+def _asked_weights(weights: DataFrame, question_weights: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """The weights of terms that some question has, as a table: the passes below read it, not the index.
+
+    `size_class` tells short documents from long ones, in steps of a factor of two. In
+    short documents each word weighs much, so they get bounds of their own.
+    """
+    spark = weights.sparkSession
+    wanted = question_weights.select("term").distinct()
+    size = wanted.agg(F.sum(F.length("term") * 4 + 16)).first()[0] or 0
+    terms_in_doc = F.count(F.lit(1)).over(W.partitionBy("doc_id"))
+    classed = weights.withColumn("size_class", F.floor(F.log2(terms_in_doc)).cast("int"))
+    path = scratch_path(spark, "asked")
+    classed.join(F.broadcast(wanted) if size <= broadcast_bytes else wanted, "term", "left_semi").write.parquet(path)
+    return spark.read.schema("term string, doc_id string, weight double, size_class int").parquet(path)
+
+
+def split_terms(asked: DataFrame, question_weights: DataFrame, k: int, exclude_self: bool, small: bool) -> DataFrame:
+    """Mark per question and size class the terms a document must share one of to be among the k best.
+
+    The documents that hold the rarest terms of a question are scored first; the k-th best
+    of these scores is a floor. A term adds at most its largest weight in any document of
+    the class. Terms whose largest contributions together stay under the floor cannot lift
+    a document to it, so documents that share only such terms are out. A question whose
+    rarest terms find fewer than k documents keeps all its terms.
+    """
+    rarest = W.partitionBy("question_id").orderBy("df", "term").rowsBetween(W.unboundedPreceding, -1)
+    largest = asked.groupBy("term", "size_class").agg(F.max("weight").alias("largest"))
+    terms = (
+        question_weights.filter("df > 0")
+        .withColumn("needed", F.coalesce(F.sum("df").over(rarest), F.lit(0)) < 4 * k + 1)
+        .join(largest, "term")
+        .select("question_id", "term", "size_class", "question_weight", "largest", "needed")
+        .checkpoint()
+    )
+    first_scores = _pruned_scores(asked, terms.drop("largest"), small)
+    if exclude_self:
+        first_scores = first_scores.filter("doc_id <> question_id")
+    floor = _top(first_scores, k).filter(F.col("rank") == k).select("question_id", F.col("score").alias("floor"))
+    adding = (
+        W.partitionBy("question_id", "size_class").orderBy("most", "term").rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    # Scores are compared after rounding, so a floor must be missed by more than a rounding step.
+    reaches = F.col("together") >= F.col("floor") - 2 * 10.0**-SCORE_DIGITS
+    return (
+        terms.withColumn("most", F.col("question_weight") * F.col("largest"))
+        .withColumn("together", F.sum("most").over(adding))
+        .join(floor, "question_id", "left")
+        .withColumn("needed", F.coalesce(reaches, F.lit(True)))
+        .select("question_id", "term", "size_class", "question_weight", "needed")
+        .checkpoint()
+    )
+
+
+def _pruned_scores(asked: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
+    """Full cosine of the documents that share a needed term; the other terms only add to these."""
+    hint = F.broadcast if small else (lambda df: df)
+    needed = terms.filter("needed").drop("needed")
+    rest = terms.filter("not needed").drop("needed")
+    place = ["term", "size_class"]
+    product = F.sum(F.col("weight") * F.col("question_weight"))
+    candidates = (
+        asked.join(hint(needed.select(*place).distinct()), place, "left_semi")
+        .repartition("doc_id")
+        .join(hint(needed), place)
+        .groupBy("doc_id", "question_id", "size_class")
+        .agg(product.alias("base"))
+    )
+    others = asked.join(hint(rest.select(*place).distinct()), place, "left_semi").drop("size_class").repartition("doc_id")
+    return (
+        candidates.join(others, "doc_id", "left")
+        .join(hint(rest), ["question_id", "term", "size_class"], "left")
+        .groupBy("doc_id", "question_id")
+        .agg(F.round(F.max("base") + F.coalesce(product, F.lit(0.0)), SCORE_DIGITS).alias("score"))
+    )
+
+
 def relevance_filter(hits: DataFrame, threshold: float = 0.7) -> DataFrame:
     return hits.filter(F.col("score") >= threshold)
 
@@ -327,26 +417,29 @@ def search_ann_vector(
     """Approximate cosine top-k: only vectors sharing a hash bucket with the question are scored.
 
     A pair met in several tables is scored in the first one only, so no later shuffle has
-    to remove doubles. Bucket members are never gathered; they stream past the join and
-    each task keeps k rows per question.
+    to remove doubles. Bucket members are never gathered: the vectors stay where they are,
+    some thousand questions at a time come to them, and each task keeps k rows per question.
     """
     _check_k(k)
-    q = hyperplane_signatures(questions, "question_id", tables, bits, seed).select(
-        "question_id",
-        F.col("embedding").alias("q_embedding"),
-        F.col("signatures").alias("q_signatures"),
-        F.posexplode("signatures").alias("table_no", "bucket"),
-    )
     v = hyperplane_signatures(vectors, "vec_id", tables, bits, seed).select(
         "vec_id", "embedding", "signatures", F.posexplode("signatures").alias("table_no", "bucket")
     )
     first_match = F.array_position(F.zip_with("signatures", "q_signatures", lambda a, b: a == b), True) - 1
-    small = questions.limit(VECTOR_BLOCK + 1).count() <= VECTOR_BLOCK
-    pairs = v.join(F.broadcast(q) if small else q, ["table_no", "bucket"]).filter(first_match == F.col("table_no"))
-    scored = pairs.select(
-        "question_id", "vec_id", F.round(_cosine(F.col("q_embedding"), F.col("embedding")), SCORE_DIGITS).alias("score")
-    )
-    return _top(scored, k, tie="vec_id").select("question_id", "vec_id", "score", "rank")
+    parts = max(1, -(-questions.count() // VECTOR_BLOCK))
+    out = None
+    for n in range(parts):
+        part = questions.filter(F.pmod(F.xxhash64("question_id"), F.lit(parts)) == n) if parts > 1 else questions
+        q = hyperplane_signatures(part, "question_id", tables, bits, seed).select(
+            "question_id",
+            F.col("embedding").alias("q_embedding"),
+            F.col("signatures").alias("q_signatures"),
+            F.posexplode("signatures").alias("table_no", "bucket"),
+        )
+        pairs = v.join(F.broadcast(q), ["table_no", "bucket"]).filter(first_match == F.col("table_no"))
+        score = F.round(_cosine(F.col("q_embedding"), F.col("embedding")), SCORE_DIGITS)
+        hits = _top(pairs.select("question_id", "vec_id", score.alias("score")), k, tie="vec_id")
+        out = hits if out is None else out.unionByName(hits)
+    return out.select("question_id", "vec_id", "score", "rank")
 
 
 def topic_vectors(vectors: DataFrame, by: str = "label") -> DataFrame:
@@ -395,46 +488,62 @@ def related_documents(docs: DataFrame, candidates: DataFrame, k: int = 3) -> Dat
     """The k candidates with the highest tag Jaccard per document, itself left out.
 
     Documents with equal tags have equal neighbours, so sets of tags are compared, not
-    documents. Of the candidates with one set of tags only the first k + 1 ids can be
-    among the k best of anything (equal scores go by id, one may be the document itself).
+    documents. Of the candidates with one set of tags only the first k + 1 ids can be among
+    the k best of anything (equal scores go by id, one may be the document itself), and by
+    the same reasoning only the first k + 1 sets. Sets are scored as texts are: the sets of
+    candidates stay in their partition and k + 1 rows per set leave it.
     """
     _check_k(k)
     tag_set = F.array_sort(F.array_distinct("tags"))
-    tagged = docs.select("doc_id", tag_set.alias("tags")).filter(F.size("tags") > 0)
-    first = W.partitionBy("tags").orderBy("doc_id")
+    key = F.to_json(F.col("tags"))
+    tagged = docs.select("doc_id", tag_set.alias("tags")).filter(F.size("tags") > 0).withColumn("set_id", key)
+    first = W.partitionBy("member_set").orderBy("doc_id")
     members = (
         candidates.select("doc_id", tag_set.alias("tags"))
         .filter(F.size("tags") > 0)
+        .withColumn("member_set", key)
         .withColumn("n", F.row_number().over(first))
         .filter(F.col("n") <= k + 1)
-        .groupBy("tags")
-        .agg(F.sort_array(F.collect_list("doc_id")).alias("members"))  # k + 1 ids at most
+        .groupBy("member_set")
+        .agg(
+            F.sort_array(F.collect_list("doc_id")).alias("members"),  # k + 1 ids at most
+            F.first("tags").alias("tags"),  # the same in the whole group
+        )
     )
-    sets = tagged.select("tags").distinct()
-    left = sets.select(F.col("tags").alias("set_tags"), F.explode("tags").alias("tag"))
-    right = members.select(F.col("tags").alias("member_tags"), F.explode("tags").alias("tag"))
-    shared = left.join(right, "tag").groupBy("set_tags", "member_tags").agg(F.count(F.lit(1)).alias("shared"))
-    score = F.round(
-        F.col("shared") / (F.size("set_tags") + F.size("member_tags") - F.col("shared")), SCORE_DIGITS
+    sets = (
+        tagged.groupBy("set_id")
+        .agg(F.count(F.lit(1)).alias("rows"), F.first("tags").alias("tags"))
+        .checkpoint()
     )
-    # Cut to k + 1 candidates per set before they meet the documents again.
+    asked = sets.select(F.col("set_id").alias("question_id"), F.size("tags").alias("set_size"), F.explode("tags").alias("term"))
+    offered = members.select(
+        "member_set", F.size("tags").alias("member_size"), F.element_at("members", 1).alias("first_id"), F.explode("tags").alias("term")
+    ).repartition("member_set")
+    best_sets = None
+    for part, small in question_blocks(asked):
+        shared = (
+            offered.join(F.broadcast(part) if small else part, "term")
+            .groupBy("member_set", "question_id")
+            .agg(
+                F.count(F.lit(1)).alias("shared"),
+                F.first(F.col("set_size") + F.col("member_size")).alias("sizes"),
+                F.first("first_id").alias("first_id"),
+            )
+        )
+        score = F.round(F.col("shared") / (F.col("sizes") - F.col("shared")), SCORE_DIGITS)
+        top = _top(shared.withColumn("score", score), k + 1, tie="first_id")
+        best_sets = top if best_sets is None else best_sets.unionByName(top)
     ranked = (
-        shared.withColumn("score", score)
-        .join(members.withColumnRenamed("tags", "member_tags"), "member_tags")
-        .select(F.col("set_tags").alias("tags"), "score", F.explode("members").alias("related_id"))
-        .withColumn("n", F.row_number().over(W.partitionBy("tags").orderBy(F.desc("score"), "related_id")))
+        best_sets.select("question_id", "member_set", "score")
+        .join(members.select("member_set", "members"), "member_set")
+        .select(F.col("question_id").alias("set_id"), "score", F.explode("members").alias("related_id"))
+        .withColumn("n", F.row_number().over(W.partitionBy("set_id").orderBy(F.desc("score"), "related_id")))
         .filter(F.col("n") <= k + 1)
-        .groupBy("tags")
-        .agg(F.sort_array(F.collect_list(F.struct("n", "related_id", "score"))).alias("best"))
+        .groupBy("set_id")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "related_id", "score"))).alias("best"))  # k + 1 at most
     )
-    key = F.to_json("tags").alias("tag_key")
-    rows = tagged.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     matched = lookup_join(
-        tagged.select("doc_id", key),
-        ranked.select(key, "best"),
-        key="tag_key",
-        spread_by="doc_id",
-        hot=hot_keys(rows, "tag_key", "rows"),
+        tagged.select("doc_id", "set_id"), ranked, key="set_id", spread_by="doc_id", hot=hot_keys(sets, "set_id", "rows")
     )
     others = F.slice(F.filter("best", lambda b: b["related_id"] != F.col("doc_id")), 1, k)
     return matched.select("doc_id", F.posexplode(others).alias("at", "b")).select(

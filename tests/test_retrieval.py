@@ -79,6 +79,32 @@ def test_text_search_in_small_question_parts(corpus):
     assert rows(r.search_topk_text(frame, index, 4, broadcast_bytes=1)) == brute(docs, questions, 4)
 
 
+@pytest.mark.parametrize("k, skip, part", [(1, False, 1 << 20), (3, True, 40000), (8, False, 40000)])
+def test_pruned_search_matches_brute_force(spark, k, skip, part):
+    """Words with very different frequencies, equal texts, and one question per text."""
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{i}" for i in range(60)]
+    odds = 1 / np.arange(1, 61) ** 1.3
+    docs = [(f"d{i:03d}", " ".join(rng.choice(vocabulary, size=int(rng.integers(2, 25)), p=odds / odds.sum()))) for i in range(150)]
+    docs = [(d, docs[0][1]) if i % 3 == 0 else (d, t) for i, (d, t) in enumerate(docs)]
+    frame = spark.createDataFrame(docs, "doc_id string, content string")
+    index = r.open_index(kb.write_postings(frame, scratch_path(spark, "postings")))
+    questions = spark.createDataFrame(docs, "question_id string, question string")
+    hits = r.search_topk_text(questions, index, k, exclude_self=skip, prune_matches=0, broadcast_bytes=part)
+    assert rows(hits) == brute(docs, docs, k, skip_self=skip)
+
+
+def test_pruning_sets_terms_aside(spark):
+    docs = [(f"d{i:03d}", "the " * 5 + f"name{i % 20} thing{i % 3}") for i in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id string, content string")
+    index = r.open_index(kb.write_postings(frame, scratch_path(spark, "postings")))
+    questions = spark.createDataFrame([("q", "the thing1 name7"), ("p", "the")], "question_id string, question string")
+    weights = r.embed_questions(questions, index)
+    asked = r._asked_weights(r.embed_tfidf(index), weights, r.BROADCAST_BYTES)
+    split = {(x["question_id"], x["term"]): x["needed"] for x in r.split_terms(asked, weights, 3, False, True).collect()}
+    assert split[("q", "name7")] and not split[("q", "the")] and split[("p", "the")]
+
+
 def test_text_search_with_large_vocabulary(corpus, monkeypatch):
     docs, questions, frame, index = corpus
     monkeypatch.setattr(r, "BROADCAST_BYTES", 0)
