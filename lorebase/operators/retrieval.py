@@ -16,15 +16,13 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from lorebase.functions.text import CHUNK_OVERLAP, CHUNK_SIZE, chunks, tokens
 from lorebase.operators.skew import hot_keys, lookup_join
-from lorebase.session import scratch_path
+from lorebase.session import broadcast_if_few, scratch_path
 
 SCORE_DIGITS = 6
 # Most bytes of question terms that one broadcast may hold.
 BROADCAST_BYTES = 64 << 20
 # From this many matches of a question term and a document on, frequent terms are set aside first.
 PRUNE_MATCHES = 100_000_000
-# Most rows of a result that may be broadcast to fetch the documents it names.
-BROADCAST_HITS = 1_000_000
 # Most question vectors that travel with a task.
 VECTOR_BLOCK = 4096
 
@@ -288,14 +286,9 @@ def search_chunk_rollup(questions: DataFrame, index: TextIndex, k: int = 5) -> D
     return out.select("question_id", "doc_id", "chunk_no", "score", "rank")
 
 
-def attach_documents(hits: DataFrame, docs: DataFrame, max_hits: int | None = None) -> DataFrame:
-    """Add the documents' columns to search hits.
-
-    `max_hits` is a bound the caller can prove (questions times k). Within the broadcast
-    bound the documents are joined where they lie instead of being shuffled.
-    """
-    small = max_hits is not None and max_hits <= BROADCAST_HITS
-    return docs.join(F.broadcast(hits) if small else hits, "doc_id")
+def attach_documents(hits: DataFrame, docs: DataFrame) -> DataFrame:
+    """Add the documents' columns to stored search hits; few hits go to where the documents lie."""
+    return docs.join(broadcast_if_few(hits), "doc_id")
 
 
 # --- dense vectors ----------------------------------------------------------------------

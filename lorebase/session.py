@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# Most rows, of a few short columns, that may be broadcast.
+FEW_ROWS = 1_000_000
 
 # Settings that results depend on; safe to set on a session somebody else started.
 RESULT_SETTINGS = {
@@ -60,5 +63,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path for a table that only this run needs."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path for a table that only this application needs."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/lorebase-{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
+    """Delete one scratch table, or all of this application once no result needs them any more."""
+    path = path or _scratch_folder(spark)
+    if not path.startswith(_scratch_folder(spark)):
+        raise ValueError("not a scratch table of this application")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def broadcast_if_few(rows: DataFrame, limit: int = FEW_ROWS) -> DataFrame:
+    """Mark rows for broadcast if there are few. They are counted, so they should be a stored table."""
+    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows

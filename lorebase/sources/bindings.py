@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lorebase.session import broadcast_if_few
 from lorebase.sources.kb import KB_COLUMNS, load_documents
 from lorebase.sources.notes import BUSINESS_DOC_COLUMNS, BUSINESS_DOCS, BUSINESS_QUESTIONS
 from lorebase.sources.tables import read_table, spread
@@ -19,8 +20,9 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def document_kb(spark: SparkSession, folder: str) -> DataFrame:
     """`documents` as a knowledge base."""
-    docs = documents(spark, folder).select(
-        F.col("doc_id").cast("string").alias("doc_id"),
+    # Spread by the id in its final type, so that grouping by it later needs no shuffle.
+    docs = spread(read_table(spark, folder, "documents").withColumn("doc_id", F.col("doc_id").cast("string")), "doc_id").select(
+        "doc_id",
         F.col("lang").alias("doc_type"),
         F.substring("text", 1, 60).alias("title"),
         F.col("text").alias("content"),
@@ -118,8 +120,13 @@ def known_pairs(spark: SparkSession, folder: str) -> DataFrame:
     )
     docs = documents(spark, folder).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     words_of = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("word"))
-    maybe = words_of.join(passages, "word").select("doc_id", "question_id", "question")
-    return docs.join(maybe, "doc_id").filter(F.contains("text", F.col("question"))).select("question_id", "doc_id")
+    maybe = words_of.join(passages.drop("question"), "word").select("doc_id", "question_id").checkpoint()
+    return (
+        docs.join(broadcast_if_few(maybe), "doc_id")
+        .join(passages.drop("word"), "question_id")
+        .filter(F.contains("text", F.col("question")))
+        .select("question_id", "doc_id")
+    )
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from lorebase.functions.text import tokens
+from lorebase.session import broadcast_if_few
 
 # The columns of the documentation table, in order.
 KB_SCHEMA = T.StructType(
@@ -149,17 +150,29 @@ def live_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The live documents and postings of a segmented index.
 
     Per document only its latest segment counts; documents whose latest entry is a
-    tombstone are gone.
+    tombstone are gone. The superseded entries are taken out rather than the live ones
+    looked up: they are few after a compaction, and then the postings need no shuffle.
     """
     docs = spark.read.schema("doc_id string, content_hash string, sync_id bigint").parquet(f"{path}/docs")
     postings = spark.read.schema("doc_id string, term string, tf int, sync_id bigint").parquet(f"{path}/postings")
-    latest = (
-        docs.groupBy("doc_id")
-        .agg(F.max(F.struct("sync_id", "content_hash")).alias("last"))
-        .select("doc_id", "last.sync_id", "last.content_hash")
-        .filter("content_hash is not null")
+    entries = docs.groupBy("doc_id").agg(
+        F.max(F.struct("sync_id", "content_hash")).alias("last"), F.count(F.lit(1)).alias("n")
     )
-    return latest, postings.join(latest.select("doc_id", "sync_id"), ["doc_id", "sync_id"])
+    latest = entries.select("doc_id", "last.sync_id", "last.content_hash").filter("content_hash is not null")
+    superseded = (
+        docs.join(entries.filter("n > 1").select("doc_id", "last"), "doc_id")
+        .filter("sync_id < last.sync_id")
+        .select("doc_id", "sync_id")
+        .checkpoint()
+    )
+    return latest, postings.join(broadcast_if_few(superseded), ["doc_id", "sync_id"], "left_anti")
+
+
+def compact_index(spark: SparkSession, path: str, to: str) -> None:
+    """Write the live rows of a segmented index as one segment of a new index."""
+    latest, postings = live_index(spark, path)
+    postings.drop("sync_id").write.parquet(f"{to}/postings/sync_id=0")
+    latest.drop("sync_id").write.parquet(f"{to}/docs/sync_id=0")
 
 
 def sync_index(kb: DataFrame, path: str, sync_id: int) -> DataFrame:
@@ -177,7 +190,7 @@ def sync_index(kb: DataFrame, path: str, sync_id: int) -> DataFrame:
             raise
         indexed = spark.createDataFrame([], "doc_id string, content_hash string")
     plan = sync_plan(kb, indexed).filter("action <> 'unchanged'").checkpoint()
-    changed = kb.join(plan.filter("action <> 'delete'").select("doc_id"), "doc_id", "left_semi")
+    changed = kb.join(broadcast_if_few(plan.filter("action <> 'delete'").select("doc_id")), "doc_id", "left_semi")
     gone = plan.filter("action = 'delete'")
     if not plan.isEmpty():
         write_segment(changed, path, sync_id)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lorebase.functions.rules import register_rules
 from lorebase.operators import metrics as m
 from lorebase.operators import usage as u
-from lorebase.session import scratch_path
+from lorebase.session import drop_scratch, scratch_path
 from lorebase.sources import bindings as b
 from lorebase.sources import kb
 from lorebase.sources.tables import business_orders, customer_facts, order_facts, read_table
@@ -63,6 +63,10 @@ def test_sync_touches_changes_only(spark):
     assert plan == {"b": "delete", "c": "update", "d": "insert"}
     assert live_terms(spark, path) == {("a", "x", 2), ("a", "y", 1), ("c", "new", 1), ("d", "w", 1)}
     assert kb.sync_index(second, path, 3).isEmpty()
+    compact = scratch_path(spark, "compact")
+    kb.compact_index(spark, path, compact)
+    assert live_terms(spark, compact) == live_terms(spark, path)
+    assert kb.sync_index(second, compact, 1).isEmpty()
     kb.sync_index(first, path, 4)
     assert live_terms(spark, path) == {("a", "x", 2), ("a", "y", 1), ("b", "z", 1), ("c", "old", 1)}
 
@@ -94,6 +98,16 @@ def test_stream_usage_equals_batch_for_closed_days(spark, data):
     assert streamed == {d: r for d, r in batch.items() if d < max(batch)}
 
 
+def test_scratch_tables_can_be_dropped(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    drop_scratch(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        drop_scratch(spark, "/elsewhere")
+
+
 # --- the log ----------------------------------------------------------------------------
 
 
