@@ -10,8 +10,9 @@ CHUNK_SIZE = 500
 CHUNK_OVERLAP = 50
 
 # Personal data patterns. They use no word boundaries, since engines
-# disagree on boundaries next to letters with accents.
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# disagree on boundaries next to letters with accents. The parts of an address have the
+# length limits of the mail standard, which also keeps long runs of letters cheap.
+EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,190}\.[A-Za-z]{2,63}"
 IPV4 = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
 PHONE = r"(\+[0-9]{1,3}[ .-]?)?(\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
 
@@ -21,13 +22,16 @@ def tokens(text):
 
 
 def strip_space(text):
-    """Drop white space of every kind at both ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Drop white space of every kind at both ends.
+
+    The look-behind lets only the start of a run try to reach the end of the text.
+    """
+    return F.regexp_replace(text, r"^\s+|(?<!\s)\s+$", "")
 
 
 def normal_question(text):
     """Questions that differ in case, spacing or closing marks are the same question."""
-    return F.regexp_replace(strip_space(F.lower(F.regexp_replace(text, r"\s+", " "))), r"[?!. ]+$", "")
+    return F.regexp_replace(strip_space(F.lower(F.regexp_replace(text, r"\s+", " "))), r"(?<![?!. ])[?!. ]+$", "")
 
 
 def is_blank(text):
@@ -85,7 +89,7 @@ def extract_sql(answer):
 
 
 def strip_semicolon(sql):
-    return F.regexp_replace(sql, r"[;\s]+$", "")
+    return F.regexp_replace(sql, r"(?<![;\s])[;\s]+$", "")
 
 
 def has_row_limit(sql):

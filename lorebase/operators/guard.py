@@ -6,6 +6,7 @@ statement to Spark's own analyzer as a subquery, which only a query can be.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,17 +18,29 @@ from lorebase.functions.text import has_row_limit, strip_semicolon, strip_space
 # Functions that call arbitrary Java methods.
 DENIED_FUNCTIONS = ["reflect", "try_reflect", "java_method"]
 
-_DENIED = r"(?i)(^|[^\w`])`?(" + "|".join(DENIED_FUNCTIONS) + r")`?\s*\("
+# `identifier('...')` would let a statement spell a function's name as a text.
+_DENIED = r"(?i)(^|[^\w`])`?(" + "|".join([*DENIED_FUNCTIONS, "identifier"]) + r")`?\s*\("
+_DENIED_IN_PLAN = re.compile(r"\b(" + "|".join(DENIED_FUNCTIONS) + r")\(", re.IGNORECASE)
 _PATH_TABLE = r"(?i)(from|join|,)\s*(parquet|orc|csv|json|text|avro|binaryfile|delta)\s*\.\s*`"
 _QUERY_START = r"(?i)^[\s(]*(select|with|table|values)\b"
 _WRITE_WORD = r"(?i)(^|[^\w.`])(insert\s+(into|overwrite)|drop\s+\w+|create\s+\w+|alter\s+\w+|delete\s+from|truncate\s+\w+|merge\s+into)\b"
 
+# Quoted names, then texts and comments, in one pattern: whichever begins first wins, so a
+# quote inside a comment opens no text and a comment mark inside a text opens no comment.
+# The possessive repeats keep long texts from exhausting the stack.
+_QUOTED = (
+    r"(`[^`]*+`)"
+    r"|(?<!\w)[rR](?:'[^']*+'|\"[^\"]*+\")"
+    r"|'(?:[^'\\]++|\\[\s\S])*+'"
+    r"|\"(?:[^\"\\]++|\\[\s\S])*+\""
+    r"|--[^\n]*+"
+    r"|/\*[\s\S]*?\*/"
+)
+
 
 def _without_text(sql):
-    """The statement with literals and comments blanked, so that their words are not taken for SQL."""
-    literals = r"'(?:[^'\\]|\\.|'')*'"
-    comments = r"--[^\n]*|/\*[\s\S]*?\*/"
-    return F.regexp_replace(F.regexp_replace(sql, literals, "''"), comments, " ")
+    """The statement without texts and comments, so that their words are not taken for SQL."""
+    return F.regexp_replace(sql, _QUOTED, "$1 ")
 
 
 def screen(sql):
@@ -80,14 +93,20 @@ def execute_query(spark: SparkSession, sql: str | None, limit: int | None = 100)
         return Run(text, "no_sql")
     if row["verdict"] != "ok":
         return Run(text, "rejected", row["verdict"])
-    on_files = spark.conf.get("spark.sql.runSQLOnFiles", "true")
-    spark.conf.set("spark.sql.runSQLOnFiles", "false")
+    settings = {"spark.sql.runSQLOnFiles": "false", "spark.sql.debug.maxToStringFields": "100000"}
+    before = {name: spark.conf.get(name) for name in settings}
     try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         result = spark.sql(f"SELECT * FROM (\n{row['bare']}\n)")
+        # Nothing has run yet. The analysed plan shows functions by their true names.
+        if _DENIED_IN_PLAN.search(result._jdf.queryExecution().analyzed().toString()):
+            return Run(text, "rejected", "denied_function")
     except PySparkException as e:
         return Run(text, "failed", e.getCondition() or type(e).__name__)
     finally:
-        spark.conf.set("spark.sql.runSQLOnFiles", on_files)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     if limit is not None and not row["limited"]:
         result = result.limit(limit)
     return Run(text, "ok", None, result)

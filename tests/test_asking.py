@@ -69,6 +69,15 @@ def test_masking(spark):
     assert value(spark, t.mask_pii, text) == "Write to [EMAIL] or [IP], call [PHONE] or [PHONE]."
 
 
+def test_odd_texts_stay_cheap(spark):
+    gap = " " * 300000
+    assert value(spark, t.strip_space, f" a{gap}b \n") == f"a{gap}b"
+    assert value(spark, t.strip_semicolon, f"a{gap};b ;; ") == f"a{gap};b"
+    assert value(spark, t.normal_question, "So?" + "?" * 100000 + " x ?!") == "so?" + "?" * 100000 + " x"
+    assert value(spark, t.mask_pii, "a@" + "b." * 20000) is not None
+    assert value(spark, t.mask_pii, "a" * 300000) == "a" * 300000
+
+
 # --- guard ------------------------------------------------------------------------------
 
 
@@ -98,6 +107,11 @@ REFUSED = [
     "SELECT reflect('java.lang.System', 'getProperty', 'user.home')",
     "SELECT `reflect`('java.lang.System', 'getProperty', 'user.home')",
     "SELECT java_method('java.lang.System', 'nanoTime')",
+    "SELECT 1 -- '\n, reflect('java.lang.System', 'getProperty', 'user.home')",
+    "SELECT 1 /* ' */, reflect('java.lang.System', 'getProperty', 'user.home')",
+    "SELECT r'\\', reflect('java.lang.System', 'getProperty', 'user.home')",
+    "SELECT IDENTIFIER('ref' || 'lect')('java.lang.System', 'getProperty', 'user.home')",
+    "SELECT `a` AS `it's`, reflect('java.lang.System', 'nanoTime') FROM (SELECT 1 AS a)",
     "SELECT * FROM no_such_table",
     "SELECT nothing FROM guarded_stock",
 ]
@@ -136,6 +150,13 @@ def test_accepted(spark, stock, sql, rows):
     assert run.result.count() == rows
 
 
+def test_long_texts_are_screened(spark):
+    for body in ("x" * 200000, "\\'" * 50000, "''" * 50000, "; -- " * 30000):
+        assert value(spark, guard.screen, f"SELECT '{body}' AS a") == "ok"
+    assert value(spark, guard.screen, "SELECT \"it's; fine\" AS a") == "ok"
+    assert value(spark, guard.screen, "SELECT 1 -- it's\n; DROP TABLE t") == "several_statements"
+
+
 def test_order_survives(spark, stock):
     run = guard.execute_query(spark, "SELECT id FROM guarded_stock ORDER BY id DESC", limit=5)
     assert [r["id"] for r in run.result.collect()] == [249, 248, 247, 246, 245]
