@@ -4,13 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.llm import lines
+from lorebase.llm import lines, url_rules
 from lorebase.llm.registry import query, table
 
 BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+URL_RULES = [
+    url_rules.Rule("block", "net", "/"),
+    url_rules.Rule("allow", "example.net", "/en/"),
+    url_rules.Rule("block", "example.com", "/de/"),
+    url_rules.Rule("allow", "org", "/fr/"),
+]
+
+
+@query(
+    "op1_url_filter",
+    f"""WITH rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    parts AS (SELECT page_id, {LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+      regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+    judged AS (SELECT *, CASE
+      WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+      WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+      WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM parts)
+    SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+    FROM judged""",
+)
+def url_filter(spark, folder):
+    return url_rules.judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
 @query(
     "op10_line_dedup",
     f"""WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
