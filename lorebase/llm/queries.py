@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.llm import lines, url_rules
+from lorebase.llm import lines, simhash, url_rules
 from lorebase.llm.registry import query, table
 
 BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -36,6 +36,11 @@ def url_filter(spark, folder):
     return url_rules.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+@query("op7_simhash")
+def near_duplicates(spark, folder):
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query(
     "op10_line_dedup",
     f"""WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
