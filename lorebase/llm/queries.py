@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.llm import lines, simhash, url_rules
+from lorebase.llm import lines, packing, simhash, url_rules
 from lorebase.llm.registry import query, table
 
 BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -36,6 +36,18 @@ def url_filter(spark, folder):
     return url_rules.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """Where a public tokenizer lies on this machine; the same on all machines of a cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_best_fit_packing")
+def best_fit_packing(spark, folder):
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer())
+
+
 @query("op7_simhash")
 def near_duplicates(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
