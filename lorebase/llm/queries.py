@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.llm import lines, packing, simhash, url_rules
+from lorebase.llm import langid, lines, packing, simhash, url_rules
 from lorebase.llm.registry import query, table
 
 BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -48,6 +48,14 @@ def best_fit_packing(spark, folder):
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer())
 
 
+@query("op6_language_id")
+def language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = langid.train(docs.filter(~langid.held_out(docs["doc_id"])))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query("op7_simhash")
 def near_duplicates(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
