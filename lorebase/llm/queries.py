@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.llm import langid, lines, packing, simhash, url_rules
+from lorebase.llm import langid, lines, nearest, packing, simhash, url_rules
 from lorebase.llm.registry import query, table
 
 BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -48,6 +48,21 @@ def best_fit_packing(spark, folder):
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer())
 
 
+@query(
+    "op3_nearest_vectors",
+    """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+    FROM pairs QUALIFY rank <= 20""",
+)
+def nearest_vectors(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return nearest.nearest(vectors, vectors["vec_id"] % 20 == 0, k=20)
+
+
 @query("op6_language_id")
 def language_id(spark, folder):
     docs = table(spark, folder, "documents")
