@@ -44,3 +44,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def tasks_for(spark: SparkSession) -> int:
     """How many parts a shuffle of this session has."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+# Most bytes of rows that may be copied to every task.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(rows: DataFrame, row_bytes: int) -> DataFrame:
+    """Mark stored rows of at most `row_bytes` each for broadcast if all together are small; else a plain join follows."""
+    return F.broadcast(rows) if rows.count() * row_bytes <= BROADCAST_BYTES else rows

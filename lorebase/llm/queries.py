@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.llm import langid, lines, nearest, packing, simhash, url_rules
+from lorebase.llm import decontam, langid, lines, nearest, packing, simhash, url_rules
 from lorebase.llm.registry import query, table
 
 BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -63,6 +63,11 @@ def nearest_vectors(spark, folder):
     return nearest.nearest(vectors, vectors["vec_id"] % 20 == 0, k=20)
 
 
+@query("op4_decontamination")
+def decontamination(spark, folder):
+    return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op6_language_id")
 def language_id(spark, folder):
     docs = table(spark, folder, "documents")
