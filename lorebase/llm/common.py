@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lorebase.session import prepare, scratch_path
+from lorebase.session import drop_scratch, prepare, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,7 +38,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = prepare(df.sparkSession)
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path)
+    rows.stored_at = path
+    return rows
+
+
+def drop_stored(rows: DataFrame) -> None:
+    """Delete what `stored` wrote; for rows that nothing reads any more."""
+    drop_scratch(rows.sparkSession, rows.stored_at)
 
 
 def tasks_for(spark: SparkSession) -> int:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.llm import decontam, langid, lines, nearest, packing, simhash, url_rules
+from lorebase.llm import decontam, langid, lines, lm, nearest, packing, simhash, url_rules
 from lorebase.llm.registry import query, table
 
 BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -81,6 +81,13 @@ def near_duplicates(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query("op8_lm_score")
+def lm_score(spark, folder):
+    docs = table(spark, folder, "documents")
+    scored = lm.score_documents(docs, ~lm.held_out(docs["doc_id"]))
+    return scored.select("doc_id", lm.held_out(F.col("doc_id")).alias("held_out"), *scored.columns[1:])
+
+
 @query(
     "op10_line_dedup",
     f"""WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
