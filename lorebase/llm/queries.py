@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.llm import decontam, langid, lines, lm, nearest, packing, simhash, url_rules
+from lorebase.llm import decontam, langid, lines, lm, nearest, packing, pii, simhash, url_rules
 from lorebase.llm.registry import query, table
 
 BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -68,6 +68,22 @@ def decontamination(spark, folder):
     return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def span_text(spans):
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query("op5_personal_data")
+def personal_data(spark, folder):
+    found = pii.find_personal_data(table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(kind) for kind in pii.PATTERNS],
+        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+        span_text(F.concat("base", "added")).alias("spans"),
+    )
+
+
 @query("op6_language_id")
 def language_id(spark, folder):
     docs = table(spark, folder, "documents")
