@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.llm import decontam, langid, lines, lm, nearest, packing, pii, simhash, url_rules
+from lorebase.llm import decontam, langid, lines, lm, nearest, packing, pii, quality, simhash, url_rules
 from lorebase.llm.registry import query, table
 
 BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -104,6 +104,11 @@ def lm_score(spark, folder):
     return scored.select("doc_id", lm.held_out(F.col("doc_id")).alias("held_out"), *scored.columns[1:])
 
 
+@query("op9_quality")
+def document_quality(spark, folder):
+    return quality.classify(table(spark, folder, "documents"))
+
+
 @query(
     "op10_line_dedup",
     f"""WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
