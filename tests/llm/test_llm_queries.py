@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from lorebase.llm.registry import ORACLES, QUERIES
+from lorebase.llm.queries import ORACLES, QUERIES
 from tests.compare_sql import difference, duck
 
 BY_BRUTE_FORCE = {

@@ -7,7 +7,7 @@ import pytest
 
 from lorebase.llm import packing
 from lorebase.llm.queries import tokenizer
-from lorebase.llm.registry import QUERIES
+from lorebase.llm.queries import QUERIES
 from tests.llm.data import docs, no_docs, odd_docs, tables
 
 CAPACITY = 2048
