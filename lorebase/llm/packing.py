@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -16,24 +18,26 @@ from lorebase.llm.common import stored
 BLOCK_ITEMS = 1 << 16
 BLOCK_BYTES = 1 << 26
 # Words whose ids a worker keeps.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_200_000
 # A sequence with no more than this share of its room left is done.
 SLACK = 0.005
 
-PIECE = 1 << 22
+GROUP = 1 << 21
 BLANK = re.compile(rb"[\x20\x09-\x0d]")
 STOPS = (b".", b",")
+SIMPLE = "\u0130"
 
 
 class WordIds:
     """Ids of texts under a tokenizer that never joins what white space separates; remembers words.
 
     Texts are cut at blanks and code points 9 to 13, so this holds for tokenizers that drop white space, such
-    as word_bpe_49k. A-Z may be lower-cased first only where a tokenizer lower-cases anyway, and only
-    pure ASCII texts are, because letters with separate accents may compose differently in either case.
+    as word_bpe_49k. Where the tokenizer lower-cases anyway, words are lower-cased first to be found again, but only
+    those of characters below U+0130: they have no separate accents, which may compose differently in either case.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -41,36 +45,56 @@ class WordIds:
         same = self.tokenizer.encode("A", add_special_tokens=False).ids
         self.lowers = same == self.tokenizer.encode("a", add_special_tokens=False).ids
 
-    def learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: set[bytes]) -> None:
+        """Find the ids of new words; those that differ by case or a last stop only are found once."""
         known = self.known
-        if len(known) + len(words) > CACHE_WORDS:
+        plain: dict[bytes, tuple[bytes, bytes]] = {}
+        for word in words:
+            stem, stop = (word[:-1], word[-1:]) if word.endswith(STOPS) else (word, b"")
+            text = stem.decode()
+            if stop and not text.lower().isalpha():
+                text, stop = word.decode(), b""
+            if self.lowers and max(text, default="") < SIMPLE:
+                text = text.lower()
+            plain[word] = (text.encode(), stop)
+        new = list({stem for stem, _ in plain.values() if stem not in known}.union(STOPS))
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        for word, ids in zip(new, found):
+            known[word] = array("I", ids.ids).tobytes()
+        for word, (stem, stop) in plain.items():
+            known[word] = known[stem] + known[stop] if stop else known[stem]
+
+    def _of_group(self, texts: list[bytes]) -> Iterator[bytes]:
+        known = self.known
+        lists = [(t.lower() if self.lowers and t.isascii() else t).split() for t in texts]
+        new = set().union(*[set(words).difference(known) for words in lists])
+        if len(known) + len(new) > CACHE_WORDS:
             known.clear()
-        new = [w for w in words if w not in known]
-        stems = [w[:-1] if w.endswith(STOPS) and w[:-1].decode().isalpha() else w for w in new]
-        plain = list({s for s in stems if s not in known}.union(STOPS))
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in plain], add_special_tokens=False)
-        for word, ids in zip(plain, found):
-            known[word] = b"".join(i.to_bytes(4, "little") for i in ids.ids)
-        for word, stem in zip(new, stems):
-            if stem is not word:
-                known[word] = known[stem] + known[word[-1:]]
-
-    def ids(self, data: bytes) -> bytes:
-        """Ids of one text as little-endian 32-bit numbers."""
-        if self.lowers and data.isascii():
-            data = data.lower()
-        out, at = [], 0
-        while at < len(data):
-            cut = BLANK.search(data, at + PIECE)
-            end = cut.start() if cut else len(data)
-            words = data[at:end].split()
-            try:
-                out.append(b"".join(map(self.known.__getitem__, words)))
-            except KeyError:
-                self.learn(set(words))
-                out.append(b"".join(map(self.known.__getitem__, words)))
-            at = end
-        return b"".join(out)
+            new = set().union(*lists)
+        self._learn(new)
+        for words in lists:
+            yield b"".join(map(known.__getitem__, words))
+
+    def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
+        """Ids of each text as little-endian 32-bit numbers; texts go in groups of about 2 MB, longer ones in pieces."""
+        group: list[bytes] = []
+        size = 0
+        for text in texts:
+            if size and size + len(text) > GROUP:
+                yield from self._of_group(group)
+                group, size = [], 0
+            if len(text) <= GROUP:
+                group.append(text)
+                size += len(text)
+                continue
+            at, parts = 0, []
+            while at < len(text):
+                cut = BLANK.search(text, at + GROUP)
+                end = cut.start() if cut else len(text)
+                parts += self._of_group([text[at:end]])
+                at = end
+            yield b"".join(parts)
+        yield from self._of_group(group)
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -127,7 +151,7 @@ def pack_documents(
     round holds one row per sequence that is not yet full, and no task takes more than a block at a time.
 
     Null and empty texts give one piece, the end id. Null doc_id stays null. Repeated rows are packed each. No rows:
-    no rows. Long texts are read in pieces of 4 MB. Other columns are ignored.
+    no rows. Long texts are read in pieces of 2 MB. Other columns are ignored.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     end = end_id.to_bytes(4, "little")
@@ -158,9 +182,9 @@ def pack_documents(
         types: list[pa.DataType] = []
         for batch in batches:
             types = [batch.column("doc_id").type, pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                text = text.as_py()
-                ids = encoder.ids(text.encode() if text else b"") + end
+            texts = (text.as_py().encode() if text.is_valid else b"" for text in batch.column("text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts)):
+                ids += end
                 for number, start in enumerate(range(0, len(ids) // 4, capacity)):
                     part = ids[4 * start : 4 * (start + capacity)]
                     kept = part if with_ids else None
