@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lorebase.llm import decontam, langid, lines, lm, nearest, packing, pii, quality, simhash, url_rules
-from lorebase.llm.registry import query, table
+from lorebase.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
