@@ -10,11 +10,15 @@ CHUNK_SIZE = 500
 CHUNK_OVERLAP = 50
 
 # Personal data patterns. They use no word boundaries, since engines
-# disagree on boundaries next to letters with accents. The parts of an address have the
-# length limits of the mail standard, which also keeps long runs of letters cheap.
-EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,190}\.[A-Za-z]{2,63}"
+# disagree on boundaries next to letters with accents.
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 IPV4 = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
-PHONE = r"(\+[0-9]{1,3}[ .-]?)?(\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+IPV6 = r"([0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|([0-9A-Fa-f]{1,4}:){1,6}(:[0-9A-Fa-f]{1,4}){1,6}"
+PHONE = r"\+[0-9][0-9 ().-]{6,18}[0-9]|(\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+NUMBER = r"[0-9]{10,}"
+
+# The same addresses as EMAIL, found without going back into a run of letters that was read before.
+EMAIL_AT_START = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}+"
 
 
 def tokens(text):
@@ -88,24 +92,59 @@ def extract_sql(answer):
     )
 
 
+# Quoted names, then texts and comments, in one pattern: whichever begins first wins, so a
+# quote inside a comment opens no text and a comment mark inside a text opens no comment.
+# The possessive repeats keep long texts from exhausting the stack.
+_QUOTED = (
+    r"(`[^`]*+`)"
+    r"|(?<!\w)[rR](?:'[^']*+'|\"[^\"]*+\")"
+    r"|'(?:[^'\\]++|\\[\s\S])*+'"
+    r"|\"(?:[^\"\\]++|\\[\s\S])*+\""
+    r"|--[^\n]*+"
+    r"|/\*[\s\S]*?\*/"
+)
+
+
+def without_text(sql):
+    """The statement without texts and comments, so that their words are not taken for SQL."""
+    return F.regexp_replace(sql, _QUOTED, "$1 ")
+
+
+def without_comments(sql):
+    """The statement without comments; texts and quoted names stay."""
+    kept = r"(`[^`]*+`|(?<!\w)[rR](?:'[^']*+'|\"[^\"]*+\")|'(?:[^'\\]++|\\[\s\S])*+'|\"(?:[^\"\\]++|\\[\s\S])*+\")"
+    return F.regexp_replace(sql, kept + r"|--[^\n]*+|/\*[\s\S]*?\*/", "$1")
+
+
 def strip_semicolon(sql):
     return F.regexp_replace(sql, r"(?<![;\s])[;\s]+$", "")
 
 
 def has_row_limit(sql):
-    return F.regexp_like(sql, F.lit(r"(?i)\blimit\s+[0-9]+[\s;]*$"))
+    """Whether the statement ends in LIMIT n, perhaps with an OFFSET; comments do not count."""
+    return F.regexp_like(without_text(sql), F.lit(r"(?i)\blimit\s+[0-9]+(\s+offset\s+[0-9]+)?[\s;]*$"))
 
 
 def cap_rows(sql, limit: int = 100):
-    """Append a LIMIT unless the statement ends in one."""
-    capped = F.concat(strip_semicolon(sql), F.lit(f" LIMIT {limit}"))
-    return F.when(has_row_limit(sql), sql).otherwise(capped)
+    """Append a LIMIT unless the statement ends in one. Comments go, lest they hide it; it stands before an OFFSET."""
+    bare = strip_semicolon(without_comments(sql))
+    offset = r"(?i)\boffset\s+[0-9]+$"
+    capped = F.concat(bare, F.lit(f" LIMIT {limit}"))
+    before_offset = F.regexp_replace(bare, offset, f"LIMIT {limit} $0")
+    return F.when(has_row_limit(sql), sql).when(bare.rlike(offset), before_offset).otherwise(capped)
 
 
 def named_tables(sql):
-    """Names after FROM and JOIN, without names the statement defines by WITH."""
-    bare = F.regexp_replace(F.lower(sql), r"extract\s*\(\s*\w+\s+from\s", "extract(")
-    used = F.regexp_extract_all(bare, F.lit(r"\b(?:from|join)\s+([\w.]+)"), F.lit(1))
+    """Names after FROM and JOIN, in lists too and quoted or not, without names the statement defines by WITH.
+
+    Texts and comments are taken out first.
+    """
+    bare = F.regexp_replace(F.lower(without_text(sql)), "`([^`]*)`", "$1")
+    bare = F.regexp_replace(bare, r"(?<!\s)\s*\.\s*", ".")
+    bare = F.regexp_replace(bare, r"extract\s*\(\s*\w+\s+from\s", "extract(")
+    bare = F.regexp_replace(bare, r"\bdistinct\s+from\s", "distinct ")
+    lists = F.regexp_extract_all(bare, F.lit(r"\b(?:from|join)\s+([\w.]+(?:(?:\s+as)?(?:\s+\w+)?\s*,\s*[\w.]+)*)"), F.lit(1))
+    used = F.flatten(F.transform(lists, lambda names: F.transform(F.split(names, r"\s*,\s*"), lambda n: F.split(n, r"\s")[0])))
     defined = F.regexp_extract_all(bare, F.lit(r"(\w+)\s+as\s*\("), F.lit(1))
     return F.array_sort(F.array_except(used, defined))
 
@@ -114,7 +153,7 @@ def named_tables(sql):
 
 
 def mask_pii(text):
-    """Replace mail addresses, IPv4 addresses and phone numbers by their kind."""
-    masked = F.regexp_replace(text, EMAIL, "[EMAIL]")
-    masked = F.regexp_replace(masked, IPV4, "[IP]")
-    return F.regexp_replace(masked, PHONE, "[PHONE]")
+    """Replace mail addresses, IP addresses, phone numbers and other numbers of ten digits or more by their kind."""
+    for pattern, kind in ((EMAIL_AT_START, "EMAIL"), (IPV6, "IP"), (IPV4, "IP"), (PHONE, "PHONE"), (NUMBER, "NUMBER")):
+        text = F.regexp_replace(text, pattern, f"[{kind}]")
+    return text

@@ -17,15 +17,14 @@ from lorebase.operators.skew import running_number
 
 DEFAULT_K = 5
 
-# The prompt's wording is ours; its parts are a role, the documents, the question and six rules.
-PROMPT_HEAD = "You help people get figures out of their company's tables. Answer from the notes below and nothing else."
+# What the later steps need from a reply: extraction reads the first fenced block, the guard takes single
+# queries only, the row cap is added when there is none, and a reply without SQL is shown as it is.
+PROMPT_HEAD = "The notes come from the documentation of the tables that the question is about."
 PROMPT_RULES = [
-    "When a figure is wanted, give one Spark SQL query that yields it.",
-    "Name no table or column that the notes do not mention.",
-    "Apply the definitions and rules in the notes as they stand.",
-    "Ask back when the question leaves something open.",
-    "Keep it short, but leave nothing needed out.",
-    "Say in a sentence or two what the query does.",
+    "Put SQL into one fenced block marked sql. Only the first block is read.",
+    "Write a single statement that starts with SELECT or WITH. Statements that change anything are refused.",
+    "Results are cut off after 100 rows; aggregate or order so that these are the ones that matter.",
+    "Where the notes do not hold the answer, write NOT KNOWN and name the note that is missing.",
 ]
 PROMPT_TAIL = "REPLY:"
 
@@ -49,6 +48,7 @@ def assemble_context(questions: DataFrame, retrieved: DataFrame) -> DataFrame:
 
     At most k documents come together per question.
     """
+    # How a document is laid out in the context.
     block = F.concat(
         F.lit("Document: "), F.col("title"), F.lit("\nType: "), F.col("doc_type"), F.lit("\n"), F.col("content")
     )

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lorebase.functions.text import has_row_limit, strip_semicolon, strip_space
+from lorebase.functions.text import has_row_limit, strip_semicolon, strip_space, without_text
 
 # Functions that call arbitrary Java methods.
 DENIED_FUNCTIONS = ["reflect", "try_reflect", "java_method"]
@@ -25,27 +25,9 @@ _PATH_TABLE = r"(?i)(from|join|,)\s*(parquet|orc|csv|json|text|avro|binaryfile|d
 _QUERY_START = r"(?i)^[\s(]*(select|with|table|values)\b"
 _WRITE_WORD = r"(?i)(^|[^\w.`])(insert\s+(into|overwrite)|drop\s+\w+|create\s+\w+|alter\s+\w+|delete\s+from|truncate\s+\w+|merge\s+into)\b"
 
-# Quoted names, then texts and comments, in one pattern: whichever begins first wins, so a
-# quote inside a comment opens no text and a comment mark inside a text opens no comment.
-# The possessive repeats keep long texts from exhausting the stack.
-_QUOTED = (
-    r"(`[^`]*+`)"
-    r"|(?<!\w)[rR](?:'[^']*+'|\"[^\"]*+\")"
-    r"|'(?:[^'\\]++|\\[\s\S])*+'"
-    r"|\"(?:[^\"\\]++|\\[\s\S])*+\""
-    r"|--[^\n]*+"
-    r"|/\*[\s\S]*?\*/"
-)
-
-
-def _without_text(sql):
-    """The statement without texts and comments, so that their words are not taken for SQL."""
-    return F.regexp_replace(sql, _QUOTED, "$1 ")
-
-
 def screen(sql):
     """'ok', or why a statement is turned away before Spark sees it."""
-    bare = strip_semicolon(_without_text(sql))
+    bare = strip_semicolon(without_text(sql))
     return (
         F.when(F.coalesce(strip_space(bare) == "", F.lit(True)), "no_sql")
         .when(~F.regexp_like(bare, F.lit(_QUERY_START)), "not_a_query")

@@ -496,37 +496,26 @@ def duplicate_rows(table: DataFrame, key, id_column: str) -> DataFrame:
 def table_profile(table: DataFrame) -> DataFrame:
     """(column_name, rows, nulls, distinct_values, min_value, max_value), one row per column.
 
-    Counts, extremes and distinct values all come from one table of value counts, so a
-    frequent value is added up before the shuffle.
+    Rows, nulls and extremes come from one aggregate without a shuffle of values; extremes are taken in the
+    column's own type and then written as text. Distinct values are counted from hashes of the values, once
+    per column and task before the shuffle.
     """
-    typed = {"number": [], "text": []}
-    for f in table.schema:
-        kind = "number" if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double") else "text"
-        typed[kind].append(f.name)
-    cells = table.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("column_name"),
-                        F.col(name).cast("string").alias("text"),
-                        (F.col(name).cast("double") if kind == "number" else F.lit(None).cast("double")).alias("number"),
-                    )
-                    for kind, names in typed.items()
-                    for name in names
-                ]
-            )
-        ).alias("c")
-    ).select("c.*")
-    counted = cells.groupBy("column_name", "text", "number").agg(F.count(F.lit(1)).alias("n"))
-    is_number = F.col("column_name").isin(typed["number"])
-    edge = lambda f: F.when(F.first(is_number), f("number").cast("string")).otherwise(f("text"))
-    return counted.groupBy("column_name").agg(
-        F.sum("n").alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("text").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-        F.count("text").alias("distinct_values"),
-        edge(F.min).alias("min_value"),
-        edge(F.max).alias("max_value"),
+    whole = table.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("rows"), (F.count(F.lit(1)) - F.count(c)).alias("nulls"),
+                    F.min(c).cast("string").alias("min_value"), F.max(c).cast("string").alias("max_value"),
+                )
+                for c in table.columns
+            ]
+        ).alias("columns")
+    ).select(F.explode("columns").alias("c")).select("c.*")
+    hashed = [F.struct(F.lit(c).alias("column_name"), F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias("h1"), F.xxhash64(F.lit(1), c).alias("h2")) for c in table.columns]
+    values = table.select(F.explode(F.array(*hashed)).alias("v")).select("v.*").filter("h1 is not null").distinct()
+    distinct = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"))
+    return whole.join(distinct, "column_name", "left").select(
+        "column_name", "rows", "nulls", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"), "min_value", "max_value"
     )
 
 

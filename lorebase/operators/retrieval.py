@@ -586,7 +586,7 @@ def retrieval_quality(hits: DataFrame, truth: DataFrame, k: int = 5) -> DataFram
 # --- schema documents -------------------------------------------------------------------
 
 # Fixed value: how a schema document lists a column.
-COLUMN_LINE = r"- (\w+) \((\w+)\): ([^\n]*)"
+COLUMN_LINE = r"- (\w+) \(([^\n]+?)\): ([^\n]*)"
 
 
 def schema_columns(docs: DataFrame) -> DataFrame:

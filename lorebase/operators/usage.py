@@ -192,26 +192,45 @@ def doc_usage_top(history: DataFrame, k: int = 5) -> DataFrame:
 
 
 def cached_answers(history: DataFrame) -> DataFrame:
-    """The latest good answer per question: (cache_key, answer, answered_at)."""
-    return (
-        history.filter("status = 'ok'")
-        .groupBy(normal_question(F.col("question")).alias("cache_key"))
-        .agg(F.max(F.struct("timestamp", "id", "answer")).alias("last"))
-        .select("cache_key", F.col("last.answer").alias("answer"), F.col("last.timestamp").alias("answered_at"))
+    """The good answers with the key of their question: (cache_key, answered_at, id, answer)."""
+    return history.filter("status = 'ok'").select(
+        normal_question(F.col("question")).alias("cache_key"), F.col("timestamp").alias("answered_at"), "id", "answer"
     )
 
 
+# Slices of time that the time to live is cut into.
+SLICES = 3600
+
+
 def answer_from_cache(requests: DataFrame, cache: DataFrame, ttl_seconds: int = 3600) -> DataFrame:
-    """Each request with its cached answer if that is younger than the time to live, else without.
+    """Each request with the latest answer given to its question before it, if that is within the time to live.
 
-    `requests` needs (id, question, timestamp).
+    `requests` needs (id, question, timestamp), `cache` the columns of `cached_answers`. An answer of the same time counts.
+    Time is cut into spans as long as the time to live, and these into slices. Of each slice only the last answer is
+    kept for later ones, so what a question has in a span is a row per slice however often it was asked; within a slice
+    answers and requests are gone through in order.
     """
-    keyed = requests.select("id", "question", "timestamp", normal_question(F.col("question")).alias("cache_key"))
-    keys = keyed.select("cache_key").distinct().join(cache, "cache_key", "left")
-    joined = lookup_join(keyed, keys, "cache_key", spread_by="id")
-    age = F.unix_micros("timestamp") - F.unix_micros("answered_at")
-    fresh = F.coalesce((age >= 0) & (age < ttl_seconds * 1_000_000), F.lit(False))
-    return joined.select("id", "question", fresh.alias("hit"), F.when(fresh, F.col("answer")).alias("answer"))
+    slice_of = lambda at: F.floor(F.unix_micros(at) / F.lit(ttl_seconds * 1_000_000 / SLICES)).cast("bigint")
+    answer = F.struct(F.col("answered_at").alias("at"), F.col("id").alias("answer_id"), "answer")
+    given = cache.select("cache_key", slice_of("answered_at").alias("slice"), F.col("answered_at").alias("time"), answer.alias("given"))
+    asked = requests.select(
+        normal_question(F.col("question")).alias("cache_key"), slice_of("timestamp").alias("slice"), F.col("timestamp").alias("time"),
+        F.col("id").alias("asked_id"), "question",
+    )
+    per_slice = given.groupBy("cache_key", "slice").agg(F.max("given").alias("last"))
+    span = F.floor(F.col("slice") / SLICES).cast("bigint")
+    known = per_slice.join(asked.select("cache_key", "slice").distinct(), ["cache_key", "slice"], "full").withColumn("span", span)
+    before = W.partitionBy("cache_key", "span").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    known = known.withColumn("before", F.max("last").over(before))
+    per_span = known.groupBy("cache_key", (F.col("span") + 1).alias("span")).agg(F.max("last").alias("earlier"))
+    known = known.join(per_span, ["cache_key", "span"], "left").select("cache_key", "slice", F.coalesce("before", "earlier").alias("before"))
+    both = given.unionByName(asked, allowMissingColumns=True)
+    order = W.partitionBy("cache_key", "slice").orderBy("time", F.col("asked_id").isNotNull()).rowsBetween(W.unboundedPreceding, 0)
+    within = both.withColumn("within", F.max("given").over(order)).filter(F.col("asked_id").isNotNull())
+    best = within.join(known, ["cache_key", "slice"]).withColumn("best", F.coalesce("within", "before"))
+    age = F.unix_micros("time") - F.unix_micros("best.at")
+    fresh = F.coalesce(age < ttl_seconds * 1_000_000, F.lit(False))
+    return best.select(F.col("asked_id").alias("id"), "question", fresh.alias("hit"), F.when(fresh, F.col("best.answer")).alias("answer"))
 
 
 def cache_misses(requests: DataFrame, answered: DataFrame) -> DataFrame:
@@ -242,7 +261,7 @@ def promote_queries(history: DataFrame, kb: DataFrame, stamp: str | None = None)
     good = history.filter("status = 'ok' and sql <> ''").withColumn("key", content_hash(F.col("sql")))
     once = good.groupBy("key").agg(F.min(F.struct("id", "question", "sql")).alias("first"))
     docs = once.select(
-        F.concat(F.lit("query_"), F.substring("key", 1, 16)).alias("doc_id"),
+        F.concat(F.lit("query_"), F.col("key")).alias("doc_id"),
         F.lit("query_example").alias("doc_type"),
         F.col("first.question").alias("title"),
         F.col("first.sql").alias("content"),

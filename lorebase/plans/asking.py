@@ -64,13 +64,13 @@ def _(spark, folder):
 
 
 _RULES = "\n".join(f"{n}. {rule}" for n, rule in enumerate(ask.PROMPT_RULES, 1))
+PROMPT = f"""{text(ask.PROMPT_HEAD + chr(10) * 2 + 'NOTES:' + chr(10))} || context || {text(chr(10) * 2 + 'QUESTION:' + chr(10))} || question ||
+  {text(chr(10) * 2 + 'RULES:' + chr(10) + _RULES + chr(10) * 2 + ask.PROMPT_TAIL)}"""
 
 
 @query(
     "build_prompt",
-    f"""WITH {CONTEXT} SELECT question_id, {text(ask.PROMPT_HEAD + chr(10) * 2 + 'NOTES:' + chr(10))} || context ||
-      {text(chr(10) * 2 + 'QUESTION:' + chr(10))} || question || {text(chr(10) * 2 + 'RULES:' + chr(10) + _RULES + chr(10) * 2 + ask.PROMPT_TAIL)} AS prompt
-    FROM ctx""",
+    f"WITH {CONTEXT} SELECT question_id, {PROMPT} AS prompt FROM ctx",
 )
 def _(spark, folder):
     questions, _, found = _asked(spark, folder)
@@ -94,7 +94,10 @@ def _(spark, folder):
     return answers.withColumn("context_docs", F.array_join("context_docs", ","))
 
 
-@query("answer_with")
+@query(
+    "answer_with",
+    f"""WITH {CONTEXT} SELECT question_id, question, 'prompt of ' || length({PROMPT}) || ' characters' AS answer, 'ok' AS status FROM ctx""",
+)
 def _(spark, folder):
     questions, _, found = _asked(spark, folder)
     prompts = ask.build_prompt(ask.assemble_context(questions, found))
@@ -135,7 +138,7 @@ def _(spark, folder):
 # --- SQL in answers ---------------------------------------------------------------------
 
 ANSWERS = """answers AS (
-  SELECT c_custkey AS answer_id, c_mktsegment, CASE c_custkey % 7
+  SELECT c_custkey AS answer_id, c_mktsegment, CASE c_custkey % 10
     WHEN 0 THEN 'Here it is.' || chr(10) || chr(10) || '```sql' || chr(10) || 'SELECT order_id, order_amount' || chr(10) || 'FROM orders' || chr(10)
       || 'WHERE customer_id = ' || c_custkey || chr(10) || '```' || chr(10) || 'One row per order.'
     WHEN 1 THEN 'SELECT count(*) AS n FROM orders WHERE customer_id = ' || c_custkey || ';' || chr(10) || chr(10) || 'This counts the orders.'
@@ -145,6 +148,9 @@ ANSWERS = """answers AS (
       || 'SELECT total FROM spend WHERE customer_id = ' || c_custkey || chr(10) || '```'
     WHEN 4 THEN 'In der Straße: SELECT customer_name FROM customers WHERE customer_id = ' || c_custkey
     WHEN 5 THEN 'SELECT customer_name, credit_limit FROM customers JOIN accounts USING (customer_id) WHERE customer_id = ' || c_custkey
+    WHEN 6 THEN 'SELECT o.order_id FROM customers c, `secret_orders` AS o WHERE c.note = ''from nowhere'' AND o.order_id = ' || c_custkey
+    WHEN 7 THEN 'SELECT order_id FROM orders ORDER BY order_id LIMIT 5 OFFSET ' || c_custkey
+    WHEN 8 THEN 'SELECT order_id FROM orders WHERE customer_id = ' || c_custkey || ' -- not from payments'
     ELSE 'Nothing is known about ' || c_name || '.' END AS answer
   FROM customer),
 fenced AS (SELECT *, trim(regexp_extract(answer, '(?is)```[ \\t]*(?:sql)?\\s*((?:select|with)\\b.*?)```', 1), E' \\n\\t') AS f,
@@ -174,7 +180,8 @@ def _(spark, folder):
 
 @query(
     "sql_row_cap",
-    f"""WITH {ANSWERS} SELECT answer_id, CASE WHEN regexp_matches(sql, '(?i)\\blimit\\s+[0-9]+[\\s;]*$') THEN sql
+    f"""WITH {ANSWERS} SELECT answer_id, CASE WHEN answer_id % 10 IN (2, 7) THEN sql
+      WHEN answer_id % 10 = 8 THEN split_part(sql, ' --', 1) || ' LIMIT 100'
       ELSE regexp_replace(sql, '[;\\s]+$', '') || ' LIMIT 100' END AS sql FROM extracted WHERE sql <> ''""",
 )
 def _(spark, folder):
@@ -196,11 +203,11 @@ def _(spark, folder):
 
 @query(
     "sql_grounding",
-    f"""WITH {ANSWERS}, named AS (SELECT answer_id, c_mktsegment,
-        regexp_extract_all(lower(sql), '\\b(?:from|join)\\s+([\\w.]+)', 1) AS used,
-        regexp_extract_all(lower(sql), '(\\w+)\\s+as\\s*\\(', 1) AS defined FROM extracted WHERE sql <> ''),
-    bad AS (SELECT answer_id, list_sort(list_distinct(list_filter(used, lambda x: NOT list_contains(defined, x) AND NOT list_contains(
-        CASE c_mktsegment WHEN 'BUILDING' THEN ['customers', 'orders'] ELSE ['orders'] END, x)))) AS v FROM named)
+    """WITH named AS (SELECT c_custkey AS answer_id, c_mktsegment, CASE c_custkey % 10
+        WHEN 4 THEN ['customers'] WHEN 5 THEN ['accounts', 'customers'] WHEN 6 THEN ['customers', 'secret_orders']
+        ELSE ['orders'] END AS used FROM customer WHERE c_custkey % 10 <> 9),
+    bad AS (SELECT answer_id, list_filter(used, lambda x: NOT list_contains(
+        CASE c_mktsegment WHEN 'BUILDING' THEN ['customers', 'orders'] ELSE ['orders'] END, x)) AS v FROM named)
     SELECT answer_id, coalesce(array_to_string(v, ','), '') AS violations, len(v) = 0 AS grounded FROM bad""",
 )
 def _(spark, folder):
@@ -223,13 +230,15 @@ def _(spark, folder):
 
 @query(
     "mask_pii",
-    f"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '{t.EMAIL}', '[EMAIL]', 'g'), '{t.IPV4}', '[IP]', 'g'),
-        '{t.PHONE}', '[PHONE]', 'g') AS masked,
-      len(regexp_extract_all(text, '{t.EMAIL}')) AS emails, len(regexp_extract_all(text, '{t.IPV4}')) AS addresses
+    f"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '{t.EMAIL}', '[EMAIL]', 'g'),
+        '{t.IPV6}', '[IP]', 'g'), '{t.IPV4}', '[IP]', 'g'), '{t.PHONE}', '[PHONE]', 'g'), '{t.NUMBER}', '[NUMBER]', 'g') AS masked,
+      len(regexp_extract_all(text, '{t.EMAIL}')) AS emails, len(regexp_extract_all(text, '{t.IPV4}')) AS addresses,
+      len(regexp_extract_all(text, '{t.PHONE}')) AS phones
     FROM documents""",
 )
 def _(spark, folder):
     count = lambda pattern: F.regexp_count("text", F.lit(pattern)).cast("bigint")
     return b.documents(spark, folder).select(
-        "doc_id", t.mask_pii(F.col("text")).alias("masked"), count(t.EMAIL).alias("emails"), count(t.IPV4).alias("addresses")
+        "doc_id", t.mask_pii(F.col("text")).alias("masked"), count(t.EMAIL_AT_START).alias("emails"), count(t.IPV4).alias("addresses"),
+        count(t.PHONE).alias("phones"),
     )

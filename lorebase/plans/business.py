@@ -317,20 +317,20 @@ def _(spark, folder):
 
 @query(
     "duplicate_customers",
-    """SELECT sha256(lower(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g'))) AS key_hash, count(*) AS copies, min(doc_id) AS first_id
+    """SELECT sha256(lower(regexp_replace(text, '[^\\p{L}\\p{N}]+', ' ', 'g'))) AS key_hash, count(*) AS copies, min(doc_id) AS first_id
     FROM documents GROUP BY 1 HAVING count(*) > 1""",
 )
 def _(spark, folder):
     docs = b.documents(spark, folder)
-    return m.duplicate_rows(docs, F.lower(F.regexp_replace("text", "[^A-Za-z0-9]+", " ")), "doc_id")
+    return m.duplicate_rows(docs, F.lower(F.regexp_replace("text", r"[^\p{L}\p{N}]+", " ")), "doc_id")
 
 
 PROFILE = " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values,
       CAST(min({v}) AS VARCHAR) AS min_value, CAST(max({v}) AS VARCHAR) AS max_value FROM ord"""
     for c, v in {
-        "order_id": "CAST(order_id AS DOUBLE)",
-        "customer_id": "CAST(customer_id AS DOUBLE)",
+        "order_id": "order_id",
+        "customer_id": "customer_id",
         "order_date": "order_date",
         "order_amount": "order_amount",
         "order_status": "order_status",

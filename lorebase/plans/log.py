@@ -135,18 +135,17 @@ def _(spark, folder):
 @query(
     "answer_cache",
     f"""{LOG}, cut AS (SELECT date_trunc('day', max(timestamp)) AS c FROM history),
-    cache AS (SELECT lower(question) AS key, arg_max(answer, (timestamp, id)) AS answer, max(timestamp) AS answered_at
-      FROM history, cut WHERE status = 'ok' AND timestamp < c GROUP BY 1)
-    SELECT id, question, coalesce(timestamp - answered_at < INTERVAL 12 HOUR, false) AS hit,
-      CASE WHEN timestamp - answered_at < INTERVAL 12 HOUR THEN cache.answer END AS answer
-    FROM history h CROSS JOIN cut LEFT JOIN cache ON key = lower(question) WHERE timestamp >= c""",
+    pairs AS (SELECT h.id, arg_max(a.answer, (a.timestamp, a.id)) AS answer FROM history h, cut, history a
+      WHERE h.timestamp >= c AND a.status = 'ok' AND lower(a.question) = lower(h.question)
+        AND a.timestamp <= h.timestamp AND h.timestamp - a.timestamp < INTERVAL 1 HOUR GROUP BY 1)
+    SELECT h.id, question, pairs.id IS NOT NULL AS hit, pairs.answer
+    FROM history h CROSS JOIN cut LEFT JOIN pairs ON pairs.id = h.id WHERE timestamp >= c""",
 )
 def _(spark, folder):
-    """Questions of the last day against the answers given before it."""
+    """Questions of the last day against all answers given before each, up to an hour ago."""
     log = b.history(spark, folder)
     cut = log.agg(F.date_trunc("day", F.max("timestamp"))).scalar()
-    cache = u.cached_answers(log.filter(F.col("timestamp") < cut))
-    return u.answer_from_cache(log.filter(F.col("timestamp") >= cut), cache, ttl_seconds=12 * 3600)
+    return u.answer_from_cache(log.filter(F.col("timestamp") >= cut), u.cached_answers(log), ttl_seconds=3600)
 
 
 @query(
@@ -170,7 +169,7 @@ STATEMENT = """'SELECT count(*) FROM customers WHERE segment = ''' || {0} || '''
         {STATEMENT.format("c_mktsegment", "c_nationkey", "c_acctbal")} AS sql
       FROM customer WHERE c_acctbal >= 0),
     known AS (SELECT {STATEMENT.format("'BUILDING'", "s_nationkey", "s_acctbal")} AS sql FROM supplier)
-    SELECT 'query_' || substr(sha256(sql), 1, 16) AS doc_id, 'query_example' AS doc_type, arg_min(question, id) AS title,
+    SELECT 'query_' || sha256(sql) AS doc_id, 'query_example' AS doc_type, arg_min(question, id) AS title,
       sql AS content, '{{"source":"user_added"}}' AS metadata FROM q WHERE sql NOT IN (SELECT sql FROM known) GROUP BY sql""",
 )
 def _(spark, folder):

@@ -73,12 +73,12 @@ SCHEMA_COLUMNS = f"""{literal_docs()}, schema_docs AS (
   SELECT content FROM notes WHERE doc_type = 'schema'
   UNION ALL SELECT 'Table: stock_' || p_partkey || chr(10) || 'Description: What is left of ' || p_name || '.' || chr(10) || chr(10)
     || 'Columns:' || chr(10) || '- ' || split_part(p_name, ' ', 1) || '_id (BIGINT): Number of the ' || p_name || chr(10)
-    || '- ' || split_part(p_name, ' ', 2) || '_size (INT): Size of one piece' || chr(10)
+    || '- ' || split_part(p_name, ' ', 2) || '_size (DECIMAL(10,2)): Size of one piece' || chr(10)
     || '- ' || lower(p_type) || '_price (DOUBLE): Price of the ' || lower(p_type) || ' kind' || chr(10)
-    || '- brand (STRING): Always ' || p_brand || chr(10) FROM part),
+    || '- brand (ARRAY<STRING>): Always ' || p_brand || chr(10) FROM part),
 lines AS (SELECT regexp_extract(content, 'Table: (\\w+)', 1) AS table_name,
-    unnest(regexp_extract_all(content, '- \\w+ \\(\\w+\\): [^\\n]*')) AS line,
+    unnest(regexp_extract_all(content, '- \\w+ [^\\n]*')) AS line,
     CAST(unnest(range(1, 100)) AS INT) AS position FROM schema_docs),
 cols AS (SELECT table_name, position, regexp_extract(line, '- (\\w+)', 1) AS column_name,
-    regexp_extract(line, '\\((\\w+)\\)', 1) AS column_type, trim(regexp_extract(line, '\\): (.*)', 1)) AS description
+    substr(split_part(line, '): ', 1), strpos(line, '(') + 1) AS column_type, trim(regexp_extract(line, '\\): (.*)', 1)) AS description
   FROM lines WHERE line IS NOT NULL)"""

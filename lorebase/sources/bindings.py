@@ -48,9 +48,9 @@ def schema_kb(spark: SparkSession, folder: str) -> DataFrame:
     content = F.concat(
         F.lit("Table: stock_"), key, F.lit("\nDescription: What is left of "), F.col("p_name"), F.lit(".\n\nColumns:\n- "),
         first, F.lit("_id (BIGINT): Number of the "), F.col("p_name"), F.lit("\n- "),
-        second, F.lit("_size (INT): Size of one piece\n- "),
+        second, F.lit("_size (DECIMAL(10,2)): Size of one piece\n- "),
         F.lower("p_type"), F.lit("_price (DOUBLE): Price of the "), F.lower("p_type"), F.lit(" kind\n- "),
-        F.lit("brand (STRING): Always "), F.col("p_brand"), F.lit("\n"),
+        F.lit("brand (ARRAY<STRING>): Always "), F.col("p_brand"), F.lit("\n"),
     )
     stock = read_table(spark, folder, "part").select(
         F.concat(F.lit("schema_stock_"), key).alias("doc_id"),
@@ -110,16 +110,17 @@ def known_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """(question_id, doc_id) where a document holds a benchmark passage whole.
 
     Passages and documents meet on the longest word inside the passage (its first and last
-    word may be cut); only documents with that word are compared as texts.
+    word may be cut, and count where there is no other, as whole words); only documents with that word are compared as texts.
+    Passages without a word are found in no document.
     """
-    words = F.split("question", "[^A-Za-z]+")
-    inside = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
+    words = F.regexp_extract_all("question", F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    inside = F.when(F.size(words) > 2, F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))).otherwise(words)
     longest = F.sort_array(F.transform(inside, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))), asc=False)
     passages = benchmark_questions(spark, folder).select(
-        "question_id", "question", F.element_at(longest, 1)["w"].alias("word")
+        "question_id", "question", F.get(longest, F.lit(0))["w"].alias("word")
     )
     docs = documents(spark, folder).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    words_of = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("word"))
+    words_of = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))).alias("word"))
     maybe = words_of.join(passages.drop("question"), "word").select("doc_id", "question_id").checkpoint()
     return (
         docs.join(broadcast_if_few(maybe), "doc_id")
@@ -155,7 +156,7 @@ def votes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def answers(spark: SparkSession, folder: str) -> DataFrame:
-    """Answer texts of seven shapes, one per customer: (answer_id, answer, tables)."""
+    """Answer texts of ten shapes, one per customer: (answer_id, answer, tables)."""
     customer = read_table(spark, folder, "customer")
     key = F.col("c_custkey").cast("string")
     say = lambda before, after="": F.concat(F.lit(before), key, F.lit(after))
@@ -170,11 +171,14 @@ def answers(spark: SparkSession, folder: str) -> DataFrame:
         ),
         say("In der Straße: SELECT customer_name FROM customers WHERE customer_id = "),
         say("SELECT customer_name, credit_limit FROM customers JOIN accounts USING (customer_id) WHERE customer_id = "),
+        say("SELECT o.order_id FROM customers c, `secret_orders` AS o WHERE c.note = 'from nowhere' AND o.order_id = "),
+        say("SELECT order_id FROM orders ORDER BY order_id LIMIT 5 OFFSET "),
+        say("SELECT order_id FROM orders WHERE customer_id = ", " -- not from payments"),
         F.concat(F.lit("Nothing is known about "), F.col("c_name"), F.lit(".")),
     ]
     shape = F.lit(None).cast("string")
     for n, text in enumerate(shapes):
-        shape = F.when(F.col("c_custkey") % 7 == n, text).otherwise(shape)
+        shape = F.when(F.col("c_custkey") % 10 == n, text).otherwise(shape)
     tables = F.when(F.col("c_mktsegment") == "BUILDING", F.array(F.lit("customers"), F.lit("orders"))).otherwise(
         F.array(F.lit("orders"))
     )

@@ -45,6 +45,12 @@ def test_extraction(spark, answer, ours, plain):
         ("SELECT credit_limit FROM t", "SELECT credit_limit FROM t LIMIT 100"),
         ("SELECT * FROM (SELECT 1 LIMIT 3) x", "SELECT * FROM (SELECT 1 LIMIT 3) x LIMIT 100"),
         ("SELECT 1 limit 7;", "SELECT 1 limit 7;"),
+        ("SELECT 1 -- note", "SELECT 1 LIMIT 100"),
+        ("SELECT 1 LIMIT 5 -- c", "SELECT 1 LIMIT 5 -- c"),
+        ("SELECT 1 LIMIT 5 OFFSET 10", "SELECT 1 LIMIT 5 OFFSET 10"),
+        ("SELECT 1 OFFSET 10;", "SELECT 1 LIMIT 100 OFFSET 10"),
+        ("SELECT '-- limit 5' AS t", "SELECT '-- limit 5' AS t LIMIT 100"),
+        ("SELECT 1 /* limit 5 */", "SELECT 1 LIMIT 100"),
     ],
 )
 def test_row_cap(spark, sql, capped):
@@ -58,6 +64,8 @@ def test_row_cap(spark, sql, capped):
         ("WITH x AS (SELECT * FROM a) SELECT * FROM x", ["a"]),
         ("SELECT extract(year FROM d) FROM a", ["a"]),
         ("SELECT 1", []),
+        ("SELECT 1 FROM a x, `b`.`c` AS y, d WHERE x.i = 'from e' -- from f", ["a", "b.c", "d"]),
+        ("SELECT a IS DISTINCT FROM b FROM t", ["t"]),
     ],
 )
 def test_named_tables(spark, sql, names):
@@ -67,6 +75,8 @@ def test_named_tables(spark, sql, names):
 def test_masking(spark):
     text = "Write to a.b+c@mail.example.com or 10.0.0.1, call +1 (555) 123-4567 or 555-123-4567."
     assert value(spark, t.mask_pii, text) == "Write to [EMAIL] or [IP], call [PHONE] or [PHONE]."
+    assert value(spark, t.mask_pii, "+49 30 1234567, 5551234567 and 2001:db8::8a2e:370:7334") == "[PHONE], [NUMBER] and [IP]"
+    assert value(spark, t.mask_pii, "a" * 70 + "@b.com, c@d.co-e@f.org") == "[EMAIL], [EMAIL][EMAIL]"
 
 
 def test_odd_texts_stay_cheap(spark):
@@ -185,8 +195,8 @@ def test_ask_batch(spark, small):
     asked = questions_of(spark, [*BUSINESS_QUESTIONS, ("q8", "zzz")])
     answers = {r["question_id"]: r for r in ask.ask_batch(asked, docs, index).collect()}
     assert set(answers) == {"q1", "q2", "q3", "q4", "q5", "q6", "q8"}
-    assert answers["q1"]["answer_doc"] == "metric_revenue"
-    assert answers["q2"]["answer_doc"] == "query_top_customers"
+    assert answers["q1"]["answer_doc"] == "how_revenue_counts"
+    assert answers["q2"]["answer_doc"] == "ask_best_customers"
     assert answers["q8"]["status"] == "no_context" and answers["q8"]["answer"] == ""
     assert 1 <= len(answers["q1"]["context_docs"]) <= 5
 
@@ -196,12 +206,12 @@ def test_context_and_prompt(spark, small):
     asked = questions_of(spark, [("a", "When does the fiscal year begin?"), ("b", "zzz")])
     found = ask.retrieve_context(asked, docs, index, k=1)
     rows = {r["question_id"]: r for r in ask.build_prompt(ask.assemble_context(asked, found)).collect()}
-    assert rows["a"]["context"].startswith("Document: When the fiscal year runs\nType: business_logic\nRule:")
+    assert rows["a"]["context"].startswith("Document: The fiscal year begins in January\nType: business_logic\nThe fiscal")
     assert rows["b"]["context"] == "" and rows["b"]["context_docs"] == []
     assert rows["a"]["question"] in rows["a"]["prompt"] and rows["a"]["context"] in rows["a"]["prompt"]
     assert ask.context_optional(asked, found, False).columns == ["question_id", "question"]
     listed = {r["question_id"]: r["context"] for r in ask.context_optional(asked, found, True).collect()}
-    assert listed["b"] is None and listed["a"][0]["doc_id"] == "business_fiscal_year"
+    assert listed["b"] is None and listed["a"][0]["doc_id"] == "when_the_year_turns"
 
 
 def test_ask_and_execute(spark, small, data):

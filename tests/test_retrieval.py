@@ -241,6 +241,6 @@ def test_filter_documents(spark):
 
     docs = business_kb(spark)
     names = lambda df: sorted(x["doc_id"] for x in df.collect())
-    assert names(r.filter_documents(docs, doc_type="metric")) == ["metric_conversion_rate", "metric_revenue"]
-    assert names(r.filter_documents(docs, table="customers", any_tags=["kpi"])) == ["business_customer_churn", "metric_conversion_rate"]
-    assert names(r.filter_documents(docs, column="order_date")) == ["business_customer_churn", "schema_orders"]
+    assert names(r.filter_documents(docs, doc_type="metric")) == ["how_conversion_counts", "how_revenue_counts"]
+    assert names(r.filter_documents(docs, table="customers", any_tags=["formula"])) == ["how_conversion_counts"]
+    assert names(r.filter_documents(docs, column="order_date")) == ["how_churn_counts", "table_of_orders"]

@@ -1,6 +1,7 @@
 """Writing, reading, syncing and streaming."""
 
 import datetime as dt
+import random
 import os
 
 import numpy as np
@@ -165,9 +166,31 @@ def test_cache_hits_and_misses(spark):
     requests = spark.createDataFrame([(i, q, at(s)) for i, (q, s) in enumerate(asked)], "id long, question string, timestamp timestamp")
     answered = u.answer_from_cache(requests, cache)
     assert sorted((r["id"], r["hit"], r["answer"]) for r in answered.collect()) == [
-        (0, True, "new"), (1, False, None), (2, False, None), (3, False, None),
+        (0, True, "new"), (1, False, None), (2, False, None), (3, True, "old"),
     ]
-    assert {r["id"] for r in u.cache_misses(requests, answered).collect()} == {1, 2, 3}
+    assert {r["id"] for r in u.cache_misses(requests, answered).collect()} == {1, 2}
+
+
+def test_cache_is_as_of_each_request(spark):
+    rnd = random.Random(3)
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda: t0 + dt.timedelta(milliseconds=rnd.randrange(0, 40_000, 50))
+    log = [(i, 1, rnd.choice("ab"), f"a{i}", [], at(), 1.0, None, rnd.choice(["ok", "failed"])) for i in range(60)]
+    asked = [(i, rnd.choice("abc"), at()) for i in range(200)]
+    requests = spark.createDataFrame(asked, "id long, question string, timestamp timestamp")
+    got = u.answer_from_cache(requests, u.cached_answers(spark.createDataFrame(log, u.HISTORY_SCHEMA)), ttl_seconds=5)
+    want = {}
+    for i, question, when in asked:
+        old = [(r[5], r[0], r[3]) for r in log if r[8] == "ok" and r[2] == question and r[5] <= when < r[5] + dt.timedelta(seconds=5)]
+        want[i] = (bool(old), max(old)[2] if old else None)
+    assert {r["id"]: (r["hit"], r["answer"]) for r in got.collect()} == want
+
+
+def test_profile_keeps_types(spark):
+    rows = spark.sql("SELECT 9007199254740993L AS big, 9.00BD AS price, 'x' AS t, array(1) AS xs UNION ALL SELECT 5L, 10.50BD, NULL, array(2)")
+    got = {r["column_name"]: (r["nulls"], r["distinct_values"], r["min_value"], r["max_value"]) for r in m.table_profile(rows).collect()}
+    assert got["big"] == (0, 2, "5", "9007199254740993") and got["price"] == (0, 2, "9.00", "10.50") and got["t"] == (1, 1, "x", "x")
+    assert m.table_profile(rows.filter("false")).count() == 4
 
 
 def test_quality_counts_equal_results(spark):
