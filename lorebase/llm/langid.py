@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.llm.common import crc_of_id, stored
 
@@ -17,6 +17,8 @@ MAX_CELLS = 1 << 23
 # Bytes scored at a time.
 PIECE = 1 << 20
 UNKNOWN = "und"
+# Hashed ids are told apart to so many parts.
+MIX = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -95,20 +97,18 @@ def _codes(symbols: np.ndarray, order: int, size: int) -> np.ndarray:
 
 
 def train(docs: DataFrame, max_docs: int = 2000, order: int = 3, symbols: int = 39) -> ByteModel:
-    """Learn from `docs` (doc_id, text, lang), per language from at most `max_docs` documents.
+    """Learn from `docs` (doc_id, text, lang), per language from about `max_docs` documents, or all if there are fewer.
 
-    The sample holds the documents with the smallest hashes of their id (ids of the same hash come
-    together), so it does not depend on layout or number of tasks. Rows with a null take no part. Symbols are the `symbols` most frequent bytes of the sample, A-Z lower-cased; space
+    The sample holds the documents whose hashed id is in the part of all hashes that `max_docs` is of the language's documents,
+    so it does not depend on layout or number of tasks. Rows with a null take no part. Symbols are the `symbols` most frequent bytes of the sample, A-Z lower-cased; space
     bytes are symbol 0 and all other bytes share the last one. `symbols` is lowered where
     the tables would get too large. Driver and tasks hold counts of symbol runs, which `MAX_CELLS` bounds.
     """
-    mix = F.xxhash64("doc_id")
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    first = W.partitionBy("lang").orderBy("mix")
-    ranked = usable.select("lang", mix.alias("mix")).withColumn("n", F.row_number().over(first))
-    bounds = stored(ranked.filter(F.col("n") <= max_docs).groupBy("lang").agg(F.max("mix").alias("bound")), "bounds")
-    sample = usable.select("lang", "text", mix.alias("mix")).join(bounds, "lang").filter("mix <= bound")
-    sample = stored(sample.select("lang", "text"), "sample")
+    sizes = stored(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    mix = F.abs(F.xxhash64("doc_id") % F.lit(MIX)) / F.lit(float(MIX))
+    sample = usable.join(sizes, "lang").filter(mix * F.col("n") < max_docs).select("lang", "text")
+    sample = stored(sample, "sample")
     while symbols > 8 and (symbols + 1) ** (order + 1) > MAX_CELLS:
         symbols -= 1
 
