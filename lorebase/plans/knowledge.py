@@ -95,6 +95,25 @@ def _(spark, folder):
     return kb.sync_plan(b.document_kb(spark, folder), b.earlier_index(spark, folder))
 
 
+WORD = "regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]+')"
+
+
+@query(
+    "kb_sync_apply",
+    f"""WITH t AS (SELECT doc_id, text, unnest({WORD.format("text")}) AS term FROM documents)
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, sha256(any_value(text)) AS content_hash, count(DISTINCT term) AS terms, count(*) AS tokens
+    FROM t GROUP BY 1""",
+)
+def _(spark, folder):
+    """Documents are added, changed, deleted or left as they are by two syncs; the second is carried out twice."""
+    path = scratch_path(spark, "index")
+    for number, docs in ((0, b.earlier_documents(spark, folder)), (1, b.document_kb(spark, folder)), (1, b.document_kb(spark, folder))):
+        kb.sync_index(docs.select("doc_id", "content", "updated_at"), path, number)
+    live, postings = kb.live_index(spark, path)
+    counts = postings.groupBy("doc_id").agg(F.count(F.lit(1)).alias("terms"), F.sum("tf").alias("tokens"))
+    return live.select("doc_id", "content_hash").join(counts, "doc_id")
+
+
 @query("kb_metadata", "SELECT source, count(*) AS documents, min(doc_id) AS first_id FROM documents GROUP BY 1")
 def _(spark, folder):
     docs = b.document_kb(spark, folder)
@@ -267,18 +286,23 @@ def _(spark, folder):
 
 @query(
     "stream_kb_sync",
-    """WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS term FROM documents)
+    f"""WITH v AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN text || ' once more' ELSE text END AS text FROM documents),
+    t AS (SELECT doc_id, unnest({WORD.format("text")}) AS term FROM v)
     SELECT CAST(doc_id AS VARCHAR) AS doc_id, count(DISTINCT term) AS terms, count(*) AS tokens FROM t GROUP BY 1""",
 )
 def _(spark, folder):
-    schema = read_table(spark, folder, "documents").schema
-    docs = read_stream(spark, folder, "documents", schema).select(
-        F.col("doc_id").cast("string").alias("doc_id"),
-        F.col("text").alias("content"),
-        F.lit(b.STAMP).cast("timestamp").alias("updated_at"),
-        F.lit(0).cast("bigint").alias("seq"),
-    )
+    """Two streams into one index: the second brings newer versions of the even documents and late ones of the others."""
+    docs = b.documents(spark, folder)
     path = scratch_path(spark, "index")
-    run_kb_sync(docs, path, scratch_path(spark, "index-progress"))
+    even = F.col("doc_id") % 2 == 0
+    for number in range(2):
+        stamp = F.when(even, b.LATER_STAMP).otherwise(b.EARLIER_STAMP) if number else F.lit(b.STAMP)
+        versions = read_stream(spark, folder, "documents", docs.schema).select(
+            F.col("doc_id").cast("string").alias("doc_id"),
+            (F.concat("text", F.lit(" once more")) if number else F.col("text")).alias("content"),
+            stamp.cast("timestamp").alias("updated_at"),
+            F.lit(0).cast("bigint").alias("seq"),
+        )
+        run_kb_sync(versions, path, scratch_path(spark, "index-progress"))
     _, postings = kb.live_index(spark, path)
     return postings.groupBy("doc_id").agg(F.count(F.lit(1)).alias("terms"), F.sum("tf").alias("tokens"))

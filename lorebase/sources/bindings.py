@@ -12,6 +12,7 @@ from lorebase.sources.tables import read_table, spread
 # Load times of the test data are fixed, so that results can be compared.
 STAMP = "2024-01-01 00:00:00"
 LATER_STAMP = "2024-01-02 00:00:00"
+EARLIER_STAMP = "2023-12-31 00:00:00"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -84,14 +85,19 @@ def readded_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def earlier_index(spark: SparkSession, folder: str) -> DataFrame:
-    """What an earlier sync may have left: labelled documents, the bad ones with another text, and pages now gone."""
+def earlier_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """What there was before: labelled documents, the bad ones with another text, and pages now gone."""
     text = F.when(F.col("quality") == 0, F.concat("text", F.lit(" (earlier)"))).otherwise(F.col("text"))
     labelled = read_table(spark, folder, "documents").join(read_table(spark, folder, "labels"), "doc_id").select(
-        F.col("doc_id").cast("string").alias("doc_id"), F.sha2(text, 256).alias("content_hash")
+        F.col("doc_id").cast("string").alias("doc_id"), text.alias("content")
     )
-    gone = added_pages(spark, folder).select("doc_id", F.sha2("content", 256).alias("content_hash"))
-    return labelled.unionByName(gone)
+    gone = added_pages(spark, folder).select("doc_id", "content")
+    return labelled.unionByName(gone).withColumn("updated_at", F.lit(EARLIER_STAMP).cast("timestamp"))
+
+
+def earlier_index(spark: SparkSession, folder: str) -> DataFrame:
+    """What an earlier sync may have left of these documents."""
+    return earlier_documents(spark, folder).select("doc_id", F.sha2("content", 256).alias("content_hash"))
 
 
 def benchmark_questions(spark: SparkSession, folder: str) -> DataFrame:

@@ -131,69 +131,111 @@ def write_postings(docs: DataFrame, path: str, unit: list[str] | None = None) ->
     return docs.sparkSession.read.schema(counts.schema).parquet(path)
 
 
-def write_segment(docs: DataFrame, path: str, sync_id: int) -> None:
-    """Write the postings and hashes of one sync; writing the same sync again replaces it."""
-    term_counts(docs, ["doc_id"]).write.mode("overwrite").parquet(f"{path}/postings/sync_id={sync_id}")
-    docs.select("doc_id", content_hash(F.col("content")).alias("content_hash")).write.mode("overwrite").parquet(
-        f"{path}/docs/sync_id={sync_id}"
+# An index is kept in segments, one per sync or stream batch: postings, and `docs`, which says per document which
+# version the segment holds. `docs` is written last and in one go, so a segment without it does not count.
+ENTRY_SCHEMA = "doc_id string, content_hash string, updated_at timestamp, seq bigint, sync_no bigint, segment string"
+POSTING_SCHEMA = "doc_id string, term string, tf int, segment string"
+
+
+def _entries(docs: DataFrame, sync_no: int) -> DataFrame:
+    seq = F.col("seq").cast("bigint") if "seq" in docs.columns else F.lit(0).cast("bigint")
+    return docs.select(
+        "doc_id",
+        content_hash(F.col("content")).alias("content_hash"),
+        F.col("updated_at").cast("timestamp").alias("updated_at"),
+        seq.alias("seq"),
+        F.lit(sync_no).cast("bigint").alias("sync_no"),
     )
 
 
-def write_tombstones(doc_ids: DataFrame, path: str, sync_id: int) -> None:
-    """Record deleted documents: a row without a hash hides all earlier segments of the id."""
-    doc_ids.select("doc_id", F.lit(None).cast("string").alias("content_hash")).write.mode("append").parquet(
-        f"{path}/docs/sync_id={sync_id}"
-    )
+def write_segment(docs: DataFrame, path: str, segment: str, sync_no: int = 0, gone: DataFrame | None = None) -> None:
+    """Write one segment; writing it again replaces it.
+
+    `docs` needs (doc_id, content, updated_at, seq), one row per document. `gone` are entries of deleted documents: a
+    row without a hash, which hides what earlier entries say.
+    """
+    entries = _entries(docs, sync_no)
+    if gone is not None:
+        entries = entries.unionByName(gone)
+    term_counts(docs, ["doc_id"]).write.mode("overwrite").parquet(f"{path}/postings/segment={segment}")
+    entries.write.mode("overwrite").parquet(f"{path}/docs/segment={segment}")
+
+
+def _read_segments(spark: SparkSession, path: str, kind: str, schema: str) -> DataFrame:
+    """A table of an index over all segments, empty before the first one."""
+    try:
+        table = spark.read.schema(schema).parquet(f"{path}/{kind}")
+        table.schema
+        return table
+    except Exception as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+# What makes an entry the latest of its document: update time, ingest, sync; the rest settles ties.
+_ORDER = ["updated_at", "seq", "sync_no", "segment"]
+
+
+def _latest_entries(docs: DataFrame) -> DataFrame:
+    """(doc_id, last, n): the latest entry of each document, and how many there are."""
+    return docs.groupBy("doc_id").agg(F.max(F.struct(*_ORDER, "content_hash")).alias("last"), F.count(F.lit(1)).alias("n"))
 
 
 def live_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The live documents and postings of a segmented index.
 
-    Per document only its latest segment counts; documents whose latest entry is a
-    tombstone are gone. The superseded entries are taken out rather than the live ones
-    looked up: they are few after a compaction, and then the postings need no shuffle.
+    Per document only its latest version counts, by update time, then ingest, whatever the order in which
+    segments were written; documents whose latest entry is a deletion are gone. The superseded entries are taken out
+    rather than the live ones looked up: they are few after a compaction, and then the postings need no shuffle.
     """
-    docs = spark.read.schema("doc_id string, content_hash string, sync_id bigint").parquet(f"{path}/docs")
-    postings = spark.read.schema("doc_id string, term string, tf int, sync_id bigint").parquet(f"{path}/postings")
-    entries = docs.groupBy("doc_id").agg(
-        F.max(F.struct("sync_id", "content_hash")).alias("last"), F.count(F.lit(1)).alias("n")
-    )
-    latest = entries.select("doc_id", "last.sync_id", "last.content_hash").filter("content_hash is not null")
+    docs = _read_segments(spark, path, "docs", ENTRY_SCHEMA)
+    postings = _read_segments(spark, path, "postings", POSTING_SCHEMA)
+    whole = docs.select("segment").distinct()  # a row per sync since the last compaction
+    entries = _latest_entries(docs)
+    latest = entries.select("doc_id", "last.*").filter("content_hash is not null")
     superseded = (
-        docs.join(entries.filter("n > 1").select("doc_id", "last"), "doc_id")
-        .filter("sync_id < last.sync_id")
-        .select("doc_id", "sync_id")
+        docs.join(entries.filter("n > 1 or last.content_hash is null").select("doc_id", "last"), "doc_id")
+        .filter("segment <> last.segment or last.content_hash is null")
+        .select("doc_id", "segment")
         .checkpoint()
     )
-    return latest, postings.join(broadcast_if_few(superseded), ["doc_id", "sync_id"], "left_anti")
+    live = postings.join(F.broadcast(whole), "segment", "left_semi")
+    return latest, live.join(broadcast_if_few(superseded), ["doc_id", "segment"], "left_anti")
 
 
 def compact_index(spark: SparkSession, path: str, to: str) -> None:
     """Write the live rows of a segmented index as one segment of a new index."""
     latest, postings = live_index(spark, path)
-    postings.drop("sync_id").write.parquet(f"{to}/postings/sync_id=0")
-    latest.drop("sync_id").write.parquet(f"{to}/docs/sync_id=0")
+    postings.drop("segment").write.parquet(f"{to}/postings/segment=compacted")
+    latest.drop("segment").select("doc_id", "content_hash", "updated_at", "seq", "sync_no").write.parquet(f"{to}/docs/segment=compacted")
 
 
-def sync_index(kb: DataFrame, path: str, sync_id: int) -> DataFrame:
-    """Bring a segmented index up to date with `kb`, touching changed documents only.
+def sync_index(kb: DataFrame, path: str, sync_no: int) -> DataFrame:
+    """Bring a segmented index up to date with `kb` (doc_id, content, perhaps updated_at and seq; one live row per document), touching changed documents only.
 
-    Returns the plan that was carried out. With no change nothing is written.
+    Returns the plan that was carried out. With no change nothing is written. The plan is made against the entries of
+    other syncs, so a sync that broke off is simply run again under its number. What `kb` says
+    is final: an entry is never dated before the one it replaces, and a deletion comes right after it.
     """
     spark = kb.sparkSession
-    try:
-        indexed, _ = live_index(spark, path)
-        indexed = indexed.drop("sync_id")
-        indexed.schema
-    except Exception as missing:  # no segment written yet
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        indexed = spark.createDataFrame([], "doc_id string, content_hash string")
+    segment = f"sync-{sync_no}"
+    others = _read_segments(spark, path, "docs", ENTRY_SCHEMA).filter(F.col("segment") != segment)
+    latest = _latest_entries(others).select("doc_id", "last.*")
+    indexed = latest.filter("content_hash is not null")
     plan = sync_plan(kb, indexed).filter("action <> 'unchanged'").checkpoint()
-    changed = kb.join(broadcast_if_few(plan.filter("action <> 'delete'").select("doc_id")), "doc_id", "left_semi")
-    gone = plan.filter("action = 'delete'")
+    seq = F.col("seq").cast("bigint") if "seq" in kb.columns else F.lit(0).cast("bigint")
+    updated = F.col("updated_at") if "updated_at" in kb.columns else F.lit("1970-01-01").cast("timestamp")
+    was = latest.select("doc_id", F.struct("updated_at", "seq").alias("was"))
+    to_write = plan.filter("action <> 'delete'").select("doc_id")
+    changed = kb.withColumn("seq", seq).withColumn("updated_at", updated).join(broadcast_if_few(to_write), "doc_id", "left_semi").join(was, "doc_id", "left")
+    earlier = F.coalesce(F.struct("updated_at", "seq") <= F.col("was"), F.lit(False))
+    changed = changed.withColumn("stamp", F.when(earlier, F.struct("was.updated_at", (F.col("was.seq") + 1).alias("seq"))).otherwise(F.struct("updated_at", "seq")))
+    changed = changed.select("doc_id", "content", "stamp.*")
+    gone = indexed.join(plan.filter("action = 'delete'").select("doc_id"), "doc_id").select(
+        "doc_id", F.lit(None).cast("string").alias("content_hash"), "updated_at", (F.col("seq") + 1).alias("seq"),
+        F.lit(sync_no).cast("bigint").alias("sync_no"),
+    )
     if not plan.isEmpty():
-        write_segment(changed, path, sync_id)
-        if not gone.isEmpty():
-            write_tombstones(gone, path, sync_id)
+        write_segment(changed.checkpoint(), path, segment, sync_no, gone.checkpoint())
     return plan

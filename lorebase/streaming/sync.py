@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 
 from lorebase.sources.kb import current_documents, write_segment
@@ -10,13 +12,16 @@ from lorebase.sources.kb import current_documents, write_segment
 def run_kb_sync(docs: DataFrame, path: str, checkpoint: str) -> None:
     """`docs` streams (doc_id, content, updated_at, seq); each micro-batch becomes one index segment.
 
-    Of several versions of a document in one batch the latest counts. The segment's number
-    is the batch's, and writing a segment replaces it, so a batch that is repeated after a
-    failure leaves nothing twice.
+    Of several versions of a document the latest counts, in whatever batch or stream it comes. A segment is named after
+    the stream's id, which lives in its checkpoint, and the batch: a batch that is repeated after a failure replaces
+    its own segment, and another stream into the same index has segments of its own.
     """
+    stream: list[str] = []
+    started = threading.Event()
 
     def index(batch: DataFrame, batch_id: int) -> None:
-        write_segment(current_documents(batch), path, batch_id)
+        started.wait()
+        write_segment(current_documents(batch), path, f"stream-{stream[0]}-{batch_id}", batch_id)
 
     query = (
         docs.select("doc_id", "content", "updated_at", "seq")
@@ -25,4 +30,6 @@ def run_kb_sync(docs: DataFrame, path: str, checkpoint: str) -> None:
         .trigger(availableNow=True)
         .start()
     )
+    stream.append(str(query.id))
+    started.set()
     query.awaitTermination()

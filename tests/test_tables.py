@@ -58,7 +58,7 @@ def test_sync_touches_changes_only(spark):
     first = docs_of(spark, [("a", "x x y"), ("b", "z"), ("c", "old")])
     assert {r["action"] for r in kb.sync_index(first, path, 0).collect()} == {"insert"}
     assert kb.sync_index(first, path, 1).isEmpty()
-    assert not os.path.exists(f"{path.removeprefix('file:')}/postings/sync_id=1")
+    assert not os.path.exists(f"{path.removeprefix('file:')}/postings/segment=sync-1")
     second = docs_of(spark, [("a", "x x y"), ("c", "new"), ("d", "w")])
     plan = {r["doc_id"]: r["action"] for r in kb.sync_index(second, path, 2).collect()}
     assert plan == {"b": "delete", "c": "update", "d": "insert"}
@@ -83,9 +83,34 @@ def test_stream_sync_takes_new_files_only(spark):
     assert live_terms(spark, path) == {("a", "x", 1), ("a", "y", 1)}
     spark.createDataFrame([("b", "z", now, 0), ("a", "w", now, 2)], schema).coalesce(1).write.mode("append").parquet(source)
     run_kb_sync(stream(), path, progress)
-    segments = {r["sync_id"] for r in spark.read.parquet(f"{path}/docs").select("sync_id").distinct().collect()}
-    assert segments == {0, 1}
+    segments = {r["segment"] for r in spark.read.parquet(f"{path}/docs").select("segment").distinct().collect()}
+    assert sorted(s.rsplit("-", 1)[1] for s in segments) == ["0", "1"] and len({s.rsplit("-", 1)[0] for s in segments}) == 1
     assert live_terms(spark, path) == {("a", "w", 1), ("b", "z", 1)}
+    late, other = scratch_path(spark, "source"), scratch_path(spark, "progress")
+    spark.createDataFrame([("b", "old", dt.datetime(2023, 1, 1), 9), ("c", "v", now, 0)], schema).coalesce(1).write.parquet(late)
+    run_kb_sync(spark.readStream.schema(schema).parquet(late), path, other)
+    assert live_terms(spark, path) == {("a", "w", 1), ("b", "z", 1), ("c", "v", 1)}
+
+
+def test_sync_that_broke_off_is_run_again(spark, monkeypatch):
+    path = scratch_path(spark, "index")
+    kb.sync_index(docs_of(spark, [("a", "old"), ("b", "z"), ("c", "x")]), path, 0)
+    second = docs_of(spark, [("a", "new"), ("b", "z")])
+    write = kb.write_segment
+
+    def breaks(docs, path, segment, sync_no=0, gone=None):
+        kb.term_counts(docs, ["doc_id"]).write.mode("overwrite").parquet(f"{path}/postings/segment={segment}")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(kb, "write_segment", breaks)
+    with pytest.raises(RuntimeError):
+        kb.sync_index(second, path, 1)
+    assert live_terms(spark, path) == {("a", "old", 1), ("b", "z", 1), ("c", "x", 1)}
+    monkeypatch.setattr(kb, "write_segment", write)
+    for _ in range(2):
+        plan = {r["doc_id"]: r["action"] for r in kb.sync_index(second, path, 1).collect()}
+        assert plan == {"a": "update", "c": "delete"}
+        assert live_terms(spark, path) == {("a", "new", 1), ("b", "z", 1)}
 
 
 def test_stream_usage_equals_batch_for_closed_days(spark, data):
