@@ -29,18 +29,20 @@ IS_UNIT = rf"(?<={NUMBER}[\p{{Nd}}_]{{1,40}} {{1,3}}){NAME}?(?=(?:{'|'.join(UNIT
 CUT = rf"[^\p{{L}}\p{{N}}_{MARKS}]+"
 
 
-def marked(text: Column) -> Column:
-    """The text in lower case, with a mark in front of each slot word.
+def marked(texts: DataFrame) -> DataFrame:
+    """`texts` with `text` in lower case and a mark in front of each slot word.
 
     Numbers are runs of digits with single dots, commas, colons or slashes inside, which become `_`; units are unit
     words right after a number; names are capitalised words after another word in the same sentence.
     """
-    clean = F.translate(text, MARKS + "_", " " * (len(MARKS) + 1))
-    named = F.regexp_replace(clean, IS_NAME, NAME)
-    numbered = F.regexp_replace(named, IS_NUMBER, f" {NUMBER}$0 ")
+    # Steps of their own, so that none is evaluated twice.
+    clean = texts.withColumn("text", F.regexp_replace("text", f"[{MARKS}_]", " "))
+    named = clean.withColumn("text", F.regexp_replace("text", IS_NAME, NAME))
+    named = named.withColumn("numbers", F.col("text").rlike(r"\p{Nd}"))
+    numbered = F.regexp_replace("text", IS_NUMBER, f" {NUMBER}$0 ")
     numbered = F.regexp_replace(numbered, r"(?<=\p{Nd})[.,:/](?=\p{Nd})", "_")
     numbered = F.regexp_replace(F.lower(numbered), IS_UNIT, UNIT)
-    return F.when(clean.rlike(r"\p{Nd}"), numbered).otherwise(F.lower(named))
+    return named.withColumn("text", F.when(F.col("numbers"), numbered).otherwise(F.lower("text"))).drop("numbers")
 
 
 def words_of(text: Column) -> Column:
@@ -63,12 +65,13 @@ def _windows(words: Column, step: int) -> Column:
     return F.when(F.size(words) >= WINDOW, F.transform(first, window))
 
 
-def _all_windows(texts: DataFrame, keys: list[str], step: int) -> DataFrame:
-    """Windows of `texts` (keys, text), once with names as slots and once with names as words."""
-    both = texts.select(*keys, marked(F.col("text")).alias("text"))
-    both = both.select(*keys, _template(F.col("text"), MARKS).alias("a"), _template(F.col("text"), NUMBER + UNIT).alias("b"))
-    windows = F.array_union(_windows(F.col("a"), step), _windows(F.col("b"), step))
-    return both.select(*keys, F.explode(windows).alias("w")).select(*keys, "w.at", "w.window")
+def _all_windows(texts: DataFrame, step: int) -> DataFrame:
+    """(..., at, window) of marked `texts` (..., text): windows with names as slots, and those with names as words that differ."""
+    keys = [c for c in texts.columns if c != "text"]
+    both = texts.select(*keys, _template(F.col("text"), MARKS).alias("a"), _template(F.col("text"), NUMBER + UNIT).alias("b"))
+    both = both.select(*keys, _windows(F.col("a"), step).alias("a"), _windows(F.col("b"), step).alias("b"))
+    others = F.filter("b", lambda w, k: w["window"] != F.get("a", k)["window"])
+    return both.select(*keys, F.explode(F.concat("a", others)).alias("w")).select(*keys, "w.at", "w.window")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, run: int = WINDOW + STEP - 1, literal: int = 6) -> DataFrame:
@@ -91,26 +94,25 @@ def contaminated(docs: DataFrame, items: DataFrame, run: int = WINDOW + STEP - 1
     or item_id takes no part. Rows repeated with the same doc_id and text count once; rows with the same doc_id and
     other texts count as one document with the better run. No rows: no rows. Other columns are ignored.
     """
-    known = items.filter(F.col("item_id").isNotNull()).select("item_id", marked(whole_text(items)).alias("text"))
+    known = marked(items.filter(F.col("item_id").isNotNull()).select("item_id", whole_text(items).alias("text")))
     known = known.groupBy(words_of(F.col("text")).alias("words")).agg(F.min("item_id").alias("item_id"), F.first("text").alias("text"))
     known = stored(known.filter(F.size("words") >= WINDOW), "items")
     shortest = known.agg(F.min(F.size("words"))).first()[0]
     step = max(1, min(STEP, min(run, shortest or run) - WINDOW + 1))
 
-    item_windows = known.select("item_id", "text")
-    item_windows = item_windows.select("item_id", _template(F.col("text"), MARKS).alias("a"), _template(F.col("text"), NUMBER + UNIT).alias("b"))
-    item_windows = item_windows.select("item_id", F.explode(F.array_union(_windows(F.col("a"), 1), _windows(F.col("b"), 1))).alias("w"))
-    item_windows = stored(item_windows.select("item_id", F.col("w.at").alias("item_at"), "w.window"), "item-windows")
+    item_windows = _all_windows(known.select("item_id", "text"), 1).withColumnRenamed("at", "item_at")
+    item_windows = stored(item_windows, "item-windows")
 
     texts = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("version"), whole_text(docs).alias("text"))
-    windows = _all_windows(texts, ["doc_id", "version"], step)
+    windows = _all_windows(marked(texts), step)
     hits = windows.join(broadcast_if_small(item_windows, 40), "window")
     places = hits.select("doc_id", "version", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
     places = stored(places.distinct(), "places")
 
     met = stored(places.select("doc_id", "version").distinct(), "met")
     held = texts.join(met, ["doc_id", "version"], "left_semi").dropDuplicates(["doc_id", "version"])
-    held = stored(held.select("doc_id", "version", words_of(marked(F.col("text"))).alias("doc_words")), "met-texts")
+    held = marked(held.select("doc_id", "version", "text"))
+    held = stored(held.select("doc_id", "version", words_of(F.col("text")).alias("doc_words")), "met-texts")
     lined = places.join(held, ["doc_id", "version"]).join(broadcast_if_small(known.select("item_id", "words"), 4096), "item_id")
     first = F.greatest("shift", F.lit(0))
     count = F.least(F.size("doc_words"), F.col("shift") + F.size("words")) - first
