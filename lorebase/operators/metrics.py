@@ -19,8 +19,18 @@ def completed(orders: DataFrame) -> DataFrame:
 
 
 def day_or_last(orders: DataFrame, as_of: str | None = None):
-    """`as_of` as a date, or the last order day as a scalar inside the plan."""
-    return F.lit(as_of).cast("date") if as_of else orders.agg(F.max("order_date")).scalar()
+    """`as_of` as a date, or the last order day, looked up first so that the bounds made from it are constants."""
+    last = as_of or orders.agg(F.max("order_date")).first()[0]
+    return F.lit(last).cast("date")
+
+
+def _days(orders: DataFrame, first, end) -> DataFrame:
+    """Orders from the day `first` on and before the day `end`; on the stored time as well, where there is one."""
+    within = (F.col("order_date") >= first) & (F.col("order_date") < end)
+    if "ordered_at" in orders.columns:
+        kind = orders.schema["ordered_at"].dataType
+        within &= (F.col("ordered_at") >= first.cast(kind)) & (F.col("ordered_at") < end.cast(kind))
+    return orders.filter(within)
 
 
 def _money(amount):
@@ -69,16 +79,14 @@ def top_customers(customers: DataFrame, orders: DataFrame, k: int = 10) -> DataF
 
 def top_customers_ytd(customers: DataFrame, orders: DataFrame, k: int = 10, as_of: str | None = None) -> DataFrame:
     day = day_or_last(orders, as_of)
-    this_year = orders.filter((F.col("order_date") >= F.trunc(day, "year")) & (F.col("order_date") <= day))
+    this_year = _days(orders, F.trunc(day, "year"), F.date_add(day, 1))
     return top_customers(customers, this_year, k)
 
 
 def revenue_region_month(customers: DataFrame, orders: DataFrame, months: int = 12, as_of: str | None = None) -> DataFrame:
     """Revenue by month and region over the last `months` months, the current one included."""
     day = day_or_last(orders, as_of)
-    window = orders.filter(
-        (F.col("order_date") >= F.add_months(_month(day), 1 - months)) & (F.col("order_date") <= day)
-    )
+    window = _days(orders, F.add_months(_month(day), 1 - months), F.date_add(day, 1))
     spend = _spend(window, _month(F.col("order_date")).alias("month"))
     return _by_region(customers, spend, "month")
 
@@ -95,7 +103,7 @@ def revenue_quarter_region(customers: DataFrame, orders: DataFrame, as_of: str |
     """Revenue of the last full quarter by region."""
     day = day_or_last(orders, as_of)
     start = F.add_months(quarter_start(day), -3)
-    window = orders.filter((F.col("order_date") >= start) & (F.col("order_date") < quarter_start(day)))
+    window = _days(orders, start, quarter_start(day))
     return _by_region(customers, _spend(window, quarter_start(F.col("order_date")).alias("quarter_start")), "quarter_start")
 
 
@@ -178,9 +186,7 @@ def region_growth(customers: DataFrame, orders: DataFrame, as_of: str | None = N
     """The region that grew most from the last full quarter but one to the last full quarter."""
     day = day_or_last(orders, as_of)
     last = F.add_months(quarter_start(day), -3)
-    two = orders.filter(
-        (F.col("order_date") >= F.add_months(quarter_start(day), -6)) & (F.col("order_date") < quarter_start(day))
-    )
+    two = _days(orders, F.add_months(quarter_start(day), -6), quarter_start(day))
     by_quarter = _quarterly_by_region(customers, two)
     in_order = W.partitionBy("region").orderBy("quarter_start")
     return (
@@ -274,7 +280,7 @@ def orders_last_month(orders: DataFrame, as_of: str | None = None) -> DataFrame:
     """Orders of any status in the last full month."""
     day = day_or_last(orders, as_of)
     start = F.add_months(_month(day), -1)
-    return orders.filter((F.col("order_date") >= start) & (F.col("order_date") < _month(day))).agg(
+    return _days(orders, start, _month(day)).agg(
         F.max(start).alias("month"), F.count(F.lit(1)).alias("order_count")
     )
 

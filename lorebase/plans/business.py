@@ -35,7 +35,7 @@ WITH_LINES = f"{WITH}, {LINES}"
 
 
 def _facts(spark, folder):
-    return customer_facts(spark, folder), order_facts(spark, folder)
+    return customer_facts(spark, folder), order_facts(spark, folder, timed=True)
 
 
 # --- revenue ----------------------------------------------------------------------------
@@ -187,7 +187,7 @@ def _(spark, folder):
     FROM ord, today WHERE date_trunc('month', order_date) = date_trunc('month', d) - INTERVAL 1 MONTH""",
 )
 def _(spark, folder):
-    return m.orders_last_month(order_facts(spark, folder))
+    return m.orders_last_month(order_facts(spark, folder, timed=True))
 
 
 @query(

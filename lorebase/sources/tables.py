@@ -31,9 +31,13 @@ def status_word(letter):
     return word
 
 
-def order_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order with the columns that need no join."""
+def order_facts(spark: SparkSession, folder: str, timed: bool = False) -> DataFrame:
+    """One row per order with the columns that need no join.
+
+    `timed` adds `ordered_at`, the stored time, whose bounds reach the scan; those of the day computed from it do not.
+    """
     return read_table(spark, folder, "orders").select(
+        *([F.col("o_orderdate").alias("ordered_at")] if timed else []),
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
