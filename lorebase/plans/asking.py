@@ -116,6 +116,21 @@ def _(spark, folder):
         return run.result
 
 
+@query(
+    "ask_and_execute_all",
+    f"""WITH {ANSWERED} SELECT question_id, answer_doc,
+      CASE WHEN answer_doc IS NULL THEN 'no_context' WHEN contains(answer, 'SELECT ') THEN 'ok' ELSE 'no_sql' END AS status,
+      CASE WHEN contains(answer, 'SELECT ') THEN CASE answer_doc WHEN 'ask_best_customers' THEN 10 ELSE 1 END END AS rows
+    FROM answered""",
+)
+def _(spark, folder):
+    """Every question, about the business and out of the benchmark, from retrieval to the rows of its statement."""
+    register_business_views(spark, folder)
+    docs = b.full_kb(spark, folder)
+    done = ask.execute_answers(b.all_questions(spark, folder), docs, index_of(spark, docs))
+    return done.select("question_id", "answer_doc", "status", F.col("rows").cast("int").alias("rows"))
+
+
 @query(
     "execute_query",
     f"""{WITH} SELECT region, customer_segment, count(*) AS orders_completed, round(sum(order_amount), 2) AS revenue

@@ -43,7 +43,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     for name, value in RESULT_SETTINGS.items():
         spark.conf.set(name, value)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        spark.sparkContext.setCheckpointDir(f"{_scratch_folder(spark)}/checkpoints")
     return spark
 
 

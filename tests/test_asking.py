@@ -239,3 +239,22 @@ def test_grounding(spark):
         "sql string, tables array<string>",
     )
     assert [r["violations"] for r in ask.sql_grounding(held).collect()] == [[], ["pay"], ["x"]]
+
+
+def test_every_question_gets_an_outcome(spark, stock):
+    notes = [
+        ("good", "good numbers: SELECT v, count(*) AS n FROM guarded_stock GROUP BY v"),
+        ("bad", "bad habits: SELECT reflect('java.lang.System', 'nanoTime') FROM guarded_stock"),
+        ("broken", "broken pieces: SELECT raise_error('x') FROM guarded_stock"),
+        ("lost", "lost columns: SELECT nothing FROM guarded_stock"),
+        ("plain", "plain words without a statement"),
+    ]
+    docs = kb.load_documents(spark.createDataFrame([(d, "t", d, c) for d, c in notes], "doc_id string, doc_type string, title string, content string"))
+    index = open_index(kb.write_postings(docs, scratch_path(spark, "postings")))
+    asked = questions_of(spark, [(d, c.split(":")[0]) for d, c in notes] + [("good2", "good numbers"), ("none", "zzz"), ("blank", " ")])
+    got = {row["question_id"]: row for row in ask.execute_answers(asked, docs, index, k=1).collect()}
+    status = {q: row["status"] for q, row in got.items()}
+    assert status == {
+        "good": "ok", "good2": "ok", "bad": "rejected", "broken": "failed", "lost": "failed", "plain": "no_sql", "none": "no_context",
+    }
+    assert got["good"]["rows"] == 7 and got["good"]["checksum"] == got["good2"]["checksum"] is not None
