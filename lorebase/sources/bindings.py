@@ -25,7 +25,7 @@ def document_kb(spark: SparkSession, folder: str) -> DataFrame:
     docs = spread(read_table(spark, folder, "documents").withColumn("doc_id", F.col("doc_id").cast("string")), "doc_id").select(
         "doc_id",
         F.col("lang").alias("doc_type"),
-        F.substring("text", 1, 60).alias("title"),
+        F.substring("text", 1, 60).alias("title"),  # a title only; the text stays whole
         F.col("text").alias("content"),
         F.to_json(F.struct("source")).alias("metadata"),
         F.array("source", "lang").alias("tags"),
