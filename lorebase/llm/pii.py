@@ -105,8 +105,8 @@ def find_personal_data(
     letters or more; they are marked in all documents, except inside base spans.
 
     Method: one pass over the texts stores spans and contexts. Company is counted per value and term with partial
-    sums. Words of all documents are then counted for the few terms that reach the support, and looked up once more for the
-    terms that disclose; both lists are copied to all tasks while they are below 32 MB, and shuffled beyond. Only documents
+    sums; terms that too many documents hold in the company of other values go. Words of all documents are then counted for
+    the few terms that are left, and looked up once more for those that disclose; both lists are copied to all tasks while they are below 32 MB, and shuffled beyond. Only documents
     with such terms are read a third time for their places.
 
     Null and empty texts have no spans. A null doc_id stays null. Repeated rows come back each and count as documents each.
@@ -118,12 +118,17 @@ def find_personal_data(
     company = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"), _company(F.col("text"), s).alias("near")))
     base = stored(spotted.select("doc_id", "id", "version", "base", company.alias("company")), "base-spans")
 
-    met = base.select(F.explode("company").alias("c")).select(
-        F.xxhash64("c.kind", F.lower("c.value")).alias("entity"), F.xxhash64("c.near").alias("context"), F.col("c.near").alias("near")
+    near = base.select("id", "version", F.explode("company").alias("c")).select(
+        "id", "version", F.xxhash64("c.kind", F.lower("c.value")).alias("entity"), F.xxhash64("c.near").alias("context"), "c.near"
     )
-    met = met.distinct().select("entity", "context", F.explode(_terms(F.col("near"))).alias("term"))
+    met = near.select("entity", "context", "near").distinct().select("entity", "context", F.explode(_terms(F.col("near"))).alias("term"))
     support = met.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts")).filter(F.col("contexts") >= min_support)
-    support = stored(support.groupBy("term").agg(F.max("contexts").alias("contexts")), "support")
+    support = support.groupBy("term").agg(F.max("contexts").alias("contexts"))
+    # Documents that hold a term near any value are some of all that hold it, which rules common words out.
+    around = near.select("id", "version", F.explode(_terms(F.col("near"))).alias("term")).distinct()
+    around = around.groupBy("term").agg(F.count(F.lit(1)).alias("around"))
+    support = support.join(around, "term").filter(F.col("contexts") >= generalise_at * F.col("around"))
+    support = stored(support.select("term", "contexts"), "support")
     words = texts.select("id", "version", F.explode(_terms(F.col("text"))).alias("term"))
     held = words.join(broadcast_if_small(support.select("term"), 64), "term").groupBy("term").agg(F.count(F.lit(1)).alias("holders"))
     share = F.col("contexts") / F.greatest("holders", "contexts")
