@@ -119,7 +119,12 @@ def _(spark, folder):
 @query(
     "ask_and_execute_all",
     f"""WITH {ANSWERED} SELECT question_id, answer_doc,
-      CASE WHEN answer_doc IS NULL THEN 'no_context' WHEN contains(answer, 'SELECT ') THEN 'ok' ELSE 'no_sql' END AS status,
+      CASE WHEN answer_doc IS NULL THEN 'no_context' WHEN contains(answer, 'SELECT ') THEN 'ok'
+        -- Documents: a line that begins with one of the two words is taken for a statement and does not parse. So are the
+        -- letters of select inside, but where they only begin a word they are no query.
+        WHEN regexp_matches(answer, '(?i)(?:^|\\n)[ \\t]*(?:select|with)\\b') THEN 'failed'
+        WHEN NOT contains(lower(answer), 'select') THEN 'no_sql'
+        WHEN regexp_matches(regexp_extract(lower(answer), 'select.?', 0), 'select\\w') THEN 'rejected' ELSE 'failed' END AS status,
       CASE WHEN contains(answer, 'SELECT ') THEN CASE answer_doc WHEN 'ask_best_customers' THEN 10 ELSE 1 END END AS rows
     FROM answered""",
 )
