@@ -73,8 +73,10 @@ def _table(token: str, model: ByteModel) -> np.ndarray:
 
 def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts and where each begins and ends; nulls are empty."""
-    column = column.cast(pa.large_string()).fill_null("")
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    if column.null_count:
+        column = column.fill_null("")
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
     return data, offsets
 
@@ -170,7 +172,8 @@ def identify(docs: DataFrame, model: ByteModel, carry: bool = False) -> DataFram
         names, size = model.languages, model.symbols
         table = _table(token, model) if names else None
         for batch in batches:
-            data, offsets = _buffers(batch.column("text"))
+            text = batch.column("row").field("text") if carry else batch.column("text")
+            data, offsets = _buffers(text)
             rows = batch.num_rows
             bits = np.zeros((rows, max(1, len(names))))
             if names:
@@ -210,7 +213,7 @@ def identify(docs: DataFrame, model: ByteModel, carry: bool = False) -> DataFram
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter")
     name = "row" if carry else "doc_id"
     out = (F.struct(*[docs[c] for c in docs.columns]) if carry else docs["doc_id"]).alias(name)
-    given = docs.select(out, docs["text"].alias("text"), letters)
+    given = docs.select(out, letters) if carry else docs.select(out, docs["text"].alias("text"), letters)
     kind = given.schema[name].dataType.simpleString()
     return given.mapInArrow(score, f"{name} {kind}, lang_pred string, score double, bits_per_byte double")
 
