@@ -26,6 +26,36 @@ HASHES = 1 << 16
 BLANK = re.compile(rb"[\x20\x09-\x0d]")
 
 
+def _pieces(data: bytes) -> Iterator[bytes]:
+    at = 0
+    while at < len(data):
+        cut = BLANK.search(data, at + PIECE)
+        end = cut.start() if cut else len(data)
+        yield data[at:end]
+        at = end
+
+
+def shingle_hashes(data: bytes, shingle: int, seed: int) -> Iterator[list[int]]:
+    """XXH64 values of all shingles of a text, piece by piece."""
+    one = xxhash.xxh64_intdigest
+    carry: list[bytes] = []
+    seen = False
+    for piece in _pieces(data):
+        words = carry + piece.lower().split()
+        if len(words) < shingle:
+            carry = words
+            continue
+        seen = True
+        line = b" ".join(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes + 1) - 1
+        starts = (ends - sizes)[: len(words) - shingle + 1].tolist()
+        yield [one(line[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :].tolist())]
+        carry = words[len(words) - shingle + 1 :]
+    if carry and not seen:
+        yield [one(b" ".join(carry), seed)]
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp) for each document; `fp` is the 64-bit fingerprint as a signed number.
 
@@ -35,33 +65,6 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
-    def pieces(data: bytes) -> Iterator[bytes]:
-        at = 0
-        while at < len(data):
-            cut = BLANK.search(data, at + PIECE)
-            end = cut.start() if cut else len(data)
-            yield data[at:end]
-            at = end
-
-    def hashes(data: bytes) -> Iterator[list[int]]:
-        one = xxhash.xxh64_intdigest
-        carry: list[bytes] = []
-        seen = False
-        for piece in pieces(data):
-            words = carry + piece.lower().split()
-            if len(words) < shingle:
-                carry = words
-                continue
-            seen = True
-            line = b" ".join(words)
-            sizes = np.fromiter(map(len, words), np.int64, len(words))
-            ends = np.cumsum(sizes + 1) - 1
-            starts = (ends - sizes)[: len(words) - shingle + 1].tolist()
-            yield [one(line[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :].tolist())]
-            carry = words[len(words) - shingle + 1 :]
-        if carry and not seen:
-            yield [one(b" ".join(carry), seed)]
-
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = np.zeros((batch.num_rows, BITS), np.uint8)
@@ -80,7 +83,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
 
             for row, text in enumerate(batch.column("text")):
                 data = text.as_py()
-                for found in hashes(data.encode() if data else b""):
+                for found in shingle_hashes(data.encode() if data else b"", shingle, seed):
                     totals[row] += len(found)
                     rows.append(row), firsts.append(len(waiting))
                     waiting += found
