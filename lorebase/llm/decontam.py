@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.llm.common import broadcast_if_small, stored, whole_text
@@ -80,8 +82,9 @@ def contaminated(docs: DataFrame, items: DataFrame, run: int = WINDOW + STEP - 1
     `docs` is (doc_id, text, ...), `items` (item_id, text, ...). Texts become templates: numbers, units and
     names are slots of a type, other words stay in lower case. A document holds an item if `run` consecutive words (the whole
     item, if it is shorter) have the same templates, at least `literal` of them words and not slots (all words that
-    the item has, if fewer), and the slots are consistent: equal values of the item have equal values in the document
-    and the other way round, so that values may have been exchanged but only throughout. A name may also match as a
+    the item has, if fewer), and the slots are consistent: equal values of the item have equal values in the document,
+    while different ones may become equal. Every run is judged, and of a run with conflicting slots every longest stretch
+    without a conflict. A run with unchanged values needs no words that are not slots. A name may also match as a
     word, whatever its case. `run_words` is the longest such run, `first_word` where it starts in the document, `slots` its
     slots and `changed` those with other values than the item. Items with the same words count as one, under the smallest id.
 
@@ -123,18 +126,21 @@ def contaminated(docs: DataFrame, items: DataFrame, run: int = WINDOW + STEP - 1
             F.slice("doc_words", first + 1, count).alias("d"), F.slice("words", first - F.col("shift") + 1, count).alias("i")
         ).alias("pairs"),
     )
-    flags = F.array_join(F.transform("pairs", lambda p: F.when(_same(p["d"], p["i"]), "1").otherwise("0")), "")
-    longest = F.array_max(F.transform(F.split("flags", "0", -1), lambda r: F.length(r)))
-    found = lined.withColumn("flags", flags).withColumn("run_words", longest)
-    found = found.filter((F.col("run_words") >= F.least(F.lit(run), "item_words")) & (F.col("run_words") > 0))
-    found = found.withColumn("start", F.expr("locate(repeat('1', run_words), flags)"))
-    found = found.withColumn("pairs", F.slice("pairs", F.col("start"), F.col("run_words")))
+    needed = F.least(F.lit(run), "item_words")
+    long_enough = lambda spans: F.filter(spans, lambda r: (r["end"] - r["from"] >= needed) & (r["end"] > r["from"]))
+    runs = lined.withColumn("r", F.explode(long_enough(_runs(F.col("pairs"), lambda p: _same(p["d"], p["i"])))))
+    runs = runs.withColumn("pairs", F.slice("pairs", F.col("r.from") + 1, F.col("r.end") - F.col("r.from")))
+    runs = runs.withColumn("conflicts", _conflicts(F.col("pairs")))
+    kept = F.transform(long_enough(_between("conflicts", F.size("pairs"))), lambda r: F.struct(r["from"], r["end"], F.lit(False).alias("verbatim")))
+    verbatim = long_enough(_runs(F.col("pairs"), lambda p: _bare(p["d"]) == _bare(p["i"])))
+    verbatim = F.transform(verbatim, lambda r: F.struct(r["from"], r["end"], F.lit(True).alias("verbatim")))
+    found = runs.withColumn("w", F.explode(F.concat(kept, verbatim)))
+    found = found.withColumn("run_words", F.col("w.end") - F.col("w.from")).withColumn("start", F.col("r.from") + F.col("w.from") + 1)
+    found = found.withColumn("pairs", F.slice("pairs", F.col("w.from") + 1, F.col("run_words")))
     as_slots = F.filter("pairs", lambda p: _is_slot(p["d"]) & _is_slot(p["i"]))
-    plain = F.transform(as_slots, lambda p: F.struct(_bare(p["d"]).alias("d"), _bare(p["i"]).alias("i")))
-    found = found.withColumn("filled", plain).withColumn("kinds", F.array_distinct("filled"))
-    consistent = (F.size(F.array_distinct("kinds.d")) == F.size("kinds")) & (F.size(F.array_distinct("kinds.i")) == F.size("kinds"))
+    found = found.withColumn("filled", F.transform(as_slots, lambda p: F.struct(_bare(p["d"]).alias("d"), _bare(p["i"]).alias("i"))))
     literals = F.col("run_words") - F.size("filled")
-    found = found.filter(consistent & (literals >= F.least(F.lit(literal), "item_literals")))
+    found = found.filter(F.col("w.verbatim") | (literals >= F.least(F.lit(literal), "item_literals")))
     row = F.struct(
         F.col("run_words").cast("long").alias("run_words"), F.col("item_words").cast("long").alias("item_words"), (F.col("first") + F.col("start") - 1).cast("long").alias("first_word"),
         F.size("filled").cast("long").alias("slots"), F.size(F.filter("filled", lambda p: p["d"] != p["i"])).cast("long").alias("changed"),
@@ -144,6 +150,30 @@ def contaminated(docs: DataFrame, items: DataFrame, run: int = WINDOW + STEP - 1
     return best.select("doc_id", "item_id", "best.*")
 
 
+def _runs(pairs: Column, holds: Callable[[Column], Column]) -> Column:
+    """(from, end) between the pairs for which `holds` does not, the end exclusive."""
+    breaks = F.filter(F.transform(pairs, lambda p, at: F.when(~holds(p), at)), lambda at: at.isNotNull())
+    froms = F.concat(F.array(F.lit(0)), F.transform(breaks, lambda at: at + 1))
+    return F.zip_with(froms, F.concat(breaks, F.array(F.size(pairs))), lambda a, z: F.struct(a.alias("from"), z.alias("end")))
+
+
+def _conflicts(pairs: Column) -> Column:
+    """(at, before): the slot at `at` has another value in the document than the last slot before it with the same item value."""
+    slot = lambda p, at: F.struct(_bare(p["i"]).alias("i"), at.alias("at"), _bare(p["d"]).alias("d"))
+    slots = F.array_sort(F.array_compact(F.transform(pairs, lambda p, at: F.when(_is_slot(p["d"]) & _is_slot(p["i"]), slot(p, at)))))
+    conflict = lambda x, y: F.when((x["i"] == y["i"]) & (x["d"] != y["d"]), F.struct(y["at"].alias("at"), x["at"].alias("before")))
+    return F.array_sort(F.array_compact(F.zip_with(slots, F.slice(slots, F.lit(2), F.greatest(F.size(slots) - 1, F.lit(0))), conflict)))
+
+
+def _between(conflicts: str, size: Column) -> Column:
+    """(from, end) of the longest stretches without both sides of a conflict, the end exclusive."""
+    none = F.array().cast("array<struct<from:int,end:int>>")
+    start = F.struct(F.lit(0).alias("from"), none.alias("out"))
+    stretch = lambda acc, end: F.concat(acc["out"], F.array(F.struct(acc["from"].alias("from"), end.alias("end"))))
+    step = lambda acc, c: F.struct(F.greatest(acc["from"], c["before"] + 1).alias("from"), stretch(acc, c["at"]).alias("out"))
+    return F.aggregate(conflicts, start, step, lambda acc: stretch(acc, size))
+
+
 def _is_slot(word: Column) -> Column:
     return word.substr(1, 1).isin(*MARKS)
 

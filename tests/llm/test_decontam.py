@@ -68,3 +68,22 @@ def test_odd_documents(spark):
     assert {r.doc_id for r in decontam.contaminated(given, items).collect()} == {1, 2, 6, 11}
     assert decontam.contaminated(no_docs(spark), items).count() == 0
     assert decontam.contaminated(given, items.filter("item_id < 0")).count() == 0
+
+
+def test_verbatim_passages_beside_other_slots(spark):
+    """One other value, at the edge or within, hides no passage of 13 words, nor does a longer run elsewhere on the diagonal."""
+    item = "Take 7 boxes from the shelf then put 7 boxes on the cart and bring 4 of them to the gate"
+    twice = "we send 3 red ones by the late train and then they count " + "3 blue ones at dawn before noon and go home along the river bank again"
+    numbers = " ".join(str(n) for n in range(100, 120))
+    cut = item.split()
+    long = "one 3 two four five six seven 3 eight nine ten eleven twelve dozen score gross split " + " ".join(f"word{c}" for c in "abcdefghijklm")
+    texts = {
+        1: item.replace("7", "9", 1), 2: item.replace("4", "7"), 3: twice.replace("3", "5", 1), 4: "so " + numbers + " end",
+        5: " ".join([*cut[:3], "x", *cut[4:]]).replace("7", "9", 1), 6: "Take 9 boxes from the shelf then put 7 boxes on a cart",
+        7: long.replace("3", "5", 1).replace("split", "other").replace("dozen", "pair"), 8: long.replace("3", "5", 1).replace("split", "other"),
+    }
+    got = found(spark, texts, {1: item, 2: twice, 3: numbers, 4: long})
+    assert set(got) == {(1, 1), (2, 1), (3, 2), (4, 3), (5, 1), (7, 4), (8, 4)}
+    assert (got[1, 1].run_words, got[1, 1].first_word, got[1, 1].changed) == (19, 2, 0)
+    assert (got[2, 1].run_words, got[2, 1].changed) == (21, 1)
+    assert got[4, 3].run_words == got[4, 3].slots == 20
