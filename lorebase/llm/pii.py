@@ -1,4 +1,4 @@
-"""Personal data: patterns, and terms that give protected values away by keeping their company."""
+"""Personal data: patterns, and terms that give away the protected values of the texts that hold them."""
 
 from __future__ import annotations
 
@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.llm.common import NO_ID, broadcast_if_small, stored, whole_text
 
-# Code points on either side of a value that count as its company.
-REACH = 60
 CHUNK = 256
 
 # The patterns of the four kinds. They match what the plain ones do: a run is never entered in its middle,
@@ -80,14 +78,9 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.length(w) >= 3))
 
 
-def _company(text: Column, span: Column) -> Column:
-    """Words near a span, without those cut off at the edge and without parts of addresses."""
-    first = F.greatest(span["start"] - REACH, F.lit(0))
-    before = text.substr(first + 1, span["start"] - first)
-    after = text.substr(span["end"] + 1, F.lit(REACH))
-    before = F.when(first > 0, F.regexp_replace(before, r"^[^\s]++", "")).otherwise(before)
-    after = F.when(F.length(after) == REACH, F.regexp_replace(after, r"[^\s]+$", "")).otherwise(after)
-    return F.regexp_replace(F.concat_ws(" ", before, after), r"[^\s@]*+@[^\s]*+", " ")
+def _company(text: Column) -> Column:
+    """Distinct words of a text without parts of addresses."""
+    return _terms(F.regexp_replace(text, r"(?<!\S)[^\s@]*+@\S*+", " "))
 
 
 def find_personal_data(
@@ -98,43 +91,55 @@ def find_personal_data(
     `base` are the spans of the four kinds (kind, start, end, value); `added` those of disclosing terms, of kind `generalised`
     or `removed`. `id` and `version` name the document and its text for `sanitise`, which makes the texts.
 
-    A term discloses a protected value if it is in its company, within 60 code points, in at least `min_support` different
-    contexts, and P(value | term), these contexts over all documents that hold the term, reaches `generalise_at`. That is the
-    information log2(1 / P) that the term leaves open about the value: one bit at 0.5. From `remove_at` on the term
-    is removed. Equal contexts count once, so copies of a document disclose nothing by their number. Terms are words of three
-    letters or more; they are marked in all documents, except inside base spans.
+    A term discloses a protected value if at least `min_support` different texts hold both, and P(value | term), these
+    texts over all different texts that hold the term, reaches `generalise_at`. That is the information log2(1 / P) that
+    the term leaves open about the value: one bit at 0.5. From `remove_at` on the term is removed. Equal texts count once
+    on both sides, so copies of a document neither disclose nor hide. Terms are words of three letters or more, of a text
+    without addresses; they are marked in all documents, except inside base spans.
 
-    Method: one pass over the texts stores spans and contexts. Company is counted per value and term with partial
-    sums; terms that too many documents hold in the company of other values go. Words of all documents are then counted for
-    the few terms that are left, and looked up once more for those that disclose; both lists are copied to all tasks while they are below 32 MB, and shuffled beyond. Only documents
-    with such terms are read a third time for their places.
+    Method: one pass over the texts stores spans and hashes of values. Values in fewer than `min_support` texts
+    go; words of the texts with the others are counted, then those same words in all texts. A word and a value are only
+    paired if the texts with any such value, and those with this one, are enough for P = `generalise_at`, which no word that
+    discloses can fail. The words that do are looked up once more; lists are copied to all tasks while they are
+    below 32 MB, and shuffled beyond. Only documents with such terms are read again for their places.
 
-    Null and empty texts have no spans. A null doc_id stays null. Repeated rows come back each and count as documents each.
+    Null and empty texts have no spans. A null doc_id stays null. Repeated rows come back each.
     No rows: no rows. Other columns are ignored.
     """
     key = [F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(whole_text(docs)).alias("version")]
     texts = docs.select("doc_id", *key, whole_text(docs).alias("text"))
     spotted = texts.select("doc_id", "id", "version", "text", base_spans(F.col("text")).alias("base"))
-    company = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"), _company(F.col("text"), s).alias("near")))
-    base = stored(spotted.select("doc_id", "id", "version", "base", company.alias("company")), "base-spans")
-
-    near = base.select("id", "version", F.explode("company").alias("c")).select(
-        "id", "version", F.xxhash64("c.kind", F.lower("c.value")).alias("entity"), F.xxhash64("c.near").alias("context"), "c.near"
-    )
-    met = near.select("entity", "context", "near").distinct().select("entity", "context", F.explode(_terms(F.col("near"))).alias("term"))
-    support = met.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts")).filter(F.col("contexts") >= min_support)
-    support = support.groupBy("term").agg(F.max("contexts").alias("contexts"))
-    # Documents that hold a term near any value are some of all that hold it, which rules common words out.
-    around = near.select("id", "version", F.explode(_terms(F.col("near"))).alias("term")).distinct()
-    around = around.groupBy("term").agg(F.count(F.lit(1)).alias("around"))
-    support = support.join(around, "term").filter(F.col("contexts") >= generalise_at * F.col("around"))
-    support = stored(support.select("term", "contexts"), "support")
-    words = texts.select("id", "version", F.explode(_terms(F.col("text"))).alias("term"))
-    held = words.join(broadcast_if_small(support.select("term"), 64), "term").groupBy("term").agg(F.count(F.lit(1)).alias("holders"))
-    share = F.col("contexts") / F.greatest("holders", "contexts")
+    entity = lambda s: F.xxhash64(s["kind"], F.lower(s["value"]))
+    entities = F.array_distinct(F.transform("base", entity))
+    base = stored(spotted.select("doc_id", "id", "version", "base", entities.alias("entities")), "base-spans")
+
+    repeated = base.groupBy("version").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("version")
+    repeated = broadcast_if_small(stored(repeated, "repeated-texts"), 16)
+    several = texts.join(repeated, "version", "left_semi").select("version", "text").dropDuplicates(["version"])
+    different = texts.join(repeated, "version", "left_anti").select("version", "text").union(several)
+    company = lambda of: of.select("version", F.explode(_company(F.col("text"))).alias("term"))
+
+    holds = base.filter(F.size("entities") > 0).select("version", F.explode("entities").alias("entity")).distinct()
+    holds = stored(holds, "values")
+    often = holds.groupBy("entity").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= min_support)
+    holds = stored(holds.join(broadcast_if_small(stored(often, "often"), 24), "entity"), "values-often")
+    most = holds.agg(F.max("texts")).first()[0] or 0
+    private = different.join(broadcast_if_small(stored(holds.select("version").distinct(), "private-texts"), 16), "version", "left_semi")
+    around = company(private).groupBy("term").agg(F.count(F.lit(1)).alias("around")).filter(F.col("around") >= min_support)
+    around = stored(around, "around")
+    held = company(different).join(broadcast_if_small(around.select("term"), 64), "term")
+    held = held.groupBy("term").agg(F.count(F.lit(1)).alias("holders"))
+    enough = F.least("around", F.lit(most)) >= generalise_at * F.col("holders")
+    held = stored(held.join(around, "term").filter(enough).select("term", "holders"), "holders")
+    met = company(private).join(broadcast_if_small(held, 72), "term").join(broadcast_if_small(holds, 32), "version")
+    met = met.filter(F.col("texts") >= generalise_at * F.col("holders"))
+    support = met.groupBy("entity", "term", "holders").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= min_support)
+    support = support.groupBy("term", "holders").agg(F.max("both").alias("both"))
+    share = F.col("both") / F.col("holders")
     action = F.when(share >= remove_at, "removed").when(share >= generalise_at, "generalised")
-    telling = stored(held.join(support, "term").select("term", action.alias("kind")).filter("kind IS NOT NULL"), "telling")
+    telling = stored(support.select("term", action.alias("kind")).filter("kind IS NOT NULL"), "telling")
 
+    words = texts.select("id", "version", F.explode(_terms(F.col("text"))).alias("term"))
     places = stored(words.join(broadcast_if_small(telling, 80), "term").distinct(), "telling-words")
     some = texts.join(stored(places.select("id", "version").distinct(), "telling-documents"), ["id", "version"], "left_semi")
     some = some.dropDuplicates(["id", "version"]).select("id", "version", "text")

@@ -77,6 +77,28 @@ def test_copies_disclose_nothing(spark):
     assert not any(r.added for r in pii.find_personal_data(docs(spark, same)).collect())
 
 
+def told(spark, texts):
+    """{term: kind} of all terms marked."""
+    found = pii.find_personal_data(docs(spark, texts)).collect()
+    return {(s.value.lower(), s.kind) for r in found for s in r.added}
+
+
+def test_copies_hide_nothing(spark):
+    """Six texts with name and address; a thousand more copies of one of them change no share."""
+    texts = company()[:-1]
+    assert told(spark, texts) == told(spark, texts + [texts[0]] * 1000) == {("zorbakov", "removed")}
+
+
+def test_same_sentence_in_different_texts(spark):
+    texts = [f"{t} Contact Zorbakov at bob@x.org {t}" for t in company()[6:-1][:8]] + company()[6:-1]
+    assert ("zorbakov", "removed") in told(spark, texts)
+
+
+def test_name_far_from_value(spark):
+    texts = [t.replace("Zorbakov ", "").replace("bob.x", "Zorbakov " + "alpha " * 50 + "bob.x") for t in company()[:-1]]
+    assert told(spark, texts) == {("zorbakov", "removed")}
+
+
 def test_odd_documents(spark):
     given = odd_docs(spark)
     assert pii.find_personal_data(given).count() == given.count()
