@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lorebase.llm import decontam, langid, lines, packing, resemblance
+from lorebase.llm import decontam, langid, lines, packing, simhash
 from lorebase.llm.common import stored
 from lorebase.llm.queries import tokenizer
 from lorebase.session import prepare
@@ -13,40 +13,53 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go whose language cannot be told: null texts and texts without a letter."""
+    """Documents go whose language cannot be told: null texts and texts without a letter.
+
+    Repeated rows and rows without a doc_id are judged each for itself; no rows: no rows.
+    """
     model = langid.train(docs.filter(~langid.held_out(docs["doc_id"])))
     judged = langid.identify(docs.select(*COLUMNS), model, carry=True)
     return judged.filter(F.col("lang_pred") != langid.UNKNOWN).select("row.*")
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that three documents or more hold stay in the largest doc_id only; n_chars follows the text."""
+    """Lines that three documents or more hold stay in the largest doc_id only; n_chars follows the text.
+
+    Every row comes back, with a null doc_id, a null text (now empty) or repeated, as `lines` says; no rows: no rows.
+    """
     kept = lines.drop_repeated_lines(docs.select(*COLUMNS)).drop("line_counts")
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, by five-word shingles of similarity 0.8, the row with the smallest doc_id stays.
+    """Of each group of near copies, by fingerprints at 2 or fewer differing bits, the row with the smallest doc_id stays.
 
-    Of rows with the same doc_id and text one stays; a row without a doc_id goes if its group holds one with a doc_id.
+    Rows are told apart by doc_id and text: of equal rows one stays, and rows that share a doc_id, or have none, are
+    judged by their texts like any others. A row without a doc_id stays only where its group holds no other.
+    No rows: no rows.
     """
-    groups = resemblance.near_copies(docs)
-    own = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("version") == F.col("first_version"))
-    first = stored(groups.filter(own).select("first_id", "first_version").distinct(), "first-copies")
-    rows = docs.select(*COLUMNS).withColumn("version", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("version") == F.col("first_version"))
-    return rows.join(first, same, "left_semi").dropDuplicates(["doc_id", "version"]).drop("version")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("version"))
+    rows = docs.select(*COLUMNS).withColumn("key", key)
+    groups = simhash.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"))
+    first = groups.filter("doc_id = component_id").select("doc_id.doc_id", "doc_id.version").distinct()
+    first = stored(first.toDF("first_id", "first_version"), "first-copies")
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("key.version") == F.col("first_version"))
+    return rows.join(first, same, "left_semi").withColumn("version", F.col("key.version")).dropDuplicates(["doc_id", "version"]).select(*COLUMNS)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go that hold a passage of the benchmark."""
+    """Documents go that hold a passage of the benchmark, whether or not they have a doc_id.
+
+    A text is judged once for all rows that hold it; null texts and repeated rows stay. No rows: no rows.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontam.contaminated(docs, items).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(stored(found, "contaminated"), "doc_id", "left_anti")
+    rows = docs.select(*COLUMNS).withColumn("version", F.xxhash64("text"))
+    found = decontam.contaminated(rows.select(F.col("version").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("version"))
+    return rows.join(stored(found.distinct(), "contaminated"), "version", "left_anti").select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents, placed in sequences of 2048 tokens."""
+    """The pieces of the documents, placed in sequences of 2048 tokens; a null text is an empty one, no rows: no rows."""
     return packing.pack_documents(docs, tokenizer())
 
 
