@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.llm import decontam, langid, lines, lm, nearest, packing, pii, quality, simhash, url_rules
+from lorebase.llm import decontam, langid, lines, lm, nearest, packing, pii, quality, setsketch, simhash, url_rules
 from lorebase.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -125,3 +125,8 @@ def line_dedup(spark, folder):
     return done.select(
         "doc_id", "line_counts.n_lines", "line_counts.n_dropped", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+@query("op13_near_duplicates")
+def near_duplicate_sets(spark, folder):
+    return setsketch.near_duplicates(table(spark, folder, "documents"), shingle=5, percent=85)
