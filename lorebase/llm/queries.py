@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorebase.llm import decontam, langid, lines, lm, nearest, packing, pii, quality, setsketch, simhash, url_rules
+from lorebase.llm import decontam, langid, lines, lm, nearest, packing, phrases, pii, quality, setsketch, simhash, spelling, url_rules
 from lorebase.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -127,6 +127,51 @@ def line_dedup(spark, folder):
     )
 
 
+PHRASES_SQL = f"""WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang, {LOWER.format("coalesce(text, '')")} AS t FROM documents),
+    pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+    words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM words GROUP BY 1),
+    grams AS ({{grams}}),
+    f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= {{least}}),
+    cand AS (SELECT * FROM f WHERE k > 1),
+    cuts AS (SELECT lang, phrase, k, a, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS c FROM cand),
+    scored AS (SELECT cuts.lang, cuts.phrase, cuts.a, x.a AS l, y.a AS r, n, c,
+        CAST(CAST(1000 AS HUGEINT) * cuts.a * n // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+      FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(ws[1:c], ' ')
+      JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(ws[c + 1:], ' ') JOIN totals ON totals.lang = cuts.lang),
+    inside AS (SELECT c.lang, c.phrase FROM cand c JOIN cand b ON b.lang = c.lang AND b.k > c.k AND 100 * b.a >= 100 * c.a
+      AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' ')),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM best ANTI JOIN inside USING (lang, phrase) QUALIFY rank <= {{top}}"""
+
+
+def phrases_sql(least: int, longest: int, top: int) -> str:
+    gram = "SELECT lang, {k} AS k, array_to_string(ws[i:i + {k} - 1], ' ') AS phrase FROM (SELECT lang, ws, unnest(range(1, len(ws) - {k} + 2)) AS i FROM words)"
+    return PHRASES_SQL.format(least=least, top=top, grams=" UNION ALL ".join(gram.format(k=k) for k in range(1, longest + 1)))
+
+
+@query("op11_phrase_collocations", phrases_sql(100, 5, 2000))
+def phrase_collocations(spark, folder):
+    return phrases.collocations(table(spark, folder, "documents"), least=100, longest=5, top=2000)
+
+
+def noisy_words(docs):
+    """(word, n): words of 7 letters or more that occur twice or more, after one in 31 runs has lost a letter, chosen by a crc32 of id and run."""
+    runs = spelling.letter_runs(docs, 7)
+    mark = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    lost = (F.col("mark") % F.length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), lost), F.substring("run", lost + 2, F.length("run")))
+    words = runs.withColumn("mark", mark).select(F.when(F.col("mark") % 31 == 0, cut).otherwise(F.col("run")).alias("word"))
+    return words.filter(F.length("word") >= 7).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+
+
+@query("op12_spelling_variants")
+def spelling_variants(spark, folder):
+    found = spelling.spelling_variants(noisy_words(table(spark, folder, "documents")))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query("op13_near_duplicates")
 def near_duplicate_sets(spark, folder):
     return setsketch.near_duplicates(table(spark, folder, "documents"), shingle=5, percent=85)
