@@ -23,7 +23,7 @@ BASE, RATE, TOP = 1.001, 20.0, 2**16 - 1
 # Pairs whose estimate lies this many standard deviations under the bound are not read in full.
 DEVIATIONS = 5.5
 # Bands of up to this many sets are paired as they are.
-SMALL_BAND = 24
+SMALL_BAND = 8
 # So many candidates of a set are read in full before those that are left are cut to different components.
 FIRST_TRIES = 3
 
@@ -113,8 +113,9 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 one = pa.ListArray.from_arrays(pa.array([0, len(hashes)], pa.int32()), hashes)
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(row, 1), one], names=["node", "shingles"])
 
-    texts = docs.select(F.xxhash64("text").alias("version"), "text").join(wanted, "version")
-    return texts.dropDuplicates(["version"]).select("node", "text").mapInArrow(per_batch, "node long, shingles array<long>")
+    # Each task drops its copies before the shuffle, so a text with very many copies fills no task.
+    texts = docs.select(F.xxhash64("text").alias("version"), "text").dropDuplicates(["version"]).join(wanted, "version")
+    return texts.select("node", "text").mapInArrow(per_batch, "node long, shingles array<long>")
 
 
 def _lonely_shingles(sets: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def crowd(copies, seed=3, most=10):
     return [rows[i - 1] if i % 4 == 3 else t + " tail" * (i % 60) if i % 17 == 0 else t for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("small_band", [2, 24])
+@pytest.mark.parametrize("small_band", [2, 8])
 @pytest.mark.parametrize("percent", [80, 85])
 def test_links_against_brute_force(spark, monkeypatch, small_band, percent):
     """Groups of three and crowds of near copies, on both sides of the bound between small and large bands."""
