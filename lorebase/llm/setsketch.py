@@ -24,6 +24,8 @@ BASE, RATE, TOP = 1.001, 20.0, 2**16 - 1
 DEVIATIONS = 5.5
 # Bands of up to this many sets are paired as they are.
 SMALL_BAND = 8
+# A shingle is rare in a crowd if at most so many of its sets hold it.
+RARE = 24
 # So many candidates of a set are read in full before those that are left are cut to different components.
 FIRST_TRIES = 3
 
@@ -118,20 +120,23 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(per_batch, "node long, shingles array<long>")
 
 
-def _lonely_shingles(sets: DataFrame) -> DataFrame:
-    """(node, lonely): how many shingles of a set no other of `sets` holds. Tasks count before they shuffle."""
+def _rare_shingles(sets: DataFrame) -> DataFrame:
+    """(hash, nodes): shingles that at most `RARE` of `sets` hold, and these. Tasks gather and count before they shuffle."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists, nodes = batch.column("shingles"), batch.column("node").to_numpy()
-            values, lengths = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
-            found, first, n = np.unique(values, return_index=True, return_counts=True)
-            owner = np.repeat(nodes, lengths)[first] if len(first) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(owner), pa.array(n)], names=["hash", "node", "n"])
+            values, owners = lists.flatten().to_numpy(), np.repeat(nodes, np.diff(lists.offsets.to_numpy()))
+            order = np.argsort(values, kind="stable")
+            found, first, n = np.unique(values[order], return_index=True, return_counts=True)
+            few = n <= RARE
+            ends = np.concatenate([[0], np.cumsum(np.where(few, n, 0))]).astype(np.int32)
+            held = pa.ListArray.from_arrays(pa.array(ends), pa.array(owners[order][np.repeat(few, n)]))
+            yield pa.RecordBatch.from_arrays([pa.array(found), held, pa.array(n)], names=["hash", "nodes", "n"])
 
-    counted = sets.select("node", "shingles").mapInArrow(per_batch, "hash long, node long, n long")
-    once = counted.groupBy("hash").agg(F.sum("n").alias("n"), F.min("node").alias("node")).filter("n = 1")
-    return once.groupBy("node").agg(F.count(F.lit(1)).alias("lonely"))
+    counted = sets.select("node", "shingles").mapInArrow(per_batch, "hash long, nodes array<long>, n long")
+    rare = counted.groupBy("hash").agg(F.sum("n").alias("n"), F.flatten(F.collect_list("nodes")).alias("nodes"))  # RARE of a batch at most
+    return rare.filter(F.col("n") <= RARE).select("hash", "nodes")
 
 
 def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -171,9 +176,9 @@ def _fits(size: str, other: str, percent: int):
     return 100 * F.least(size, other) >= percent * F.greatest(size, other)
 
 
-def _possible(percent: int):
-    """Two sets of a crowd share at most what either has in common with the crowd."""
-    shared = F.least("common", "b_common")
+def _possible(percent: int, rare=0):
+    """Two sets of a crowd share `rare` shingles that are rare there, and of the others at most what either has."""
+    shared = F.least("common", "b_common") + rare
     return 100 * shared >= percent * (F.col("size") + F.col("b_size") - shared)
 
 
@@ -184,12 +189,14 @@ def _with_roots(nodes: DataFrame, roots: DataFrame) -> DataFrame:
 def near_links(docs: DataFrame, sets: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) between `sets` (node, version, size, sketch) whose components are those of all links.
 
-    Sets that agree in a band are candidates. Bands of up to `SMALL_BAND` sets are paired. In a larger one every
-    set is paired with the most central one: the one that meets the most others in large bands. Candidates pass the sizes and the likelihood estimate, then the whole sets decide: first
-    for the best candidate of each set, which joins most of a group, then for candidates between different
-    components only. In large bands sets outside the component of the central one are held against the others at
-    last. Sets of large bands are compared only if their sizes without lonely shingles (that no other set of a large band holds) allow the similarity; so sets far from all
-    others fall out uncompared, of a group of copies about as many pairs as copies are read, and none that links
+    Sets that agree in a band are candidates. Bands of up to `SMALL_BAND` sets are paired. The sets of larger bands are the
+    crowd: shingles that at most `RARE` of them hold are rare, and sets that share a rare one are paired. Two sets
+    that share none have at most their other shingles in common, which for most texts with some changes of their own is
+    too little: no such pair is made. Else every set of a large band is paired with the most central one, which meets the
+    most others, and at last the sets outside its component are held against the other sets of the band.
+    Candidates pass the sizes and the likelihood estimate, then the whole sets decide: first
+    for the best three candidates of each set (in a crowd the most central ones), which joins most of a group, then for candidates
+    between different components only. So of a group of copies about as many pairs as copies are read, and none that links
     different components is left out.
     """
     members = stored(_band_members(sets), "band-members")
@@ -202,8 +209,9 @@ def near_links(docs: DataFrame, sets: DataFrame, shingle: int, percent: int) ->
     whole = stored(_whole_sets(docs, wanted.select("node", "version"), shingle), "whole-sets")
 
     crowd = members.filter(F.col("n") > SMALL_BAND).groupBy("node", "size").agg(F.sum("n").alias("fit"))
-    crowd_sets = whole.join(crowd, "node", "left_semi")
-    crowd = crowd.join(_lonely_shingles(crowd_sets), "node", "left").select("node", "size", (F.col("size") - F.coalesce("lonely", F.lit(0))).alias("common"), "fit")
+    rare = stored(_rare_shingles(whole.join(crowd.select("node"), "node", "left_semi")), "rare-shingles")
+    per_node = rare.select(F.explode("nodes").alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("rare"))
+    crowd = crowd.join(per_node, "node", "left").select("node", "size", (F.col("size") - F.coalesce("rare", F.lit(0))).alias("common"), "fit")
     crowd = stored(crowd, "crowd")
     crowded = members.filter(F.col("n") > SMALL_BAND).select("band", "node").join(crowd, "node")
     crowded = crowded.filter(100 * F.col("common") >= percent * F.col("size")).select("band", "node", "size", "common", "fit")
@@ -212,11 +220,12 @@ def near_links(docs: DataFrame, sets: DataFrame, shingle: int, percent: int) ->
     central = stored(central, "centers")
     stars = crowded.join(central, "band").filter("node <> center")
     stars = stars.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
-
-    pairs = pairs.union(stars).distinct().join(crowd.toDF("a", "size", "common", "a_fit"), "a", "left").join(
-        crowd.toDF("b", "b_size", "b_common", "b_fit"), "b", "left"
-    )
-    pairs = pairs.filter(F.col("common").isNull() | F.col("b_common").isNull() | _possible(percent))
+    sharing = rare.select(F.explode("nodes").alias("a"), "nodes").select("a", F.explode(F.filter("nodes", lambda b: b > F.col("a"))).alias("b"))
+    sharing = sharing.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    none = F.lit(0).cast("long").alias("shared")
+    pairs = pairs.select("a", "b", none).union(stars.select("a", "b", none)).union(sharing).groupBy("a", "b").agg(F.max("shared").alias("shared"))
+    pairs = pairs.join(crowd.toDF("a", "size", "common", "a_fit"), "a", "left").join(crowd.toDF("b", "b_size", "b_common", "b_fit"), "b", "left")
+    pairs = pairs.filter(F.col("common").isNull() | F.col("b_common").isNull() | _possible(percent, F.col("shared")))
     likely = stored(_likely(pairs.select("a", "b", "a_fit", "b_fit"), sets, percent), "likely-pairs")
     both_ways = likely.select(F.col("a").alias("node"), F.struct("b_fit", "similarity", "a", "b").alias("way")).union(
         likely.select(F.col("b").alias("node"), F.struct("a_fit", "similarity", "a", "b").alias("way"))
@@ -242,7 +251,7 @@ def near_links(docs: DataFrame, sets: DataFrame, shingle: int, percent: int) ->
 
     more = _confirmed(open_pairs.union(_likely(rest, sets, percent).select("a", "b")).distinct(), whole, percent)
     out = stored(links.union(more), "all-links")
-    for used in (members, whole, crowd, crowded, central, likely, roots, placed):
+    for used in (members, whole, rare, crowd, crowded, central, likely, roots, placed):
         drop_stored(used)
     return out
 
