@@ -48,12 +48,14 @@ def pivotal_grams(words: DataFrame) -> DataFrame:
     """(word, n, size, letters, mask, last, prefix, pivots) of `words` (word, n), words of three bigrams or more.
 
     Bigrams are ordered by how many words hold them, the rarest first. `prefix` holds the first three of a word, with their places, and all
-    that equal the last of these; `last` is that one; `pivots` are two disjoint ones of the first three with the
+    that equal the last of these; `last` is where that one stands in the order; `pivots` are two disjoint ones of the first three with the
     fewest words. `letters` and `mask` are bit sets of hashed letters and bigrams.
     """
     places = F.transform(F.sequence(F.lit(0), F.length("word") - 2), lambda i: F.struct(F.substring("word", i + 1, F.lit(2)).alias("gram"), i.alias("at")))
     grams = words.filter(F.length("word") > PREFIX).select("word", "n", F.explode(places).alias("g")).select("word", "n", "g.gram", "g.at")
-    counted = stored(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")), "gram-counts")
+    # One number to sort by: the count, then a hash of the bigram. Equal numbers of different bigrams do no harm.
+    df = F.count(F.lit(1)) * (1 << 20) + F.pmod(F.xxhash64("gram"), F.lit(1 << 20))
+    counted = stored(grams.groupBy("gram").agg(df.alias("df")), "gram-counts")
     # A bigram has at most 8 bytes.
     held = grams.join(broadcast_if_small(counted, 64), "gram").groupBy("word", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "gram", "at"))).alias("grams"), F.bit_or(_bit(F.col("gram"))).alias("mask")
@@ -63,8 +65,7 @@ def pivotal_grams(words: DataFrame) -> DataFrame:
     first = F.array_sort(F.slice("grams", 1, PREFIX), lambda x, y: x["at"] - y["at"])
     return held.select(
         "word", "n", F.length("word").alias("size"), letters.alias("letters"), "mask",
-        F.struct(third["df"].alias("df"), third["gram"].alias("gram")).alias("last"),
-        F.filter("grams", lambda g: F.struct(g["df"], g["gram"]) <= F.struct(third["df"], third["gram"])).alias("prefix"),
+        third["df"].alias("last"), F.filter("grams", lambda g: g["df"] <= third["df"]).alias("prefix"),
         _cheapest_disjoint(first).alias("pivots"),
     )
 
@@ -86,9 +87,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
     pivots = pivots.select(*[F.col(c).alias(f"p_{c}") for c in shared], "gram", "m.at", "m.size")
     differ = lambda name: F.bit_count(F.col(name).bitwiseXOR(F.col(f"p_{name}")))
     near = (
-        (F.col("p_last") <= F.col("last"))
-        & (differ("mask") <= 4)
+        (differ("mask") <= 4)
         & (differ("letters") <= 2)
+        & (F.col("p_last") <= F.col("last"))
         & (F.col("word") != F.col("p_word"))
         & (F.levenshtein("word", "p_word", 1) == 1)
     )
