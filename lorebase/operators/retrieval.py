@@ -1,8 +1,8 @@
 """Text and vector retrieval for whole tables of questions.
 
-Text vectors are TF-IDF weights kept as (unit, term, weight) rows. All rows of a document
-live in one partition, so the scores of a question against a document add up without a
-shuffle, and only the k best rows per question and partition leave it.
+Text vectors are TF-IDF weights, kept as an index of blocks: the weights of a term that are about
+equally large. Blocks that cannot lift a document to a question's k-th score are passed over; what is left
+is summed up per document, and only the k best rows per question and partition leave it.
 """
 
 from __future__ import annotations
@@ -16,13 +16,11 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from lorebase.functions.text import CHUNK_OVERLAP, CHUNK_SIZE, chunks, tokens
 from lorebase.operators.skew import hot_keys, lookup_join
-from lorebase.session import broadcast_if_few, scratch_path
+from lorebase.session import broadcast_if_few, scratch_path, written
 
 SCORE_DIGITS = 6
 # Most bytes of question terms that one broadcast may hold.
 BROADCAST_BYTES = 64 << 20
-# From this many matches of a question term and a document on, frequent terms are set aside first.
-PRUNE_MATCHES = 100_000_000
 # Most question vectors that travel with a task.
 VECTOR_BLOCK = 4096
 
@@ -38,9 +36,10 @@ def chunk_documents(
 
 
 class TextIndex(NamedTuple):
-    """Postings with the figures all weights depend on, measured once per search."""
+    """A kept search index: weights in blocks by term and size of the weight, and the figures all weights depend on."""
 
-    postings: DataFrame  # (unit, term, tf)
+    weights: DataFrame  # (unit, term, weight, class, bucket)
+    blocks: DataFrame  # (term, class, bucket, n, largest): how many weights a block holds, and the largest
     unit: list[str]  # what a text is: a document, or a chunk of one
     terms: DataFrame  # (term, df)
     units: int  # number of texts
@@ -48,42 +47,83 @@ class TextIndex(NamedTuple):
     term_bytes: int  # size of `terms`
 
 
-def open_index(postings: DataFrame, unit: list[str] | None = None) -> TextIndex:
-    """Count the document frequencies of live postings, so weights are never stale.
+# Weights of a class lie within a quarter of a factor of two.
+CLASSES_PER_OCTAVE, LAST_CLASS = 4, 63
+# Postings of a bucket of terms, about; a search reads the buckets of its terms only.
+BUCKET_ROWS, MOST_BUCKETS = 1 << 19, 4096
+# A term with very many weights is written by so many tasks.
+BUCKET_SPREAD = 4
+FIGURES = "unit array<string>, units bigint, rows bigint, term_bytes bigint"
+
+
+def write_index(postings: DataFrame, path: str, unit: list[str] | None = None) -> None:
+    """Write the search index of live postings (unit, term, tf) to `path`.
 
-    They are written as a table: weights of documents and of questions, and the choice of
-    join, all read them. Tasks count before they shuffle, so frequent terms stay cheap.
+    Document frequencies are counted first, so weights are never stale, then each text's weights and norm. Weights are
+    clustered by bucket, term and class. The figures come last and in one file: an index without them does not count.
     """
     unit = unit or ["doc_id"]
     spark = postings.sparkSession
-    path = scratch_path(spark, "terms")
-    postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.parquet(path)
-    terms = spark.read.schema("term string, df bigint").parquet(path)
+    postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.mode("overwrite").parquet(f"{path}/terms")
+    terms = spark.read.schema("term string, df bigint").parquet(f"{path}/terms")
     size = terms.agg(F.sum("df").alias("rows"), F.sum(F.length("term") * 4 + 24).alias("bytes")).first()
     units = postings.agg(F.count_distinct(*unit)).first()[0]
-    return TextIndex(postings, unit, terms, units, size["rows"] or 0, size["bytes"] or 0)
+    rows, term_bytes = size["rows"] or 0, size["bytes"] or 0
+    buckets = max(1, min(MOST_BUCKETS, rows // BUCKET_ROWS))
+    raw = _raw_weights(postings, terms, unit, units, rows, term_bytes).repartition("doc_id")
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(*unit)))
+    weight = F.col("raw") / norm
+    classed = F.least(F.floor(-CLASSES_PER_OCTAVE * F.log2("weight")), F.lit(LAST_CLASS)).cast("int")
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+    weighed = raw.select(*unit, "term", weight.alias("weight")).withColumn("class", classed).withColumn("bucket", bucket)
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKET_SPREAD if rows > BUCKET_ROWS else 1))
+    weighed = weighed.repartition("bucket", spread).sortWithinPartitions("bucket", "term", "class")
+    weighed.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/weights")
+    typed = [f"{c} {postings.schema[c].dataType.simpleString()}" for c in unit]
+    weighed = _read_weights(spark, path, typed)
+    blocks = weighed.groupBy("bucket", "term", "class").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("largest"))
+    blocks.select("term", "class", "bucket", "n", "largest").write.mode("overwrite").parquet(f"{path}/blocks")
+    spark.createDataFrame([(typed, units, rows, term_bytes)], FIGURES).coalesce(1).write.mode("overwrite").parquet(f"{path}/figures")
+
+
+def _read_weights(spark, path: str, unit: list[str]) -> DataFrame:
+    return spark.read.schema(f"{', '.join(unit)}, term string, weight double, class int, bucket int").parquet(f"{path}/weights")
+
+
+def read_index(spark, path: str) -> TextIndex:
+    """The search index that `write_index` has put there."""
+    figures = spark.read.schema(FIGURES).parquet(f"{path}/figures").first()
+    blocks = spark.read.schema("term string, class int, bucket int, n bigint, largest double").parquet(f"{path}/blocks")
+    terms = spark.read.schema("term string, df bigint").parquet(f"{path}/terms")
+    weights, unit = _read_weights(spark, path, figures["unit"]), [c.split(" ")[0] for c in figures["unit"]]
+    return TextIndex(weights, blocks, unit, terms, figures["units"], figures["rows"], figures["term_bytes"])
+
+
+def open_index(postings: DataFrame, unit: list[str] | None = None) -> TextIndex:
+    """The search index of postings that only this application needs."""
+    path = scratch_path(postings.sparkSession, "index")
+    write_index(postings, path, unit)
+    return read_index(postings.sparkSession, path)
 
 
-def _weight(index: TextIndex, tf, df):
-    return (1 + F.log(tf.cast("double"))) * (F.log(F.lit(1.0 + index.units) / (1 + df.cast("double"))) + 1)
+def _weight(units: int, tf, df):
+    return (1 + F.log(tf.cast("double"))) * (F.log(F.lit(1.0 + units) / (1 + df.cast("double"))) + 1)
 
 
-def _raw_weights(index: TextIndex) -> DataFrame:
+def _raw_weights(postings: DataFrame, terms: DataFrame, unit: list[str], units: int, rows: int, term_bytes: int) -> DataFrame:
     """Weights before normalisation, (unit, term, raw). A vocabulary within the bound of a
     broadcast leaves the postings where they are; else hot terms are spread."""
-    if index.term_bytes <= BROADCAST_BYTES:
-        joined = index.postings.join(F.broadcast(index.terms), "term")
+    if term_bytes <= BROADCAST_BYTES:
+        joined = postings.join(F.broadcast(terms), "term")
     else:
-        hot = hot_keys(index.terms, "term", "df", index.rows)
-        joined = lookup_join(index.postings, index.terms, "term", spread_by="doc_id", hot=hot)
-    return joined.select(*index.unit, "term", _weight(index, F.col("tf"), F.col("df")).alias("raw"))
+        hot = hot_keys(terms, "term", "df", rows)
+        joined = lookup_join(postings, terms, "term", spread_by="doc_id", hot=hot)
+    return joined.select(*unit, "term", _weight(units, F.col("tf"), F.col("df")).alias("raw"))
 
 
 def embed_tfidf(index: TextIndex) -> DataFrame:
-    """L2-normalised TF-IDF weights (unit, term, weight); one partition holds a document whole."""
-    raw = _raw_weights(index).repartition("doc_id")
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(*index.unit)))
-    return raw.select(*index.unit, "term", (F.col("raw") / norm).alias("weight"))
+    """L2-normalised TF-IDF weights (unit, term, weight)."""
+    return index.weights.select(*index.unit, "term", "weight")
 
 
 def embed_questions(questions: DataFrame, index: TextIndex) -> DataFrame:
@@ -100,7 +140,7 @@ def embed_questions(questions: DataFrame, index: TextIndex) -> DataFrame:
         known = asked.select("term").join(index.terms, "term", "left")
         joined = lookup_join(counts, known, "term", spread_by="question_id", hot=hot_keys(asked, "term", "rows"))
     joined = joined.withColumn("df", F.coalesce("df", F.lit(0)))
-    raw = joined.select("question_id", "term", "df", _weight(index, F.col("tf"), F.col("df")).alias("raw"))
+    raw = joined.select("question_id", "term", "df", _weight(index.units, F.col("tf"), F.col("df")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy("question_id")))
     return raw.select("question_id", "term", (F.col("raw") / norm).alias("question_weight"), "df")
 
@@ -129,13 +169,6 @@ def question_blocks(weights: DataFrame, limit: int = BROADCAST_BYTES) -> list[tu
     return [(weights.filter(part == r["part"]), r["bytes"] <= limit) for r in sizes]
 
 
-def _scores(weights: DataFrame, question_weights: DataFrame, unit: list[str], small: bool) -> DataFrame:
-    """Cosine per (question, unit) sharing a term."""
-    matched = weights.join(F.broadcast(question_weights) if small else question_weights, "term")
-    score = F.round(F.sum(F.col("weight") * F.col("question_weight")), SCORE_DIGITS)
-    return matched.groupBy(*unit, "question_id").agg(score.alias("score"))
-
-
 def _top(scores: DataFrame, k: int, by: str = "question_id", tie: str = "doc_id") -> DataFrame:
     """The k best rows per question, numbered from 1; equal scores go by `tie`."""
     best = W.partitionBy(by).orderBy(F.desc("score"), tie)
@@ -154,136 +187,122 @@ def search_topk_text(
     threshold: float | None = None,
     exclude_self: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-    prune_matches: int = PRUNE_MATCHES,
 ) -> DataFrame:
     """(question_id, doc_id, score, rank) for `questions` (question_id, question).
 
     Exact. `threshold` keeps scores at or above it; it is off unless given. Questions
-    beyond the size of a broadcast are answered part by part over the same weights. When
-    the questions' terms match very often, `split_terms` keeps the most frequent of them
-    from pairing each question with nearly every document.
+    beyond the size of a broadcast are answered part by part over the same index. See `_found`.
     """
     _check_k(k)
-    question_weights = embed_questions(questions, index).checkpoint()
-    matches = question_weights.agg(F.sum("df")).first()[0] or 0
-    weights = embed_tfidf(index)
-    prune = matches > prune_matches
-    if prune:
-        weights = _asked_weights(weights, question_weights, broadcast_bytes)
-    out = None
-    for part, small in question_blocks(question_weights, broadcast_bytes):
-        if prune:
-            scores = _pruned_scores(weights, split_terms(weights, part, k, exclude_self, small), small)
-        else:
-            scores = _scores(weights, part, ["doc_id"], small)
-        if exclude_self:
-            scores = scores.filter("doc_id <> question_id")
-        if threshold is not None:
-            scores = relevance_filter(scores, threshold)
-        hits = _top(scores, k)
-        out = hits if out is None else out.unionByName(hits)
-    return out.select("question_id", "doc_id", "score", "rank")
+    found = _found(questions, index, k, threshold, exclude_self, broadcast_bytes)
+    if threshold is not None:
+        found = relevance_filter(found, threshold)
+    return _top(found, k).select("question_id", "doc_id", "score", "rank")
 
 
-# --- exact search without the pairs that cannot win ---------------------------------------
+# Weights that the first look at a question's blocks takes in, per hit that is wanted.
+FIRST_LOOK = 100
+# Scores are compared after rounding, so a floor must be missed by more than a rounding step.
+SLACK = 2 * 10.0**-SCORE_DIGITS
 
 
-def _asked_weights(weights: DataFrame, question_weights: DataFrame, broadcast_bytes: int) -> DataFrame:
-    """The weights of terms that some question has, as a table: the passes below read it, not the index.
+def _found(questions: DataFrame, index: TextIndex, k: int, threshold: float | None, exclude_self: bool, broadcast_bytes: int) -> DataFrame:
+    """(question_id, unit, score) of all texts that can be among the k best documents of a question, with their exact scores.
 
-    `size_class` tells short documents from long ones, in steps of a factor of two. In
-    short documents each word weighs much, so they get bounds of their own.
-    """
-    spark = weights.sparkSession
-    wanted = question_weights.select("term").distinct()
-    size = wanted.agg(F.sum(F.length("term") * 4 + 16)).first()[0] or 0
-    terms_in_doc = F.count(F.lit(1)).over(W.partitionBy("doc_id"))
-    classed = weights.withColumn("size_class", F.floor(F.log2(terms_in_doc)).cast("int"))
-    path = scratch_path(spark, "asked")
-    classed.join(F.broadcast(wanted) if size <= broadcast_bytes else wanted, "term", "left_semi").write.parquet(path)
-    return spark.read.schema("term string, doc_id string, weight double, size_class int").parquet(path)
-
-
-def split_terms(asked: DataFrame, question_weights: DataFrame, k: int, exclude_self: bool, small: bool) -> DataFrame:
-    """Mark per question and size class the terms a document must share one of to be among the k best.
-
-    The documents that hold the rarest terms of a question are scored first; the k-th best
-    of these scores is a floor. A term adds at most its largest weight in any document of
-    the class. Terms whose largest contributions together stay under the floor cannot lift
-    a document to it, so documents that share only such terms are out. A question whose
-    rarest terms find fewer than k documents keeps all its terms.
+    Blocks of weights that cannot lift a document to the k-th score are never read for it:
+
+    1. The blocks of a question's terms that can add most are read first; the k-th best sum over them is a floor under the k-th score.
+    2. Of all its blocks, the least ones are set aside as long as a text that has only such blocks, one of each term, stays under the floor.
+       A question that would have less than half of its weights set aside reads all at once instead.
+    3. Texts in the blocks that are left are candidates; those whose sum, with all that was set aside, stays under the floor go.
+    4. The blocks set aside are read for the remaining candidates only.
+
+    Only the buckets of asked terms are read, and their weights pass a filter by block before any shuffle. What shuffles are
+    weights by document; pairs of question and text add up where the document is.
     """
-    rarest = W.partitionBy("question_id").orderBy("df", "term").rowsBetween(W.unboundedPreceding, -1)
-    largest = asked.groupBy("term", "size_class").agg(F.max("weight").alias("largest"))
-    terms = (
-        question_weights.filter("df > 0")
-        .withColumn("needed", F.coalesce(F.sum("df").over(rarest), F.lit(0)) < 4 * k + 1)
-        .join(largest, "term")
-        .select("question_id", "term", "size_class", "question_weight", "largest", "needed")
-        .checkpoint()
-    )
-    first_scores = _pruned_scores(asked, terms.drop("largest"), small)
-    if exclude_self:
-        first_scores = first_scores.filter("doc_id <> question_id")
-    floor = _top(first_scores, k).filter(F.col("rank") == k).select("question_id", F.col("score").alias("floor"))
-    adding = (
-        W.partitionBy("question_id", "size_class").orderBy("most", "term").rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    # Scores are compared after rounding, so a floor must be missed by more than a rounding step.
-    reaches = F.col("together") >= F.col("floor") - 2 * 10.0**-SCORE_DIGITS
-    return (
-        terms.withColumn("most", F.col("question_weight") * F.col("largest"))
-        .withColumn("together", F.sum("most").over(adding))
-        .join(floor, "question_id", "left")
-        .withColumn("needed", F.coalesce(reaches, F.lit(True)))
-        .select("question_id", "term", "size_class", "question_weight", "needed")
-        .checkpoint()
-    )
+    question_weights = written(embed_questions(questions, index), "question-weights")
+    out = None
+    for part, small in question_blocks(question_weights, broadcast_bytes):
+        found = _found_for(part, small, index, k, threshold, exclude_self)
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
-def _pruned_scores(asked: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
-    """Full cosine of the documents that share a needed term; the other terms only add to these."""
+def _found_for(part: DataFrame, small: bool, index: TextIndex, k: int, threshold: float | None, exclude_self: bool) -> DataFrame:
     hint = F.broadcast if small else (lambda df: df)
-    needed = terms.filter("needed").drop("needed")
-    rest = terms.filter("not needed").drop("needed")
-    place = ["term", "size_class"]
-    product = F.sum(F.col("weight") * F.col("question_weight"))
-    candidates = (
-        asked.join(hint(needed.select(*place).distinct()), place, "left_semi")
-        .repartition("doc_id")
-        .join(hint(needed), place)
-        .groupBy("doc_id", "question_id", "size_class")
-        .agg(product.alias("base"))
-    )
-    others = asked.join(hint(rest.select(*place).distinct()), place, "left_semi").drop("size_class").repartition("doc_id")
-    return (
-        candidates.join(others, "doc_id", "left")
-        .join(hint(rest), ["question_id", "term", "size_class"], "left")
-        .groupBy("doc_id", "question_id")
-        .agg(F.round(F.max("base") + F.coalesce(product, F.lit(0.0)), SCORE_DIGITS).alias("score"))
-    )
+    block = ["bucket", "term", "class"]
+    asked = index.blocks.join(hint(part.select("question_id", "term", "question_weight")), "term")
+    asked = asked.withColumn("most", F.col("question_weight") * F.col("largest"))
+    by_gain = W.partitionBy("question_id").orderBy(F.desc("most"), "term", "class").rowsBetween(W.unboundedPreceding, -1)
+    lesser = F.lag("most", 1, 0.0).over(W.partitionBy("question_id", "term").orderBy("most", F.desc("class")))
+    asked = asked.withColumn("first", F.coalesce(F.sum("n").over(by_gain), F.lit(0)) < FIRST_LOOK * k + 1)
+    asked = written(asked.withColumn("step", F.col("most") - lesser), "asked-blocks")
+
+    partial = _sums(index, asked.filter("first"), block, hint)
+    if exclude_self:
+        partial = partial.filter("doc_id <> question_id")
+    if index.unit != ["doc_id"]:
+        partial = partial.groupBy("doc_id", "question_id").agg(F.max("sum").alias("sum"))
+    floor = _top(partial.withColumnRenamed("sum", "score"), k).filter(F.col("rank") == k).select("question_id", F.col("score").alias("floor"))
+    if threshold is not None:
+        wanted = part.select("question_id").distinct().join(floor, "question_id", "left")
+        floor = wanted.select("question_id", F.greatest("floor", F.lit(float(threshold))).alias("floor"))
+
+    adding = W.partitionBy("question_id").orderBy("most", "term", F.desc("class")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    split = asked.withColumn("together", F.sum("step").over(adding)).join(floor, "question_id", "left")
+    split = split.withColumn("needed", F.coalesce(F.col("together") >= F.col("floor") - SLACK, F.lit(True)))
+    whole = W.partitionBy("question_id")
+    mostly = F.sum(F.when(F.col("needed"), F.col("n")).otherwise(0)).over(whole) * 2 > F.sum("n").over(whole)
+    split = split.withColumn("needed", F.col("needed") | mostly)
+    split = written(split.select("question_id", *block, "question_weight", "together", "floor", "needed"), "split-blocks")
+    aside = split.filter("not needed")
+    spare = aside.groupBy("question_id").agg(F.max("together").alias("spare"), F.first("floor").alias("floor"))
+
+    candidates = _sums(index, split.filter("needed"), block, hint).join(hint(spare), "question_id", "left")
+    candidates = candidates.filter(F.coalesce(F.col("sum") + F.col("spare") >= F.col("floor") - SLACK, F.lit(True)))
+    if exclude_self:
+        candidates = candidates.filter("doc_id <> question_id")
+    if aside.isEmpty():
+        return candidates.select(*index.unit, "question_id", F.round("sum", SCORE_DIGITS).alias("score"))
+    candidates = written(candidates.select(*index.unit, "question_id", "sum"), "candidates")
+
+    kept = broadcast_if_few(candidates.select(*index.unit))
+    others = _block_weights(index, aside, block, hint).join(kept, index.unit, "left_semi")
+    pairs = [*index.unit, "question_id"]
+    more = others.repartition("doc_id").join(hint(aside.select("question_id", *block, "question_weight")), block)
+    more = more.select(*pairs, (F.col("weight") * F.col("question_weight")).alias("sum"))
+    both = candidates.repartition("doc_id").select(*pairs, "sum", F.lit(True).alias("candidate")).unionByName(more.withColumn("candidate", F.lit(False)))
+    score = F.round(F.sum("sum"), SCORE_DIGITS)
+    return both.groupBy(*pairs).agg(score.alias("score"), F.max("candidate").alias("candidate")).filter("candidate").drop("candidate")
+
+
+def _block_weights(index: TextIndex, wanted: DataFrame, block: list[str], hint) -> DataFrame:
+    """The weights in the blocks that `wanted` names, out of their buckets only."""
+    buckets = [r[0] for r in wanted.select("bucket").distinct().collect()]  # MOST_BUCKETS numbers at most
+    return index.weights.filter(F.col("bucket").isin(buckets)).join(hint(wanted.select(*block)), block, "left_semi")
+
+
+def _sums(index: TextIndex, wanted: DataFrame, block: list[str], hint) -> DataFrame:
+    """(unit, question_id, sum): what the texts in `wanted` blocks (question_id, block, question_weight) gather there."""
+    held = _block_weights(index, wanted, block, hint).repartition("doc_id")
+    matched = held.join(hint(wanted.select("question_id", *block, "question_weight")), block)
+    return matched.groupBy(*index.unit, "question_id").agg(F.sum(F.col("weight") * F.col("question_weight")).alias("sum"))
 
 
 def relevance_filter(hits: DataFrame, threshold: float = 0.7) -> DataFrame:
     return hits.filter(F.col("score") >= threshold)
 
 
-def search_chunk_rollup(questions: DataFrame, index: TextIndex, k: int = 5) -> DataFrame:
-    """Search an index of chunks, keep the best chunk of each document, then the k best documents."""
+def search_chunk_rollup(questions: DataFrame, index: TextIndex, k: int = 5, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Search an index of chunks, keep the best chunk of each document, then the k best documents.
+
+    The floor under the k-th score is that of documents, so chunks are passed over as whole texts are in `search_topk_text`.
+    """
     _check_k(k)
-    question_weights = embed_questions(questions, index).checkpoint()
-    weights = embed_tfidf(index)
-    out = None
-    for part, small in question_blocks(question_weights):
-        best = (
-            _scores(weights, part, index.unit, small)
-            .groupBy("doc_id", "question_id")
-            .agg(F.max(F.struct("score", -F.col("chunk_no"))).alias("best"))
-            .select("question_id", "doc_id", F.col("best.score").alias("score"), (-F.col("best.col2")).alias("chunk_no"))
-        )
-        hits = _top(best, k)
-        out = hits if out is None else out.unionByName(hits)
-    return out.select("question_id", "doc_id", "chunk_no", "score", "rank")
+    found = _found(questions, index, k, None, False, broadcast_bytes)
+    best = found.groupBy("doc_id", "question_id").agg(F.max(F.struct("score", (-F.col("chunk_no")).alias("least"))).alias("best"))
+    best = best.select("question_id", "doc_id", F.col("best.score").alias("score"), (-F.col("best.least")).alias("chunk_no"))
+    return _top(best, k).select("question_id", "doc_id", "chunk_no", "score", "rank")
 
 
 def attach_documents(hits: DataFrame, docs: DataFrame) -> DataFrame:

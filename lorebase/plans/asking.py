@@ -8,7 +8,7 @@ from lorebase.functions import text as t
 from lorebase.operators import ask, guard
 from lorebase.operators.retrieval import search_topk_text
 from lorebase.plans.business import TOP, WITH
-from lorebase.plans.knowledge import index_of
+from lorebase.plans.knowledge import kept_index
 from lorebase.plans.registry import query
 from lorebase.plans.sql import ALL_QUESTIONS, FULL_KB, text, tfidf
 from lorebase.sources import bindings as b
@@ -33,11 +33,15 @@ answered AS (
   FROM questions q LEFT JOIN best USING (question_id))"""
 
 
+def full_index(spark, folder):
+    return kept_index(spark, folder, "full", lambda: b.full_kb(spark, folder))
+
+
 def _asked(spark, folder):
     """Questions, knowledge base and what retrieval finds for them."""
     questions = ask.clean_questions(b.all_questions(spark, folder))
     docs = b.full_kb(spark, folder)
-    return questions, docs, ask.retrieve_context(questions, docs, index_of(spark, docs))
+    return questions, docs, ask.retrieve_context(questions, docs, full_index(spark, folder))
 
 
 @query("assemble_context", f"WITH {CONTEXT} SELECT * FROM ctx")
@@ -90,7 +94,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     docs = b.full_kb(spark, folder)
-    answers = ask.ask_batch(b.all_questions(spark, folder), docs, index_of(spark, docs))
+    answers = ask.ask_batch(b.all_questions(spark, folder), docs, full_index(spark, folder))
     return answers.withColumn("context_docs", F.array_join("context_docs", ","))
 
 
@@ -110,7 +114,7 @@ def _(spark, folder):
     register_business_views(spark, folder)
     docs = b.full_kb(spark, folder)
     wanted = spark.createDataFrame([BUSINESS_QUESTIONS[1]], "question_id string, question string")
-    for _, run in ask.ask_and_execute(wanted, docs, index_of(spark, docs)):
+    for _, run in ask.ask_and_execute(wanted, docs, full_index(spark, folder)):
         if run.result is None:
             raise RuntimeError(f"{run.status}: {run.reason}")
         return run.result
@@ -132,7 +136,7 @@ def _(spark, folder):
     """Every question, about the business and out of the benchmark, from retrieval to the rows of its statement."""
     register_business_views(spark, folder)
     docs = b.full_kb(spark, folder)
-    done = ask.execute_answers(b.all_questions(spark, folder), docs, index_of(spark, docs))
+    done = ask.execute_answers(b.all_questions(spark, folder), docs, full_index(spark, folder))
     return done.select("question_id", "answer_doc", "status", F.col("rows").cast("int").alias("rows"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lorebase.operators import retrieval as r
 from lorebase.plans.registry import query
 from lorebase.plans.sql import KB, LIVE_EVENTS, SCHEMA_COLUMNS, tfidf
-from lorebase.session import scratch_path
+from lorebase.session import exists, kept_path, scratch_path
 from lorebase.sources import bindings as b
 from lorebase.sources import kb
 from lorebase.sources.tables import read_table
@@ -15,9 +15,20 @@ from lorebase.streaming.sync import run_kb_sync
 from lorebase.streaming.usage import read_stream
 
 
-def index_of(spark, docs, unit=None):
-    """Index a table of texts for this run."""
-    return r.open_index(kb.write_postings(docs, scratch_path(spark, "postings"), unit), unit)
+def kept_index(spark, folder, name, docs, unit=None):
+    """The search index of a table of texts, written by the first query that needs it and read by the others.
+
+    It is kept for this application, during which the tables of a folder are taken not to change.
+    """
+    path = kept_path(spark, f"index-{name}", folder)
+    if not exists(spark, f"{path}/figures/_SUCCESS"):
+        texts = docs() if unit is None else r.chunk_documents(docs())
+        r.write_index(kb.write_postings(texts, f"{path}/postings", unit), path, unit)
+    return r.read_index(spark, path)
+
+
+def document_index(spark, folder):
+    return kept_index(spark, folder, "documents", lambda: b.document_kb(spark, folder))
 
 
 # --- the table --------------------------------------------------------------------------
@@ -152,13 +163,13 @@ def _(spark, folder):
 
 @query("embed_tfidf", f"WITH {tfidf()} SELECT doc_id, term, round(weight, 6) AS weight FROM doc_weights")
 def _(spark, folder):
-    weights = r.embed_tfidf(index_of(spark, b.document_kb(spark, folder)))
+    weights = r.embed_tfidf(document_index(spark, folder))
     return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @query("search_topk_text", f"WITH {tfidf()} SELECT question_id, doc_id, score, rank FROM hits WHERE rank <= 5")
 def _(spark, folder):
-    index = index_of(spark, b.document_kb(spark, folder))
+    index = document_index(spark, folder)
     return r.search_topk_text(b.benchmark_questions(spark, folder), index, 5)
 
 
@@ -167,7 +178,7 @@ def _(spark, folder):
     f"WITH {tfidf()} SELECT question_id, doc_id, score, rank FROM hits WHERE rank <= 5 AND score >= 0.3",
 )
 def _(spark, folder):
-    index = index_of(spark, b.document_kb(spark, folder))
+    index = document_index(spark, folder)
     return r.search_topk_text(b.benchmark_questions(spark, folder), index, 5, threshold=0.3)
 
 
@@ -185,8 +196,7 @@ CHUNKS = """chunked AS (
     FROM best QUALIFY rank <= 5""",
 )
 def _(spark, folder):
-    chunks = r.chunk_documents(b.document_kb(spark, folder))
-    index = index_of(spark, chunks, ["doc_id", "chunk_no"])
+    index = kept_index(spark, folder, "chunks", lambda: b.document_kb(spark, folder), ["doc_id", "chunk_no"])
     hits = r.search_chunk_rollup(b.benchmark_questions(spark, folder), index, 5)
     return hits.withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
 
@@ -226,7 +236,7 @@ def _(spark, folder):
       round(avg(coalesce(1.0 / first, 0)), 6) AS mrr FROM per""",
 )
 def _(spark, folder):
-    index = index_of(spark, b.document_kb(spark, folder))
+    index = document_index(spark, folder)
     hits = r.search_topk_text(b.benchmark_questions(spark, folder), index, 5)
     return r.retrieval_quality(hits, b.known_pairs(spark, folder), 5)
 
@@ -256,7 +266,7 @@ def _(spark, folder):
     SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY adjusted DESC, doc_id) AS INT) AS rank FROM adjusted""",
 )
 def _(spark, folder):
-    index = index_of(spark, b.document_kb(spark, folder))
+    index = document_index(spark, folder)
     hits = r.search_topk_text(b.benchmark_questions(spark, folder), index, 10)
     return r.feedback_rerank(hits, r.document_prior(b.history(spark, folder)))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lorebase.operators import usage as u
 from lorebase.plans.business import ORD
-from lorebase.plans.knowledge import index_of
+from lorebase.plans.knowledge import kept_index
 from lorebase.plans.registry import query
 from lorebase.plans.sql import LIVE_EVENTS, tfidf
 from lorebase.session import scratch_path
@@ -156,7 +156,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     questions = u.distinct_questions(b.history(spark, folder))
-    return u.similar_questions(questions, index_of(spark, questions), 3)
+    return u.similar_questions(questions, kept_index(spark, folder, "questions", lambda: questions), 3)
 
 
 STATEMENT = """'SELECT count(*) FROM customers WHERE segment = ''' || {0} || ''' AND nation = ' || {1} || ' AND band = ' ||

@@ -67,6 +67,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to a scratch table and read them back: what follows does not compute them again, also after executors are lost."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def kept_path(spark: SparkSession, name: str, of: str) -> str:
+    """The path of a table that this application keeps, the same for the same `name` and `of`."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid5(uuid.NAMESPACE_URL, of).hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def _scratch_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/lorebase-{spark.sparkContext.applicationId}"
 

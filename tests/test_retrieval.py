@@ -90,19 +90,80 @@ def test_pruned_search_matches_brute_force(spark, k, skip, part):
     frame = spark.createDataFrame(docs, "doc_id string, content string")
     index = r.open_index(kb.write_postings(frame, scratch_path(spark, "postings")))
     questions = spark.createDataFrame(docs, "question_id string, question string")
-    hits = r.search_topk_text(questions, index, k, exclude_self=skip, prune_matches=0, broadcast_bytes=part)
+    hits = r.search_topk_text(questions, index, k, exclude_self=skip, broadcast_bytes=part)
     assert rows(hits) == brute(docs, docs, k, skip_self=skip)
 
 
-def test_pruning_sets_terms_aside(spark):
+def test_blocks_are_set_aside(spark, monkeypatch):
+    """A word in all texts adds little, so its blocks are read for candidates only."""
     docs = [(f"d{i:03d}", "the " * 5 + f"name{i % 20} thing{i % 3}") for i in range(200)]
     frame = spark.createDataFrame(docs, "doc_id string, content string")
     index = r.open_index(kb.write_postings(frame, scratch_path(spark, "postings")))
     questions = spark.createDataFrame([("q", "the thing1 name7"), ("p", "the")], "question_id string, question string")
-    weights = r.embed_questions(questions, index)
-    asked = r._asked_weights(r.embed_tfidf(index), weights, r.BROADCAST_BYTES)
-    split = {(x["question_id"], x["term"]): x["needed"] for x in r.split_terms(asked, weights, 3, False, True).collect()}
-    assert split[("q", "name7")] and not split[("q", "the")] and split[("p", "the")]
+    read = []
+    monkeypatch.setattr(r, "FIRST_LOOK", 4)
+    plain = r._block_weights
+    monkeypatch.setattr(r, "_block_weights", lambda i, wanted, *more: read.append({(x.question_id, x.term) for x in wanted.collect()}) or plain(i, wanted, *more))
+    assert rows(r.search_topk_text(questions, index, 3)) == brute(docs, [("q", "the thing1 name7"), ("p", "the")], 3)
+    first, needed, aside = read
+    assert ("q", "name7") in first and ("q", "the") not in first
+    assert ("q", "name7") in needed and ("q", "the") not in needed and ("p", "the") in needed
+    assert ("q", "the") in aside and ("p", "the") not in aside
+
+
+def test_weights_are_filtered_before_they_shuffle(corpus):
+    """No exchange stands over weights that have not passed the filter by bucket and block."""
+    index = corpus[3]
+    wanted = index.blocks.filter("term = 'plum'").selectExpr("'q' AS question_id", "bucket", "term", "class", "0.5D AS question_weight").checkpoint()
+    sums = r._sums(index, wanted, ["bucket", "term", "class"], F.broadcast)
+    for found in (r.search_topk_text(corpus[2], index, 5), sums):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        above, scans = [], 0
+        for line in plan.splitlines():
+            depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+            above = [x for x in above if x[0] < depth]
+            if "FileScan" in line and re.search(r"[\[,]weight#", line):
+                scans += 1
+                assert "PartitionFilters: [isnotnull(bucket" in line or "PartitionFilters: [bucket" in line
+                kinds = [x[1] for x in above]
+                nearest = max((n for n, x in enumerate(kinds) if x.startswith("Exchange")), default=-1)
+                assert any("LeftSemi" in x for x in kinds[nearest + 1 :])
+            above.append((depth, line.lstrip(" :+-*()0123456789")))
+        assert scans == 1
+
+
+def test_index_reads_the_buckets_of_its_terms(spark, monkeypatch):
+    """Several buckets, weights of a term in several files, and the same hits; an index is read back as it was written."""
+    monkeypatch.setattr(r, "BUCKET_ROWS", 50)
+    docs = texts(200)
+    frame = spark.createDataFrame(docs, "doc_id string, content string")
+    path = scratch_path(spark, "index")
+    r.write_index(kb.write_postings(frame, scratch_path(spark, "postings")), path)
+    index = r.read_index(spark, path)
+    assert index.blocks.select("bucket").distinct().count() > 3
+    asked = [("q1", "plum kiwi"), ("q2", "the fig"), ("q3", "")]
+    questions = spark.createDataFrame(asked, "question_id string, question string")
+    assert rows(r.search_topk_text(questions, index, 7)) == brute(docs, asked, 7)
+    empty = r.open_index(kb.write_postings(frame.filter("doc_id = ''"), scratch_path(spark, "postings")))
+    assert r.search_topk_text(questions, empty, 7).count() == 0
+
+
+def test_chunk_search_matches_brute_force(spark):
+    rng = np.random.default_rng(21)
+    docs = [(f"d{i:02d}", " ".join(rng.choice(WORDS, size=int(rng.integers(1, 400))))) for i in range(40)]
+    pieces = r.chunk_documents(spark.createDataFrame(docs, "doc_id string, content string"))
+    units = {f"{p.doc_id}/{p.chunk_no:04d}": p.content for p in pieces.collect()}
+    asked = [("q1", "plum kiwi kiwi"), ("q2", "mango"), ("q3", " ".join(WORDS))]
+    scores = brute(list(units.items()), asked, len(units))
+    want = set()
+    for q, _ in asked:
+        best = {}
+        for _, u, s, _ in sorted((x for x in scores if x[0] == q), key=lambda x: (-x[2], x[1])):
+            best.setdefault(u.split("/")[0], s)
+        want |= {(q, d, s, n) for n, (d, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:6], 1)}
+    index = r.open_index(kb.write_postings(pieces, scratch_path(spark, "postings"), ["doc_id", "chunk_no"]), ["doc_id", "chunk_no"])
+    questions = spark.createDataFrame(asked, "question_id string, question string")
+    assert rows(r.search_chunk_rollup(questions, index, 6)) == want
 
 
 def test_text_search_with_large_vocabulary(corpus, monkeypatch):
