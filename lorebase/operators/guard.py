@@ -23,7 +23,7 @@ _DENIED = r"(?i)(^|[^\w`])`?(" + "|".join([*DENIED_FUNCTIONS, "identifier"]) + r
 _DENIED_IN_PLAN = re.compile(r"\b(" + "|".join(DENIED_FUNCTIONS) + r")\(", re.IGNORECASE)
 _PATH_TABLE = r"(?i)(from|join|,)\s*(parquet|orc|csv|json|text|avro|binaryfile|delta)\s*\.\s*`"
 _QUERY_START = r"(?i)^[\s(]*(select|with|table|values)\b"
-_WRITE_WORD = r"(?i)(^|[^\w.`])(insert\s+(into|overwrite)|drop\s+\w+|create\s+\w+|alter\s+\w+|delete\s+from|truncate\s+\w+|merge\s+into)\b"
+_WRITE_WORD = r"(?i)(^|[^\w.`])(insert\s+(into|overwrite)|(drop|create|alter|truncate)\s+(or\s+replace\s+|global\s+|temporary\s+|temp\s+|external\s+)*(table|view|database|schema|namespace|function|catalog|index|variable)|delete\s+from|merge\s+into)\b"
 
 def screen(sql):
     """'ok', or why a statement is turned away before Spark sees it."""

@@ -258,3 +258,10 @@ def test_every_question_gets_an_outcome(spark, stock):
         "good": "ok", "good2": "ok", "bad": "rejected", "broken": "failed", "lost": "failed", "plain": "no_sql", "none": "no_context",
     }
     assert got["good"]["rows"] == 7 and got["good"]["checksum"] == got["good2"]["checksum"] is not None
+
+
+def test_columns_may_be_named_like_commands(spark):
+    said = lambda sql: spark.range(1).select(guard.screen(F.lit(sql))).first()[0]
+    assert said("SELECT drop FROM t") == said("SELECT create AS x, alter y FROM t") == "ok"
+    assert said("WITH x AS (SELECT 1) DROP TABLE t") == said("SELECT 1 FROM (CREATE OR REPLACE TEMPORARY VIEW v AS SELECT 1)") == "writes"
+    assert guard.execute_query(spark, "SELECT * FROM (TRUNCATE t)").status != "ok"
