@@ -502,11 +502,10 @@ def related_documents(docs: DataFrame, candidates: DataFrame, k: int = 3) -> Dat
     Documents with equal tags have equal neighbours, so sets of tags are compared, not
     documents. Of the candidates with one set of tags only the first k + 1 ids can be among
     the k best of anything (equal scores go by id, one may be the document itself), and by
-    the same reasoning only the first k + 1 sets. Sets are scored as texts are: the sets of
-    candidates stay in their partition and k + 1 rows per set leave it.
+    the same reasoning only the first k + 1 sets; `related_sets` finds those.
     """
     _check_k(k)
-    tag_set = F.array_sort(F.array_distinct("tags"))
+    tag_set = F.array_compact(F.array_sort(F.array_distinct("tags")))
     key = F.to_json(F.col("tags"))
     tagged = docs.select("doc_id", tag_set.alias("tags")).filter(F.size("tags") > 0).withColumn("set_id", key)
     first = W.partitionBy("member_set").orderBy("doc_id")
@@ -521,34 +520,19 @@ def related_documents(docs: DataFrame, candidates: DataFrame, k: int = 3) -> Dat
             F.sort_array(F.collect_list("doc_id")).alias("members"),  # k + 1 ids at most
             F.first("tags").alias("tags"),  # the same in the whole group
         )
+        .checkpoint()
     )
     sets = (
         tagged.groupBy("set_id")
         .agg(F.count(F.lit(1)).alias("rows"), F.first("tags").alias("tags"))
         .checkpoint()
     )
-    asked = sets.select(F.col("set_id").alias("question_id"), F.size("tags").alias("set_size"), F.explode("tags").alias("term"))
-    offered = members.select(
-        "member_set", F.size("tags").alias("member_size"), F.element_at("members", 1).alias("first_id"), F.explode("tags").alias("term")
-    ).repartition("member_set")
-    best_sets = None
-    for part, small in question_blocks(asked):
-        shared = (
-            offered.join(F.broadcast(part) if small else part, "term")
-            .groupBy("member_set", "question_id")
-            .agg(
-                F.count(F.lit(1)).alias("shared"),
-                F.first(F.col("set_size") + F.col("member_size")).alias("sizes"),
-                F.first("first_id").alias("first_id"),
-            )
-        )
-        score = F.round(F.col("shared") / (F.col("sizes") - F.col("shared")), SCORE_DIGITS)
-        top = _top(shared.withColumn("score", score), k + 1, tie="first_id")
-        best_sets = top if best_sets is None else best_sets.unionByName(top)
+    offered = members.select(F.struct(F.element_at("members", 1).alias("first_id"), "member_set").alias("member"), "tags")
+    best_sets = related_sets(sets.select("set_id", "tags"), offered, k + 1)
     ranked = (
-        best_sets.select("question_id", "member_set", "score")
+        best_sets.select("set_id", F.col("member.member_set").alias("member_set"), "score")
         .join(members.select("member_set", "members"), "member_set")
-        .select(F.col("question_id").alias("set_id"), "score", F.explode("members").alias("related_id"))
+        .select("set_id", "score", F.explode("members").alias("related_id"))
         .withColumn("n", F.row_number().over(W.partitionBy("set_id").orderBy(F.desc("score"), "related_id")))
         .filter(F.col("n") <= k + 1)
         .groupBy("set_id")
@@ -566,6 +550,79 @@ def related_documents(docs: DataFrame, candidates: DataFrame, k: int = 3) -> Dat
     )
 
 
+def related_sets(asked: DataFrame, offered: DataFrame, k: int) -> DataFrame:
+    """(set_id, member, score): exact Jaccard top-k of `asked` (set_id, tags) in `offered` (member, tags); ties go by member.
+
+    `tags` are distinct sets, a row each. Tags are ordered by rarity among the offered, rarest
+    first, and two sets meet at their first tag in common. From there on a set is its suffix: what
+    both share lies in the two suffixes. Sets of equal size and suffix therefore score alike
+    where they meet, so a tag is joined suffix with suffix, not set with set, and of the offered sets behind
+    one suffix the first k are enough. However many sets hold a frequent tag, only still more frequent
+    tags can follow it and its suffixes stay few. Meeting again at a later tag finds a
+    lower score only, and the highest counts.
+
+    All sets first meet at their rarest tag. That gives a k-th score so far, and later tags are
+    passed over where the length of the suffixes cannot reach it.
+    """
+    df = offered.select(F.explode("tags").alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("df")).checkpoint()
+    hot = hot_keys(df, "tag", "df")
+    offers = (
+        _suffixes(offered, "member", df, hot)
+        .withColumn("n", F.row_number().over(W.partitionBy("tag", "size", "suffix").orderBy("member")))
+        .filter(F.col("n") <= k)
+        .groupBy("tag", "size", "suffix")
+        .agg(F.sort_array(F.collect_list("member")).alias("members"))  # k at most
+        .select("tag", F.col("size").alias("o_size"), F.col("suffix").alias("o_suffix"), "members")
+        .checkpoint()
+    )
+    places = _suffixes(asked, "set_id", df, hot).withColumn("node", F.to_json(F.struct("size", "suffix"))).checkpoint()
+    rarest = places.filter("at = 1").withColumn("floor", F.lit(0.0))
+    first = _met(rarest, offers, k).checkpoint()
+    kth = first.groupBy("set_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
+    later = places.filter("at > 1").join(kth, "set_id", "left").withColumn("floor", F.coalesce("kth", F.lit(0.0))).drop("kth")
+    # A set that is nothing but this suffix would score highest.
+    open_places = later.filter(F.round(F.size("suffix") / F.col("size"), SCORE_DIGITS) >= F.col("floor"))
+    found = first.unionByName(_met(open_places, offers, k))
+    best = found.groupBy("set_id", "member").agg(F.max("score").alias("score"))
+    return _top(best, k, by="set_id", tie="member").drop("rank")
+
+
+def _suffixes(sets: DataFrame, key: str, df: DataFrame, hot: DataFrame) -> DataFrame:
+    """(key, size, at, tag, suffix): per tag of a set, rarest first, this tag and those after it; tags not in `df` only count in size."""
+    each = sets.select(key, F.size("tags").alias("size"), F.explode("tags").alias("tag"))
+    ordered = (
+        lookup_join(each, df, "tag", spread_by=key, hot=hot)
+        .groupBy(key, "size")
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "tag"))), lambda t: t["tag"]).alias("tags"))  # one set's tags
+    )
+    return ordered.withColumn("at", F.explode(F.sequence(F.lit(1), F.size("tags")))).select(
+        key, "size", "at", F.element_at("tags", F.col("at")).alias("tag"), F.slice("tags", F.col("at"), F.size("tags")).alias("suffix")
+    )
+
+
+def suffix_pairs(nodes: DataFrame, offers: DataFrame) -> DataFrame:
+    """(node, members, score) of the suffixes that meet at a tag and can reach the floor of their node."""
+    shorter = F.least(F.size("suffix"), F.size("o_suffix"))
+    jaccard = lambda shared: F.round(shared / (F.col("size") + F.col("o_size") - shared), SCORE_DIGITS)
+    pairs = nodes.join(offers, "tag").filter(jaccard(shorter) >= F.col("floor"))
+    return pairs.select("node", "members", jaccard(F.size(F.array_intersect("suffix", "o_suffix"))).alias("score"), "floor")
+
+
+def _met(places: DataFrame, offers: DataFrame, k: int) -> DataFrame:
+    """(set_id, member, score): per place of a set its k best offers by what they share from there on."""
+    nodes = places.groupBy("node", "tag", "size", "suffix").agg(F.min("floor").alias("floor"), F.count(F.lit(1)).alias("rows")).checkpoint()
+    groups = suffix_pairs(nodes.drop("rows"), offers).filter("score >= floor").withColumn("member", F.element_at("members", 1))
+    # Before a set among the k best there are fewer than k groups, as there are fewer than k sets.
+    single = _top(groups, k, by="node", tie="member").select("node", "score", F.explode("members").alias("member"))
+    best = (
+        _top(single, k, by="node", tie="member")
+        .groupBy("node")
+        .agg(F.collect_list(F.struct("member", "score")).alias("best"))  # k at most
+    )
+    spread = lookup_join(places.select("set_id", "node"), best, "node", spread_by="set_id", hot=hot_keys(nodes, "node", "rows"))
+    return spread.select("set_id", F.explode("best").alias("b")).select("set_id", "b.member", "b.score")
+
+
 def document_prior(history: DataFrame) -> DataFrame:
     """(doc_id, approval): share of thumbs up among the votes, smoothed by one vote each way."""
     votes = history.filter("thumbs_up is not null").select(

@@ -277,6 +277,55 @@ def test_related_documents_match_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_related_sets_match_brute_force(spark, k):
+    """Tags of very uneven frequency, sets of one to seven tags, tags that only one side knows, and many ties."""
+    rng = np.random.default_rng(k)
+    names, odds = np.array([f"t{i}" for i in range(30)]), 1 / np.arange(1, 31)
+    def draw(more):
+        picked = rng.choice(names, rng.integers(1, 7), replace=False, p=odds / odds.sum())
+        return sorted({*picked, *rng.choice(more, rng.integers(0, 2))})
+    asked = {f"a{i:03d}": draw(["x", "y"]) for i in range(150)}
+    offered = {f"o{i:03d}": draw(["u", "v"]) for i in range(200)}
+    want = set()
+    for a, tags in asked.items():
+        scores = [(-round(len({*tags} & {*o}) / len({*tags, *o}), 6), name) for name, o in offered.items() if {*tags} & {*o}]
+        want |= {(a, name, -score) for score, name in sorted(scores)[:k]}
+    got = r.related_sets(
+        spark.createDataFrame(list(asked.items()), "set_id string, tags array<string>"),
+        spark.createDataFrame(list(offered.items()), "member string, tags array<string>"),
+        k,
+    )
+    assert {tuple(x) for x in got.select("set_id", "member", "score").collect()} == want
+
+
+def test_related_pairs_grow_with_the_documents(spark, monkeypatch):
+    """Two tags on all documents, one more on each: what is joined grows with the documents, not with their square."""
+    pairs, joined = r.suffix_pairs, []
+
+    def counted(nodes, offers):
+        joined.append(nodes.join(offers, "tag").count())
+        return pairs(nodes, offers)
+
+    monkeypatch.setattr(r, "suffix_pairs", counted)
+    for n in (200, 800):
+        docs = spark.range(n).select(
+            F.format_string("d%04d", "id").alias("doc_id"), F.array(F.lit("all"), F.lit("every"), F.format_string("own%d", "id")).alias("tags")
+        )
+        rows = r.related_documents(docs, docs, 3).collect()
+        assert len(rows) == 3 * n and {x["score"] for x in rows} == {0.5}
+        assert {x["related_id"] for x in rows if x["doc_id"] == "d0001"} == {"d0000", "d0002", "d0003"}
+        assert sum(joined) <= 2 * n
+        joined.clear()
+
+
+def test_related_documents_without_tags(spark):
+    rows = [("a", ["x", None, "x"]), ("b", []), ("c", None), ("d", ["x"]), ("e", ["only here"]), ("f", [None])]
+    docs = spark.createDataFrame(rows, "doc_id string, tags array<string>")
+    assert {tuple(x) for x in r.related_documents(docs, docs, 2).collect()} == {("a", "d", 1.0, 1), ("d", "a", 1.0, 1)}
+    assert r.related_documents(docs, docs.limit(0), 2).isEmpty()
+
+
 def test_feedback_moves_a_document(spark):
     hits = spark.createDataFrame([("q", "a", 0.5, 1), ("q", "b", 0.48, 2)], "question_id string, doc_id string, score double, rank int")
     log = spark.createDataFrame(
