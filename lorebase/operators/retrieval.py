@@ -666,8 +666,12 @@ COLUMN_LINE = r"- (\w+) \(([^\n]+?)\): ([^\n]*)"
 
 
 def schema_columns(docs: DataFrame) -> DataFrame:
-    """(table_name, position, column_name, column_type, description) out of schema documents."""
-    table = F.regexp_extract("content", r"Table: (\w+)", 1)
+    """(table_name, position, column_name, column_type, description) out of schema documents.
+
+    A document that names no table goes by its doc_id.
+    """
+    named = F.nullif(F.regexp_extract("content", r"Table: (\w+)", 1), F.lit(""))
+    table = F.coalesce(named, F.col("doc_id"))
     group = lambda n: F.regexp_extract_all("content", F.lit(COLUMN_LINE), F.lit(n))
     return docs.filter("doc_type = 'schema'").select(
         table.alias("table_name"),
@@ -700,3 +704,56 @@ def schema_lookup(columns: DataFrame, word: str) -> DataFrame:
         )
         .filter("columns_matched > 0")
     )
+
+
+# How often a word counts in the text of a table, by where it stands.
+TABLE_WEIGHT, COLUMN_WEIGHT = 4, 3
+# Words of questions about schemas that say nothing about what is looked for.
+QUESTION_WORDS = (
+    "a all an and are available be by can contain do does find for from have hold how i in is it many me of on or our show that the "
+    "there to we what where which who with column field information list schema table"
+).split()
+
+
+def schema_words(text):
+    """Words of names and descriptions: lower case, cut at anything but letters and digits, plurals without their ending."""
+    words = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")
+    words = F.regexp_replace(words, r"(ss|x|ch|sh)es( |$)", "$1$2")
+    return F.trim(F.regexp_replace(words, r"([a-z]{2}[a-rt-z])s( |$)", "$1$2"))
+
+
+def schema_texts(columns: DataFrame) -> DataFrame:
+    """(doc_id, content): per table the words of all its fields, those of its name and its column names several times.
+
+    An index of these texts is one over fields with a weight each; `columns` comes from `schema_columns`.
+    """
+    field = lambda name, times: F.repeat(F.concat(schema_words(F.col(name)), F.lit(" ")), times)
+    line = F.concat(field("column_name", F.lit(COLUMN_WEIGHT)), field("column_type", F.lit(1)), field("description", F.lit(1)))
+    return (
+        columns.groupBy("table_name")
+        .agg(F.array_join(F.array_sort(F.collect_list(F.struct("position", line.alias("line"))))["line"], "").alias("lines"))  # one table's columns
+        .select(F.col("table_name").alias("doc_id"), F.concat(field("table_name", F.lit(TABLE_WEIGHT)), "lines").alias("content"))
+    )
+
+
+def schema_answers(questions: DataFrame, columns: DataFrame, index: TextIndex, k: int = 3) -> DataFrame:
+    """Where to look for what questions (question_id, question) ask: their k best tables and the columns that matter.
+
+    (question_id, rank, table_name, columns_total, position, column_name, column_type, matched, score), where `index`
+    is one of `schema_texts`. A table that the question names shows all its columns, another only
+    those that share a word with the question; `matched` counts these words.
+    """
+    words = F.array_distinct(F.split(schema_words(F.col("question")), " "))
+    asked = questions.select("question_id", F.array_except(words, F.array(*[F.lit(w) for w in QUESTION_WORDS])).alias("words"))
+    hits = search_topk_text(asked.select("question_id", F.array_join("words", " ").alias("question")), index, k)
+    own = F.split(schema_words(F.concat_ws(" ", "column_name", "column_type", "description")), " ")
+    totals = columns.groupBy("table_name").agg(F.count(F.lit(1)).alias("columns_total"))
+    return (
+        hits.withColumnRenamed("doc_id", "table_name")
+        .join(asked, "question_id")
+        .join(columns.select("table_name", "position", "column_name", "column_type", own.alias("own")), "table_name")
+        .withColumn("matched", F.size(F.array_intersect("own", "words")))
+        .filter((F.col("matched") > 0) | F.arrays_overlap("words", F.split(schema_words(F.col("table_name")), " ")))
+        .join(totals, "table_name")
+        .select("question_id", "rank", "table_name", "columns_total", "position", "column_name", "column_type", "matched", "score")
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lorebase.operators import retrieval as r
 from lorebase.plans.registry import query
-from lorebase.plans.sql import KB, LIVE_EVENTS, SCHEMA_COLUMNS, tfidf
+from lorebase.plans.sql import KB, LIVE_EVENTS, SCHEMA_COLUMNS, text, tfidf
 from lorebase.session import exists, kept_path, scratch_path
 from lorebase.sources import bindings as b
 from lorebase.sources import kb
@@ -291,6 +291,58 @@ def _(spark, folder):
     return r.schema_lookup(r.schema_columns(b.schema_kb(spark, folder)), "bolt")
 
 
+SCHEMA_QUESTIONS = [
+    ("s1", "What tables contain customer information?"),
+    ("s2", "Where are email addresses?"),
+    ("s3", "What columns are in customers?"),
+    ("s4", "How many columns are in orders?"),
+]
+
+
+def schema_questions(spark, folder):
+    """Four questions as people ask them, and one after the price of each kind of part."""
+    kinds = read_table(spark, folder, "part").select(F.lower("p_type").alias("kind")).distinct()
+    per_kind = kinds.select(
+        F.concat(F.lit("k "), "kind").alias("question_id"), F.concat(F.lit("Which tables have the prices of "), "kind", F.lit(" kinds?")).alias("question")
+    )
+    return spark.createDataFrame(SCHEMA_QUESTIONS, "question_id string, question string").unionByName(per_kind)
+
+
+def _words(value: str) -> str:
+    """`schema_words` in SQL."""
+    words = f"regexp_replace(lower({value}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
+    for pattern, kept in (("(ss|x|ch|sh)es( |$)", "\\1\\2"), ("([a-z]{2}[a-rt-z])s( |$)", "\\1\\2")):
+        words = f"regexp_replace({words}, '{pattern}', '{kept}', 'g')"
+    return f"trim({words})"
+
+
+_STOP = "[" + ", ".join(text(w) for w in r.QUESTION_WORDS) + "]"
+_LEFT = f"list_filter(list_distinct(string_split({_words('question')}, ' ')), lambda w: NOT list_contains({_STOP}, w))"
+
+
+@query(
+    "schema_answers",
+    f"""WITH {SCHEMA_COLUMNS}, fields AS (SELECT table_name, string_agg(
+        repeat({_words("column_name")} || ' ', {r.COLUMN_WEIGHT}) || {_words("column_type")} || ' ' || {_words("description")}, ' ') AS content
+      FROM cols GROUP BY 1),
+    schema_texts AS (SELECT table_name AS doc_id, repeat({_words("table_name")} || ' ', {r.TABLE_WEIGHT}) || content AS content FROM fields),
+    raw_questions AS (SELECT * FROM (VALUES {", ".join(f"({text(i)}, {text(q)})" for i, q in SCHEMA_QUESTIONS)}) AS v(question_id, question)
+      UNION ALL SELECT DISTINCT 'k ' || lower(p_type), 'Which tables have the prices of ' || lower(p_type) || ' kinds?' FROM part),
+    asked AS (SELECT question_id, {_LEFT} AS words FROM raw_questions),
+    {tfidf("schema_texts", "SELECT question_id, array_to_string(words, ' ') AS question FROM asked")},
+    seen AS (SELECT h.question_id, h.rank, h.score, c.table_name, c.position, c.column_name, c.column_type, a.words,
+        list_distinct(string_split({_words("c.column_name || ' ' || c.column_type || ' ' || c.description")}, ' ')) AS own
+      FROM hits h JOIN asked a USING (question_id) JOIN cols c ON c.table_name = h.doc_id WHERE h.rank <= 3)
+    SELECT question_id, rank, table_name, (SELECT count(*) FROM cols c WHERE c.table_name = seen.table_name) AS columns_total, position,
+      column_name, column_type, CAST(len(list_intersect(own, words)) AS INT) AS matched, score
+    FROM seen WHERE len(list_intersect(own, words)) > 0 OR len(list_intersect(string_split({_words("table_name")}, ' '), words)) > 0""",
+)
+def _(spark, folder):
+    columns = r.schema_columns(b.schema_kb(spark, folder))
+    index = kept_index(spark, folder, "schemas", lambda: r.schema_texts(columns))
+    return r.schema_answers(schema_questions(spark, folder), columns, index, 3)
+
+
 # --- streaming --------------------------------------------------------------------------
 
 

@@ -346,6 +346,28 @@ def test_schema_questions(spark):
     assert {x["table_name"] for x in r.schema_lookup(columns, "customer").collect()} == {"customers", "orders"}
 
 
+def test_schema_answers(spark):
+    from lorebase.plans.knowledge import SCHEMA_QUESTIONS
+    from lorebase.sources.bindings import business_kb
+
+    nameless = spark.createDataFrame([("loose", "schema", "- box_sizes (INT): Size of the boxes\n")], "doc_id string, doc_type string, content string")
+    columns = r.schema_columns(business_kb(spark)).unionByName(r.schema_columns(nameless))
+    index = r.open_index(kb.write_postings(r.schema_texts(columns), scratch_path(spark, "postings")))
+    more = [("s5", "Boxes?"), ("s6", "What is in it?"), ("s7", None), ("s8", "")]
+    questions = spark.createDataFrame(SCHEMA_QUESTIONS + more, "question_id string, question string")
+    rows = r.schema_answers(questions, columns, index, 2).orderBy("question_id", "rank", "position").collect()
+    by = defaultdict(list)
+    for x in rows:
+        by[x["question_id"]].append((x["rank"], x["table_name"], x["column_name"], x["column_type"], x["columns_total"]))
+    names = lambda q, table: [x[2] for x in by[q] if x[1] == table]
+    assert {x[1] for x in by["s1"]} == {"customers", "orders"} and by["s1"][0][:2] == (1, "customers")
+    assert by["s2"] == [(1, "customers", "email", "STRING", 9), (1, "customers", "phone", "STRING", 9)][: len(by["s2"])]
+    assert len(names("s3", "customers")) == 9 and by["s3"][0][:2] == (1, "customers")
+    assert len(names("s4", "orders")) == 9 and by["s4"][0][1::3] == ("orders", 9)
+    assert by["s5"] == [(1, "loose", "box_sizes", "INT", 1)]
+    assert not {"s6", "s7", "s8"} & set(by)
+
+
 def test_filter_documents(spark):
     from lorebase.sources.bindings import business_kb
 
