@@ -5,16 +5,19 @@ Every answer row carries a status: ok, no_context, no_sql, rejected or failed.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from lorebase.functions.text import cap_rows, extract_sql, is_blank, named_tables
+from lorebase.functions.text import cap_rows, extract_sql, is_blank, named_tables, normal_question
+from lorebase.operators import usage as u
 from lorebase.operators.guard import Run, execute_query, execute_statements, guard_statements
 from lorebase.operators.retrieval import TextIndex, attach_documents, search_topk_text
-from lorebase.operators.skew import running_number
+from lorebase.operators.skew import hot_keys, lookup_join, running_number
+from lorebase.session import exists
 
 DEFAULT_K = 5
 
@@ -144,6 +147,61 @@ def ask_batch(questions: DataFrame, docs: DataFrame, index: TextIndex, k: int =
     return answer_grounded(questions, retrieve_context(questions, docs, index, k))
 
 
+def ask_logged(
+    requests: DataFrame, docs: DataFrame, index: TextIndex, log: str, batch: str, k: int = DEFAULT_K, ttl_seconds: int = 3600
+) -> bool:
+    """Answer a batch of requests (id, user_id, question, timestamp) and enter it into the log; False where it is there already.
+
+    Questions with a good answer in the log that is not older than `ttl_seconds` get it again, with status
+    `cached`; such rows are no source for later ones, so an answer does not outlive its time. The others are answered once
+    per distinct question. A blank question is logged as `no_question`. A batch that breaks off is run again
+    under its name and counts once. `threaded_questions` puts the turns before a question in front of it.
+    """
+    spark = requests.sparkSession
+    if exists(spark, f"{log}/commits/batch={batch}/_SUCCESS"):
+        return False
+    started = time.monotonic()
+    requests = requests.select("id", "user_id", "question", "timestamp")
+    known = u.answer_from_cache(requests, u.cached_answers(u.read_batches(spark, log)), ttl_seconds=ttl_seconds)
+    known = requests.join(known.select("id", "hit", F.col("answer").alias("known")), "id", "left").checkpoint()
+    looked_up = time.monotonic() - started
+    missed = known.filter("not coalesce(hit, false)").withColumn("key", F.coalesce(normal_question(F.col("question")), F.lit("")))
+    distinct = missed.groupBy("key").agg(F.min_by("question", "id").alias("question"), F.count(F.lit(1)).alias("rows")).checkpoint()
+    fresh = ask_batch(distinct.select(F.col("key").alias("question_id"), "question"), docs, index, k)
+    answers = distinct.select("key", "rows").join(
+        fresh.select(F.col("question_id").alias("key"), "context_docs", "answer", "status"), "key", "left"
+    ).checkpoint()
+    waited = time.monotonic() - started
+    spread = lookup_join(missed, answers.drop("rows"), "key", spread_by="id", hot=hot_keys(answers, "key", "rows"))
+    told = ["id", "user_id", "question", "answer", "context_docs", "timestamp", "response_time_seconds", "thumbs_up", "status"]
+    no_vote, none = F.lit(None).cast("boolean").alias("thumbs_up"), F.array().cast("array<string>")
+    answered = spread.select(
+        "id", "user_id", "question", F.coalesce("answer", F.lit("")).alias("answer"), F.coalesce("context_docs", none).alias("context_docs"),
+        "timestamp", F.lit(waited).alias("response_time_seconds"), no_vote, F.coalesce("status", F.lit("no_question")).alias("status"),
+    )
+    repeated = known.filter("hit").select(
+        "id", "user_id", "question", F.col("known").alias("answer"), none.alias("context_docs"), "timestamp",
+        F.lit(looked_up).alias("response_time_seconds"), no_vote, F.lit("cached").alias("status"),
+    )
+    return u.append_batch(answered.select(*told).unionByName(repeated.select(*told)), log, batch)
+
+
+def threaded_questions(requests: DataFrame, history: DataFrame, n: int = 3) -> DataFrame:
+    """Requests whose question is led by the user's `n` questions before it, oldest first, from the log or the same requests.
+
+    What is searched, and kept under in the cache, is then the thread and not the last words of it.
+    """
+    asked = requests.select("id", "user_id", "question", "timestamp", F.lit(True).alias("now"))
+    before = history.select("id", "user_id", "question", "timestamp", F.lit(False).alias("now"))
+    turns = asked.unionByName(before).select(
+        F.col("user_id").alias("conv_id"), F.struct("timestamp", "id", "now").alias("turn"), F.lit("asked").alias("role"),
+        F.coalesce("question", F.lit("")).alias("text"),
+    )
+    led = multi_turn_context(turns, n).filter("turn.now")
+    thread = F.concat_ws("\n", F.nullif(F.regexp_replace("history", "(?m)^asked: ", ""), F.lit("")), "text")
+    return led.select(F.col("turn.id").alias("id"), F.col("conv_id").alias("user_id"), thread.alias("question"), F.col("turn.timestamp").alias("timestamp"))
+
+
 def sql_of_answers(answers: DataFrame, limit: int = 100) -> DataFrame:
     """Add `sql`, `capped_sql`, `verdict` and the status after extraction and screening."""
     held = answers.withColumn("sql", extract_sql(F.col("answer"))).drop("status")

@@ -6,11 +6,14 @@ response_time_seconds, thumbs_up, status).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from lorebase.functions.text import normal_question, preview
 from lorebase.operators.retrieval import TextIndex, search_topk_text
 from lorebase.operators.skew import lookup_join, running_number
+from lorebase.session import exists
 from lorebase.sources.kb import KB_COLUMNS, content_hash, new_documents
 
 HISTORY_SCHEMA = T.StructType(
@@ -47,6 +50,33 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType([*HISTORY_SCHEMA.fields, T.StructField("date", T.DateType())])).parquet(path)
 
 
+def append_batch(rows: DataFrame, path: str, batch: str) -> bool:
+    """Append a batch of interactions once, however often it is tried; False where it is in the log already.
+
+    Rows go to a folder of the batch, which a new try overwrites. They count once the batch is
+    entered among the commits, which comes last.
+    """
+    if not re.fullmatch(r"[\w-]+", batch):
+        raise ValueError("a batch is named by letters, digits, _ and -")
+    spark = rows.sparkSession
+    if exists(spark, f"{path}/commits/batch={batch}/_SUCCESS"):
+        return False
+    columns = [F.col(f.name).cast(f.dataType) for f in HISTORY_SCHEMA]
+    rows.select(*columns).write.mode("overwrite").parquet(f"{path}/rows/batch={batch}")
+    spark.range(1).select(F.current_timestamp().alias("committed_at")).write.mode("overwrite").parquet(f"{path}/commits/batch={batch}")
+    return True
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The interactions of all committed batches, with `batch`; none where nothing was ever committed."""
+    batch = T.StructField("batch", T.StringType())
+    if not exists(spark, f"{path}/commits"):
+        return spark.createDataFrame([], T.StructType([*HISTORY_SCHEMA.fields, batch]))
+    rows = spark.read.schema(T.StructType([*HISTORY_SCHEMA.fields, batch])).parquet(f"{path}/rows")
+    commits = spark.read.schema(T.StructType([T.StructField("committed_at", T.TimestampType()), batch])).parquet(f"{path}/commits")
+    return rows.join(commits.select("batch").distinct(), "batch", "left_semi").select(*rows.columns)
+
+
 def list_history(history: DataFrame, length: int = 200) -> DataFrame:
     """A user's interactions in order: number from 1, start of the answer, documents as one text."""
     numbered = running_number(
@@ -110,7 +140,7 @@ def usage_daily(history: DataFrame) -> DataFrame:
 
 
 def usage_dashboard(history: DataFrame) -> DataFrame:
-    ok = F.count(F.when(F.col("status") == "ok", 1))
+    ok = F.count(F.when(F.col("status").isin("ok", "cached"), 1))
     return history.agg(
         F.count(F.lit(1)).alias("total_questions"),
         F.round(F.try_divide(ok, F.count(F.lit(1))), 6).alias("success_rate"),

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lorebase.functions import text as t
-from lorebase.operators import ask, guard
+from lorebase.operators import ask, guard, usage as u
 from lorebase.operators.retrieval import search_topk_text
 from lorebase.plans.business import TOP, WITH
 from lorebase.plans.knowledge import kept_index
 from lorebase.plans.registry import query
 from lorebase.plans.sql import ALL_QUESTIONS, FULL_KB, text, tfidf
+from lorebase.session import scratch_path
 from lorebase.sources import bindings as b
 from lorebase.sources.notes import BUSINESS_QUESTIONS
 from lorebase.sources.tables import read_table, register_business_views
@@ -98,6 +99,37 @@ def _(spark, folder):
     return answers.withColumn("context_docs", F.array_join("context_docs", ","))
 
 
+_KEY = "regexp_replace(lower(regexp_replace(question, '\\s+', ' ', 'g')), '[?!. ]+$', '')"
+
+
+@query(
+    "ask_logged",
+    f"""WITH {ANSWERED}, listed AS (SELECT question_id, string_agg(doc_id, ',' ORDER BY rank) AS context_docs FROM found GROUP BY 1),
+    told AS (SELECT CAST(substr(question_id, 2) AS BIGINT) AS item, question, answer, coalesce(context_docs, '') AS context_docs, status, {_KEY} AS key
+      FROM answered LEFT JOIN listed USING (question_id) WHERE regexp_matches(question_id, '^b[0-9]+$')),
+    kept AS (SELECT DISTINCT key FROM told WHERE item % 2 = 0 AND status = 'ok')
+    SELECT 'first' AS batch, item AS id, item % 7 AS user_id, question, answer, context_docs, status FROM told WHERE item % 2 = 0
+    UNION ALL SELECT 'second', item + 1000000, item % 7, question, answer, CASE WHEN kept.key IS NULL THEN context_docs ELSE '' END,
+      CASE WHEN kept.key IS NULL THEN status ELSE 'cached' END FROM told LEFT JOIN kept USING (key)
+    UNION ALL SELECT 'third', item + 2000000, item % 7, question, answer, context_docs, status FROM told WHERE item % 5 = 0""",
+)
+def _(spark, folder):
+    """Every second question, all of them half an hour later, some again two hours later; each batch is sent twice and logged once."""
+    docs, log = b.full_kb(spark, folder), scratch_path(spark, "asked")
+    item = F.expr("substr(question_id, 2)").cast("bigint")
+    asked = b.benchmark_questions(spark, folder).select(item.alias("item"), "question")
+    batches = [("first", "item % 2 = 0", "09:00"), ("second", "true", "09:30"), ("third", "item % 5 = 0", "11:30")]
+    for n, (name, which, at) in enumerate(batches):
+        requests = asked.filter(which).select(
+            (F.col("item") + n * 1_000_000).alias("id"), (F.col("item") % 7).alias("user_id"), "question",
+            F.lit(f"2024-03-01 {at}:00").cast("timestamp").alias("timestamp"),
+        )
+        for _ in range(2):
+            ask.ask_logged(requests, docs, full_index(spark, folder), log, name)
+    rows = u.read_batches(spark, log)
+    return rows.select("batch", "id", "user_id", "question", "answer", F.array_join("context_docs", ",").alias("context_docs"), "status")
+
+
 @query(
     "answer_with",
     f"""WITH {CONTEXT} SELECT question_id, question, 'prompt of ' || length({PROMPT}) || ' characters' AS answer, 'ok' AS status FROM ctx""",

@@ -265,3 +265,52 @@ def test_columns_may_be_named_like_commands(spark):
     assert said("SELECT drop FROM t") == said("SELECT create AS x, alter y FROM t") == "ok"
     assert said("WITH x AS (SELECT 1) DROP TABLE t") == said("SELECT 1 FROM (CREATE OR REPLACE TEMPORARY VIEW v AS SELECT 1)") == "writes"
     assert guard.execute_query(spark, "SELECT * FROM (TRUNCATE t)").status != "ok"
+
+
+def test_log_takes_a_batch_once(spark):
+    import datetime as dt
+
+    from lorebase.operators import usage as u
+
+    docs = business_kb(spark)
+    index = open_index(kb.write_postings(docs, scratch_path(spark, "postings")))
+    log = scratch_path(spark, "asked")
+    t0 = dt.datetime(2024, 3, 1)
+    schema = "id long, user_id long, question string, timestamp timestamp"
+    ask_at = lambda name, *rows: ask.ask_logged(
+        spark.createDataFrame([(i, 1, q, t0 + dt.timedelta(minutes=m)) for i, q, m in rows], schema), docs, index, log, name
+    )
+    question = "How is revenue counted?"
+    assert u.read_batches(spark, log).isEmpty()
+    # A try that broke off has left rows, and no entry among the commits.
+    u.read_batches(spark, log).drop("batch").write.parquet(f"{log}/rows/batch=one")
+    assert ask_at("one", (1, question, 0), (2, question.upper(), 0), (3, "", 0), (4, None, 0), (5, "xyzzy", 0))
+    assert not ask_at("one", (1, question, 0))
+    # The answer is repeated within the hour; what was repeated does not start a new hour.
+    assert ask_at("two", (11, "how is  revenue counted", 59), (12, "xyzzy", 59))
+    assert ask_at("three", (21, question, 61))
+    rows = {x["id"]: x for x in u.read_batches(spark, log).collect()}
+    assert {i: x["status"] for i, x in rows.items()} == {
+        1: "ok", 2: "ok", 3: "no_question", 4: "no_question", 5: "no_context", 11: "cached", 12: "no_context", 21: "ok"
+    }
+    assert len({rows[i]["answer"] for i in (1, 2, 11, 21)}) == 1 and rows[1]["context_docs"][0] == "how_revenue_counts"
+    assert all(x["response_time_seconds"] > 0 for x in rows.values())
+    u.read_batches(spark, log).drop("batch").limit(1).write.parquet(f"{log}/rows/batch=broken")
+    assert u.read_batches(spark, log).count() == 8
+    with pytest.raises(ValueError):
+        ask_at("no/path")
+
+
+def test_questions_follow_their_thread(spark):
+    import datetime as dt
+
+    from lorebase.operators import usage as u
+
+    t0 = dt.datetime(2024, 3, 1)
+    at = lambda m: t0 + dt.timedelta(minutes=m)
+    old = [(1, 7, "q1", "a", [], at(0), 1.0, None, "ok"), (2, 7, "asked: q2", "a", [], at(1), 1.0, None, "ok"), (3, 8, "other", "a", [], at(2), 1.0, None, "ok")]
+    now = [(4, 7, "q3", at(3)), (5, 7, None, at(4)), (6, 9, "alone", at(4))]
+    threads = ask.threaded_questions(
+        spark.createDataFrame(now, "id long, user_id long, question string, timestamp timestamp"), spark.createDataFrame(old, u.HISTORY_SCHEMA), 2
+    )
+    assert {x["id"]: x["question"] for x in threads.collect()} == {4: "q1\nasked: q2\nq3", 5: "asked: q2\nq3\n", 6: "alone"}
