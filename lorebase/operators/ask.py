@@ -9,12 +9,11 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from lorebase.functions.text import cap_rows, extract_sql, is_blank, named_tables, normal_question
 from lorebase.operators import usage as u
-from lorebase.operators.guard import Run, execute_query, execute_statements, guard_statements
+from lorebase.operators.guard import Run, execute_query, guard_statements, statement_outcomes
 from lorebase.operators.retrieval import TextIndex, attach_documents, search_topk_text
 from lorebase.operators.skew import hot_keys, lookup_join, running_number
 from lorebase.session import exists
@@ -245,18 +244,7 @@ def execute_answers(
     of outcome for each; result rows are counted and summed up (without regard to order) where they are.
     """
     answers = sql_of_answers(ask_batch(questions, docs, index, k), limit).checkpoint()
-    outcomes = []
-    for run in execute_statements(answers, "sql", limit):
-        rows = checksum = None
-        status, reason = run.status, run.reason
-        if run.result is not None:
-            try:
-                hashes = run.result.select(F.xxhash64(*run.result.columns).cast("decimal(38,0)").alias("h"))
-                rows, checksum = hashes.agg(F.count(F.lit(1)), F.sum("h")).first()
-            except PySparkException as e:
-                status, reason = "failed", e.getCondition() or type(e).__name__
-        outcomes.append((run.sql, status, reason, rows, None if checksum is None else str(checksum)))
-    told = docs.sparkSession.createDataFrame(outcomes, "sql string, status string, reason string, rows bigint, checksum string")
+    told = statement_outcomes(answers, "sql", limit).drop("seconds")
     without = F.when(F.col("answer_doc").isNull(), "no_context").otherwise("no_sql")
     return answers.select("question_id", "question", "answer_doc", "sql").join(told, "sql", "left").select(
         "question_id", "question", "answer_doc", "sql", F.coalesce("status", without).alias("status"), "reason", "rows", "checksum"

@@ -7,6 +7,7 @@ statement to Spark's own analyzer as a subquery, which only a query can be.
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -103,3 +104,27 @@ def execute_statements(statements: DataFrame, column: str = "sql", limit: int |
     spark = statements.sparkSession
     for row in statements.select(column).filter(F.col(column) != "").distinct().toLocalIterator():
         yield execute_query(spark, row[0], limit)
+
+
+OUTCOME = "sql string, status string, reason string, rows bigint, checksum string, seconds double"
+
+
+def statement_outcomes(statements: DataFrame, column: str = "sql", limit: int | None = 100) -> DataFrame:
+    """Run the distinct statements of a table: (sql, status, reason, rows, checksum, seconds), one row each.
+
+    Result rows are counted and summed up, without regard to order and names of columns, where they are. What passes through the driver
+    are the statements, one partition at a time, and their outcomes.
+    """
+    outcomes = []
+    for run in execute_statements(statements, column, limit):
+        rows = checksum = None
+        status, reason, started = run.status, run.reason, time.monotonic()
+        if run.result is not None:
+            try:
+                hashes = run.result.toDF(*[f"c{n}" for n in range(len(run.result.columns))])
+                hashes = hashes.select(F.xxhash64(*hashes.columns).cast("decimal(38,0)").alias("h"))
+                rows, checksum = hashes.agg(F.count(F.lit(1)), F.sum("h")).first()
+            except PySparkException as e:
+                status, reason = "failed", e.getCondition() or type(e).__name__
+        outcomes.append((run.sql, status, reason, rows, None if checksum is None else str(checksum), time.monotonic() - started))
+    return statements.sparkSession.createDataFrame(outcomes, OUTCOME)

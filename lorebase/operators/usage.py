@@ -10,7 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from lorebase.functions.text import normal_question, preview
+from lorebase.functions.text import extract_sql, normal_question, preview
+from lorebase.operators.guard import statement_outcomes
 from lorebase.operators.retrieval import TextIndex, search_topk_text
 from lorebase.operators.skew import lookup_join, running_number
 from lorebase.session import exists
@@ -331,3 +332,37 @@ def sql_quality(produced: DataFrame, expected: DataFrame, runs: DataFrame, by: s
         share(F.col("status") == "ok").alias("success_rate"),
         F.round(F.avg("response_time_seconds"), 6).alias("avg_response_time"),
     )
+
+
+def run_quality(answers: DataFrame, expected: DataFrame, by: str, limit: int | None = None) -> DataFrame:
+    """Run the statements of answers and those expected, and judge the ones by the others, per value of `by`.
+
+    `answers` has (statement_id, answer, `by`), `expected` (statement_id, sql). An answer is right if its statement ran and
+    its rows are those of the expected one, in any order and under any names. Equal statements run once.
+    (`by`, statements, ok, failed, rejected, without_sql, accuracy, success_rate, avg_response_time), where the
+    time is that of statements that were started; an answer for which nothing is expected is not right.
+    """
+    cut = answers.select("statement_id", by, extract_sql(F.col("answer")).alias("sql")).checkpoint()
+    got = statement_outcomes(cut, "sql", limit).select("sql", "status", "rows", "checksum", "seconds")
+    wanted = expected.select("statement_id", F.col("sql").alias("want_sql")).checkpoint()
+    ran = statement_outcomes(wanted, "want_sql", limit).filter("status = 'ok'")
+    want = wanted.join(ran.select(F.col("sql").alias("want_sql"), F.col("rows").alias("want_rows"), F.col("checksum").alias("want_sum")), "want_sql")
+    judged = (
+        cut.join(got, "sql", "left")
+        .join(want, "statement_id", "left")
+        .withColumn("status", F.coalesce("status", F.lit("no_sql")))
+        .withColumn("right", (F.col("status") == "ok") & (F.col("rows") == F.col("want_rows")) & F.col("checksum").eqNullSafe(F.col("want_sum")))
+    )
+    of = lambda c: F.count(F.when(c, 1))
+    share = lambda c: F.round(F.try_divide(of(c), F.count(F.lit(1))), 6)
+    status = F.col("status")
+    return judged.groupBy(by).agg(
+        F.count(F.lit(1)).alias("statements"),
+        of(status == "ok").alias("ok"),
+        of(status == "failed").alias("failed"),
+        of(status == "rejected").alias("rejected"),
+        of(status == "no_sql").alias("without_sql"),
+        share(F.col("right")).alias("accuracy"),
+        share(status == "ok").alias("success_rate"),
+        F.avg(F.when(status.isin("ok", "failed"), F.col("seconds"))).alias("avg_response_time"),
+    )

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lorebase.operators import usage as u
-from lorebase.plans.business import ORD
+from lorebase.plans.business import CUST, ORD
 from lorebase.plans.knowledge import kept_index
 from lorebase.plans.registry import query
 from lorebase.plans.sql import LIVE_EVENTS, tfidf
 from lorebase.session import scratch_path
 from lorebase.sources import bindings as b
-from lorebase.sources.tables import order_facts, read_table
+from lorebase.sources.tables import order_facts, read_table, register_business_views
 from lorebase.streaming.usage import read_stream, run_usage_daily
 
 LOG = f"WITH {LIVE_EVENTS}"
@@ -199,6 +199,42 @@ def _(spark, folder):
     )
 
 
+# What seven answers to "how many customers of a segment are there per region" hold; the first two are right.
+QUALITY_ANSWERS = [
+    "SELECT region, count(*) AS customers FROM customers WHERE customer_segment = '{}' GROUP BY region",
+    "This counts them:\n```sql\nWITH s AS (SELECT * FROM customers WHERE customer_segment = '{}')\n"
+    "SELECT region AS r, count(customer_id) AS n FROM s GROUP BY region ORDER BY n DESC, r\n```",
+    "SELECT region, count(*) AS customers FROM customers WHERE customer_segment <> '{}' GROUP BY region",
+    "SELECT region, count(*) AS customers FROM customers WHERE segment_name = '{}' GROUP BY region",
+    "SELECT region, count(*) DIV (count(*) - count(*)) AS customers FROM customers WHERE customer_segment = '{}' GROUP BY region",
+    "```sql\nSELECT count(*) FROM customers WHERE customer_segment = '{}'; DROP TABLE customers\n```",
+    "Nobody counts the customers of {}.",
+]
+
+
+@query(
+    "sql_quality_runs",
+    f"""WITH {ORD}, {CUST}, n AS (SELECT customer_segment AS segment, region, count(*) AS here FROM cust GROUP BY ALL),
+    t AS (SELECT region, sum(here) AS total FROM n GROUP BY 1),
+    -- The third answer counts all other segments, which may come to the same; regions without the segment are missing in the right one.
+    third AS (SELECT s.segment, bool_and(coalesce(here, 0) = total - coalesce(here, 0)) AS same FROM (SELECT DISTINCT segment FROM n) s
+      CROSS JOIN t LEFT JOIN n ON n.segment = s.segment AND n.region = t.region GROUP BY 1)
+    SELECT segment, CAST(7 AS BIGINT) AS statements, CAST(3 AS BIGINT) AS ok, CAST(2 AS BIGINT) AS failed, CAST(1 AS BIGINT) AS rejected,
+      CAST(1 AS BIGINT) AS without_sql, round((2 + CAST(same AS INT)) / 7.0, 6) AS accuracy, round(3 / 7.0, 6) AS success_rate, true AS timed
+    FROM third""",
+)
+def _(spark, folder):
+    """Seven answers per customer segment, cut out, checked and run on the whole tables."""
+    register_business_views(spark, folder)
+    segments = read_table(spark, folder, "customer").select(F.col("c_mktsegment").alias("segment")).distinct()
+    fill = lambda text: F.replace(F.lit(text), F.lit("{}"), F.col("segment"))
+    each = segments.select("segment", F.posexplode(F.array(*[fill(a) for a in QUALITY_ANSWERS])).alias("n", "answer"))
+    answers = each.select(F.concat_ws(" ", "segment", "n").alias("statement_id"), "segment", "answer")
+    expected = each.select(F.concat_ws(" ", "segment", "n").alias("statement_id"), fill(QUALITY_ANSWERS[0]).alias("sql"))
+    rows = u.run_quality(answers, expected, "segment")
+    return rows.withColumn("timed", F.col("avg_response_time") > 0).drop("avg_response_time")
+
+
 @query(
     "stream_usage_daily",
     f"{LOG} {DAILY} HAVING CAST(timestamp AS DATE) + INTERVAL 1 DAY <= (SELECT max(timestamp) - INTERVAL 1 HOUR FROM history)",

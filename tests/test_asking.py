@@ -314,3 +314,31 @@ def test_questions_follow_their_thread(spark):
         spark.createDataFrame(now, "id long, user_id long, question string, timestamp timestamp"), spark.createDataFrame(old, u.HISTORY_SCHEMA), 2
     )
     assert {x["id"]: x["question"] for x in threads.collect()} == {4: "q1\nasked: q2\nq3", 5: "asked: q2\nq3\n", 6: "alone"}
+
+
+def test_quality_of_statements_that_run(spark):
+    from lorebase.operators import usage as u
+
+    spark.range(5).selectExpr("id", "id % 2 AS odd").createOrReplaceTempView("quality_numbers")
+    right, empty = "SELECT odd, count(*) AS n FROM quality_numbers GROUP BY odd", "SELECT id FROM quality_numbers WHERE id > 9"
+    answers = [
+        ("1", "a", right),
+        ("2", "a", "SELECT odd AS x, count(id) FROM quality_numbers GROUP BY odd ORDER BY x DESC"),
+        ("3", "a", "SELECT odd, count(*) + 1 AS n FROM quality_numbers GROUP BY odd"),
+        ("4", "a", "SELECT nothing FROM quality_numbers"),
+        ("5", "a", "SELECT id DIV (id - id) AS x FROM quality_numbers"),
+        ("6", "a", "SELECT 1; DROP TABLE quality_numbers"),
+        ("7", "a", "I cannot tell"),
+        ("8", "a", None),
+        ("9", "b", "SELECT odd FROM quality_numbers WHERE odd > 1"),
+        ("10", "b", right),
+        ("11", None, "SELECT odd, odd AS odd FROM quality_numbers"),
+    ]
+    expected = [(i, empty if i == "9" else "SELECT * FROM nowhere" if i == "11" else right) for i, *_ in answers if i != "10"]
+    rows = u.run_quality(
+        spark.createDataFrame(answers, "statement_id string, team string, answer string"),
+        spark.createDataFrame(expected, "statement_id string, sql string"),
+        "team",
+    )
+    got = {x["team"]: (x["statements"], x["ok"], x["failed"], x["rejected"], x["without_sql"], x["accuracy"]) for x in rows.collect()}
+    assert got == {"a": (8, 3, 2, 1, 2, 0.25), "b": (2, 2, 0, 0, 0, 0.5), None: (1, 1, 0, 0, 0, 0.0)}
