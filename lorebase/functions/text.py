@@ -134,19 +134,100 @@ def cap_rows(sql, limit: int = 100):
     return F.when(has_row_limit(sql), sql).when(bare.rlike(offset), before_offset).otherwise(capped)
 
 
+# Marks that stand in for a part in parentheses: around the tables it names, and between them.
+_OPEN, _CLOSE, _NEXT = "\x01", "\x02", "\x03"
+_PART = f"{_OPEN}([^{_CLOSE}]*){_CLOSE}"
+# What ends the list of tables after FROM, unless it is a column of some table.
+_CLAUSE = r"(?<![\w.])(?:where|group|having|order|sort|cluster|distribute|limit|offset|window|union|intersect|except|minus|lateral\s+view|select|from)\b"
+_DEFINED = rf"(\w+)\s*(?:{_PART}\s*)?\bas\s*{_PART}"
+_HEAD = rf"^\s*with\s+(?:recursive\s+)?(?:{_DEFINED}\s*,?\s*)+"
+# A table, and no function; a table of its own; a table alone in parentheses.
+_NAME = rf"\s*+(?:lateral\s++)?+([\w.]++)(?!\s*{_OPEN})"
+_TABLE = r"(?:^\s*|\b(?:union|intersect|except|minus)\s+(?:all\s+|distinct\s+)?)table\s+([\w.]++)"
+_SINGLE = r"((?:(?<![\w.])(?:from|join)|,|\()\s*)\(\s*([\w.]+)\s*\)"
+# A statement nested deeper than this is not looked into; Spark's own parser gives up on far less.
+MAX_DEPTH = 200
+TOO_DEEP = "?"
+
+
+def _found(text, pattern, group: int = 1):
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+
+def _let(value, use):
+    """`use(value)`, with the value worked out once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _inner(text):
+    """The tables that the parts in parentheses of a text name."""
+    return F.flatten(F.transform(_found(text, _PART), lambda names: F.split(names, _NEXT)))
+
+
+def _named(level):
+    """The tables in lists after FROM, after JOIN and after TABLE on one level."""
+    lists = _found(level, rf"(?s)(?<![\w.])from\b(.*?)(?={_CLAUSE}|\|>|;|$)")
+    first = F.flatten(F.transform(lists, lambda clause: F.transform(F.split(clause, ","), lambda item: F.regexp_extract(item, f"^{_NAME}", 1))))
+    named = F.concat(first, _found(level, rf"(?<![\w.])join\b{_NAME}"), _found(level, _TABLE))
+    return F.filter(named, lambda n: ~n.rlike(r"^[0-9.]*$") & ~n.isin("values", "lateral"))
+
+
+def _tables_of(level):
+    """The tables a level of a statement names and does not define; parts in parentheses are marks that hold theirs.
+
+    A name that WITH defines counts from the next definition on, within its own level.
+    """
+    query = level.rlike(rf"^\s*(?:with|select|from|table|values|{_OPEN})")
+    joins = level.rlike(r"(?<![\w.])join\b")
+
+    def all_names(whole, head):
+        defined = _found(head, _DEFINED)
+        recursive = F.when(head.rlike(r"^\s*with\s+recursive\s"), 1).otherwise(0)
+        within = F.transform(_found(head, _DEFINED, 3), lambda names, i: F.array_except(F.split(names, _NEXT), F.slice(defined, F.lit(1), i + recursive)))
+        after = F.substr(whole, F.length(head) + 1)
+        return F.concat(F.flatten(within), F.array_except(F.concat(_inner(after), _named(after)), defined))
+
+    whole = F.when(query, level).otherwise(F.concat(F.lit("from "), level))
+    names = _let(whole, lambda w: _let(F.regexp_extract(w, _HEAD, 0), lambda head: all_names(w, head)))
+    return F.filter(F.array_distinct(F.when(query | joins, names).otherwise(_inner(level))), lambda n: n != "")
+
+
+def _take_out_parts(text):
+    """Replace the innermost parentheses by marks."""
+    marks = F.transform(_found(text, r"\(([^()]*)\)"), lambda part: F.concat(F.lit(_OPEN), F.array_join(_tables_of(part), _NEXT), F.lit(_CLOSE)))
+    between = F.split(text, r"\([^()]*\)", -1)
+    return F.array_join(F.flatten(F.zip_with(between, marks, lambda before, mark: F.array(before, F.coalesce(mark, F.lit(""))))), "")
+
+
+def _depth(text):
+    """How deep parentheses nest."""
+
+    def step(state, mark):
+        at = F.greatest(state["at"] + F.when(mark == "(", 1).otherwise(-1), F.lit(0))
+        return F.struct(at.alias("at"), F.greatest(state["deepest"], at).alias("deepest"))
+
+    return F.aggregate(_found(text, "[()]", 0), F.struct(F.lit(0).alias("at"), F.lit(0).alias("deepest")), step)["deepest"]
+
+
 def named_tables(sql):
-    """Names after FROM and JOIN, in lists too and quoted or not, without names the statement defines by WITH.
+    """The tables a statement reads: those after FROM, JOIN and TABLE, in lists too, quoted or not, at any depth.
 
-    Texts and comments are taken out first.
+    Names defined by WITH are none within the statement or subquery that defines them. Texts and comments are taken out first.
+    The innermost parentheses are replaced by marks with the tables they name, level by level, so that a list goes on behind a
+    subquery or the condition of a JOIN. A statement of more than `MAX_DEPTH` levels names one table, `?`; a null statement is null.
     """
-    bare = F.regexp_replace(F.lower(without_text(sql)), "`([^`]*)`", "$1")
+    bare = F.regexp_replace(without_text(F.lower(F.translate(sql, _OPEN + _CLOSE + _NEXT, ""))), "`([^`]*)`", "$1")
     bare = F.regexp_replace(bare, r"(?<!\s)\s*\.\s*", ".")
-    bare = F.regexp_replace(bare, r"extract\s*\(\s*\w+\s+from\s", "extract(")
     bare = F.regexp_replace(bare, r"\bdistinct\s+from\s", "distinct ")
-    lists = F.regexp_extract_all(bare, F.lit(r"\b(?:from|join)\s+([\w.]+(?:(?:\s+as)?(?:\s+\w+)?\s*,\s*[\w.]+)*)"), F.lit(1))
-    used = F.flatten(F.transform(lists, lambda names: F.transform(F.split(names, r"\s*,\s*"), lambda n: F.split(n, r"\s")[0])))
-    defined = F.regexp_extract_all(bare, F.lit(r"(\w+)\s+as\s*\("), F.lit(1))
-    return F.array_sort(F.array_except(used, defined))
+
+    def read(text, depth):
+        levels = F.when(depth > 0, F.sequence(F.lit(1), depth)).otherwise(F.array().cast("array<int>"))
+        single = F.aggregate(levels, text, lambda t, _: F.regexp_replace(t, _SINGLE, "$1$2 "))
+        flat = F.aggregate(levels, single, lambda t, _: _let(t, _take_out_parts))
+        return _let(F.regexp_replace(flat, "[()]", " "), lambda t: F.array_sort(_tables_of(t)))
+
+    found = _let(bare, lambda text: _let(_depth(text), lambda depth: F.when(depth > MAX_DEPTH, F.array(F.lit(TOO_DEEP))).otherwise(read(text, depth))))
+    return F.when(sql.isNotNull(), found)
 
 
 # --- personal data ----------------------------------------------------------------------

@@ -271,6 +271,39 @@ def _(spark, folder):
     return ask.sql_grounding(held).select("answer_id", F.array_join("violations", ",").alias("violations"), "grounded")
 
 
+# Statements whose tables stand in subqueries, lists and conditions. Only customers and orders are documented.
+NESTED = [
+    "SELECT * FROM (SELECT order_id FROM orders WHERE customer_id = {}) s, secret",
+    "SELECT 1 FROM customers c JOIN orders o ON c.customer_id = o.customer_id, payments WHERE c.customer_id = {}",
+    "SELECT * FROM customers c, LATERAL (SELECT max(order_id) AS m FROM orders o WHERE o.customer_id = c.customer_id) z, plans WHERE z.m > {}",
+    "WITH x AS (WITH y AS (SELECT * FROM orders) SELECT * FROM y JOIN refunds USING (order_id)), z AS (SELECT * FROM x)\nSELECT * FROM z WHERE customer_id = {}",
+    "SELECT * FROM orders WHERE customer_id IN (SELECT customer_id FROM customers WHERE EXISTS (SELECT 1 FROM notes n WHERE n.i IN (1, {})))",
+    "SELECT order_id FROM orders WHERE customer_id = {} UNION ALL (SELECT order_id FROM old_orders ORDER BY (SELECT max(i) FROM limits))",
+    "SELECT extract(year FROM order_date), 'from nowhere, else' FROM orders /* from comments, more */ WHERE customer_id = {}",
+    "SELECT * FROM ((customers c JOIN orders o ON c.customer_id = (o.customer_id + {}))), spare",
+]
+
+
+@query(
+    "sql_grounding_nested",
+    f"""WITH statements AS (SELECT c_custkey AS answer_id, replace(CASE c_nationkey % {len(NESTED)}
+        {" ".join(f"WHEN {n} THEN {text(s)}" for n, s in enumerate(NESTED))} END, '{{}}', CAST(c_custkey AS VARCHAR)) AS sql FROM customer),
+    parsed AS (SELECT answer_id, json_serialize_sql(sql) AS tree FROM statements),
+    named AS (SELECT answer_id, list_distinct(json_extract_string(tree, '$..table_name')) AS used,
+      json_extract_string(tree, '$..cte_map.map[*].key') AS defined FROM parsed),
+    bad AS (SELECT answer_id, list_sort(list_filter(used, lambda x: NOT list_contains(defined, x) AND x NOT IN ('customers', 'orders'))) AS v FROM named)
+    SELECT answer_id, coalesce(array_to_string(v, ','), '') AS violations, len(v) = 0 AS grounded FROM bad""",
+)
+def _(spark, folder):
+    shape = F.get(F.array(*[F.lit(s) for s in NESTED]), (F.col("c_nationkey") % len(NESTED)).cast("int"))
+    held = read_table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("answer_id"),
+        F.replace(shape, F.lit("{}"), F.col("c_custkey").cast("string")).alias("sql"),
+        F.array(F.lit("customers"), F.lit("orders")).alias("tables"),
+    )
+    return ask.sql_grounding(held).select("answer_id", F.array_join("violations", ",").alias("violations"), "grounded")
+
+
 # --- conversations and personal data ----------------------------------------------------
 
 
