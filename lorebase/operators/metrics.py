@@ -240,6 +240,29 @@ def daily_sales_anomalies(orders: DataFrame, days: int = 28, limit: float = 3.0)
     filled = _spine(daily, "order_date", "interval 1 day").join(daily, "order_date", "left").select(
         F.col("order_date").alias("day"), _money(F.coalesce("amount", F.lit(0.0))).alias("revenue")
     )
+    return _unusual_days(filled, days, limit)
+
+
+def daily_sales_anomalies_last_month(orders: DataFrame, days: int = 28, limit: float = 3.0, as_of: str | None = None) -> DataFrame:
+    """The days of the last full month that `daily_sales_anomalies` would tell.
+
+    Only that month and the `days` days before it are read. Days without sales, at the end of the month too, count as 0
+    from the first day that has any.
+    """
+    day = day_or_last(orders, as_of)
+    start = F.add_months(_month(day), -1)
+    read_from = F.date_sub(start, days)
+    daily = _days(completed(orders), read_from, _month(day)).groupBy("order_date").agg(F.sum("order_amount").alias("amount"))
+    first = completed(orders).agg(F.min("order_date").alias("first"))
+    spine = first.select(F.explode(F.sequence(F.greatest("first", read_from), F.date_sub(_month(day), 1))).alias("order_date"))
+    filled = spine.join(daily, "order_date", "left").select(
+        F.col("order_date").alias("day"), _money(F.coalesce("amount", F.lit(0.0))).alias("revenue")
+    )
+    return _unusual_days(filled, days, limit).filter(F.col("day") >= start)
+
+
+def _unusual_days(filled: DataFrame, days: int, limit: float) -> DataFrame:
+    """Days (day, revenue), without gaps, that lie more than `limit` deviations from the `days` before them."""
     before = W.orderBy("day").rowsBetween(-days, -1)
     scored = filled.select(
         "day",

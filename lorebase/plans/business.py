@@ -166,6 +166,22 @@ def _(spark, folder):
     return m.daily_sales_anomalies(order_facts(spark, folder))
 
 
+@query(
+    "daily_sales_anomalies_last_month",
+    f"""WITH {ORD}, daily AS (SELECT order_date AS day, sum(order_amount) AS amount FROM done GROUP BY 1),
+    ends AS (SELECT CAST(date_trunc('month', d) AS DATE) AS month_end, CAST(date_trunc('month', d) - INTERVAL 1 MONTH AS DATE) AS month_start FROM today),
+    spine AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM daily), month_end - 1, INTERVAL 1 DAY)) AS DATE) AS day FROM ends),
+    filled AS (SELECT day, round(coalesce(amount, 0), 2) AS revenue FROM spine LEFT JOIN daily USING (day)),
+    scored AS (SELECT day, revenue, avg(revenue) OVER w AS mean, stddev_samp(revenue) OVER w AS deviation, count(*) OVER w AS n
+      FROM filled WINDOW w AS (ORDER BY day ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING))
+    SELECT day, revenue, round(mean, 6) AS usual_revenue, round((revenue - mean) / nullif(deviation, 0), 4) AS z_score
+    FROM scored, ends WHERE day >= month_start AND n = 28 AND abs((revenue - mean) / nullif(deviation, 0)) > 1""",
+)
+def _(spark, folder):
+    """Days of the last full month more than one deviation off the four weeks before them."""
+    return m.daily_sales_anomalies_last_month(order_facts(spark, folder, timed=True), limit=1.0)
+
+
 @query(
     "revenue_forecast",
     f"""{WITH}, {BY_QUARTER}, points AS (
