@@ -125,6 +125,33 @@ def _(spark, folder):
     return live.select("doc_id", "content_hash").join(counts, "doc_id")
 
 
+@query(
+    "kb_compaction",
+    f"""WITH earlier AS (
+      SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE quality WHEN 0 THEN text || ' (earlier)' ELSE text END AS content
+      FROM documents JOIN labels USING (doc_id)
+      UNION ALL SELECT 'page_' || page_id, html FROM pages),
+    states AS (SELECT 'opened before' AS state, * FROM earlier UNION ALL SELECT 'synced after', CAST(doc_id AS VARCHAR), text FROM documents),
+    t AS (SELECT state, doc_id, content, unnest({WORD.format("content")}) AS term FROM states)
+    SELECT state, doc_id, sha256(any_value(content)) AS content_hash, count(DISTINCT term) AS terms, count(*) AS tokens FROM t GROUP BY 1, 2""",
+)
+def _(spark, folder):
+    """Two syncs with a compaction after each; the first state is opened before the first compaction and read after the last."""
+    path = scratch_path(spark, "index")
+    kept = ["doc_id", "content", "updated_at"]
+    kb.sync_index(b.earlier_documents(spark, folder).select(*kept), path, 0)
+    before = kb.live_index(spark, path)
+    kb.compact_in_place(spark, path, 0)
+    kb.sync_index(b.document_kb(spark, folder).select(*kept), path, 1)
+    kb.compact_in_place(spark, path, 1)
+    out = None
+    for state, (live, postings) in (("opened before", before), ("synced after", kb.live_index(spark, path))):
+        counts = postings.groupBy("doc_id").agg(F.count(F.lit(1)).alias("terms"), F.sum("tf").alias("tokens"))
+        rows = live.select(F.lit(state).alias("state"), "doc_id", "content_hash").join(counts, "doc_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("kb_metadata", "SELECT source, count(*) AS documents, min(doc_id) AS first_id FROM documents GROUP BY 1")
 def _(spark, folder):
     docs = b.document_kb(spark, folder)

@@ -9,7 +9,7 @@ from lorebase.plans.business import CUST, ORD
 from lorebase.plans.knowledge import kept_index
 from lorebase.plans.registry import query
 from lorebase.plans.sql import LIVE_EVENTS, tfidf
-from lorebase.session import scratch_path
+from lorebase.session import scratch_path, written
 from lorebase.sources import bindings as b
 from lorebase.sources.tables import order_facts, read_table, register_business_views
 from lorebase.streaming.usage import read_stream, run_usage_daily
@@ -110,6 +110,39 @@ def _(spark, folder):
     return u.response_percentiles(b.history(spark, folder))
 
 
+def _sketches(spark, folder):
+    path = scratch_path(spark, "sketches")
+    u.write_sketches(b.history(spark, folder), path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "common_questions_sketch",
+    f"""{LOG} SELECT lower(question) AS question, count(*) AS asked,
+      (SELECT CAST(floor(count(*) * 3.5 / 16384) AS BIGINT) FROM history) AS error_at_most
+    FROM history GROUP BY 1 ORDER BY asked DESC, question LIMIT 10""",
+)
+def _(spark, folder):
+    """The frequent questions from a sketch per day, exact while there are fewer questions than it tracks."""
+    return u.common_questions_sketched(_sketches(spark, folder), 10)
+
+
+@query(
+    "response_percentiles_sketch",
+    f"""{LOG} SELECT CAST(date_trunc('month', timestamp) AS DATE) AS month, count(response_time_seconds) AS responses,
+      max(response_time_seconds) AS max_time, true AS p50_within, true AS p95_within FROM history GROUP BY 1""",
+)
+def _(spark, folder):
+    """Percentiles per month from a sketch per day, held against their ranks among all rows: within one percent."""
+    month = lambda c: F.trunc(c, "month").alias("month")
+    monthly = _sketches(spark, folder).withColumn("month", F.trunc("date", "month"))
+    found = written(u.response_percentiles_sketched(monthly, "month"), "percentiles")
+    log = b.history(spark, folder).select(month(F.to_date("timestamp")), "response_time_seconds")
+    within = lambda name: (F.col(f"{name}_error") <= 0.01).alias(f"{name}_within")
+    errors = u.rank_errors(log, found, "month").select("month", within("p50"), within("p95"))
+    return found.select("month", "responses", "max_time").join(errors, "month")
+
+
 @query("doc_usage", f"{LOG} SELECT doc_id, count(*) AS uses FROM (SELECT unnest(context_docs) AS doc_id FROM history) GROUP BY 1")
 def _(spark, folder):
     return u.doc_usage(b.history(spark, folder))

@@ -84,6 +84,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder, but for those that start with _ or a dot; none where it does not exist."""
+    if not exists(spark, path):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    names = [f.getPath().getName() for f in found if f.isDirectory()]
+    return [n for n in names if n[0] not in "_."]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _scratch_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/lorebase-{spark.sparkContext.applicationId}"
 
@@ -93,8 +108,7 @@ def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
     path = path or _scratch_folder(spark)
     if not path.startswith(_scratch_folder(spark)):
         raise ValueError("not a scratch table of this application")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    delete(spark, path)
 
 
 def broadcast_if_few(rows: DataFrame, limit: int = FEW_ROWS) -> DataFrame:

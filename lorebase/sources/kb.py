@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from lorebase.functions.text import tokens
-from lorebase.session import broadcast_if_few
+from lorebase.session import broadcast_if_few, delete, exists, folders, written
 
 # The columns of the documentation table, in order.
 KB_SCHEMA = T.StructType(
@@ -173,6 +173,33 @@ def _read_segments(spark: SparkSession, path: str, kind: str, schema: str) -> Da
         return spark.createDataFrame([], schema)
 
 
+# Compactions in place are entered in `compactions`, one folder each, which names the segments that its segment stands for.
+# An entry counts once it is written whole, and only where no earlier one has replaced any of its segments: of two
+# compactions that ran at the same time over the same segments the one with the smaller number counts.
+def _compacted(number: int) -> str:
+    return f"compacted-{number:09d}"
+
+
+def _replaced_segments(spark: SparkSession, path: str) -> tuple[set[str], set[str]]:
+    """(segments that a compaction replaced, segments of the compactions that count)."""
+    replaced: set[str] = set()
+    counting: set[str] = set()
+    for name in sorted(folders(spark, f"{path}/compactions")):
+        if exists(spark, f"{path}/compactions/{name}/_SUCCESS"):
+            stands_for = {r[0] for r in spark.read.text(f"{path}/compactions/{name}").collect()}
+            if not stands_for & replaced:
+                replaced |= stands_for
+                counting.add(name)
+    return replaced, counting
+
+
+def live_segments(spark: SparkSession, path: str) -> list[str]:
+    """The segments that make up an index now: those of syncs and streams since the last compaction, and what it left."""
+    replaced, counting = _replaced_segments(spark, path)
+    names = {f.removeprefix("segment=") for f in folders(spark, f"{path}/docs")}
+    return sorted(n for n in names - replaced if n in counting or not n.startswith("compacted-"))
+
+
 # What makes an entry the latest of its document: update time, ingest, sync; the rest settles ties.
 _ORDER = ["updated_at", "seq", "sync_no", "segment"]
 
@@ -188,9 +215,11 @@ def live_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     Per document only its latest version counts, by update time, then ingest, whatever the order in which
     segments were written; documents whose latest entry is a deletion are gone. The superseded entries are taken out
     rather than the live ones looked up: they are few after a compaction, and then the postings need no shuffle.
+    Tables that were opened before a compaction go on reading the segments it replaced, until `drop_replaced` deletes them.
     """
-    docs = _read_segments(spark, path, "docs", ENTRY_SCHEMA)
-    postings = _read_segments(spark, path, "postings", POSTING_SCHEMA)
+    now = F.col("segment").isin(live_segments(spark, path))
+    docs = _read_segments(spark, path, "docs", ENTRY_SCHEMA).filter(now)
+    postings = _read_segments(spark, path, "postings", POSTING_SCHEMA).filter(now)
     whole = docs.select("segment").distinct()  # a row per sync since the last compaction
     entries = _latest_entries(docs)
     latest = entries.select("doc_id", "last.*").filter("content_hash is not null")
@@ -211,6 +240,42 @@ def compact_index(spark: SparkSession, path: str, to: str) -> None:
     latest.drop("segment").select("doc_id", "content_hash", "updated_at", "seq", "sync_no").write.parquet(f"{to}/docs/segment=compacted")
 
 
+def compact_in_place(spark: SparkSession, path: str, number: int) -> bool:
+    """Fold all segments of an index into one, under readers and writers; False where compaction `number` was done before.
+
+    Postings and entries of the live documents are written as a new segment, entries of deletions with them, so that versions that arrive
+    late are still outdone. The entry that lets it stand for the old segments comes last. A compaction that broke off left
+    nothing that counts and is run again under its number; segments written in the meantime stay beside it.
+    """
+    segment = _compacted(number)
+    if exists(spark, f"{path}/compactions/{segment}/_SUCCESS"):
+        return False
+    folded = live_segments(spark, path)
+    entries = _read_segments(spark, path, "docs", ENTRY_SCHEMA).filter(F.col("segment").isin(folded))
+    latest = written(_latest_entries(entries).select("doc_id", "last.*"), "latest")
+    _, postings = live_index(spark, path)
+    postings = postings.filter(F.col("segment").isin(folded)).drop("segment")
+    postings.write.mode("overwrite").parquet(f"{path}/postings/segment={segment}")
+    latest.drop("segment").write.mode("overwrite").parquet(f"{path}/docs/segment={segment}")
+    names = spark.createDataFrame([(n,) for n in folded], "segment string")
+    names.coalesce(1).write.mode("overwrite").text(f"{path}/compactions/{segment}")
+    return True
+
+
+def drop_replaced(spark: SparkSession, path: str) -> list[str]:
+    """Delete the segments that compactions replaced, and those of compactions that do not count; returns their names.
+
+    To be run when nobody reads an index opened before the last compaction, and no compaction is under way.
+    """
+    replaced, counting = _replaced_segments(spark, path)
+    names = {f.removeprefix("segment=") for f in folders(spark, f"{path}/docs")}
+    gone = sorted(n for n in names if n in replaced or (n.startswith("compacted-") and n not in counting))
+    for name in gone:
+        for kind in ("postings", "docs"):
+            delete(spark, f"{path}/{kind}/segment={name}")
+    return gone
+
+
 def sync_index(kb: DataFrame, path: str, sync_no: int) -> DataFrame:
     """Bring a segmented index up to date with `kb` (doc_id, content, perhaps updated_at and seq; one live row per document), touching changed documents only.
 
@@ -220,7 +285,11 @@ def sync_index(kb: DataFrame, path: str, sync_no: int) -> DataFrame:
     """
     spark = kb.sparkSession
     segment = f"sync-{sync_no}"
-    others = _read_segments(spark, path, "docs", ENTRY_SCHEMA).filter(F.col("segment") != segment)
+    replaced, _ = _replaced_segments(spark, path)
+    while segment in replaced:  # what is written under that name would not be read
+        segment += "-again"
+    others = _read_segments(spark, path, "docs", ENTRY_SCHEMA)
+    others = others.filter((F.col("segment") != segment) & F.col("segment").isin(live_segments(spark, path)))
     latest = _latest_entries(others).select("doc_id", "last.*")
     indexed = latest.filter("content_hash is not null")
     plan = sync_plan(kb, indexed).filter("action <> 'unchanged'").checkpoint()

@@ -113,6 +113,75 @@ def test_sync_that_broke_off_is_run_again(spark, monkeypatch):
         assert live_terms(spark, path) == {("a", "new", 1), ("b", "z", 1)}
 
 
+def test_compaction_in_place(spark, monkeypatch):
+    path = scratch_path(spark, "index")
+    first = docs_of(spark, [("a", "x x y"), ("b", "z"), ("c", "old")])
+    second = docs_of(spark, [("a", "x x y"), ("c", "new"), ("d", "w")])
+    kb.sync_index(first, path, 0)
+    kb.sync_index(second, path, 1)
+    now = {("a", "x", 2), ("a", "y", 1), ("c", "new", 1), ("d", "w", 1)}
+    assert live_terms(spark, path) == now
+    _, opened = kb.live_index(spark, path)
+
+    # It breaks off before the entry is written: the segment does not count, and the compaction is run again.
+    frame = spark.createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        kb.compact_in_place(spark, path, 0)
+    monkeypatch.undo()
+    assert spark.createDataFrame == frame and kb.live_segments(spark, path) == ["sync-0", "sync-1"] and live_terms(spark, path) == now
+    assert kb.compact_in_place(spark, path, 0) and not kb.compact_in_place(spark, path, 0)
+    assert kb.live_segments(spark, path) == ["compacted-000000000"] and live_terms(spark, path) == now
+
+    # A late version of a deleted document stays outdone, a newer one does not; tables opened before read on.
+    late, new = dt.datetime(1960, 1, 1), dt.datetime(2024, 1, 1)
+    schema = "doc_id string, content string, updated_at timestamp, seq bigint"
+    kb.write_segment(spark.createDataFrame([("b", "late", late, 0), ("a", "q", new, 0)], schema), path, "stream-s-0")
+    now = {("a", "q", 1), ("c", "new", 1), ("d", "w", 1)}
+    assert live_terms(spark, path) == now
+    assert {r["term"] for r in opened.collect()} == {"x", "y", "new", "w"}
+
+    # Of two compactions over the same segments the first counts, and the other may stay or go.
+    names = kb.live_segments(spark, path)
+    assert kb.compact_in_place(spark, path, 1)
+    spark.createDataFrame([(n,) for n in names], "s string").coalesce(1).write.text(f"{path}/compactions/compacted-000000002")
+    kb.write_segment(spark.createDataFrame([("z", "wrong", new, 0)], schema), path, "compacted-000000002")
+    assert kb.live_segments(spark, path) == ["compacted-000000001"] and live_terms(spark, path) == now
+    assert kb.drop_replaced(spark, path) == ["compacted-000000000", "compacted-000000002", "stream-s-0", "sync-0", "sync-1"]
+    assert live_terms(spark, path) == now
+
+    # A sync under a number whose segment was folded in is read all the same.
+    assert {r["action"] for r in kb.sync_index(first, path, 1).collect()} == {"insert", "update", "delete"}
+    assert live_terms(spark, path) == {("a", "x", 2), ("a", "y", 1), ("b", "z", 1), ("c", "old", 1)}
+
+
+def test_sketches(spark):
+    """A small sketch keeps its bounds, days are replaced, and merged days tell what all rows tell."""
+    rows, start = [], dt.datetime(2024, 1, 1)
+    for i in range(30_000):
+        often = i % 3 == 0
+        rows.append((i, f"Common {i % 7}?" if often else f"rare {i * 7919 % 20_011}", start + dt.timedelta(hours=i % 96), float((i * 37) % 1000)))
+    log = spark.createDataFrame(rows, "id long, question string, timestamp timestamp, response_time_seconds double").repartition(8)
+    log = log.unionByName(spark.createDataFrame([(-1, None, start, None), (-2, None, None, 5.0)], log.schema))
+    path = scratch_path(spark, "sketches")
+    u.write_sketches(log, path, tracked=500, size=200)
+    u.write_sketches(log.filter("timestamp < '2024-01-02'"), path, tracked=500, size=200)
+    sketches = spark.read.parquet(path)
+    assert sketches.agg({"rows": "sum"}).first()[0] == 30_002
+    found = u.common_questions_sketched(sketches, 7, tracked=500).collect()
+    exact = {r["question"]: r["asked"] for r in u.common_questions(log, 10**6).collect()}
+    assert {r["question"] for r in found} == {f"common {i}" for i in range(7)}
+    assert all(0 <= r["asked"] - exact[r["question"]] <= r["error_at_most"] for r in found)
+    whole = sketches.withColumn("all", F.lit(1))
+    got = u.response_percentiles_sketched(whole, "all")
+    assert got.first()["responses"] == 30_001 and got.first()["max_time"] == 999
+    errors = u.rank_errors(log.withColumn("all", F.lit(1)), got, "all").first()
+    assert errors["p50_error"] < 0.04 and errors["p95_error"] < 0.04
+    none = scratch_path(spark, "sketches")
+    u.write_sketches(log.limit(0), none)
+    assert u.response_percentiles_sketched(sketches.limit(0)).count() == 0
+
+
 def test_stream_usage_equals_batch_for_closed_days(spark, data):
     source, path, progress = (scratch_path(spark, n) for n in ("log", "daily", "progress"))
     log = b.history(spark, data)
