@@ -8,6 +8,8 @@ is summed up per document, and only the k best rows per question and partition l
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 import numpy as np
@@ -53,6 +55,8 @@ CLASSES_PER_OCTAVE, LAST_CLASS = 4, 63
 BUCKET_ROWS, MOST_BUCKETS = 1 << 19, 4096
 # A term with very many weights is written by so many tasks.
 BUCKET_SPREAD = 4
+# What a term of a vocabulary takes in a broadcast, about.
+TERM_BYTES = "length(term) * 4 + 24"
 FIGURES = "unit array<string>, units bigint, rows bigint, term_bytes bigint"
 
 
@@ -66,18 +70,20 @@ def write_index(postings: DataFrame, path: str, unit: list[str] | None = None) -
     spark = postings.sparkSession
     postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.mode("overwrite").parquet(f"{path}/terms")
     terms = spark.read.schema("term string, df bigint").parquet(f"{path}/terms")
-    size = terms.agg(F.sum("df").alias("rows"), F.sum(F.length("term") * 4 + 24).alias("bytes")).first()
+    size = terms.agg(F.sum("df").alias("rows"), F.sum(F.expr(TERM_BYTES)).alias("bytes")).first()
     units = postings.agg(F.count_distinct(*unit)).first()[0]
     rows, term_bytes = size["rows"] or 0, size["bytes"] or 0
     buckets = max(1, min(MOST_BUCKETS, rows // BUCKET_ROWS))
-    raw = _raw_weights(postings, terms, unit, units, rows, term_bytes).repartition("doc_id")
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(*unit)))
-    weight = F.col("raw") / norm
+    raw = _raw_weights(postings, terms, unit, units, term_bytes)
+    norms = written(raw.groupBy(*unit).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")), "norms")
+    keys = [raw[c].eqNullSafe(norms[c]) for c in unit]
+    weighed = raw.join(broadcast_if_few(norms), reduce(and_, keys)).select(*[raw[c] for c in unit], "term", (F.col("raw") / F.col("norm")).alias("weight"))
     classed = F.least(F.floor(-CLASSES_PER_OCTAVE * F.log2("weight")), F.lit(LAST_CLASS)).cast("int")
     bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
-    weighed = raw.select(*unit, "term", weight.alias("weight")).withColumn("class", classed).withColumn("bucket", bucket)
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKET_SPREAD if rows > BUCKET_ROWS else 1))
-    weighed = weighed.repartition("bucket", spread).sortWithinPartitions("bucket", "term", "class")
+    # Class and bucket are told from the row again where it arrives, so they do not travel.
+    weighed = weighed.repartition(bucket, spread).withColumn("class", classed).withColumn("bucket", bucket)
+    weighed = weighed.sortWithinPartitions("bucket", "term", "class")
     weighed.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/weights")
     typed = [f"{c} {postings.schema[c].dataType.simpleString()}" for c in unit]
     weighed = _read_weights(spark, path, typed)
@@ -110,17 +116,35 @@ def _weight(units: int, tf, df):
     return (1 + F.log(tf.cast("double"))) * (F.log(F.lit(1.0 + units) / (1 + df.cast("double"))) + 1)
 
 
-def _raw_weights(postings: DataFrame, terms: DataFrame, unit: list[str], units: int, rows: int, term_bytes: int) -> DataFrame:
-    """Weights before normalisation, (unit, term, raw). A vocabulary within the bound of a
-    broadcast leaves the postings where they are; else hot terms are spread."""
-    if term_bytes <= BROADCAST_BYTES:
+def _raw_weights(postings: DataFrame, terms: DataFrame, unit: list[str], units: int, term_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Weights before normalisation, (unit, term, raw).
+
+    Terms go to where the postings are, most frequent first as far as one broadcast reaches; of a larger vocabulary only the postings
+    of the other, rare terms are shuffled.
+    """
+    if term_bytes <= limit:
         joined = postings.join(F.broadcast(terms), "term")
     else:
-        hot = hot_keys(terms, "term", "df", rows)
-        joined = lookup_join(postings, terms, "term", spread_by="doc_id", hot=hot)
+        least = _least_df(terms, limit)
+        frequent, rare = terms.filter(F.col("df") >= least), terms.filter(F.col("df") < least)
+        known = postings.join(F.broadcast(frequent), "term", "left")
+        joined = known.filter("df is not null").unionByName(known.filter("df is null").drop("df").join(rare, "term"))
     return joined.select(*unit, "term", _weight(units, F.col("tf"), F.col("df")).alias("raw"))
 
 
+def _least_df(terms: DataFrame, limit: int) -> int:
+    """The least power of two such that the terms of that frequency or more are within `limit` bytes."""
+    power = F.floor(F.log2("df"))
+    sizes = terms.groupBy(power.alias("power")).agg(F.sum(F.expr(TERM_BYTES)).alias("bytes")).orderBy(F.desc("power")).collect()  # 63 rows at most
+    held, least = 0, 1 << 62
+    for row in sizes:
+        held += row["bytes"]
+        if held > limit:
+            break
+        least = 1 << row["power"]
+    return least
+
+
 def embed_tfidf(index: TextIndex) -> DataFrame:
     """L2-normalised TF-IDF weights (unit, term, weight)."""
     return index.weights.select(*index.unit, "term", "weight")

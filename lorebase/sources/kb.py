@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from lorebase.functions.text import tokens
@@ -109,13 +114,53 @@ def sync_plan(docs: DataFrame, indexed: DataFrame) -> DataFrame:
 # --- index tables -----------------------------------------------------------------------
 
 
+# Most texts that a task counts at a time.
+COUNTED_TEXTS = 1024
+
+
 def term_counts(docs: DataFrame, unit: list[str], text: str = "content") -> DataFrame:
-    """Term frequencies per unit (a document, or a chunk of one)."""
-    return (
-        docs.select(*unit, F.explode(tokens(F.col(text))).alias("term"))
-        .groupBy(*unit, "term")
-        .agg(F.count(F.lit(1)).cast("int").alias("tf"))
-    )
+    """Term frequencies per unit (a document, or a chunk of one); rows that share a unit count together.
+
+    Texts are sorted by unit and counted as they pass, so what moves between tasks is texts, not their many terms, and a task
+    holds the terms of some texts only, however many it is given.
+    """
+    same_unit = W.partitionBy(*unit).orderBy(unit[0])
+    placed = docs.select(*unit, F.col(text).alias("_text"), (F.row_number().over(same_unit) == 1).alias("_first"))
+    found = placed.select(*unit, "_first", tokens(F.col("_text")).alias("_terms"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.select(*unit).schema)
+    return found.mapInArrow(_counted, f"{kinds}, term string, tf int")
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (unit, _first, _terms) that are sorted by unit to (unit, term, tf). The last unit waits for what may follow of it."""
+    held = None  # its row, terms and counts
+    for batch in batches:
+        for at in range(0, batch.num_rows, COUNTED_TEXTS):
+            part = batch.slice(at, COUNTED_TEXTS)
+            lists, first = part.column("_terms"), part.column("_first").to_numpy(zero_copy_only=False)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            terms, of = lists.flatten(), np.repeat(np.cumsum(first) - 1, sizes)
+            units = pa.Table.from_batches([part]).drop_columns(["_first", "_terms"]).take(np.flatnonzero(first))
+            n = np.ones(len(terms), np.int64)
+            if held is not None:
+                units, terms = pa.concat_tables([held[0], units]), pa.concat_arrays([held[1], terms])
+                of, n = np.concatenate([np.zeros(len(held[2]), np.int64), of + 1]), np.concatenate([held[2], n])
+            coded = terms.dictionary_encode()
+            words, width = coded.dictionary, max(len(coded.dictionary), 1)
+            keys, place = np.unique(of * width + coded.indices.to_numpy(), return_inverse=True)
+            tf = np.bincount(place, n, len(keys)).astype(np.int64)
+            of, code = keys // width, keys % width
+            end = np.searchsorted(of, units.num_rows - 1)
+            yield from _posted(units.take(of[:end]), words.take(pa.array(code[:end])), tf[:end])
+            held = units.slice(units.num_rows - 1), words.take(pa.array(code[end:])), tf[end:]
+    if held is not None:
+        units, terms, tf = held
+        yield from _posted(units.take(np.zeros(len(tf), np.int64)), terms, tf)
+
+
+def _posted(units: pa.Table, terms: pa.Array, tf: np.ndarray) -> list[pa.RecordBatch]:
+    rows = units.append_column("term", terms).append_column("tf", pa.array(tf.astype(np.int32)))
+    return rows.combine_chunks().to_batches()
 
 
 def write_postings(docs: DataFrame, path: str, unit: list[str] | None = None) -> DataFrame:

@@ -376,3 +376,40 @@ def test_filter_documents(spark):
     assert names(r.filter_documents(docs, doc_type="metric")) == ["how_conversion_counts", "how_revenue_counts"]
     assert names(r.filter_documents(docs, table="customers", any_tags=["formula"])) == ["how_conversion_counts"]
     assert names(r.filter_documents(docs, column="order_date")) == ["how_churn_counts", "table_of_orders"]
+
+
+def test_terms_are_counted_as_texts_pass(spark):
+    """Texts are shuffled once, by unit; no aggregation holds the terms of all texts of a task. Units that come several times count together."""
+    rows = [(str(i % 70) if i % 50 else None, None if i % 9 == 0 else " ".join(f"w{i * j % 37}" for j in range(i % 40))) for i in range(600)]
+    rows += [("hot", f"a b b c{i % 5}") for i in range(300)]
+    counts = kb.term_counts(spark.createDataFrame(rows, "doc_id string, content string"), ["doc_id"])
+    want = Counter((doc, word) for doc, text in rows for word in (text or "").split())
+    for rows_per_batch in ("7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_per_batch)
+        got = [((x.doc_id, x.term), x.tf) for x in counts.collect()]
+        assert dict(got) == want and len(got) == len(want)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Window [") == 1
+    assert kb.term_counts(spark.createDataFrame([], "doc_id string, content string"), ["doc_id"]).count() == 0
+
+
+def test_weights_with_a_vocabulary_beyond_a_broadcast(spark, tmp_path):
+    """Postings of frequent terms stay where they are whatever the size of the vocabulary; weights do not depend on it."""
+    docs = spark.createDataFrame([(str(i), f"all half{i % 2} some{i % 9} own{i}") for i in range(60)], "doc_id string, content string")
+    postings = kb.write_postings(docs, str(tmp_path / "postings"))
+    terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    size = terms.agg(F.sum(F.expr(r.TERM_BYTES))).first()[0]
+    weights = lambda limit: sorted(map(tuple, r._raw_weights(postings, terms, ["doc_id"], 60, size, limit).collect()))
+    want = weights(size)
+    assert len(want) == 240
+    for limit in (0, 150, 800, size - 1):
+        assert weights(limit) == want
+    assert r._least_df(terms, 150) == 16 and r._least_df(terms, 800) == 4 and r._least_df(terms, 0) > 60
+
+
+def test_norms_of_texts_without_an_id(spark, tmp_path):
+    docs = spark.createDataFrame([(None if i == 7 else str(i), f"all half{i % 2} own{i}") for i in range(40)], "doc_id string, content string")
+    r.write_index(kb.write_postings(docs, str(tmp_path / "postings")), str(tmp_path / "index"))
+    weights = r.read_index(spark, str(tmp_path / "index")).weights
+    lengths = weights.groupBy("doc_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n")).collect()
+    assert len(lengths) == 40 and all(abs(x.n - 1) < 1e-9 for x in lengths)
