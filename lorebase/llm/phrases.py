@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +17,15 @@ SEED = 42
 # All that ends a piece becomes a line feed, which stays in place as a token: words on both sides are not adjacent.
 TOKENS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
 END = b"\n"
-# Distinct words or groups that a task counts before it hands them on.
-COUNTED = 1 << 21
-# Keys of words that a task keeps at hand.
-KNOWN = 1 << 20
-
+# Distinct words that a task counts before it hands them on, of all languages together, and groups likewise.
+COUNTED, GROUPED = 1 << 18, 1 << 21
+# Keys of words that a task keeps at hand, of all languages together.
+KNOWN = 1 << 18
+# Texts that a task works on at a time.
+TEXTS = 1024
+
+# Rows, and what makes a relation of their batches. It runs in one pass with what is done to the relation next.
+Step = tuple[DataFrame, Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None]
 RELATION = "row long, at array<int>, key array<long>"
 
 
@@ -31,6 +35,12 @@ def _tokens(text: str | None) -> list[bytes]:
     return [w for w in flat.split(b" ") if w]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(at, TEXTS)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n) over all texts of `docs` (lang, text). Tasks count before they shuffle."""
 
@@ -47,8 +57,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, text in zip(batch.column("lang"), batch.column("text")):
                 counts.setdefault(lang.as_py(), Counter()).update(_tokens(text.as_py()))
-            if sum(map(len, counts.values())) > COUNTED:
-                yield from out()
+                if sum(map(len, counts.values())) > COUNTED:
+                    yield from out()
         yield from out()
 
     rows = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text")
@@ -59,7 +69,7 @@ def _word_key(lang: Column, word: Column) -> Column:
     return F.xxhash64(F.concat(lang, F.lit("\0"), word))
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
+def occurrences(docs: DataFrame) -> Step:
     """(row, at, key) of `docs` (lang, text): per text its words as keys, sorted by their place `at`.
 
     This is the relation of pieces, places and words, with one row for all that a text holds. Ends of pieces take a place
@@ -68,7 +78,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, dict[bytes, int]] = {}
-        for batch in batches:
+        for batch in _slices(batches):
             places, keys, ends = [], [], [0]
             for lang, text in zip(batch.column("lang"), batch.column("text")):
                 lang = lang.as_py()
@@ -80,12 +90,12 @@ def occurrences(docs: DataFrame) -> DataFrame:
                 inside = np.flatnonzero(np.fromiter((w != END for w in words), bool, len(words)))
                 places.append(inside.astype(np.int32)), keys.append(found[inside])
                 ends.append(ends[-1] + len(inside))
-                if len(of) > KNOWN:
+                if sum(map(len, known.values())) > KNOWN:
                     known.clear()
             yield _relation(batch.column("row"), places, keys, ends)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text")
-    return rows.mapInArrow(per_batch, RELATION)
+    return rows, per_batch
 
 
 def _relation(rows: pa.Array, places: list[np.ndarray], keys: list[np.ndarray], ends: list[int]) -> pa.RecordBatch:
@@ -125,9 +135,9 @@ def _frequent_groups(relation: DataFrame, least: int) -> DataFrame:
             waiting.clear()
             return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
 
-        for batch in batches:
+        for batch in _slices(batches):
             waiting.append(_joined(batch)[2])
-            if sum(map(len, waiting)) > 2 * COUNTED:
+            if sum(map(len, waiting)) > GROUPED:
                 yield out()
         yield out()
 
@@ -136,40 +146,53 @@ def _frequent_groups(relation: DataFrame, least: int) -> DataFrame:
 
 
 def _parts_of_groups(relation: DataFrame) -> DataFrame:
-    """(key, prefix, suffix) of the groups one word longer, distinct within a batch."""
+    """(key, prefix, suffix) of the groups one word longer. Tasks drop repeated ones before they hand them on."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        waiting: list[tuple[np.ndarray, ...]] = []
+
+        def out() -> pa.RecordBatch:
+            key, prefix, suffix = (np.concatenate([w[n] for w in waiting] or [np.zeros(0, np.uint64)]) for n in range(3))
+            waiting.clear()
+            key, first = np.unique(key, return_index=True)
+            return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in (key, prefix[first], suffix[first])], names=["key", "prefix", "suffix"])
+
+        for batch in _slices(batches):
             _, _, key, prefix, suffix = _joined(batch)
             key, first = np.unique(key, return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in (key, prefix[first], suffix[first])], names=["key", "prefix", "suffix"])
+            waiting.append((key, prefix[first], suffix[first]))
+            if sum(len(w[0]) for w in waiting) > GROUPED // 4:
+                yield out()
+        yield out()
 
     return relation.mapInArrow(per_batch, "key long, prefix long, suffix long")
 
 
-def _longer(relation: DataFrame) -> DataFrame:
+def _longer(relation: DataFrame) -> Step:
     """The occurrences of all groups one word longer."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             row, at, key, _, _ = _joined(batch)
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).tolist()
             yield _relation(batch.column("row"), [at], [key], ends)
 
-    return relation.mapInArrow(per_batch, RELATION)
+    return relation, per_batch
 
 
-def _semi_join(rows: DataFrame, frequent: DataFrame, limit: int) -> DataFrame:
+def _semi_join(step: Step, frequent: DataFrame, limit: int) -> DataFrame:
     """Occurrences whose group is `frequent` (key). Its keys are copied to all tasks while they are within `limit` bytes (8 each); else a join follows."""
+    rows, relation = step
     if frequent.count() * 8 > limit:
-        held = rows.select("row", F.explode(F.arrays_zip("at", "key")).alias("o")).select("row", "o.at", "o.key")
+        held = rows.mapInArrow(relation, RELATION) if relation else rows
+        held = held.select("row", F.explode(F.arrays_zip("at", "key")).alias("o")).select("row", "o.at", "o.key")
         held = held.join(frequent.select("key"), "key", "left_semi").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "key"))).alias("o"))
         return held.select("row", F.col("o.at").alias("at"), F.col("o.key").alias("key"))  # a text's share of one row
     keys = rows.sparkSession.sparkContext.broadcast(np.sort(frequent.select("key").toPandas()["key"].to_numpy(np.int64)).view(np.uint64))
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.sort(keys.value)
-        for batch in batches:
+        for batch in relation(batches):
             row, at, key = _columns(batch)
             place = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
             kept = known[place] == key if len(known) else np.zeros(len(key), bool)
@@ -194,10 +217,10 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, limit: int = BRO
         a.alias("a"), F.array(a).alias("heads"), F.array(a).alias("tails"),
     )
     levels = [stored(level, "frequent-1")]
-    relation = occurrences(docs)
+    step = occurrences(docs)
     if levels[0].count() * 8 > limit:
-        relation = stored(relation, "occurrences")  # its row numbers must not change between two readings
-    relation = stored(_semi_join(relation, levels[0], limit), "occurrences-1")
+        step = stored(step[0].mapInArrow(step[1], RELATION), "occurrences"), None  # its row numbers must not change between two readings
+    relation = stored(_semi_join(step, levels[0], limit), "occurrences-1")
     for size in range(2, longest + 1):
         frequent = stored(_frequent_groups(relation, least), f"groups-{size}")
         parts = _parts_of_groups(relation).join(broadcast_keys(frequent, limit), "key", "left_semi")

@@ -95,3 +95,20 @@ def test_odd_documents(spark):
     assert found(given, 2, 5, 100) == want and {r[0] for r in want} >= {"und"}
     assert phrases.collocations(no_docs(spark), 1).count() == 0
     assert phrases.collocations(given.filter("text is null"), 1).count() == 0
+
+
+def test_a_task_holds_few_texts_and_words(spark, monkeypatch):
+    """One Python process per task finds words and keeps the frequent ones; it works on some texts at a time and remembers words of all languages together."""
+    docs = spark.createDataFrame([(n, f"l{n % 4}", f"one two three w{n}") for n in range(40)], "id long, lang string, text string")
+    frequent = spark.createDataFrame([(1,)], "key long")
+    plan = phrases._semi_join(phrases.occurrences(docs), frequent, 32 << 20)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    monkeypatch.setattr(phrases, "TEXTS", 8)
+    monkeypatch.setattr(phrases, "KNOWN", 8)
+    hashed = []
+    digest = phrases.xxhash.xxh64_intdigest
+    monkeypatch.setattr(phrases.xxhash, "xxh64_intdigest", lambda word, seed: hashed.append(word) or digest(word, seed))
+    rows, relation = phrases.occurrences(docs)
+    batches = list(relation(iter(rows.toArrow().combine_chunks().to_batches())))
+    assert [b.num_rows for b in batches] == [8] * 5
+    assert len(hashed) > 40 + 4 * 3  # more than once per word and language, so words were forgotten
