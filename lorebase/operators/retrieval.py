@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from lorebase.functions.text import CHUNK_OVERLAP, CHUNK_SIZE, chunks, tokens
 from lorebase.operators.skew import hot_keys, lookup_join
-from lorebase.session import broadcast_if_few, scratch_path, written
+from lorebase.session import broadcast_if_few, read_dealt, scratch_path, write_dealt, written
 
 SCORE_DIGITS = 6
 # Most bytes of question terms that one broadcast may hold.
@@ -38,33 +38,34 @@ def chunk_documents(
 
 
 class TextIndex(NamedTuple):
-    """A kept search index: weights in blocks by term and size of the weight, and the figures all weights depend on."""
+    """A kept search index: weights in blocks by term and size of the weight, dealt by document, and the figures all weights depend on."""
 
     weights: DataFrame  # (unit, term, weight, class, bucket)
-    blocks: DataFrame  # (term, class, bucket, n, largest): how many weights a block holds, and the largest
+    blocks: DataFrame  # (bucket, term, class, n, largest): how many weights a block holds, and the largest; counted when read
     unit: list[str]  # what a text is: a document, or a chunk of one
     terms: DataFrame  # (term, df)
     units: int  # number of texts
     rows: int  # number of postings
     term_bytes: int  # size of `terms`
+    parts: int  # into so many parts the weights are dealt by doc_id
+    buckets: int  # numbers of buckets of terms
 
 
 # Weights of a class lie within a quarter of a factor of two.
 CLASSES_PER_OCTAVE, LAST_CLASS = 4, 63
-# Postings of a bucket of terms, about; a search reads the buckets of its terms only.
-BUCKET_ROWS, MOST_BUCKETS = 1 << 19, 4096
-# A term with very many weights is written by so many tasks.
-BUCKET_SPREAD = 4
+# Postings of a bucket of terms, about; a search reads the buckets of its terms only. Each part has a file per bucket.
+BUCKET_ROWS, MOST_BUCKETS = 1 << 27, 4096
 # What a term of a vocabulary takes in a broadcast, about.
 TERM_BYTES = "length(term) * 4 + 24"
-FIGURES = "unit array<string>, units bigint, rows bigint, term_bytes bigint"
+FIGURES = "unit array<string>, units bigint, rows bigint, term_bytes bigint, parts int, buckets int"
 
 
-def write_index(postings: DataFrame, path: str, unit: list[str] | None = None) -> None:
+def write_index(postings: DataFrame, path: str, unit: list[str] | None = None, parts: int | None = None) -> None:
     """Write the search index of live postings (unit, term, tf) to `path`.
 
-    Document frequencies are counted first, so weights are never stale, then each text's weights and norm. Weights are
-    clustered by bucket, term and class. The figures come last and in one file: an index without them does not count.
+    Document frequencies are counted first, so weights are never stale, then each text's weights and norm. Weights are kept dealt
+    by document, in folders by bucket of terms; of postings that `write_postings` has dealt into `parts` they stay where they are.
+    The figures come last and in one file: an index without them does not count.
     """
     unit = unit or ["doc_id"]
     spark = postings.sparkSession
@@ -74,35 +75,37 @@ def write_index(postings: DataFrame, path: str, unit: list[str] | None = None) -
     units = postings.agg(F.count_distinct(*unit)).first()[0]
     rows, term_bytes = size["rows"] or 0, size["bytes"] or 0
     buckets = max(1, min(MOST_BUCKETS, rows // BUCKET_ROWS))
-    raw = _raw_weights(postings, terms, unit, units, term_bytes)
-    norms = written(raw.groupBy(*unit).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")), "norms")
-    keys = [raw[c].eqNullSafe(norms[c]) for c in unit]
-    weighed = raw.join(broadcast_if_few(norms), reduce(and_, keys)).select(*[raw[c] for c in unit], "term", (F.col("raw") / F.col("norm")).alias("weight"))
+    if parts is None:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        postings = postings.repartition(parts, "doc_id")
+    raw = _dealt_raw_weights(postings, terms, unit, units, term_bytes, parts)
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(*_dealt(unit))))
+    weighed = raw.select(*_dealt(unit), "term", (F.col("raw") / norm).alias("weight")).filter("weight is not null")
+    weighed = weighed.withColumnRenamed(DEALT, "doc_id")
     classed = F.least(F.floor(-CLASSES_PER_OCTAVE * F.log2("weight")), F.lit(LAST_CLASS)).cast("int")
-    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
-    spread = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKET_SPREAD if rows > BUCKET_ROWS else 1))
-    # Class and bucket are told from the row again where it arrives, so they do not travel.
-    weighed = weighed.repartition(bucket, spread).withColumn("class", classed).withColumn("bucket", bucket)
-    weighed = weighed.sortWithinPartitions("bucket", "term", "class")
-    weighed.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/weights")
+    weighed = weighed.withColumn("class", classed).withColumn("bucket", _bucket(buckets))
+    write_dealt(weighed, f"{path}/weights", "doc_id", parts, ["bucket"])
     typed = [f"{c} {postings.schema[c].dataType.simpleString()}" for c in unit]
-    weighed = _read_weights(spark, path, typed)
-    blocks = weighed.groupBy("bucket", "term", "class").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("largest"))
-    blocks.select("term", "class", "bucket", "n", "largest").write.mode("overwrite").parquet(f"{path}/blocks")
-    spark.createDataFrame([(typed, units, rows, term_bytes)], FIGURES).coalesce(1).write.mode("overwrite").parquet(f"{path}/figures")
+    figures = spark.createDataFrame([(typed, units, rows, term_bytes, parts, buckets)], FIGURES)
+    figures.coalesce(1).write.mode("overwrite").parquet(f"{path}/figures")
 
 
-def _read_weights(spark, path: str, unit: list[str]) -> DataFrame:
-    return spark.read.schema(f"{', '.join(unit)}, term string, weight double, class int, bucket int").parquet(f"{path}/weights")
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+
+
+def _blocks(weights: DataFrame) -> DataFrame:
+    return weights.groupBy("bucket", "term", "class").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("largest"))
 
 
 def read_index(spark, path: str) -> TextIndex:
     """The search index that `write_index` has put there."""
     figures = spark.read.schema(FIGURES).parquet(f"{path}/figures").first()
-    blocks = spark.read.schema("term string, class int, bucket int, n bigint, largest double").parquet(f"{path}/blocks")
     terms = spark.read.schema("term string, df bigint").parquet(f"{path}/terms")
-    weights, unit = _read_weights(spark, path, figures["unit"]), [c.split(" ")[0] for c in figures["unit"]]
-    return TextIndex(weights, blocks, unit, terms, figures["units"], figures["rows"], figures["term_bytes"])
+    fields = f"{', '.join(figures['unit'])}, term string, weight double, class int, bucket int"
+    weights = read_dealt(spark, f"{path}/weights", fields, "doc_id", figures["parts"], ["bucket"])
+    unit = [c.split(" ")[0] for c in figures["unit"]]
+    return TextIndex(weights, _blocks(weights), unit, terms, *figures[1:])
 
 
 def open_index(postings: DataFrame, unit: list[str] | None = None) -> TextIndex:
@@ -116,20 +119,36 @@ def _weight(units: int, tf, df):
     return (1 + F.log(tf.cast("double"))) * (F.log(F.lit(1.0 + units) / (1 + df.cast("double"))) + 1)
 
 
+# Two tables that lie dealt by document lie so together as well, if Spark meets the column under a name of its own in their union.
+DEALT = "dealt_id"
+
+
+def _dealt(columns: list[str]) -> list[str]:
+    return [DEALT if c == "doc_id" else c for c in columns]
+
+
 def _raw_weights(postings: DataFrame, terms: DataFrame, unit: list[str], units: int, term_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Weights before normalisation, (unit, term, raw).
+    """Weights before normalisation, (unit, term, raw)."""
+    return _dealt_raw_weights(postings, terms, unit, units, term_bytes, limit=limit).filter("raw is not null").withColumnRenamed(DEALT, "doc_id")
+
+
+def _dealt_raw_weights(postings, terms, unit, units, term_bytes, parts: int | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Weights before normalisation, (unit, term, raw), with the name DEALT for doc_id, and perhaps rows without `raw`, which do not count.
 
     Terms go to where the postings are, most frequent first as far as one broadcast reaches; of a larger vocabulary only the postings
-    of the other, rare terms are shuffled.
+    of the other, rare terms are shuffled, and go back to the `parts` by document that they came from. They stand among the
+    postings without `raw` too: taking them out there would make Spark shuffle all.
     """
+    postings = postings.withColumnRenamed("doc_id", DEALT)
     if term_bytes <= limit:
         joined = postings.join(F.broadcast(terms), "term")
     else:
         least = _least_df(terms, limit)
         frequent, rare = terms.filter(F.col("df") >= least), terms.filter(F.col("df") < least)
         known = postings.join(F.broadcast(frequent), "term", "left")
-        joined = known.filter("df is not null").unionByName(known.filter("df is null").drop("df").join(rare, "term"))
-    return joined.select(*unit, "term", _weight(units, F.col("tf"), F.col("df")).alias("raw"))
+        found = known.filter("df is null").drop("df").join(rare, "term")
+        joined = known.unionByName(found.repartition(parts, DEALT) if parts else found)
+    return joined.select(*_dealt(unit), "term", _weight(units, F.col("tf"), F.col("df")).alias("raw"))
 
 
 def _least_df(terms: DataFrame, limit: int) -> int:
@@ -241,8 +260,8 @@ def _found(questions: DataFrame, index: TextIndex, k: int, threshold: float | No
     3. Texts in the blocks that are left are candidates; those whose sum, with all that was set aside, stays under the floor go.
     4. The blocks set aside are read for the remaining candidates only.
 
-    Only the buckets of asked terms are read, and their weights pass a filter by block before any shuffle. What shuffles are
-    weights by document; pairs of question and text add up where the document is.
+    Only the buckets of asked terms are read. Weights lie dealt by document, so those that pass a filter by block add up
+    to pairs of question and text where they are; what shuffles are the k best pairs of each task, and counts of blocks.
     """
     question_weights = written(embed_questions(questions, index), "question-weights")
     out = None
@@ -255,7 +274,10 @@ def _found(questions: DataFrame, index: TextIndex, k: int, threshold: float | No
 def _found_for(part: DataFrame, small: bool, index: TextIndex, k: int, threshold: float | None, exclude_self: bool) -> DataFrame:
     hint = F.broadcast if small else (lambda df: df)
     block = ["bucket", "term", "class"]
-    asked = index.blocks.join(hint(part.select("question_id", "term", "question_weight")), "term")
+    terms = written(part.select("term").distinct(), "asked-terms")
+    buckets = [r[0] for r in terms.select(_bucket(index.buckets)).distinct().collect()]  # MOST_BUCKETS numbers at most
+    asked = _blocks(index.weights.filter(F.col("bucket").isin(buckets)).join(broadcast_if_few(terms), "term", "left_semi"))
+    asked = asked.join(hint(part.select("question_id", "term", "question_weight")), "term")
     asked = asked.withColumn("most", F.col("question_weight") * F.col("largest"))
     by_gain = W.partitionBy("question_id").orderBy(F.desc("most"), "term", "class").rowsBetween(W.unboundedPreceding, -1)
     lesser = F.lag("most", 1, 0.0).over(W.partitionBy("question_id", "term").orderBy("most", F.desc("class")))
@@ -288,16 +310,26 @@ def _found_for(part: DataFrame, small: bool, index: TextIndex, k: int, threshold
         candidates = candidates.filter("doc_id <> question_id")
     if aside.isEmpty():
         return candidates.select(*index.unit, "question_id", F.round("sum", SCORE_DIGITS).alias("score"))
-    candidates = written(candidates.select(*index.unit, "question_id", "sum"), "candidates")
-
-    kept = broadcast_if_few(candidates.select(*index.unit))
-    others = _block_weights(index, aside, block, hint).join(kept, index.unit, "left_semi")
     pairs = [*index.unit, "question_id"]
-    more = others.repartition("doc_id").join(hint(aside.select("question_id", *block, "question_weight")), block)
+    path, fields = scratch_path(index.weights.sparkSession, "candidates"), [*pairs, "sum"]
+    typed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in candidates.select(*fields).schema)
+    write_dealt(candidates.select(*fields), path, "doc_id", index.parts)
+    candidates = read_dealt(index.weights.sparkSession, path, typed, "doc_id", index.parts)
+
+    # Joined by document, which all lies dealt by; which chunks of it are meant goes along.
+    rest = [c for c in index.unit if c != "doc_id"]
+    kept = candidates.groupBy("doc_id").agg(F.max(F.lit(True)), *[F.collect_set(c).alias(c) for c in rest]).hint("shuffle_hash")
+    others = _block_weights(index, aside, block, hint)
+    meant = [F.array_contains(kept[c], others[c]) for c in rest]
+    others = others.join(kept, reduce(and_, meant, others["doc_id"] == kept["doc_id"]), "left_semi")
+    # Each has its block, so a left join finds the same rows; after it Spark still knows that they lie dealt by document.
+    more = others.join(hint(aside.select("question_id", *block, "question_weight")), block, "left")
     more = more.select(*pairs, (F.col("weight") * F.col("question_weight")).alias("sum"))
-    both = candidates.repartition("doc_id").select(*pairs, "sum", F.lit(True).alias("candidate")).unionByName(more.withColumn("candidate", F.lit(False)))
+    both = candidates.select(*fields, F.lit(True).alias("candidate")).withColumnRenamed("doc_id", DEALT)
+    both = both.unionByName(more.withColumn("candidate", F.lit(False)).withColumnRenamed("doc_id", DEALT))
     score = F.round(F.sum("sum"), SCORE_DIGITS)
-    return both.groupBy(*pairs).agg(score.alias("score"), F.max("candidate").alias("candidate")).filter("candidate").drop("candidate")
+    scored = both.groupBy(*_dealt(pairs)).agg(score.alias("score"), F.max("candidate").alias("candidate")).filter("candidate")
+    return scored.withColumnRenamed(DEALT, "doc_id").drop("candidate")
 
 
 def _block_weights(index: TextIndex, wanted: DataFrame, block: list[str], hint) -> DataFrame:
@@ -308,7 +340,7 @@ def _block_weights(index: TextIndex, wanted: DataFrame, block: list[str], hint)
 
 def _sums(index: TextIndex, wanted: DataFrame, block: list[str], hint) -> DataFrame:
     """(unit, question_id, sum): what the texts in `wanted` blocks (question_id, block, question_weight) gather there."""
-    held = _block_weights(index, wanted, block, hint).repartition("doc_id")
+    held = _block_weights(index, wanted, block, hint)
     matched = held.join(hint(wanted.select("question_id", *block, "question_weight")), block)
     return matched.groupBy(*index.unit, "question_id").agg(F.sum(F.col("weight") * F.col("question_weight")).alias("sum"))
 

@@ -22,13 +22,16 @@ def kept_index(spark, folder, name, docs, unit=None):
     """
     path = kept_path(spark, f"index-{name}", folder)
     if not exists(spark, f"{path}/figures/_SUCCESS"):
-        texts = docs() if unit is None else r.chunk_documents(docs())
-        r.write_index(kb.write_postings(texts, f"{path}/postings", unit), path, unit)
+        whole = docs()
+        parts = kb.parts_of(whole)
+        texts = whole.repartition(parts, "doc_id")
+        texts = texts if unit is None else r.chunk_documents(texts)
+        r.write_index(kb.write_postings(texts, f"{path}/postings", unit, parts), path, unit, parts)
     return r.read_index(spark, path)
 
 
 def document_index(spark, folder):
-    return kept_index(spark, folder, "documents", lambda: b.document_kb(spark, folder))
+    return kept_index(spark, folder, "documents", lambda: b.document_kb(spark, folder, dealt=False))
 
 
 # --- the table --------------------------------------------------------------------------
@@ -223,7 +226,7 @@ CHUNKS = """chunked AS (
     FROM best QUALIFY rank <= 5""",
 )
 def _(spark, folder):
-    index = kept_index(spark, folder, "chunks", lambda: b.document_kb(spark, folder), ["doc_id", "chunk_no"])
+    index = kept_index(spark, folder, "chunks", lambda: b.document_kb(spark, folder, dealt=False), ["doc_id", "chunk_no"])
     hits = r.search_chunk_rollup(b.benchmark_questions(spark, folder), index, 5)
     return hits.withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
 

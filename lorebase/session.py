@@ -74,6 +74,26 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def _dealt_name(path: str) -> str:
+    return f"dealt_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
+
+
+def write_dealt(rows: DataFrame, path: str, by: str, parts: int, folders: list[str] | None = None) -> None:
+    """Write rows as a table of `parts` buckets of column `by`: what reads it groups and joins by that column without a shuffle.
+
+    `rows` should be dealt by `by` into as many parts already, so that each task writes one bucket.
+    """
+    writer = rows.write.mode("overwrite").format("parquet").option("path", path).bucketBy(parts, by)
+    (writer.partitionBy(*folders) if folders else writer).saveAsTable(_dealt_name(path))
+
+
+def read_dealt(spark: SparkSession, path: str, schema: str, by: str, parts: int, folders: list[str] | None = None) -> DataFrame:
+    """The table that `write_dealt` has put there, perhaps in another application."""
+    held = f"PARTITIONED BY ({', '.join(folders)}) " if folders else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_dealt_name(path)} ({schema}) USING parquet {held}CLUSTERED BY ({by}) INTO {parts} BUCKETS LOCATION '{path}'")
+    return spark.table(_dealt_name(path))
+
+
 def kept_path(spark: SparkSession, name: str, of: str) -> str:
     """The path of a table that this application keeps, the same for the same `name` and `of`."""
     return f"{_scratch_folder(spark)}/{name}-{uuid.uuid5(uuid.NAMESPACE_URL, of).hex}"

@@ -19,10 +19,11 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(read_table(spark, folder, "documents"), "doc_id")
 
 
-def document_kb(spark: SparkSession, folder: str) -> DataFrame:
-    """`documents` as a knowledge base."""
+def document_kb(spark: SparkSession, folder: str, dealt: bool = True) -> DataFrame:
+    """`documents` as a knowledge base; `dealt` is of use where texts are worked on without another shuffle before."""
+    read = read_table(spark, folder, "documents").withColumn("doc_id", F.col("doc_id").cast("string"))
     # Spread by the id in its final type, so that grouping by it later needs no shuffle.
-    docs = spread(read_table(spark, folder, "documents").withColumn("doc_id", F.col("doc_id").cast("string")), "doc_id").select(
+    docs = (spread(read, "doc_id") if dealt else read).select(
         "doc_id",
         F.col("lang").alias("doc_type"),
         F.substring("text", 1, 60).alias("title"),  # a title only; the text stays whole
@@ -39,7 +40,7 @@ def business_kb(spark: SparkSession) -> DataFrame:
 
 def full_kb(spark: SparkSession, folder: str) -> DataFrame:
     """The documents and the notes on the business tables."""
-    return document_kb(spark, folder).unionByName(business_kb(spark))
+    return document_kb(spark, folder, dealt=False).unionByName(business_kb(spark))
 
 
 def schema_kb(spark: SparkSession, folder: str) -> DataFrame:

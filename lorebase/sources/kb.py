@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from lorebase.functions.text import tokens
-from lorebase.session import broadcast_if_few, delete, exists, folders, written
+from lorebase.session import broadcast_if_few, delete, exists, folders, read_dealt, write_dealt, written
 
 # The columns of the documentation table, in order.
 KB_SCHEMA = T.StructType(
@@ -163,15 +163,30 @@ def _posted(units: pa.Table, terms: pa.Array, tf: np.ndarray) -> list[pa.RecordB
     return rows.combine_chunks().to_batches()
 
 
-def write_postings(docs: DataFrame, path: str, unit: list[str] | None = None) -> DataFrame:
+# Characters of text in a part of an index, about.
+PART_CHARACTERS = 1 << 23
+
+
+def parts_of(docs: DataFrame, text: str = "content") -> int:
+    """Into how many parts an index of these texts is dealt; texts are measured."""
+    total = docs.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // PART_CHARACTERS))
+
+
+def write_postings(docs: DataFrame, path: str, unit: list[str] | None = None, parts: int | None = None) -> DataFrame:
     """Tokenise once and keep the term frequencies as a table; returns the table.
 
     Tokenising is the dear step and three later steps read its result (document
     frequencies, weights, scores), so it is written rather than recomputed, and a lost
-    executor costs no second pass over the texts.
+    executor costs no second pass over the texts. Of `docs` that are dealt by doc_id into `parts` the postings stay so, and
+    what follows by document needs no shuffle.
     """
     unit = unit or ["doc_id"]
     counts = term_counts(docs, unit)
+    if parts:
+        write_dealt(counts, path, "doc_id", parts)
+        fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in counts.schema)
+        return read_dealt(docs.sparkSession, path, fields, "doc_id", parts)
     counts.write.mode("overwrite").parquet(path)
     return docs.sparkSession.read.schema(counts.schema).parquet(path)
 

@@ -413,3 +413,30 @@ def test_norms_of_texts_without_an_id(spark, tmp_path):
     weights = r.read_index(spark, str(tmp_path / "index")).weights
     lengths = weights.groupBy("doc_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n")).collect()
     assert len(lengths) == 40 and all(abs(x.n - 1) < 1e-9 for x in lengths)
+
+
+def _executed(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_an_index_that_lies_dealt_by_document_is_not_shuffled(spark, tmp_path, monkeypatch):
+    """Weights are found, kept and added up where the texts of a document were dealt; also with rare terms beside a broadcast and blocks set aside."""
+    docs = [(f"d{i:03d}", "the " * 5 + f"name{i % 20} thing{i % 3} own{i}") for i in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id string, content string")
+    assert kb.parts_of(frame) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(kb, "PART_CHARACTERS", 100)
+    assert kb.parts_of(frame) == -(-sum(len(text) for _, text in docs) // 100)
+    postings = kb.write_postings(frame.repartition(5, "doc_id"), str(tmp_path / "postings"), None, 5)
+    plain, plans = r._dealt_raw_weights, []
+    monkeypatch.setattr(r, "_dealt_raw_weights", lambda *a: plain(*a, limit=300))
+    write = r.write_dealt
+    monkeypatch.setattr(r, "write_dealt", lambda rows, *a: plans.append(_executed(rows)) or write(rows, *a))
+    monkeypatch.setattr(r, "FIRST_LOOK", 4)
+    r.write_index(postings, str(tmp_path / "index"), None, 5)
+    index = r.read_index(spark, str(tmp_path / "index"))
+    asked = [("q", "the thing1 name7"), ("p", "the")]
+    hits = r.search_topk_text(spark.createDataFrame(asked, "question_id string, question string"), index, 3)
+    assert rows(hits) == brute(docs, asked, 3)
+    assert "Union" in plans[0] and "Union" in _executed(hits)
+    for plan in [*plans, _executed(hits)]:
+        assert "hashpartitioning(doc_id" not in plan and "hashpartitioning(dealt_id" not in plan
