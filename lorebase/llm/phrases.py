@@ -145,8 +145,20 @@ def _frequent_groups(relation: DataFrame, least: int) -> DataFrame:
     return counted.filter(F.col("a") >= least)
 
 
-def _parts_of_groups(relation: DataFrame) -> DataFrame:
-    """(key, prefix, suffix) of the groups one word longer. Tasks drop repeated ones before they hand them on."""
+def _copied(frequent: DataFrame):
+    """The keys of frequent groups, sorted and copied to all tasks."""
+    return frequent.sparkSession.sparkContext.broadcast(np.sort(frequent.select("key").toPandas()["key"].to_numpy(np.int64).view(np.uint64)))
+
+
+def _parts_of_groups(relation: DataFrame, frequent: DataFrame, limit: int) -> DataFrame:
+    """(key, prefix, suffix) of the `frequent` groups (key) one word longer.
+
+    Their keys are copied to all tasks while they are within `limit` bytes (8 each), and a task tells the parts of each
+    once. Beyond, tasks drop repeated ones before they hand them on, and a join follows.
+    """
+
+    def rows(key: np.ndarray, prefix: np.ndarray, suffix: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in (key, prefix, suffix)], names=["key", "prefix", "suffix"])
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[np.ndarray, ...]] = []
@@ -155,7 +167,7 @@ def _parts_of_groups(relation: DataFrame) -> DataFrame:
             key, prefix, suffix = (np.concatenate([w[n] for w in waiting] or [np.zeros(0, np.uint64)]) for n in range(3))
             waiting.clear()
             key, first = np.unique(key, return_index=True)
-            return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in (key, prefix[first], suffix[first])], names=["key", "prefix", "suffix"])
+            return rows(key, prefix[first], suffix[first])
 
         for batch in _slices(batches):
             _, _, key, prefix, suffix = _joined(batch)
@@ -165,7 +177,23 @@ def _parts_of_groups(relation: DataFrame) -> DataFrame:
                 yield out()
         yield out()
 
-    return relation.mapInArrow(per_batch, "key long, prefix long, suffix long")
+    schema = "key long, prefix long, suffix long"
+    if frequent.count() * 8 > limit:
+        return relation.mapInArrow(per_batch, schema).join(frequent.select("key"), "key", "left_semi")
+    keys = _copied(frequent)
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = keys.value
+        told = np.zeros(len(known), bool)
+        for batch in _slices(batches):
+            _, _, key, prefix, suffix = _joined(batch)
+            key, first = np.unique(key, return_index=True)
+            place = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
+            new = (known[place] == key) & ~told[place] if len(known) else np.zeros(len(key), bool)
+            told[place[new]] = True
+            yield rows(key[new], prefix[first[new]], suffix[first[new]])
+
+    return relation.mapInArrow(once, schema)
 
 
 def _longer(relation: DataFrame) -> Step:
@@ -188,10 +216,10 @@ def _semi_join(step: Step, frequent: DataFrame, limit: int) -> DataFrame:
         held = held.select("row", F.explode(F.arrays_zip("at", "key")).alias("o")).select("row", "o.at", "o.key")
         held = held.join(frequent.select("key"), "key", "left_semi").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "key"))).alias("o"))
         return held.select("row", F.col("o.at").alias("at"), F.col("o.key").alias("key"))  # a text's share of one row
-    keys = rows.sparkSession.sparkContext.broadcast(np.sort(frequent.select("key").toPandas()["key"].to_numpy(np.int64)).view(np.uint64))
+    keys = _copied(frequent)
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.sort(keys.value)
+        known = keys.value
         for batch in relation(batches):
             row, at, key = _columns(batch)
             place = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
@@ -223,8 +251,7 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, limit: int = BRO
     relation = stored(_semi_join(step, levels[0], limit), "occurrences-1")
     for size in range(2, longest + 1):
         frequent = stored(_frequent_groups(relation, least), f"groups-{size}")
-        parts = _parts_of_groups(relation).join(broadcast_keys(frequent, limit), "key", "left_semi")
-        parts = parts.groupBy("key").agg(F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix"))
+        parts = _parts_of_groups(relation, frequent, limit).groupBy("key").agg(F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix"))
         heads = levels[-1].select(F.col("key").alias("prefix"), "lang", F.col("phrase").alias("head"), "heads")
         tails = levels[-1].select(F.col("key").alias("suffix"), "last", "tails")
         level = frequent.join(parts, "key").join(heads, "prefix").join(tails, "suffix").select(
@@ -239,12 +266,6 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, limit: int = BRO
     return levels, totals
 
 
-def broadcast_keys(frequent: DataFrame, limit: int) -> DataFrame:
-    """The keys of stored groups, marked for broadcast while they are within `limit` bytes."""
-    keys = frequent.select("key")
-    return F.broadcast(keys) if frequent.count() * 8 <= limit else keys
-
-
 def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000, limit: int = BROADCAST_BYTES) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the `top` phrases of each language of `docs` (lang, text, ...).
 

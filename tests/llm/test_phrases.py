@@ -112,3 +112,16 @@ def test_a_task_holds_few_texts_and_words(spark, monkeypatch):
     batches = list(relation(iter(rows.toArrow().combine_chunks().to_batches())))
     assert [b.num_rows for b in batches] == [8] * 5
     assert len(hashed) > 40 + 4 * 3  # more than once per word and language, so words were forgotten
+
+
+def test_a_task_tells_the_parts_of_a_frequent_group_once(spark, monkeypatch):
+    """However many texts hold it, and no group that is not frequent; the same parts where keys are joined."""
+    monkeypatch.setattr(phrases, "TEXTS", 2)
+    monkeypatch.setattr(phrases, "GROUPED", 8)
+    docs = spark.createDataFrame([("en", f"to be or not to be x{i}") for i in range(60)], "lang string, text string").repartition(3)
+    rows, relation = phrases.occurrences(docs)
+    words = rows.mapInArrow(relation, phrases.RELATION).checkpoint()
+    frequent = phrases._frequent_groups(words, 50).checkpoint()
+    parts = phrases._parts_of_groups(words, frequent, 1 << 20).collect()
+    assert frequent.count() == 4 and len(parts) == 3 * 4
+    assert set(parts) == set(phrases._parts_of_groups(words, frequent, 0).collect())
