@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lorebase.session import drop_scratch, prepare, scratch_path
@@ -53,6 +56,20 @@ def tasks_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is computed in here sends at most `rows` rows at a time to Python workers: whole texts are large, and a batch lies in memory on both sides."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 # Most bytes of rows that may be copied to every task.
 BROADCAST_BYTES = 32 << 20
 

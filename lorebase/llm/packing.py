@@ -12,13 +12,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from lorebase.llm.common import stored
+from lorebase.llm.common import small_batches, stored
 
 # Items that one best-fit run takes, and bytes of ids it may hold back.
 BLOCK_ITEMS = 1 << 16
 BLOCK_BYTES = 1 << 26
 # Words whose ids a worker keeps.
 CACHE_WORDS = 1_200_000
+# Texts that are sent to a worker at a time.
+TEXTS = 2048
 # A sequence with no more than this share of its room left is done.
 SLACK = 0.005
 
@@ -197,7 +199,8 @@ def pack_documents(
 
     schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill long"
     cut = docs.select("doc_id", "text").mapInArrow(cut_and_pack, schema + ", ids array<int>" * with_ids)
-    pieces = stored(cut, "pieces")
+    with small_batches(docs.sparkSession, TEXTS):
+        pieces = stored(cut, "pieces")
     moved = _merge(pieces.filter("offset = 0").select(F.col("bin").alias("item"), "fill"), capacity)
     placed = pieces.join(moved.withColumnRenamed("item", "bin"), "bin", "left")
     return placed.select(

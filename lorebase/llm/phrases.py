@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from lorebase.llm.common import BROADCAST_BYTES, drop_stored, stored
+from lorebase.llm.common import BROADCAST_BYTES, drop_stored, small_batches, stored
 
 NO_LANG = "und"
 SEED = 42
@@ -277,7 +277,8 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     Null texts are empty ones; a null lang is `und`. Repeated rows count each. Words and groups are told apart by 64-bit hashes. No rows:
     no rows. Other columns are ignored. Keys of frequent groups beyond `limit` bytes are joined instead of copied to tasks.
     """
-    levels, totals = frequent_phrases(docs.select("lang", "text"), least, longest, limit)
+    with small_batches(docs.sparkSession, TEXTS):
+        levels, totals = frequent_phrases(docs.select("lang", "text"), least, longest, limit)
     columns = ["key", "lang", "phrase", "a", "heads", "tails"]
     found = dropped = None
     for shorter, level in zip(levels, levels[1:]):
