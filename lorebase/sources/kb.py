@@ -87,6 +87,28 @@ def current_documents(kb: DataFrame) -> DataFrame:
     return kb.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").drop("_n")
 
 
+# Shares of rows per part of them, so that parts are about equally large.
+SHARES = 8
+
+
+def dealt_versions(kb: DataFrame, path: str) -> DataFrame:
+    """`current_documents` of a table whose tasks may be few and large, dealt by document into parts of about equal size.
+
+    Sorting a task's rows to find the latest versions would hold all that it reads, such as a file of one row group. So rows are dealt out first,
+    unsorted and in any order, into no more parts than a shuffle writes without holding rows. Each share keeps one row per id, written to
+    `path`; an id with very many versions does not pile up. What is left is dealt by document. A task sorts a part, whatever it was given to read.
+    """
+    spark = kb.sparkSession
+    parts = parts_of(kb)
+    direct = int(spark.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    at_once = max(1, min(parts, direct))
+    shared = kb.withColumn("_share", F.pmod(F.monotonically_increasing_id(), F.lit(at_once * SHARES))).repartition(at_once, "_share")
+    latest = W.partitionBy("doc_id", "_share").orderBy(F.desc("updated_at"), F.desc("seq"))
+    kept = shared.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").select(*kb.columns)
+    kept.write.mode("overwrite").parquet(path)
+    return current_documents(spark.read.schema(kb.schema).parquet(path).repartition(parts, "doc_id"))
+
+
 def metadata_source(metadata):
     return F.from_json(metadata, "map<string,string>")["source"]
 

@@ -6,7 +6,8 @@ import threading
 
 from pyspark.sql import DataFrame
 
-from lorebase.sources.kb import current_documents, write_segment
+from lorebase.session import drop_scratch, scratch_path
+from lorebase.sources.kb import dealt_versions, write_segment
 
 
 def run_kb_sync(docs: DataFrame, path: str, checkpoint: str) -> None:
@@ -21,7 +22,10 @@ def run_kb_sync(docs: DataFrame, path: str, checkpoint: str) -> None:
 
     def index(batch: DataFrame, batch_id: int) -> None:
         started.wait()
-        write_segment(current_documents(batch), path, f"stream-{stream[0]}-{batch_id}", batch_id)
+        spark = batch.sparkSession
+        held = scratch_path(spark, "versions")
+        write_segment(dealt_versions(batch, held), path, f"stream-{stream[0]}-{batch_id}", batch_id)
+        drop_scratch(spark, held)
 
     query = (
         docs.select("doc_id", "content", "updated_at", "seq")

@@ -92,6 +92,22 @@ def test_stream_sync_takes_new_files_only(spark):
     assert live_terms(spark, path) == {("a", "w", 1), ("b", "z", 1), ("c", "v", 1)}
 
 
+def test_stream_of_one_large_task_is_sorted_in_parts(spark, monkeypatch):
+    schema = "doc_id string, content string, updated_at timestamp, seq bigint"
+    source, path, progress = (scratch_path(spark, n) for n in ("one-file", "index", "progress"))
+    rows = [(str(n), f"word{n} more", dt.datetime(2024, 1, 1), 0) for n in range(200)]
+    rows += [("7", f"version{n}", dt.datetime(2024, 1, 2), n) for n in range(300)] + [(None, "nameless", None, None)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(source)
+    monkeypatch.setattr(kb, "PART_CHARACTERS", 200)
+    run_kb_sync(spark.readStream.schema(schema).parquet(source), path, progress)
+    files = [f for _, _, names in os.walk(f"{path}/postings") for f in names if f.endswith(".parquet")]
+    assert len(files) > int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
+    live, postings = kb.live_index(spark, path)
+    want = {(str(n), t) for n in range(200) if n != 7 for t in (f"word{n}", "more")} | {("7", "version299")}
+    assert {(r.doc_id, r.term) for r in postings.filter("doc_id is not null").collect()} == want
+    assert live.filter("doc_id is not null").count() == 200
+
+
 def test_sync_that_broke_off_is_run_again(spark, monkeypatch):
     path = scratch_path(spark, "index")
     kb.sync_index(docs_of(spark, [("a", "old"), ("b", "z"), ("c", "x")]), path, 0)
