@@ -124,24 +124,49 @@ def _joined(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return row[first], at[first], x ^ (x >> np.uint64(31)), prefix, suffix
 
 
-def _frequent_groups(relation: DataFrame, least: int) -> DataFrame:
-    """(key, a) of the groups one word longer that occur at least `least` times. Tasks count before they shuffle."""
+def _source(row: pa.Array) -> np.ndarray:
+    """The part of the input that rows come from, by the number `occurrences` gave them."""
+    return (row.to_numpy() >> 33).astype(np.int32)
+
+
+def _by_source(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of batches by the part of the input they come from."""
+    for batch in _slices(batches):
+        source = _source(batch.column("row"))
+        cuts = [0, *(np.flatnonzero(np.diff(source)) + 1).tolist(), len(source)]
+        for at, end in zip(cuts, cuts[1:]):
+            if end > at:
+                yield int(source[at]), batch.slice(at, end - at)
+
+
+def _frequent_groups(relation: DataFrame, least: int, sourced: bool = False) -> DataFrame:
+    """(key, a) of the groups one word longer that occur at least `least` times; `sourced` adds `source`, the first part of the input that holds one.
+
+    Tasks count before they shuffle.
+    """
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[np.ndarray] = []
+        waiting: dict[int, list[np.ndarray]] = {}
+        held = 0
 
-        def out() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(waiting) if waiting else np.zeros(0, np.uint64), return_counts=True)
+        def out() -> Iterator[pa.RecordBatch]:
+            for source, found in waiting.items():
+                keys, n = np.unique(np.concatenate(found), return_counts=True)
+                columns = [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(np.full(len(keys), source, np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "source"])
             waiting.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
 
-        for batch in _slices(batches):
-            waiting.append(_joined(batch)[2])
-            if sum(map(len, waiting)) > GROUPED:
-                yield out()
-        yield out()
+        for source, batch in _by_source(batches):
+            key = _joined(batch)[2]
+            waiting.setdefault(source, []).append(key)
+            held += len(key)
+            if held > GROUPED:
+                yield from out()
+                held = 0
+        yield from out()
 
-    counted = relation.mapInArrow(per_batch, "key long, n long").groupBy("key").agg(F.sum("n").alias("a"))
+    counted = relation.mapInArrow(per_batch, "key long, n long, source int").groupBy("key")
+    counted = counted.agg(F.sum("n").alias("a"), *[F.min("source").alias("source")] * sourced)
     return counted.filter(F.col("a") >= least)
 
 
@@ -151,10 +176,11 @@ def _copied(frequent: DataFrame):
 
 
 def _parts_of_groups(relation: DataFrame, frequent: DataFrame, limit: int) -> DataFrame:
-    """(key, prefix, suffix) of the `frequent` groups (key) one word longer.
+    """(key, prefix, suffix) of the `frequent` groups (key, perhaps source) one word longer.
 
-    Their keys are copied to all tasks while they are within `limit` bytes (8 each), and a task tells the parts of each
-    once. Beyond, tasks drop repeated ones before they hand them on, and a join follows.
+    Their keys are copied to all tasks while they are within `limit` bytes (12 each), and a group is told once from its `source`, the
+    part of the input it is known to be in; without that, once by each task that holds it. Beyond, tasks drop
+    repeated ones before they hand them on, and a join follows.
     """
 
     def rows(key: np.ndarray, prefix: np.ndarray, suffix: np.ndarray) -> pa.RecordBatch:
@@ -178,20 +204,32 @@ def _parts_of_groups(relation: DataFrame, frequent: DataFrame, limit: int) -> Da
         yield out()
 
     schema = "key long, prefix long, suffix long"
-    if frequent.count() * 8 > limit:
+    if frequent.count() * 12 > limit:
         return relation.mapInArrow(per_batch, schema).join(frequent.select("key"), "key", "left_semi")
-    keys = _copied(frequent)
+    sourced = "source" in frequent.columns
+    groups = frequent.select("key", *["source"] * sourced).toPandas()
+    known = groups["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(known)
+    copied = frequent.sparkSession.sparkContext.broadcast((known[order], groups["source"].to_numpy(np.int32)[order] if sourced else None))
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = keys.value
-        told = np.zeros(len(known), bool)
-        for batch in _slices(batches):
+        known, sources = copied.value
+        wanted: dict[int | None, tuple[np.ndarray, np.ndarray]] = {}  # per part of the input the keys to tell from it, and which are still to be told
+        for source, batch in _by_source(batches):
+            source = source if sourced else None
+            if source not in wanted:
+                of = known[sources == source] if sourced else known
+                wanted[source] = of, np.ones(len(of), bool)
+            of, untold = wanted[source]
+            if not untold.any():
+                continue
             _, _, key, prefix, suffix = _joined(batch)
-            key, first = np.unique(key, return_index=True)
-            place = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
-            new = (known[place] == key) & ~told[place] if len(known) else np.zeros(len(key), bool)
-            told[place[new]] = True
-            yield rows(key[new], prefix[first[new]], suffix[first[new]])
+            place = np.minimum(np.searchsorted(of, key), len(of) - 1)
+            new = np.flatnonzero((of[place] == key) & untold[place])
+            place, first = np.unique(place[new], return_index=True)
+            untold[place] = False
+            first = new[first]
+            yield rows(key[first], prefix[first], suffix[first])
 
     return relation.mapInArrow(once, schema)
 
@@ -250,7 +288,7 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, limit: int = BRO
         step = stored(step[0].mapInArrow(step[1], RELATION), "occurrences"), None  # its row numbers must not change between two readings
     relation = stored(_semi_join(step, levels[0], limit), "occurrences-1")
     for size in range(2, longest + 1):
-        frequent = stored(_frequent_groups(relation, least), f"groups-{size}")
+        frequent = stored(_frequent_groups(relation, least, sourced=True), f"groups-{size}")
         parts = _parts_of_groups(relation, frequent, limit).groupBy("key").agg(F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix"))
         heads = levels[-1].select(F.col("key").alias("prefix"), "lang", F.col("phrase").alias("head"), "heads")
         tails = levels[-1].select(F.col("key").alias("suffix"), "last", "tails")

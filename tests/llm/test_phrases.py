@@ -125,3 +125,15 @@ def test_a_task_tells_the_parts_of_a_frequent_group_once(spark, monkeypatch):
     parts = phrases._parts_of_groups(words, frequent, 1 << 20).collect()
     assert frequent.count() == 4 and len(parts) == 3 * 4
     assert set(parts) == set(phrases._parts_of_groups(words, frequent, 0).collect())
+
+
+def test_parts_of_a_group_are_told_once_of_all_tasks(spark, monkeypatch):
+    """Once where it is known which part of the input holds a group, in however many parts it is and however parts are dealt to tasks."""
+    monkeypatch.setattr(phrases, "TEXTS", 2)
+    docs = spark.createDataFrame([("en", f"to be or not to be x{i}") for i in range(60)], "lang string, text string").repartition(5)
+    rows, relation = phrases.occurrences(docs)
+    words = rows.mapInArrow(relation, phrases.RELATION).checkpoint()
+    frequent = phrases._frequent_groups(words, 50, sourced=True).checkpoint()
+    told = phrases._parts_of_groups(words.coalesce(2), frequent, 1 << 20).collect()
+    assert frequent.count() == 4 and len(told) == 4
+    assert set(told) == set(phrases._parts_of_groups(words, frequent.drop("source"), 1 << 20).collect())
