@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
@@ -68,12 +69,18 @@ class WordIds:
 
     def _of_group(self, texts: list[bytes]) -> Iterator[bytes]:
         known = self.known
-        lists = [(t.lower() if self.lowers and t.isascii() else t).split() for t in texts]
-        new = set().union(*[set(words).difference(known) for words in lists])
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = set().union(*lists)
-        self._learn(new)
+        collects = gc.isenabled()
+        gc.disable()  # what is made here is in no cycles, and there is much of it to look through
+        try:
+            lists = [(t.lower() if self.lowers and t.isascii() else t).split() for t in texts]
+            new = set().union(*[set(words).difference(known) for words in lists])
+            if len(known) + len(new) > CACHE_WORDS:
+                known.clear()
+                new = set().union(*lists)
+            self._learn(new)
+        finally:
+            if collects:
+                gc.enable()
         for words in lists:
             yield b"".join(map(known.__getitem__, words))
 
