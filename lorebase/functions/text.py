@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import numpy as np
+from pyspark.sql import SparkSession, functions as F
 
 # What counts as a token, and the chunk sizes.
 TOKEN = r"[\p{L}\p{N}_]+"
@@ -25,6 +26,23 @@ def tokens(text):
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
+_CHARACTERS: dict[str, np.ndarray] = {}
+
+
+def token_characters(spark: SparkSession) -> np.ndarray:
+    """The code points that `TOKEN` takes, as ranges (first, after last). Spark is asked once per application, so that what counts as a letter is the same wherever texts are cut."""
+    held = spark.sparkContext.applicationId
+    if held not in _CHARACTERS:
+        points = spark.range(0x110000).filter("id NOT BETWEEN 55296 AND 57343")  # surrogates are no characters
+        letter = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+        taken = points.filter(F.regexp_like(letter, F.lit(f"^{TOKEN}$"))).toPandas()["id"].to_numpy()  # as many as there are letters
+        taken = np.sort(taken)
+        starts = np.flatnonzero(np.diff(taken, prepend=-2) > 1)
+        ends = np.append(starts[1:], len(taken)) - 1
+        _CHARACTERS[held] = np.stack([taken[starts], taken[ends] + 1], axis=1)
+    return _CHARACTERS[held]
+
+
 def strip_space(text):
     """Drop white space of every kind at both ends.
 

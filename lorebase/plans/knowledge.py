@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lorebase.operators import retrieval as r
 from lorebase.plans.registry import query
 from lorebase.plans.sql import KB, LIVE_EVENTS, SCHEMA_COLUMNS, text, tfidf
-from lorebase.session import exists, kept_path, scratch_path
+from lorebase.session import exists, kept_path, scratch_path, written
 from lorebase.sources import bindings as b
 from lorebase.sources import kb
 from lorebase.sources.tables import read_table
@@ -121,7 +121,7 @@ WORD = "regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]+')"
 def _(spark, folder):
     """Documents are added, changed, deleted or left as they are by two syncs; the second is carried out twice."""
     path = scratch_path(spark, "index")
-    for number, docs in ((0, b.earlier_documents(spark, folder)), (1, b.document_kb(spark, folder)), (1, b.document_kb(spark, folder))):
+    for number, docs in ((0, b.earlier_documents(spark, folder)), (1, b.document_kb(spark, folder, dealt=False)), (1, b.document_kb(spark, folder, dealt=False))):
         kb.sync_index(docs.select("doc_id", "content", "updated_at"), path, number)
     live, postings = kb.live_index(spark, path)
     counts = postings.groupBy("doc_id").agg(F.count(F.lit(1)).alias("terms"), F.sum("tf").alias("tokens"))
@@ -145,7 +145,7 @@ def _(spark, folder):
     kb.sync_index(b.earlier_documents(spark, folder).select(*kept), path, 0)
     before = kb.live_index(spark, path)
     kb.compact_in_place(spark, path, 0)
-    kb.sync_index(b.document_kb(spark, folder).select(*kept), path, 1)
+    kb.sync_index(b.document_kb(spark, folder, dealt=False).select(*kept), path, 1)
     kb.compact_in_place(spark, path, 1)
     out = None
     for state, (live, postings) in (("opened before", before), ("synced after", kb.live_index(spark, path))):
@@ -368,8 +368,8 @@ _LEFT = f"list_filter(list_distinct(string_split({_words('question')}, ' ')), la
     FROM seen WHERE len(list_intersect(own, words)) > 0 OR len(list_intersect(string_split({_words("table_name")}, ' '), words)) > 0""",
 )
 def _(spark, folder):
-    columns = r.schema_columns(b.schema_kb(spark, folder))
-    index = kept_index(spark, folder, "schemas", lambda: r.schema_texts(columns))
+    columns = written(r.schema_columns(b.schema_kb(spark, folder)), "columns")
+    index = kept_index(spark, folder, "schemas", lambda: written(r.schema_texts(columns), "schema-texts"))
     return r.schema_answers(schema_questions(spark, folder), columns, index, 3)
 
 

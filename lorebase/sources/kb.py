@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from lorebase.functions.text import tokens
-from lorebase.session import broadcast_if_few, delete, exists, folders, read_dealt, write_dealt, written
+from lorebase.functions.text import token_characters
+from lorebase.session import broadcast_if_few, delete, drop_scratch, exists, folders, read_dealt, scratch_path, write_dealt, written
 
 # The columns of the documentation table, in order.
 KB_SCHEMA = T.StructType(
@@ -117,12 +118,16 @@ def content_hash(content):
     return F.sha2(content, 256)
 
 
+def _hash_of(docs: DataFrame):
+    return F.col("content_hash") if "content_hash" in docs.columns else content_hash(F.col("content"))
+
+
 def sync_plan(docs: DataFrame, indexed: DataFrame) -> DataFrame:
     """What a sync has to do per document, from hashes only.
 
-    `docs` needs (doc_id, content); `indexed` holds (doc_id, content_hash) of the last sync.
+    `docs` needs (doc_id, content), or a content_hash where that is known; `indexed` holds (doc_id, content_hash) of the last sync.
     """
-    now = docs.select("doc_id", content_hash(F.col("content")).alias("new_hash"))
+    now = docs.select("doc_id", _hash_of(docs).alias("new_hash"))
     then = indexed.select("doc_id", F.col("content_hash").alias("old_hash"))
     action = (
         F.when(F.col("old_hash").isNull(), "insert")
@@ -136,41 +141,51 @@ def sync_plan(docs: DataFrame, indexed: DataFrame) -> DataFrame:
 # --- index tables -----------------------------------------------------------------------
 
 
-# Most texts that a task counts at a time.
-COUNTED_TEXTS = 1024
+# Most bytes of text that a task counts at a time, but for a longer text.
+COUNTED_BYTES = 1 << 22
 
 
 def term_counts(docs: DataFrame, unit: list[str], text: str = "content") -> DataFrame:
     """Term frequencies per unit (a document, or a chunk of one); rows that share a unit count together.
 
     Texts are sorted by unit and counted as they pass, so what moves between tasks is texts, not their many terms, and a task
-    holds the terms of some texts only, however many it is given.
+    holds the terms of some texts only, however many it is given. Terms are those of `tokens`; a batch of texts is cut at once.
     """
     same_unit = W.partitionBy(*unit).orderBy(unit[0])
     placed = docs.select(*unit, F.col(text).alias("_text"), (F.row_number().over(same_unit) == 1).alias("_first"))
-    found = placed.select(*unit, "_first", tokens(F.col("_text")).alias("_terms"))
+    found = placed.select(*unit, "_first", F.lower("_text").alias("_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.select(*unit).schema)
-    return found.mapInArrow(_counted, f"{kinds}, term string, tf int")
+    return found.mapInArrow(partial(_counted, token_characters(docs.sparkSession)), f"{kinds}, term string, tf int")
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (unit, _first, _terms) that are sorted by unit to (unit, term, tf). The last unit waits for what may follow of it."""
+def _counted(characters: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (unit, _first, _text) that are sorted by unit to (unit, term, tf). The last unit waits for what may follow of it."""
+    taken = np.zeros(0x110000, bool)
+    for start, end in characters:
+        taken[start:end] = True
     held = None  # its row, terms and counts
     for batch in batches:
-        for at in range(0, batch.num_rows, COUNTED_TEXTS):
-            part = batch.slice(at, COUNTED_TEXTS)
-            lists, first = part.column("_terms"), part.column("_first").to_numpy(zero_copy_only=False)
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-            terms, of = lists.flatten(), np.repeat(np.cumsum(first) - 1, sizes)
-            units = pa.Table.from_batches([part]).drop_columns(["_first", "_terms"]).take(np.flatnonzero(first))
-            n = np.ones(len(terms), np.int64)
+        texts = pc.fill_null(batch.column("_text"), "").cast(pa.large_string())
+        starts = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        at = 0
+        while at < batch.num_rows:
+            after = max(at + 1, int(np.searchsorted(starts, starts[at] + COUNTED_BYTES, "right")) - 1)
+            part, first = batch.slice(at, after - at), batch.column("_first").slice(at, after - at).to_numpy(zero_copy_only=False)
+            fresh, sizes = _cut(texts.buffers()[2], starts[at : after + 1], taken)
+            at = after
+            units = pa.Table.from_batches([part]).drop_columns(["_first", "_text"]).take(np.flatnonzero(first))
+            of = np.repeat(np.cumsum(first) - 1, sizes)
+            waiting = 0 if held is None else len(held[1])
             if held is not None:
-                units, terms = pa.concat_tables([held[0], units]), pa.concat_arrays([held[1], terms])
-                of, n = np.concatenate([np.zeros(len(held[2]), np.int64), of + 1]), np.concatenate([held[2], n])
-            coded = terms.dictionary_encode()
-            words, width = coded.dictionary, max(len(coded.dictionary), 1)
-            keys, place = np.unique(of * width + coded.indices.to_numpy(), return_inverse=True)
-            tf = np.bincount(place, n, len(keys)).astype(np.int64)
+                units, of, fresh = pa.concat_tables([held[0], units]), of + 1, pa.concat_arrays([held[1], fresh])
+            coded = fresh.dictionary_encode()
+            words, width, codes = coded.dictionary, max(len(coded.dictionary), 1), coded.indices.to_numpy().astype(np.int64)
+            keys, tf = _runs(of * width + codes[waiting:])
+            if waiting:  # of the first unit
+                more = np.searchsorted(keys, width)
+                both, place = np.unique(np.concatenate([codes[:waiting], keys[:more]]), return_inverse=True)
+                n = np.bincount(place, np.concatenate([held[2], tf[:more]]), len(both)).astype(np.int64)
+                keys, tf = np.concatenate([both, keys[more:]]), np.concatenate([n, tf[more:]])
             of, code = keys // width, keys % width
             end = np.searchsorted(of, units.num_rows - 1)
             yield from _posted(units.take(of[:end]), words.take(pa.array(code[:end])), tf[:end])
@@ -180,6 +195,43 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _posted(units.take(np.zeros(len(tf), np.int64)), terms, tf)
 
 
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys in order, and how often each occurs."""
+    keys = np.sort(keys)
+    starts = np.flatnonzero(np.append(np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]))
+    return keys[starts], np.diff(np.append(starts, len(keys)))
+
+
+def _cut(buffer: pa.Buffer | None, starts: np.ndarray, taken: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """All terms of the texts in UTF-8 that begin at `starts` (the last ends at the last), and how many each text has: maximal runs of `taken` code points."""
+    starts = starts.astype(np.int64)
+    data = np.frombuffer(buffer or b"", np.uint8)[starts[0] : starts[-1]]
+    starts = starts - starts[0]
+    inside = np.frombuffer(data.tobytes().translate(taken[:128].tobytes() + bytes(128)), bool)
+    lead = np.flatnonzero(data >= 0xC0)  # first bytes of longer code points
+    if len(lead):
+        inside = inside.copy()
+        size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+        point = data[lead] & (0x7F >> size)
+        point = point.astype(np.int32)
+        for n in (1, 2, 3):
+            longer = size > n
+            point[longer] = (point[longer] << 6) | (data[lead[longer] + n] & 0x3F)
+        lead, size = lead[taken[point]], size[taken[point]]
+        for n in range(4):
+            inside[lead[size > n] + n] = True
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    own = starts[:-1][starts[:-1] < starts[1:]]  # no run goes on from one text into the next
+    begins[own] = inside[own]
+    ends[own[1:] - 1] = inside[own[1:] - 1]
+    begin = np.flatnonzero(begins)
+    offsets = np.concatenate([[0], np.cumsum(np.flatnonzero(ends) + 1 - begin)]).astype(np.int32)
+    terms = pa.StringArray.from_buffers(len(begin), pa.py_buffer(offsets), pa.py_buffer(data[inside]))
+    return terms, np.diff(np.searchsorted(begin, starts))
+
+
 def _posted(units: pa.Table, terms: pa.Array, tf: np.ndarray) -> list[pa.RecordBatch]:
     rows = units.append_column("term", terms).append_column("tf", pa.array(tf.astype(np.int32)))
     return rows.combine_chunks().to_batches()
@@ -191,7 +243,11 @@ PART_CHARACTERS = 1 << 23
 
 def parts_of(docs: DataFrame, text: str = "content") -> int:
     """Into how many parts an index of these texts is dealt; texts are measured."""
-    total = docs.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
+    return _parts_for(docs, docs.agg(F.sum(F.length(text).cast("long"))).first()[0])
+
+
+def _parts_for(docs: DataFrame, total: int | None) -> int:
+    total = total or 0
     return max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // PART_CHARACTERS))
 
 
@@ -223,23 +279,28 @@ def _entries(docs: DataFrame, sync_no: int) -> DataFrame:
     seq = F.col("seq").cast("bigint") if "seq" in docs.columns else F.lit(0).cast("bigint")
     return docs.select(
         "doc_id",
-        content_hash(F.col("content")).alias("content_hash"),
+        _hash_of(docs).alias("content_hash"),
         F.col("updated_at").cast("timestamp").alias("updated_at"),
         seq.alias("seq"),
         F.lit(sync_no).cast("bigint").alias("sync_no"),
     )
 
 
+def _write_postings(postings: DataFrame, path: str) -> None:
+    """A dictionary of terms outgrows its page and is then given up, so none is tried."""
+    postings.write.mode("overwrite").option("parquet.enable.dictionary#term", "false").parquet(path)
+
+
 def write_segment(docs: DataFrame, path: str, segment: str, sync_no: int = 0, gone: DataFrame | None = None) -> None:
     """Write one segment; writing it again replaces it.
 
-    `docs` needs (doc_id, content, updated_at, seq), one row per document. `gone` are entries of deleted documents: a
+    `docs` needs (doc_id, content, updated_at, seq), perhaps content_hash, one row per document. `gone` are entries of deleted documents: a
     row without a hash, which hides what earlier entries say.
     """
     entries = _entries(docs, sync_no)
     if gone is not None:
         entries = entries.unionByName(gone)
-    term_counts(docs, ["doc_id"]).write.mode("overwrite").parquet(f"{path}/postings/segment={segment}")
+    _write_postings(term_counts(docs, ["doc_id"]), f"{path}/postings/segment={segment}")
     entries.write.mode("overwrite").parquet(f"{path}/docs/segment={segment}")
 
 
@@ -302,7 +363,6 @@ def live_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     now = F.col("segment").isin(live_segments(spark, path))
     docs = _read_segments(spark, path, "docs", ENTRY_SCHEMA).filter(now)
     postings = _read_segments(spark, path, "postings", POSTING_SCHEMA).filter(now)
-    whole = docs.select("segment").distinct()  # a row per sync since the last compaction
     entries = _latest_entries(docs)
     latest = entries.select("doc_id", "last.*").filter("content_hash is not null")
     superseded = (
@@ -311,8 +371,14 @@ def live_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         .select("doc_id", "segment")
         .checkpoint()
     )
-    live = postings.join(F.broadcast(whole), "segment", "left_semi")
-    return latest, live.join(broadcast_if_few(superseded), ["doc_id", "segment"], "left_anti")
+    whole = {r[0] for r in docs.select("segment").distinct().collect()}  # a row per sync since the last compaction
+    outdated = {r[0] for r in superseded.select("segment").distinct().collect()}
+    # Most postings are read as they are; only those of segments that hold outdated versions meet them.
+    live = postings.filter(F.col("segment").isin(sorted(whole - outdated)))
+    if outdated:
+        mixed = postings.filter(F.col("segment").isin(sorted(outdated)))
+        live = live.unionByName(mixed.join(broadcast_if_few(superseded), ["doc_id", "segment"], "left_anti").select(*live.columns))
+    return latest, live
 
 
 def compact_index(spark: SparkSession, path: str, to: str) -> None:
@@ -337,7 +403,7 @@ def compact_in_place(spark: SparkSession, path: str, number: int) -> bool:
     latest = written(_latest_entries(entries).select("doc_id", "last.*"), "latest")
     _, postings = live_index(spark, path)
     postings = postings.filter(F.col("segment").isin(folded)).drop("segment")
-    postings.write.mode("overwrite").parquet(f"{path}/postings/segment={segment}")
+    _write_postings(postings, f"{path}/postings/segment={segment}")
     latest.drop("segment").write.mode("overwrite").parquet(f"{path}/docs/segment={segment}")
     names = spark.createDataFrame([(n,) for n in folded], "segment string")
     names.coalesce(1).write.mode("overwrite").text(f"{path}/compactions/{segment}")
@@ -374,19 +440,40 @@ def sync_index(kb: DataFrame, path: str, sync_no: int) -> DataFrame:
     others = others.filter((F.col("segment") != segment) & F.col("segment").isin(live_segments(spark, path)))
     latest = _latest_entries(others).select("doc_id", "last.*")
     indexed = latest.filter("content_hash is not null")
-    plan = sync_plan(kb, indexed).filter("action <> 'unchanged'").checkpoint()
     seq = F.col("seq").cast("bigint") if "seq" in kb.columns else F.lit(0).cast("bigint")
     updated = F.col("updated_at") if "updated_at" in kb.columns else F.lit("1970-01-01").cast("timestamp")
-    was = latest.select("doc_id", F.struct("updated_at", "seq").alias("was"))
-    to_write = plan.filter("action <> 'delete'").select("doc_id")
-    changed = kb.withColumn("seq", seq).withColumn("updated_at", updated).join(broadcast_if_few(to_write), "doc_id", "left_semi").join(was, "doc_id", "left")
-    earlier = F.coalesce(F.struct("updated_at", "seq") <= F.col("was"), F.lit(False))
-    changed = changed.withColumn("stamp", F.when(earlier, F.struct("was.updated_at", (F.col("was.seq") + 1).alias("seq"))).otherwise(F.struct("updated_at", "seq")))
-    changed = changed.select("doc_id", "content", "stamp.*")
-    gone = indexed.join(plan.filter("action = 'delete'").select("doc_id"), "doc_id").select(
-        "doc_id", F.lit(None).cast("string").alias("content_hash"), "updated_at", (F.col("seq") + 1).alias("seq"),
-        F.lit(sync_no).cast("bigint").alias("sync_no"),
-    )
+    held = scratch_path(spark, "texts")
+    texts = _dealt_texts(kb.select("doc_id", "content", updated.alias("updated_at"), seq.alias("seq")), held)
+    plan = sync_plan(texts, indexed).filter("action <> 'unchanged'").checkpoint()
     if not plan.isEmpty():
-        write_segment(changed.checkpoint(), path, segment, sync_no, gone.checkpoint())
+        was = latest.select("doc_id", F.struct("updated_at", "seq").alias("was"))
+        to_write = plan.filter("action <> 'delete'").select("doc_id").distinct().join(was, "doc_id", "left").checkpoint()
+        earlier = F.coalesce(F.struct("updated_at", "seq") <= F.col("was"), F.lit(False))
+        stamp = F.when(earlier, F.struct("was.updated_at", (F.col("was.seq") + 1).alias("seq"))).otherwise(F.struct("updated_at", "seq"))
+        changed = _texts_to_write(texts, to_write).withColumn("stamp", stamp).select("doc_id", "content", "content_hash", "stamp.*")
+        gone = indexed.join(plan.filter("action = 'delete'").select("doc_id"), "doc_id").select(
+            "doc_id", F.lit(None).cast("string").alias("content_hash"), "updated_at", (F.col("seq") + 1).alias("seq"),
+            F.lit(sync_no).cast("bigint").alias("sync_no"),
+        )
+        write_segment(changed, path, segment, sync_no, gone.checkpoint())
+    drop_scratch(spark, held)
     return plan
+
+
+def _dealt_texts(docs: DataFrame, path: str) -> DataFrame:
+    """Texts with their hash and length, written to `path` in parts by document.
+
+    The given table is read once, by however few tasks, and what a sync does with its texts starts from the parts.
+    """
+    dealt = docs.repartition("doc_id").withColumn("content_hash", content_hash(F.col("content"))).withColumn("characters", F.length("content").cast("bigint"))
+    dealt.write.parquet(path)
+    return docs.sparkSession.read.schema(dealt.schema).parquet(path)
+
+
+def _texts_to_write(texts: DataFrame, to_write: DataFrame) -> DataFrame:
+    """The texts of some documents (doc_id, was), dealt by document into the parts of an index; few documents go to where the texts lie."""
+    few = broadcast_if_few(to_write)
+    parts = _parts_for(texts, texts.select("doc_id", "characters").join(few.select("doc_id"), "doc_id", "left_semi").agg(F.sum("characters")).first()[0])
+    if few is not to_write:
+        return texts.join(few, "doc_id").repartition(parts, "doc_id")
+    return texts.repartition(parts, "doc_id").join(to_write.repartition(parts, "doc_id"), "doc_id")

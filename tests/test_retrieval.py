@@ -1,15 +1,17 @@
 import math
 import re
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
-from lorebase.functions.text import chunks
+from lorebase.functions.text import chunks, token_characters, tokens
 from lorebase.operators import retrieval as r
 from lorebase.session import scratch_path
-from lorebase.sources import kb
+from lorebase.sources import bindings, kb
 
 WORDS = "apple pear plum fig date lime kiwi melon grape mango".split()
 
@@ -393,6 +395,26 @@ def test_terms_are_counted_as_texts_pass(spark):
     assert kb.term_counts(spark.createDataFrame([], "doc_id string, content string"), ["doc_id"]).count() == 0
 
 
+@pytest.mark.parametrize("at_once", [1, 40, 1 << 22])
+def test_terms_counted_are_those_of_tokens(spark, monkeypatch, at_once):
+    """Whatever the script, at the ends of texts, and however texts are cut into batches; no list of tokens is made on the way."""
+    monkeypatch.setattr(kb, "COUNTED_BYTES", at_once)
+    rng = np.random.default_rng(5)
+    signs = list("aB_ .-éßñ—“日本語İΣς😀𝒜𐐀١²½\u0301\n\x001")
+    rows = [(str(i % 250), None if i % 17 == 0 else "".join(rng.choice(signs, size=int(rng.integers(0, 40))))) for i in range(300)]
+    docs = spark.createDataFrame([*rows, ("ends", "a"), ("ends", "a"), ("next", "é")], "doc_id string, content string")
+    words = docs.select("doc_id", F.explode(tokens(F.col("content"))).alias("term"))
+    want = {(x.doc_id, x.term): x.n for x in words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = kb.term_counts(docs, ["doc_id"])
+    cut = partial(kb._counted, token_characters(spark))
+    sorted_docs = docs.sort("doc_id").coalesce(1).withColumn("_first", F.row_number().over(W.partitionBy("doc_id").orderBy("doc_id")) == 1)
+    here = sorted_docs.select("doc_id", "_first", F.lower("content").alias("_text")).toArrow().combine_chunks().to_batches()
+    got = pa.Table.from_batches(list(cut(iter(here)))).to_pylist()
+    assert {(x["doc_id"], x["term"]): x["tf"] for x in got} == want and len(got) == len(want)
+    assert {(x.doc_id, x.term): x.tf for x in counts.collect()} == want
+    assert "regexp_extract_all" not in counts._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_weights_with_a_vocabulary_beyond_a_broadcast(spark, tmp_path):
     """Postings of frequent terms stay where they are whatever the size of the vocabulary; weights do not depend on it."""
     docs = spark.createDataFrame([(str(i), f"all half{i % 2} some{i % 9} own{i}") for i in range(60)], "doc_id string, content string")
@@ -440,3 +462,12 @@ def test_an_index_that_lies_dealt_by_document_is_not_shuffled(spark, tmp_path, m
     assert "Union" in plans[0] and "Union" in _executed(hits)
     for plan in [*plans, _executed(hits)]:
         assert "hashpartitioning(doc_id" not in plan and "hashpartitioning(dealt_id" not in plan
+
+
+def test_schema_documents_of_a_table_in_one_file_are_dealt(spark, tmp_path):
+    """A table that one task reads is dealt out before its texts are made and taken apart."""
+    rows = [(n, f"red bolt {n}", "Brand#1", "TIN") for n in range(50)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    columns = r.schema_columns(bindings.schema_kb(spark, str(tmp_path)))
+    stock = columns.filter("table_name LIKE 'stock%'")
+    assert stock.count() == 200 and stock.select(F.spark_partition_id()).distinct().count() > 2

@@ -1,6 +1,7 @@
 """Writing, reading, syncing and streaming."""
 
 import datetime as dt
+import hashlib
 import random
 import os
 
@@ -171,6 +172,42 @@ def test_compaction_in_place(spark, monkeypatch):
     assert live_terms(spark, path) == {("a", "x", 2), ("a", "y", 1), ("b", "z", 1), ("c", "old", 1)}
 
 
+def test_a_sync_reads_the_given_table_once(spark):
+    """Also where a document changes, is new or goes; its hash is that of its text."""
+    path, read = scratch_path(spark, "index"), spark.sparkContext.accumulator(0)
+
+    def given(rows):
+        see = F.udf(lambda text: read.add(1) or text).asNondeterministic()
+        return docs_of(spark, rows).withColumn("content", see("content"))
+
+    kb.sync_index(given([("a", "x x y"), ("b", "z"), ("c", "old")]), path, 0)
+    assert read.value == 3
+    plan = kb.sync_index(given([("a", "x x y"), ("c", "new new"), ("d", "w")]), path, 1)
+    assert read.value == 6 and {r["doc_id"]: r["action"] for r in plan.collect()} == {"b": "delete", "c": "update", "d": "insert"}
+    assert live_terms(spark, path) == {("a", "x", 2), ("a", "y", 1), ("c", "new", 2), ("d", "w", 1)}
+    live, _ = kb.live_index(spark, path)
+    assert {(r.doc_id, r.content_hash) for r in live.collect()} == {(i, hashlib.sha256(t.encode()).hexdigest()) for i, t in (("a", "x x y"), ("c", "new new"), ("d", "w"))}
+
+
+def test_a_sync_of_many_documents_joins_them_where_they_are_dealt(spark, monkeypatch):
+    path = scratch_path(spark, "index")
+    monkeypatch.setattr(kb, "broadcast_if_few", lambda rows: rows)
+    monkeypatch.setattr(kb, "PART_CHARACTERS", 5)
+    kb.sync_index(docs_of(spark, [(str(n), f"word{n} more more") for n in range(60)]), path, 0)
+    kb.sync_index(docs_of(spark, [(str(n), f"word{n} more" + " more" * (n % 2)) for n in range(10, 70)]), path, 1)
+    want = {(str(n), t, f) for n in range(10, 70) for t, f in ((f"word{n}", 1), ("more", 1 + n % 2))}
+    assert live_terms(spark, path) == want
+
+
+def test_postings_of_segments_without_outdated_versions_meet_nothing(spark):
+    path = scratch_path(spark, "index")
+    kb.sync_index(docs_of(spark, [("a", "x"), ("b", "z")]), path, 0)
+    joins = lambda: kb.live_index(spark, path)[1]._jdf.queryExecution().optimizedPlan().toString().count("Join")
+    assert joins() == 0
+    kb.sync_index(docs_of(spark, [("a", "y"), ("b", "z")]), path, 1)
+    assert joins() == 1 and live_terms(spark, path) == {("a", "y", 1), ("b", "z", 1)}
+
+
 def test_sketches(spark):
     """A small sketch keeps its bounds, days are replaced, and merged days tell what all rows tell."""
     rows, start = [], dt.datetime(2024, 1, 1)
