@@ -54,7 +54,7 @@ def schema_kb(spark: SparkSession, folder: str) -> DataFrame:
         F.lower("p_type"), F.lit("_price (DOUBLE): Price of the "), F.lower("p_type"), F.lit(" kind\n- "),
         F.lit("brand (ARRAY<STRING>): Always "), F.col("p_brand"), F.lit("\n"),
     )
-    stock = read_table(spark, folder, "part").select(
+    stock = spread(read_table(spark, folder, "part"), "p_partkey").select(
         F.concat(F.lit("schema_stock_"), key).alias("doc_id"),
         F.lit("schema").alias("doc_type"),
         F.concat(F.lit("Stock of "), F.col("p_name")).alias("title"),
