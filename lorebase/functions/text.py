@@ -68,22 +68,24 @@ def chunks(text, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP):
     """Array of windows of `size` characters, each starting `size - overlap` after the last.
 
     One pass of a regex cuts the text into strides; a window is a stride and the start of
-    the next. Cutting each window by its offset would scan the text once per window.
+    the next. Cutting each window by its offset would scan the text once per window, and so would strides that are not kept.
     """
     if not 0 <= overlap < size or overlap > size - overlap:
         raise ValueError("overlap must be at least 0 and at most half of size")
     stride = size - overlap
+
+    def windows(strides):
+        # A last stride no longer than the overlap already lies in the window before it.
+        keeps_last = (F.size(strides) == 1) | (F.length(F.element_at(strides, -1)) > overlap)
+        whole = F.transform(
+            strides,
+            lambda piece, i: F.concat(piece, F.substring(F.coalesce(F.get(strides, i + 1), F.lit("")), 1, overlap)),
+        )
+        count = F.when(keeps_last, F.size(strides)).otherwise(F.size(strides) - 1)
+        return F.slice(whole, F.lit(1), F.greatest(count, F.lit(1)))
+
     strides = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
-    # A last stride no longer than the overlap already lies in the window before it.
-    keeps_last = (F.size(strides) == 1) | (F.length(F.element_at(strides, -1)) > overlap)
-    windows = F.transform(
-        strides,
-        lambda piece, i: F.concat(piece, F.substring(F.coalesce(F.get(strides, i + 1), F.lit("")), 1, overlap)),
-    )
-    count = F.when(keeps_last, F.size(strides)).otherwise(F.size(strides) - 1)
-    return F.when(F.length(text) > 0, F.slice(windows, F.lit(1), F.greatest(count, F.lit(1)))).otherwise(
-        F.array().cast("array<string>")
-    )
+    return F.when(F.length(text) > 0, _let(strides, windows)).otherwise(F.array().cast("array<string>"))
 
 
 # --- SQL in answers ---------------------------------------------------------------------

@@ -2,23 +2,27 @@
 
 Text vectors are TF-IDF weights, kept as an index of blocks: the weights of a term that are about
 equally large. Blocks that cannot lift a document to a question's k-th score are passed over; what is left
-is summed up per document, and only the k best rows per question and partition leave it.
+is summed up per document, and only the k best rows per question and partition leave it. Chunks are so many and so
+short that a row for each of their weights costs more than the sums: they are kept and scored in packs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 from operator import and_
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from lorebase.functions.text import CHUNK_OVERLAP, CHUNK_SIZE, chunks, tokens
 from lorebase.operators.skew import hot_keys, lookup_join
-from lorebase.session import broadcast_if_few, read_dealt, scratch_path, write_dealt, written
+from lorebase.session import broadcast_if_few, exists, read_dealt, scratch_path, write_dealt, written
+from lorebase.sources.kb import FILE_PACKS
 
 SCORE_DIGITS = 6
 # Most bytes of question terms that one broadcast may hold.
@@ -38,10 +42,10 @@ def chunk_documents(
 
 
 class TextIndex(NamedTuple):
-    """A kept search index: weights in blocks by term and size of the weight, dealt by document, and the figures all weights depend on."""
+    """A kept search index: weights in blocks by term and size of the weight, dealt by document, or in packs, and the figures all weights depend on."""
 
-    weights: DataFrame  # (unit, term, weight, class, bucket)
-    blocks: DataFrame  # (bucket, term, class, n, largest): how many weights a block holds, and the largest; counted when read
+    weights: DataFrame  # (unit, term, weight, class, bucket); of packs (unit, term, weight), taken out of them when read
+    blocks: DataFrame | None  # (bucket, term, class, n, largest): how many weights a block holds, and the largest; counted when read
     unit: list[str]  # what a text is: a document, or a chunk of one
     terms: DataFrame  # (term, df)
     units: int  # number of texts
@@ -49,6 +53,7 @@ class TextIndex(NamedTuple):
     term_bytes: int  # size of `terms`
     parts: int  # into so many parts the weights are dealt by doc_id
     buckets: int  # numbers of buckets of terms
+    packs: DataFrame | None = None  # of an index of chunks: their weights in packs, see `_write_packs`
 
 
 # Weights of a class lie within a quarter of a factor of two.
@@ -69,23 +74,32 @@ def write_index(postings: DataFrame, path: str, unit: list[str] | None = None, p
     """
     unit = unit or ["doc_id"]
     spark = postings.sparkSession
-    postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.mode("overwrite").parquet(f"{path}/terms")
+    packed = "pack" in postings.columns
+    counted = _pack_words(postings).groupBy("term").agg(F.sum("n").alias("df")) if packed else postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counted.write.mode("overwrite").parquet(f"{path}/terms")
     terms = spark.read.schema("term string, df bigint").parquet(f"{path}/terms")
     size = terms.agg(F.sum("df").alias("rows"), F.sum(F.expr(TERM_BYTES)).alias("bytes")).first()
-    units = postings.agg(F.count_distinct(*unit)).first()[0]
     rows, term_bytes = size["rows"] or 0, size["bytes"] or 0
     buckets = max(1, min(MOST_BUCKETS, rows // BUCKET_ROWS))
-    if parts is None:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        postings = postings.repartition(parts, "doc_id")
-    raw = _dealt_raw_weights(postings, terms, unit, units, term_bytes, parts)
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(*_dealt(unit))))
-    weighed = raw.select(*_dealt(unit), "term", (F.col("raw") / norm).alias("weight")).filter("weight is not null")
-    weighed = weighed.withColumnRenamed(DEALT, "doc_id")
-    classed = F.least(F.floor(-CLASSES_PER_OCTAVE * F.log2("weight")), F.lit(LAST_CLASS)).cast("int")
-    weighed = weighed.withColumn("class", classed).withColumn("bucket", _bucket(buckets))
-    write_dealt(weighed, f"{path}/weights", "doc_id", parts, ["bucket"])
-    typed = [f"{c} {postings.schema[c].dataType.simpleString()}" for c in unit]
+    if packed:
+        kinds = postings.schema["units"].dataType.elementType
+        units = postings.select(F.inline("units")).filter(reduce(and_, [F.col(c).isNotNull() for c in unit])).count()
+        parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        _write_packs(postings, terms, units, term_bytes, f"{path}/packs", parts)
+    else:
+        kinds = postings.schema
+        units = postings.agg(F.count_distinct(*unit)).first()[0]
+        if parts is None:
+            parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            postings = postings.repartition(parts, "doc_id")
+        raw = _dealt_raw_weights(postings, terms, unit, units, term_bytes, parts)
+        norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(*_dealt(unit))))
+        weighed = raw.select(*_dealt(unit), "term", (F.col("raw") / norm).alias("weight")).filter("weight is not null")
+        weighed = weighed.withColumnRenamed(DEALT, "doc_id")
+        classed = F.least(F.floor(-CLASSES_PER_OCTAVE * F.log2("weight")), F.lit(LAST_CLASS)).cast("int")
+        weighed = weighed.withColumn("class", classed).withColumn("bucket", _bucket(buckets))
+        write_dealt(weighed, f"{path}/weights", "doc_id", parts, ["bucket"])
+    typed = [f"{c} {kinds[c].dataType.simpleString()}" for c in unit]
     figures = spark.createDataFrame([(typed, units, rows, term_bytes, parts, buckets)], FIGURES)
     figures.coalesce(1).write.mode("overwrite").parquet(f"{path}/figures")
 
@@ -102,9 +116,13 @@ def read_index(spark, path: str) -> TextIndex:
     """The search index that `write_index` has put there."""
     figures = spark.read.schema(FIGURES).parquet(f"{path}/figures").first()
     terms = spark.read.schema("term string, df bigint").parquet(f"{path}/terms")
+    unit = [c.split(" ")[0] for c in figures["unit"]]
+    if exists(spark, f"{path}/packs"):
+        packs = spark.read.schema(_pack_schema(figures["unit"])).parquet(f"{path}/packs")
+        weights = packs.mapInArrow(_unpacked, f"{', '.join(figures['unit'])}, term string, weight double")
+        return TextIndex(weights, None, unit, terms, *figures[1:], packs)
     fields = f"{', '.join(figures['unit'])}, term string, weight double, class int, bucket int"
     weights = read_dealt(spark, f"{path}/weights", fields, "doc_id", figures["parts"], ["bucket"])
-    unit = [c.split(" ")[0] for c in figures["unit"]]
     return TextIndex(weights, _blocks(weights), unit, terms, *figures[1:])
 
 
@@ -139,18 +157,20 @@ def _dealt_raw_weights(postings, terms, unit, units, term_bytes, parts: int | No
     of the other, rare terms are shuffled, and go back to the `parts` by document that they came from. They stand among the
     postings without `raw` too: taking them out there would make Spark shuffle all.
     """
-    postings = postings.withColumnRenamed("doc_id", DEALT)
-    if term_bytes <= limit:
-        joined = postings.join(F.broadcast(terms), "term")
-    else:
-        least = _least_df(terms, limit)
-        frequent, rare = terms.filter(F.col("df") >= least), terms.filter(F.col("df") < least)
-        known = postings.join(F.broadcast(frequent), "term", "left")
-        found = known.filter("df is null").drop("df").join(rare, "term")
-        joined = known.unionByName(found.repartition(parts, DEALT) if parts else found)
+    joined = _with_df(postings.withColumnRenamed("doc_id", DEALT), terms, term_bytes, limit, lambda found: found.repartition(parts, DEALT) if parts else found)
     return joined.select(*_dealt(unit), "term", _weight(units, F.col("tf"), F.col("df")).alias("raw"))
 
 
+def _with_df(rows: DataFrame, terms: DataFrame, term_bytes: int, limit: int, deal=lambda found: found) -> DataFrame:
+    """Rows with the `df` of their term. Those of a rare term of a large vocabulary come twice, once without `df`; the others pass through `deal`."""
+    if term_bytes <= limit:
+        return rows.join(F.broadcast(terms), "term")
+    least = _least_df(terms, limit)
+    frequent, rare = terms.filter(F.col("df") >= least), terms.filter(F.col("df") < least)
+    known = rows.join(F.broadcast(frequent), "term", "left")
+    return known.unionByName(deal(known.filter("df is null").drop("df").join(rare, "term")))
+
+
 def _least_df(terms: DataFrame, limit: int) -> int:
     """The least power of two such that the terms of that frequency or more are within `limit` bytes."""
     power = F.floor(F.log2("df"))
@@ -164,6 +184,86 @@ def _least_df(terms: DataFrame, limit: int) -> int:
     return least
 
 
+# --- weights in packs -------------------------------------------------------------------
+
+
+def _pack_words(packs: DataFrame) -> DataFrame:
+    """(pack, at, term, n): the terms of each pack in order, and how many of its units hold them."""
+    return packs.select("pack", F.posexplode("words").alias("at", "word")).select("pack", "at", "word.term", "word.n")
+
+
+def _pack_schema(unit: list[str]) -> str:
+    return f"units array<struct<{', '.join(unit)}>>, words string, idf binary, norms binary, sizes binary, codes binary, tf binary"
+
+
+def _write_packs(packs: DataFrame, terms: DataFrame, units: int, term_bytes: int, path: str, parts: int, limit: int = BROADCAST_BYTES) -> None:
+    """Write packs of postings with what makes weights of them: a factor for each term of a pack, and the norm of each unit.
+
+    Only the terms of each pack meet the vocabulary, once per pack, and come back to it as one row.
+    """
+    found = _with_df(_pack_words(packs).drop("n"), terms, term_bytes, limit).filter("df is not null").select("pack", "at", "df")
+    dfs = found.repartition(parts, "pack").sortWithinPartitions("pack", "at").mapInArrow(_gathered, "pack string, dfs binary")
+    kinds = packs.schema["units"].dataType.elementType
+    schema = _pack_schema([f"`{f.name}` {f.dataType.simpleString()}" for f in kinds])
+    weighed = packs.repartition(parts, "pack").join(dfs, "pack").mapInArrow(partial(_weighed, units), schema)
+    weighed.write.mode("overwrite").option("maxRecordsPerFile", FILE_PACKS).parquet(path)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows (pack, at, df) to (pack, dfs), numbers of 64 bits."""
+    row = lambda name, dfs: pa.RecordBatch.from_arrays([name, pa.array([np.concatenate(dfs).tobytes()], pa.binary())], ["pack", "dfs"])
+    name, dfs = None, []
+    for batch in batches:
+        df, start = batch.column("df").to_numpy(), 0
+        for at in np.flatnonzero(batch.column("at").to_numpy() == 0):
+            if name is not None:
+                yield row(name, [*dfs, df[start:at]])
+            name, dfs, start = batch.column("pack").slice(at, 1), [], at
+        dfs.append(df[start:])
+    if name is not None:
+        yield row(name, dfs)
+
+
+def _weighed(units: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packs of postings with the `dfs` of their terms to rows of `_pack_schema`."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            sizes, codes, tf = (_numbers(batch, c, at) for c in ("sizes", "codes", "tf"))
+            idf = np.log((1.0 + units) / (1 + _numbers(batch, "dfs", at, np.int64))) + 1
+            raw = (1 + np.log(tf)) * idf[codes]
+            norms = np.sqrt(np.bincount(np.repeat(np.arange(len(sizes)), sizes), raw * raw))
+            terms = batch.column("words")[at].values.field("term")
+            words = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), terms), " ")  # terms have no blanks
+            kept, figures = ["sizes", "codes", "tf"], [pa.array([x.tobytes()], pa.binary()) for x in (idf, norms)]
+            columns = [batch.column("units").slice(at, 1), words, *figures, *(batch.column(c).slice(at, 1) for c in kept)]
+            yield pa.RecordBatch.from_arrays(columns, ["units", "words", "idf", "norms", *kept])
+
+
+def _numbers(pack: pa.RecordBatch, name: str, at: int, kind=np.int32) -> np.ndarray:
+    return np.frombuffer(pack.column(name)[at].as_buffer(), kind)
+
+
+def _terms_of(pack: pa.RecordBatch, at: int) -> pa.Array:
+    return pc.split_pattern(pack.column("words").slice(at, 1), " ").flatten()
+
+
+def _pack_weights(pack: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(of, codes, weight): the place of the unit and of the term of each weight of a pack, in order of units."""
+    sizes, codes, tf = (_numbers(pack, c, at) for c in ("sizes", "codes", "tf"))
+    idf, norms = (_numbers(pack, c, at, np.float64) for c in ("idf", "norms"))
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return of, codes, (1 + np.log(tf)) * idf[codes] / norms[of]
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packs to rows (unit, term, weight)."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            of, codes, weight = _pack_weights(batch, at)
+            rows = pa.Table.from_struct_array(batch.column("units")[at].values).take(of).append_column("term", _terms_of(batch, at).take(pa.array(codes)))
+            yield from rows.append_column("weight", pa.array(weight)).combine_chunks().to_batches()
+
+
 def embed_tfidf(index: TextIndex) -> DataFrame:
     """L2-normalised TF-IDF weights (unit, term, weight)."""
     return index.weights.select(*index.unit, "term", "weight")
@@ -352,15 +452,103 @@ def relevance_filter(hits: DataFrame, threshold: float = 0.7) -> DataFrame:
 def search_chunk_rollup(questions: DataFrame, index: TextIndex, k: int = 5, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Search an index of chunks, keep the best chunk of each document, then the k best documents.
 
-    The floor under the k-th score is that of documents, so chunks are passed over as whole texts are in `search_topk_text`.
+    Exact: all chunks are scored, pack by pack where they lie. Questions beyond the size of a broadcast are answered part by part.
     """
     _check_k(k)
-    found = _found(questions, index, k, None, False, broadcast_bytes)
+    question_weights = written(embed_questions(questions, index).select("question_id", "term", "question_weight"), "question-weights")
+    found = None
+    for part, small in question_blocks(question_weights, broadcast_bytes):
+        best = _best_chunks(part, index.packs, k) if small else _all_chunks(part, index, broadcast_bytes)
+        found = best if found is None else found.unionByName(best)
     best = found.groupBy("doc_id", "question_id").agg(F.max(F.struct("score", (-F.col("chunk_no")).alias("least"))).alias("best"))
     best = best.select("question_id", "doc_id", F.col("best.score").alias("score"), (-F.col("best.least")).alias("chunk_no"))
     return _top(best, k).select("question_id", "doc_id", "chunk_no", "score", "rank")
 
 
+def _best_chunks(part: DataFrame, packs: DataFrame, k: int | None) -> DataFrame:
+    """(question_id, unit, score): the best chunk of the k best documents for each question, of all that a task meets at a time; unrounded sums of all chunks without k.
+
+    The terms of the questions, no more than a broadcast may hold, travel with the tasks.
+    """
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in packs.schema["units"].dataType.elementType)
+    asked = part.select("question_id", "term", "question_weight").toArrow()
+    return packs.mapInArrow(partial(_scored, asked, k), f"question_id {part.schema['question_id'].dataType.simpleString()}, {kinds}, score double")
+
+
+def _all_chunks(part: DataFrame, index: TextIndex, limit: int) -> DataFrame:
+    """The same rows with the scores of all chunks for one question with more terms than a broadcast may hold: its terms are cut into pieces, and sums added up."""
+    size = part.agg(F.sum(F.length("term") * 4)).first()[0]
+    pieces = min(-(-size // max(limit, 1)) + 1, 64)
+    piece = F.pmod(F.xxhash64("term"), F.lit(pieces))
+    sums = reduce(DataFrame.unionByName, [_best_chunks(part.filter(piece == n), index.packs, None) for n in range(pieces)])
+    return sums.groupBy("question_id", *index.unit).agg(F.round(F.sum("score"), SCORE_DIGITS).alias("score"))
+
+
+# What a task scores at a time: so many questions, and chunks up to so many or so many products.
+QUESTIONS_AT_ONCE, CHUNKS_AT_ONCE, PRODUCTS_AT_ONCE = 256, 2048, 1 << 21
+
+
+def _scored(asked: pa.Table, k: int | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ids, terms = (asked[c].combine_chunks().dictionary_encode("encode") for c in ("question_id", "term"))
+    q, t, qw = ids.indices.to_numpy(), terms.indices.to_numpy(), asked["question_weight"].to_numpy()
+    slices = []
+    for first in range(0, len(ids.dictionary), QUESTIONS_AT_ONCE):
+        here = np.flatnonzero((q >= first) & (q < first + QUESTIONS_AT_ONCE))
+        here = here[np.argsort(t[here], kind="stable")]
+        n = np.bincount(t[here], minlength=len(terms.dictionary))
+        width = min(QUESTIONS_AT_ONCE, len(ids.dictionary) - first)
+        # Of documents scored so far at least k reach the floor, or it is 0.
+        slices.append((first, width, n, np.cumsum(n) - n, q[here] - first, qw[here], np.zeros(width)))
+    for batch in batches:
+        for at in range(batch.num_rows):
+            of, codes, weight = _pack_weights(batch, at)
+            met = pc.index_in(_terms_of(batch, at), terms.dictionary).fill_null(-1).to_numpy()[codes]
+            hit = np.flatnonzero(met >= 0)
+            of, met, weight = of[hit], met[hit], weight[hit]
+            units = pa.Table.from_struct_array(batch.column("units")[at].values)
+            for first, width, n, begin, q_of, w_of, floor in slices:
+                rows = list(_scored_pack(of, met, weight, units, k, width, n, begin, q_of, w_of, floor))
+                if rows:
+                    questions, places, scores = (np.concatenate(x) for x in zip(*rows))
+                    out = units.take(places).add_column(0, "question_id", ids.dictionary.take(pa.array(questions + first)))
+                    yield from out.append_column("score", pa.array(scores)).combine_chunks().to_batches()
+
+
+def _scored_pack(of, met, weight, units, k, width, n, begin, q_of, w_of, floor):
+    """(question, unit, score) of the chunks of a pack, as places; `floor` is lifted to the k-th score of documents."""
+    doc = units["doc_id"].combine_chunks().dictionary_encode("encode").indices.to_numpy()
+    many = n[met]
+    products = np.append(0, np.cumsum(many))
+    ends = np.searchsorted(of, np.arange(len(doc) + 1))  # where the weights of each unit begin
+    start = 0
+    while start < len(doc):
+        most = np.searchsorted(products[ends], products[ends[start]] + PRODUCTS_AT_ONCE, "right") - 1
+        end = int(min(max(start + 1, most), start + CHUNKS_AT_ONCE, len(doc)))
+        here = slice(ends[start], ends[end])
+        reps, count = many[here], end - start
+        entry = np.arange(products[here.stop] - products[here.start]) + np.repeat(begin[met[here]] - (products[here] - products[here.start]), reps)
+        cell = q_of[entry].astype(np.int64) * count + np.repeat(of[here] - start, reps)
+        sums = np.bincount(cell, np.repeat(weight[here], reps) * w_of[entry], width * count).reshape(width, count)
+        if k is None:
+            question, unit = np.nonzero(sums)
+            yield question, unit + start, sums[question, unit]
+        else:
+            score = np.where(sums > 0, np.floor(sums * 10**SCORE_DIGITS + 0.5) / 10**SCORE_DIGITS, -1.0)
+            firsts = np.flatnonzero(np.append(True, doc[start + 1 : end] != doc[start : end - 1]))
+            best = np.maximum.reduceat(score, firsts, axis=1)
+            if len(firsts) > k:
+                np.maximum(floor, np.partition(best, len(firsts) - k, axis=1)[:, -k], out=floor)
+            question, place = np.nonzero(best >= floor[:, None])
+            found = best[question, place]
+            order = np.lexsort((place, -found, question))  # documents lie in their order
+            question, place, found = question[order], place[order], found[order]
+            kept = np.arange(len(question)) - np.searchsorted(question, question) < k
+            question, place, found = question[kept], place[kept], found[kept]
+            unit = [x + int(np.argmax(score[i, x:y])) for i, x, y in zip(question, firsts[place], np.append(firsts, count)[place + 1])]
+            yield question, np.array(unit, np.int64) + start, found
+        start = end
+
+
 def attach_documents(hits: DataFrame, docs: DataFrame) -> DataFrame:
     """Add the documents' columns to stored search hits; few hits go to where the documents lie."""
     return docs.join(broadcast_if_few(hits), "doc_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -143,6 +144,8 @@ def sync_plan(docs: DataFrame, indexed: DataFrame) -> DataFrame:
 
 # Most bytes of text that a task counts at a time, but for a longer text.
 COUNTED_BYTES = 1 << 22
+# Most bytes of text in a pack, about, and most packs in a file: a reader may hold all of these at once.
+PACK_BYTES, FILE_PACKS = 6 << 20, 4
 
 
 def term_counts(docs: DataFrame, unit: list[str], text: str = "content") -> DataFrame:
@@ -151,15 +154,65 @@ def term_counts(docs: DataFrame, unit: list[str], text: str = "content") -> Data
     Texts are sorted by unit and counted as they pass, so what moves between tasks is texts, not their many terms, and a task
     holds the terms of some texts only, however many it is given. Terms are those of `tokens`; a batch of texts is cut at once.
     """
+    found, kinds = _by_unit(docs, unit, text)
+    return found.mapInArrow(partial(_counted, token_characters(docs.sparkSession)), f"{', '.join(kinds)}, term string, tf int")
+
+
+def packed_counts(docs: DataFrame, unit: list[str], text: str = "content") -> DataFrame:
+    """The counts of `term_counts` in packs, one row for some thousand small texts.
+
+    A pack has its units in order, its terms with the number of its units that hold them, and, as numbers of 32 bits, how many
+    terms each unit has, and the place among the terms and the frequency of each. A unit lies in one pack; those without a term in none.
+    """
+    found, kinds = _by_unit(docs, unit, text)
+    cut = partial(_counted, token_characters(docs.sparkSession), rows=_packed, most=PACK_BYTES)
+    schema = f"pack string, units array<struct<{', '.join(kinds)}>>, words array<struct<term string, n int>>, sizes binary, codes binary, tf binary"
+    return found.mapInArrow(lambda batches: cut(_joined(batches)), schema)
+
+
+def _by_unit(docs: DataFrame, unit: list[str], text: str) -> tuple[DataFrame, list[str]]:
+    """Lower-case texts sorted by unit, with the first row of each marked, and the unit's columns with their types."""
     same_unit = W.partitionBy(*unit).orderBy(unit[0])
     placed = docs.select(*unit, F.col(text).alias("_text"), (F.row_number().over(same_unit) == 1).alias("_first"))
     found = placed.select(*unit, "_first", F.lower("_text").alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.select(*unit).schema)
-    return found.mapInArrow(partial(_counted, token_characters(docs.sparkSession)), f"{kinds}, term string, tf int")
+    return found, [f"`{f.name}` {f.dataType.simpleString()}" for f in found.select(*unit).schema]
+
+
+def _posted(units: pa.Table, of: np.ndarray, words: pa.Array, codes: np.ndarray, tf: np.ndarray) -> list[pa.RecordBatch]:
+    """Counts as rows (unit, term, tf): `of` and `codes` are the places of their units and terms."""
+    rows = units.take(of).append_column("term", words.take(pa.array(codes))).append_column("tf", pa.array(tf.astype(np.int32)))
+    return rows.combine_chunks().to_batches()
 
 
-def _counted(characters: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (unit, _first, _text) that are sorted by unit to (unit, term, tf). The last unit waits for what may follow of it."""
+def _packed(units: pa.Table, of: np.ndarray, words: pa.Array, codes: np.ndarray, tf: np.ndarray) -> list[pa.RecordBatch]:
+    """The same counts, in order of their units, as one pack."""
+    if not len(tf):
+        return []
+    sizes, n = np.bincount(of, minlength=units.num_rows), np.bincount(codes, minlength=len(words))
+    told = units.take(np.flatnonzero(sizes)).combine_chunks().to_batches()[0].to_struct_array()
+    terms = pa.StructArray.from_arrays([words.take(pa.array(np.flatnonzero(n))), pa.array(n[n > 0].astype(np.int32))], ["term", "n"])
+    codes = (np.cumsum(n > 0) - 1)[codes]
+    one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    numbers = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (sizes[sizes > 0], codes, tf)]
+    names = ["pack", "units", "words", "sizes", "codes", "tf"]
+    return [pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), one(told), one(terms), *numbers], names)]
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about as many bytes as go into a pack."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > PACK_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _counted(characters: np.ndarray, batches: Iterator[pa.RecordBatch], rows=_posted, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows (unit, _first, _text) that are sorted by unit to `rows` of their counts. The last unit waits for what may follow of it."""
     taken = np.zeros(0x110000, bool)
     for start, end in characters:
         taken[start:end] = True
@@ -169,7 +222,7 @@ def _counted(characters: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Itera
         starts = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         at = 0
         while at < batch.num_rows:
-            after = max(at + 1, int(np.searchsorted(starts, starts[at] + COUNTED_BYTES, "right")) - 1)
+            after = max(at + 1, int(np.searchsorted(starts, starts[at] + (most or COUNTED_BYTES), "right")) - 1)
             part, first = batch.slice(at, after - at), batch.column("_first").slice(at, after - at).to_numpy(zero_copy_only=False)
             fresh, sizes = _cut(texts.buffers()[2], starts[at : after + 1], taken)
             at = after
@@ -188,11 +241,11 @@ def _counted(characters: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Itera
                 keys, tf = np.concatenate([both, keys[more:]]), np.concatenate([n, tf[more:]])
             of, code = keys // width, keys % width
             end = np.searchsorted(of, units.num_rows - 1)
-            yield from _posted(units.take(of[:end]), words.take(pa.array(code[:end])), tf[:end])
+            yield from rows(units, of[:end], words, code[:end], tf[:end])
             held = units.slice(units.num_rows - 1), words.take(pa.array(code[end:])), tf[end:]
     if held is not None:
         units, terms, tf = held
-        yield from _posted(units.take(np.zeros(len(tf), np.int64)), terms, tf)
+        yield from rows(units, np.zeros(len(tf), np.int64), terms, np.arange(len(tf)), tf)
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,11 +285,6 @@ def _cut(buffer: pa.Buffer | None, starts: np.ndarray, taken: np.ndarray) -> tup
     return terms, np.diff(np.searchsorted(begin, starts))
 
 
-def _posted(units: pa.Table, terms: pa.Array, tf: np.ndarray) -> list[pa.RecordBatch]:
-    rows = units.append_column("term", terms).append_column("tf", pa.array(tf.astype(np.int32)))
-    return rows.combine_chunks().to_batches()
-
-
 # Characters of text in a part of an index, about.
 PART_CHARACTERS = 1 << 23
 
@@ -257,9 +305,14 @@ def write_postings(docs: DataFrame, path: str, unit: list[str] | None = None, pa
     Tokenising is the dear step and three later steps read its result (document
     frequencies, weights, scores), so it is written rather than recomputed, and a lost
     executor costs no second pass over the texts. Of `docs` that are dealt by doc_id into `parts` the postings stay so, and
-    what follows by document needs no shuffle.
+    what follows by document needs no shuffle. Those of chunks are kept in packs, see `packed_counts`: a row of its own for each
+    of their many postings costs more than all that is done with it.
     """
     unit = unit or ["doc_id"]
+    if unit != ["doc_id"]:
+        counts = packed_counts(docs, unit)
+        counts.write.mode("overwrite").option("maxRecordsPerFile", FILE_PACKS).parquet(path)
+        return docs.sparkSession.read.schema(counts.schema).parquet(path)
     counts = term_counts(docs, unit)
     if parts:
         write_dealt(counts, path, "doc_id", parts)

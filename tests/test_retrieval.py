@@ -214,6 +214,119 @@ def test_chunk_rollup_keeps_best_chunk(spark):
     assert hits[1]["chunk_no"] in where
 
 
+def test_strides_are_cut_once(spark):
+    """A window looks at the next stride without cutting the whole text again."""
+    docs = spark.range(1).selectExpr("id AS doc_id", "repeat('word ', id + 1000) AS content")
+    assert r.chunk_documents(docs)._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") == 1
+
+
+@pytest.fixture(scope="module")
+def chunked(spark, tmp_path_factory):
+    """Documents of up to three chunks, a third of them equal, three under one id and one without id; the index lies in several packs."""
+    rng = np.random.default_rng(8)
+    docs = [(f"d{i:03d}", " ".join(rng.choice(WORDS, size=int(rng.integers(1, 250)))) + f" own{i}") for i in range(90)]
+    docs = [(d, docs[0][1]) if i % 3 == 0 else ("d001", t) if i in (4, 5) else (None, t) if i == 7 else (d, t) for i, (d, t) in enumerate(docs)]
+    frame = spark.createDataFrame([*docs, ("blank", "?!"), ("none", None)], "doc_id string, content string")
+    path = tmp_path_factory.mktemp("chunked")
+    postings = kb.write_postings(r.chunk_documents(frame.repartition(3, "doc_id")), str(path / "postings"), UNIT, 3)
+    r.write_index(postings, str(path / "index"), UNIT, 3)
+    units = defaultdict(list)
+    for d, text in docs:
+        for n in range(max(1, math.ceil((len(text) - 50) / 450))):
+            units[d, n].append(text[450 * n : 450 * n + 500])
+    return postings, r.read_index(spark, str(path / "index")), {u: " ".join(x) for u, x in units.items()}
+
+
+UNIT = ["doc_id", "chunk_no"]
+
+
+def best_chunks(units, asked, k):
+    """(question, doc, chunk, score, rank) by brute force; as many texts count as have an id."""
+    tf = {u: Counter(t.lower().split()) for u, t in units.items()}
+    df, n = Counter(t for c in tf.values() for t in c), sum(d is not None for d, _ in units)
+    weigh = lambda c: {t: (1 + math.log(f)) * (math.log((1 + n) / (1 + df[t])) + 1) for t, f in c.items()}
+    long = lambda w: math.sqrt(sum(x * x for x in w.values()))
+    out = []
+    for q, text in asked:
+        v, best = weigh(Counter(text.lower().split())), {}
+        for (d, c), counts in sorted(tf.items(), key=lambda x: (x[0][0] or "", x[0][1])):
+            w = weigh(counts)
+            if v.keys() & w.keys():
+                s = round(sum(v[t] * w[t] for t in v.keys() & w.keys()) / long(v) / long(w), 6)
+                if d not in best or s > best[d][0]:
+                    best[d] = s, c
+        ranked = sorted(best.items(), key=lambda x: (-x[1][0], x[0] or ""))[:k]
+        out += [(q, d, c, round(s, 5), rank) for rank, (d, (s, c)) in enumerate(ranked, 1)]
+    return sorted(out, key=str)
+
+
+ASKED = [("q1", "plum kiwi kiwi"), ("q2", "Mango own3 own7"), ("q3", " ".join(WORDS)), ("q4", "unknown"), ("q5", "own4 apple own5"), (None, "fig own8")]
+
+
+@pytest.mark.parametrize("k, part", [(1, 1 << 20), (6, 1 << 20), (200, 1 << 20), (6, 100), (3, 1)])
+def test_chunks_in_packs_match_brute_force(spark, chunked, k, part):
+    """Also with questions cut into parts, and a question whose terms do not fit into one."""
+    asked = ASKED if part > 100 else ASKED[:-1]  # parts are told by question id
+    hits = r.search_chunk_rollup(spark.createDataFrame(asked, "question_id string, question string"), chunked[1], k, broadcast_bytes=part).collect()
+    assert sorted(((h.question_id, h.doc_id, h.chunk_no, round(h.score, 5), h["rank"]) for h in hits), key=str) == best_chunks(chunked[2], asked, k)
+
+
+def test_chunks_scored_some_at_a_time(spark, chunked, monkeypatch):
+    """Whatever a task scores at a time, the k best of what it finds are the k best."""
+    questions = spark.createDataFrame(ASKED, "question_id string, question string")
+    asked = r.embed_questions(questions, chunked[1]).select("question_id", "term", "question_weight").toArrow()
+    packs = chunked[1].packs.toArrow().combine_chunks().to_batches()
+    for questions_at, chunks_at, products in ((256, 2048, 1 << 21), (2, 7, 1 << 21), (3, 50, 30), (1, 1, 1)):
+        monkeypatch.setattr(r, "QUESTIONS_AT_ONCE", questions_at)
+        monkeypatch.setattr(r, "CHUNKS_AT_ONCE", chunks_at)
+        monkeypatch.setattr(r, "PRODUCTS_AT_ONCE", products)
+        best = {}
+        for h in pa.Table.from_batches(list(r._scored(asked, 4, iter(packs)))).to_pylist():
+            key = h["question_id"], h["doc_id"]
+            best[key] = max(best.get(key, (-1, 0)), (h["score"], -h["chunk_no"]))
+        got = []
+        for q in {q for q, _ in best}:
+            ranked = sorted(((-s, d or "", d, -c) for (p, d), (s, c) in best.items() if p == q))[:4]
+            got += [(q, d, c, round(-s, 5), rank) for rank, (s, _, d, c) in enumerate(ranked, 1)]
+        assert sorted(got, key=str) == best_chunks(chunked[2], ASKED, 4)
+
+
+def test_an_index_of_chunks_lies_in_packs(spark, chunked, tmp_path):
+    """No row per posting is written; the weights in packs are those of each chunk, also with a vocabulary beyond a broadcast."""
+    postings, index, units = chunked
+    want = {(d, n, t) for (d, n), text in units.items() for t in text.lower().split()}
+    assert postings.count() < 10 and index.packs.count() == postings.count() and index.rows == len(want)
+    weights = lambda i: sorted((x.doc_id or "", x.chunk_no, x.term, round(x.weight, 9)) for x in r.embed_tfidf(i).collect())
+    held = weights(index)
+    assert {(d or None, n, t) for d, n, t, _ in held} == want and len(held) == len(want)
+    lengths = Counter()
+    for d, n, _, w in held:
+        lengths[d, n] += w * w
+    assert all(abs(x - 1) < 1e-6 for x in lengths.values())
+    for limit in (0, 600):
+        r._write_packs(postings, index.terms, index.units, index.term_bytes, str(tmp_path / f"packs{limit}"), 2, limit)
+        packs = spark.read.schema(index.packs.schema).parquet(str(tmp_path / f"packs{limit}"))
+        assert weights(index._replace(weights=packs.mapInArrow(r._unpacked, index.weights.schema))) == held
+
+
+@pytest.mark.parametrize("most", [1, 900, 1 << 20])
+def test_packs_of_any_size_hold_the_counts_of_terms(spark, monkeypatch, most):
+    """Units lie whole in one pack, in order, however many batches and rows they come from."""
+    monkeypatch.setattr(kb, "PACK_BYTES", most)
+    rows = [(f"u{i // 3:02d}", " ".join(f"w{i * j % 17}" for j in range(i % 30))) for i in range(60)]
+    found, _ = kb._by_unit(spark.createDataFrame(rows, "doc_id string, content string").coalesce(1), ["doc_id"], "content")
+    batches = [b for s in found.toArrow().combine_chunks().to_batches() for b in (s.slice(i, 7) for i in range(0, s.num_rows, 7))]
+    want, got, seen = Counter((d, w) for d, t in rows for w in t.split()), {}, []
+    for pack in kb._counted(token_characters(spark), kb._joined(iter(batches)), kb._packed, most):
+        units, words = pack.column("units")[0].as_py(), pack.column("words")[0].as_py()
+        sizes, codes, tf = (np.frombuffer(pack.column(c)[0].as_buffer(), np.int32) for c in ("sizes", "codes", "tf"))
+        seen += [u["doc_id"] for u in units]
+        assert len(units) == len(sizes) and [w["n"] for w in words] == list(np.bincount(codes))
+        for u, c, n in zip(np.repeat([u["doc_id"] for u in units], sizes), codes, tf):
+            got[str(u), words[c]["term"]] = n
+    assert got == dict(want) and seen == sorted({d for d, _ in want})
+
+
 # --- vectors ----------------------------------------------------------------------------
 
 
